@@ -1,0 +1,182 @@
+"""Versioned tables as plain parquet folders.
+
+``data/version=N`` holds a full copy of the table, ``changes/version=N`` the
+change rows of a merge, and ``commits/version=N`` one small record, written
+last, that makes the version visible. A merge writes only its change rows; a
+version is read as the nearest full copy with the later changes applied.
+Whatever a failed writer leaves behind has no commit record and is overwritten
+by the next attempt. One writer per table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+
+from sparkpipe.operators.merge import INSERT, apply_feed, change_feed, full_row, merge_feed
+
+COMMIT = """
+    operation string, has_data boolean, committed_at timestamp,
+    writer string, batch bigint, version bigint
+"""
+
+
+def history(spark: SparkSession, root: str) -> DataFrame:
+    """One row per committed version: a table as small as the number of commits."""
+    try:
+        return spark.read.schema(COMMIT).json(f"{root}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COMMIT)
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    return history(spark, root).agg(F.max("version")).first()[0]
+
+
+def table_exists(spark: SparkSession, root: str) -> bool:
+    return latest_version(spark, root) is not None
+
+
+def _next(spark: SparkSession, root: str) -> int:
+    latest = latest_version(spark, root)
+    return 0 if latest is None else latest + 1
+
+
+def _commits(spark: SparkSession, root: str) -> list[Row]:
+    return sorted(history(spark, root).collect(), key=lambda c: c.version)
+
+
+def _publish(
+    rows: DataFrame, root: str, folder: str, operation: str, writer: str | None, batch: int | None
+) -> int:
+    spark = rows.sparkSession
+    version = _next(spark, root)
+    rows.write.mode("overwrite").parquet(f"{root}/{folder}/version={version}")
+    (
+        spark.range(1)
+        .select(
+            F.lit(operation).alias("operation"),
+            F.lit(folder == "data").alias("has_data"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(writer).cast("string").alias("writer"),
+            F.lit(batch).cast("bigint").alias("batch"),
+        )
+        .coalesce(1)
+        .write.mode("overwrite")
+        .json(f"{root}/commits/version={version}")
+    )
+    return version
+
+
+def publish(
+    df: DataFrame,
+    root: str,
+    operation: str = "overwrite",
+    writer: str | None = None,
+    batch: int | None = None,
+) -> int:
+    """Publish a full copy as the next version; schema and rows are replaced.
+
+    The earlier versions stay as they are, so the frame may read from them.
+    """
+    return _publish(df, root, "data", operation, writer, batch)
+
+
+def create_if_absent(df: DataFrame, root: str) -> bool:
+    """Publish ``df`` as version 0 unless the table exists; tell whether it did."""
+    if table_exists(df.sparkSession, root):
+        return False
+    publish(df, root, "create")
+    return True
+
+
+def merge_into(
+    source: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    update: Mapping[str, str] | None = None,
+    insert: Mapping[str, str] | None = None,
+    order_by: Sequence[str] | None = None,
+    compare: Sequence[str] | None = None,
+    writer: str | None = None,
+    batch: int | None = None,
+) -> int:
+    """Merge into a table, writing only the changes.
+
+    Without mappings every column is taken over.
+    """
+    target = read_version(source.sparkSession, root, keys)
+    if update is None or insert is None:
+        update, insert = full_row(target.columns, keys)
+    feed = merge_feed(target, source, keys, update, insert, order_by, compare)
+    return _publish(feed, root, "changes", "merge", writer, batch)
+
+
+def already_committed(spark: SparkSession, root: str, writer: str, batch: int) -> bool:
+    """Whether a stream's batch has its version, so that a repeat can be skipped."""
+    done = (F.col("writer") == writer) & (F.col("batch") >= batch)
+    return not history(spark, root).filter(done).isEmpty()
+
+
+def read_version(
+    spark: SparkSession, root: str, keys: Sequence[str], version: int | None = None
+) -> DataFrame:
+    """The table as of a version, the latest by default."""
+    commits = [c for c in _commits(spark, root) if version is None or c.version <= version]
+    if not commits or (version is not None and commits[-1].version != version):
+        raise ValueError(f"{root} has no version {'' if version is None else version}")
+    base = max(c.version for c in commits if c.has_data)
+    table = spark.read.parquet(f"{root}/data/version={base}")
+    later = [c.version for c in commits if c.version > base]
+    return apply_feed(table, _changes(spark, root, later), keys) if later else table
+
+
+def _changes(spark: SparkSession, root: str, versions: Sequence[int]) -> DataFrame:
+    return (
+        spark.read.options(basePath=f"{root}/changes", mergeSchema="true")
+        .parquet(*[f"{root}/changes/version={v}" for v in versions])
+        .withColumn("_commit_version", F.col("version").cast("bigint"))
+        .drop("version")
+    )
+
+
+def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
+    """Publish the current state as a full copy, so later reads apply less."""
+    return publish(read_version(spark, root, keys), root, "compact")
+
+
+def read_change_feed(
+    spark: SparkSession,
+    root: str,
+    keys: Sequence[str],
+    start: int = 0,
+    ignore: Sequence[str] = (),
+) -> DataFrame:
+    """Row changes from a start version to the latest one.
+
+    Merges are read back as written. The rows of version 0 are its inserts, and
+    a replaced table is compared with the version before it.
+    """
+    commits = [c for c in _commits(spark, root) if c.version >= start]
+    if not commits:
+        raise ValueError(f"{root} has no version from {start} on")
+    merges = [c.version for c in commits if not c.has_data]
+    parts = [_changes(spark, root, merges)] if merges else []
+    for commit in commits:
+        if not commit.has_data or commit.operation == "compact":
+            continue
+        rows = spark.read.parquet(f"{root}/data/version={commit.version}")
+        if commit.version == 0:
+            rows = rows.withColumn("_change_type", F.lit(INSERT))
+        else:
+            before = read_version(spark, root, keys, commit.version - 1)
+            rows = change_feed(before, rows, keys, ignore)
+        parts.append(rows.withColumn("_commit_version", F.lit(commit.version).cast("bigint")))
+    feed = parts[0]
+    for part in parts[1:]:
+        feed = feed.unionByName(part, allowMissingColumns=True)
+    return feed
