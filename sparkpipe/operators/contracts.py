@@ -6,14 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkpipe.functions.once import evaluated
 from sparkpipe.functions.scalars import typed
 from sparkpipe.operators.decode import decode_text
 from sparkpipe.schemas import Field, fields_of
 
 
-def reason(field: Field, text: Column) -> Column:
+def reason(field: Field, text: Column, value: Column) -> Column:
     """The first rule the field breaks, as ``name:rule``, or NULL."""
-    value = typed(text, field.type)
     broken = F.lit(None).cast("string")
     if field.max_length is not None:
         broken = F.when(
@@ -31,13 +31,18 @@ def reason(field: Field, text: Column) -> Column:
 
 
 def check(df: DataFrame, domain: str, value: str = "value") -> DataFrame:
-    """Add ``reasons`` (one entry per failing field) and ``route``.
+    """Add the typed ``record``, its ``reasons`` and its ``route``.
 
-    ``malformed``: nothing of the record but perhaps its time is there.
-    ``dlq``: some rule fails. ``curated``: the record meets its contract.
+    There is one reason per failing field. ``malformed``: nothing of the record
+    but perhaps its time is there. ``dlq``: some rule fails. ``curated``: the
+    record meets its contract.
     """
     fields = fields_of(domain)
-    parsed = decode_text(df, domain, value)
+    parsed = evaluated(
+        decode_text(df, domain, value),
+        "record",
+        F.struct(*[typed(F.col(f"fields.{f.name}"), f.type).alias(f.name) for f in fields]),
+    )
     absent = reduce(
         lambda a, b: a & b,
         [
@@ -46,17 +51,21 @@ def check(df: DataFrame, domain: str, value: str = "value") -> DataFrame:
             if f.required and f.name != "timestamp"
         ],
     )
-    reasons = F.array_compact(F.array(*[reason(f, F.col(f"fields.{f.name}")) for f in fields]))
-    return parsed.withColumn("reasons", reasons).withColumn(
-        "route",
-        F.when(absent, "malformed").when(F.size("reasons") > 0, "dlq").otherwise("curated"),
+    broken = [reason(f, F.col(f"fields.{f.name}"), F.col(f"record.{f.name}")) for f in fields]
+    reasons = F.array_except(F.array(*broken), F.array(F.lit(None).cast("string")))
+    return (
+        parsed.withColumn("reasons", reasons)
+        .withColumn(
+            "route",
+            F.when(absent, "malformed").when(F.size("reasons") > 0, "dlq").otherwise("curated"),
+        )
+        .drop("fields")
     )
 
 
-def typed_records(checked: DataFrame, domain: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def typed_records(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The record's fields as typed columns, from a checked frame."""
-    columns = [typed(F.col(f"fields.{f.name}"), f.type).alias(f.name) for f in fields_of(domain)]
-    return checked.select(*keep, *columns)
+    return checked.select(*keep, "record.*")
 
 
 def route_counts(checked: DataFrame) -> DataFrame:

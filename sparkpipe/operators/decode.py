@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sparkpipe.functions.once import evaluated
 from sparkpipe.schemas import schema_of, text_schema_of
 
 
@@ -25,4 +26,5 @@ def decode_text(df: DataFrame, domain: str, value: str = "value") -> DataFrame:
     """
     schema = f"array<{text_schema_of(domain).simpleString()}>"
     items = F.from_json(F.concat(F.lit("["), F.col(value).cast("string"), F.lit("]")), schema)
-    return df.withColumn("fields", F.when(F.size(items) == 1, F.get(items, F.lit(0))))
+    fields = F.when(F.size("_items") == 1, F.get("_items", F.lit(0)))
+    return evaluated(df, "_items", items).withColumn("fields", fields).drop("_items")

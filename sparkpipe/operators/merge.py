@@ -193,9 +193,7 @@ def change_feed(
         .when(differs, F.array(image("_old", PREIMAGE), image("_new", POSTIMAGE)))
     )
     return (
-        sides.filter(single.isNull())
-        .select(F.explode(images).alias("image"))
-        .select("image.*")
+        sides.filter(single.isNull()).select(F.explode(images).alias("image")).select("image.*")
     )
 
 
@@ -216,6 +214,7 @@ def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataF
             ).alias("_last")
         )
     )
-    kept = keyed_join(before, last.select(*keys), keys, "left_anti")
+    small = fits_broadcast(feed.select(*keys))
+    kept = keyed_join(before, last.select(*keys), keys, "left_anti", small)
     live = last.filter(F.col("_last.kind") != DELETE).select("_last.row.*")
     return kept.unionByName(live)

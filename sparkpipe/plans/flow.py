@@ -13,7 +13,7 @@ from sparkpipe.operators.versions import publish
 
 def curated_records(messages: DataFrame, domain: str, value: str = "value") -> DataFrame:
     """Typed records of the messages that meet their contract."""
-    return typed_records(check(messages, domain, value).filter(F.col("route") == "curated"), domain)
+    return typed_records(check(messages, domain, value).filter(F.col("route") == "curated"))
 
 
 def messages_to_curated(messages: DataFrame, lookup: DataFrame | None) -> DataFrame:

@@ -101,7 +101,7 @@ def decode_payload(spark, sf):
 @query
 def typed_payload(spark, sf):
     checked = contracts.check(_payloads(spark, sf), "financial")
-    return contracts.typed_records(checked, "financial", keep=("event_id", "route"))
+    return contracts.typed_records(checked, keep=("event_id", "route"))
 
 
 def _verdict(checked: DataFrame, key: str) -> DataFrame:
@@ -305,8 +305,8 @@ def dq_rule_suite(spark, sf):
 @query
 def ingest_counters(spark, sf):
     checked = contracts.check(_payloads(spark, sf), "financial").select(
-        F.col("fields.transaction_type").alias("transaction_type"),
-        F.col("fields.currency").alias("currency"),
+        F.col("record.transaction_type").alias("transaction_type"),
+        F.col("record.currency").alias("currency"),
         metrics.ingest_status(F.col("route")).alias("status"),
     )
     return metrics.counters(checked, ["transaction_type", "currency", "status"])
@@ -316,8 +316,8 @@ def ingest_counters(spark, sf):
 def claim_counters(spark, sf):
     claims = inputs.claim_payloads(_orders(spark, sf))
     checked = contracts.check(claims, "insurance").select(
-        F.col("fields.claim_type").alias("claim_type"),
-        F.col("fields.claim_status").alias("claim_status"),
+        F.col("record.claim_type").alias("claim_type"),
+        F.col("record.claim_status").alias("claim_status"),
         metrics.ingest_status(F.col("route")).alias("status"),
     )
     return metrics.counters(checked, ["claim_type", "claim_status", "status"])
@@ -345,7 +345,7 @@ def stamp_json_status(spark, sf):
 @query
 def publish_json(spark, sf):
     checked = contracts.check(_payloads(spark, sf), "financial")
-    typed = contracts.typed_records(checked, "financial", keep=("event_id", "route"))
+    typed = contracts.typed_records(checked, keep=("event_id", "route"))
     columns = [c for c in typed.columns if c not in ("event_id", "route")]
     return records.to_messages(
         typed, "event_id", columns, records.topic_of(F.col("route"), "financial")

@@ -64,7 +64,7 @@ def ingest_routed(
     A single pass decodes, judges and writes all routes; readers of one route
     skip the files of the others.
     """
-    rows = check(stream, domain).drop("fields")
+    rows = check(stream, domain).drop("record")
     return append_stream(rows, path, checkpoint, interval, ["route"])
 
 

@@ -1,0 +1,91 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sparkpipe.operators import versions
+
+KEY = ["id"]
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+
+
+def content(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_create_merge_replace_compact(spark, folder, rows):
+    assert not versions.table_exists(spark, folder)
+    assert versions.create_if_absent(rows, folder)
+    assert not versions.create_if_absent(rows, folder)
+    more = spark.createDataFrame([(2, "B"), (4, "d")], "id int, v string")
+    assert versions.merge_into(more, folder, KEY) == 1
+    merged = [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert content(versions.read_version(spark, folder, KEY)) == merged
+    assert content(versions.read_version(spark, folder, KEY, 0)) == content(rows)
+    assert versions.compact(spark, folder, KEY) == 2
+    current = versions.read_version(spark, folder, KEY)
+    assert versions.publish(current.filter("id > 1"), folder) == 3
+    assert content(versions.read_version(spark, folder, KEY)) == merged[1:]
+    assert content(versions.read_version(spark, folder, KEY, 2)) == merged
+    assert versions.latest_version(spark, folder) == 3
+
+    log = {r.version: r for r in versions.history(spark, folder).collect()}
+    assert [log[v].operation for v in sorted(log)] == ["create", "merge", "compact", "overwrite"]
+    assert all(r.committed_at for r in log.values())
+
+    feed = versions.read_change_feed(spark, folder, KEY)
+    changes = sorted((r._commit_version, r._change_type, r.id, r.v) for r in feed.collect())
+    assert changes == [
+        (0, "insert", 1, "a"),
+        (0, "insert", 2, "b"),
+        (0, "insert", 3, "c"),
+        (1, "insert", 4, "d"),
+        (1, "update_postimage", 2, "B"),
+        (1, "update_preimage", 2, "b"),
+        (3, "delete", 1, "a"),
+    ]
+    later = versions.read_change_feed(spark, folder, KEY, start=2)
+    assert [r._change_type for r in later.collect()] == ["delete"]
+
+
+def test_a_replaced_schema(spark, folder, rows):
+    versions.publish(rows, folder)
+    versions.publish(rows.withColumn("extra", F.lit(1)), folder)
+    assert versions.read_version(spark, folder, KEY).columns == ["id", "v", "extra"]
+    assert versions.read_version(spark, folder, KEY, 0).columns == ["id", "v"]
+
+
+def test_what_was_not_committed_is_not_seen(spark, folder, rows):
+    versions.publish(rows, folder)
+    rows.withColumn("_change_type", F.lit("delete")).write.parquet(f"{folder}/changes/version=1")
+    assert content(versions.read_version(spark, folder, KEY)) == content(rows)
+    more = spark.createDataFrame([(1, "A")], "id int, v string")
+    assert versions.merge_into(more, folder, KEY) == 1
+    assert content(versions.read_version(spark, folder, KEY))[0] == (1, "A")
+    assert versions.read_version(spark, folder, KEY).count() == 3
+
+
+def test_unknown_versions(spark, folder, rows):
+    with pytest.raises(ValueError):
+        versions.read_version(spark, folder, KEY)
+    versions.publish(rows, folder)
+    with pytest.raises(ValueError):
+        versions.read_version(spark, folder, KEY, 5)
+    with pytest.raises(ValueError):
+        versions.read_change_feed(spark, folder, KEY, start=5)
+
+
+def test_repeated_batches_are_recognised(spark, folder, rows):
+    versions.publish(rows, folder, writer="s", batch=3)
+    assert versions.already_committed(spark, folder, "s", 3)
+    assert not versions.already_committed(spark, folder, "s", 4)
+    assert not versions.already_committed(spark, folder, "other", 3)
+
+
+def test_a_merge_writes_only_its_changes(spark, folder, rows):
+    versions.publish(rows, folder)
+    versions.merge_into(spark.createDataFrame([(9, "z")], "id int, v string"), folder, KEY)
+    assert spark.read.parquet(f"{folder}/changes/version=1").count() == 1
+    assert spark.read.parquet(f"{folder}/data").select("version").distinct().count() == 1
