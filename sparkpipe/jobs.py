@@ -40,12 +40,19 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.seconds:
         ingest.run_bounded(query, args.seconds)
     else:
-        ingest.run_forever(query)
+        ingest.run_forever(query, spark)
 
 
 def _lookup(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.lookup_url:
-        return jdbc.read_jdbc(spark, args.lookup_url, args.lookup_table, _pairs(args.option))
+        return jdbc.read_jdbc(
+            spark,
+            args.lookup_url,
+            args.lookup_table,
+            _pairs(args.option),
+            args.lookup_column,
+            *(args.lookup_range or (None, None, None)),
+        )
     return tables.read_table(spark, args.lookup) if args.lookup else None
 
 
@@ -143,6 +150,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--lookup")
     sub.add_argument("--lookup-url")
     sub.add_argument("--lookup-table", default="merchant_lookup")
+    sub.add_argument("--lookup-column", help="numeric column to split the read by")
+    sub.add_argument("--lookup-range", nargs=3, type=int, metavar=("LOWER", "UPPER", "PARTS"))
     sub.add_argument("--option", action="append", default=[])
     sub.add_argument("--preview", action="store_true")
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
@@ -27,14 +31,21 @@ def profile(
     def entry(i: int, field: T.StructField):
         none = F.lit(None)
         atomic = isinstance(field.dataType, T.AtomicType)
+
+        def bound(side: str):
+            value = F.col(f"{side}_{i}") if atomic else none
+            if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+                value = value + F.lit(0).cast(field.dataType)  # -0.0 reads as 0.0
+            return value.cast("string").alias(side)
+
         return F.struct(
             F.lit(i).alias("position"),
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("column_type"),
             F.col("total"),
             F.col(f"nulls_{i}").alias("nulls"),
-            (F.col(f"low_{i}") if atomic else none).cast("string").alias("low"),
-            (F.col(f"high_{i}") if atomic else none).cast("string").alias("high"),
+            bound("low"),
+            bound("high"),
             (F.col(f"distinct_{i}") if atomic and distinct else none)
             .cast("long")
             .alias("approx_distinct"),
@@ -43,3 +54,25 @@ def profile(
     entries = [entry(i, f) for i, f in enumerate(df.schema.fields)]
     out = measured.select(F.inline(F.array(*entries)))
     return out if distinct else out.drop("approx_distinct")
+
+
+def catalog(
+    tables: Mapping[str, DataFrame],
+    include: str = ".*",
+    exclude: str | None = None,
+    fraction: float | None = None,
+    distinct: bool = True,
+) -> DataFrame:
+    """Profiles of the tables whose name matches, as one table and one job."""
+    chosen = {
+        name: df
+        for name, df in tables.items()
+        if re.fullmatch(include, name) and not (exclude and re.fullmatch(exclude, name))
+    }
+    profiles = [
+        profile(df, fraction, distinct=distinct).select(F.lit(name).alias("table_name"), "*")
+        for name, df in chosen.items()
+    ]
+    if not profiles:
+        raise ValueError("no table name matches")
+    return reduce(DataFrame.unionByName, profiles)

@@ -38,23 +38,21 @@ def fit(
 ) -> PipelineModel | None:
     """Fit on n rows, or with ``n=None`` on all, as a distributed iterative job.
 
-    None when there is nothing to tell apart: no rows, or labels all alike.
+    None when there is nothing to tell apart: no rows, or labels all alike. The
+    n rows are kept in memory, as each look at them would scan the table again.
     """
     rows = featured.select("transaction_id", "amount", "feature_1", "label")
     if n is not None:
-        rows = training_subset(rows, "transaction_id", n)
-    rows = rows.filter(F.col("amount").isNotNull()).persist()
-    try:
-        low, high = rows.agg(F.min("label"), F.max("label")).first()
-        if low is None or low == high:
-            return None
-        assembler = VectorAssembler(inputCols=["amount", "feature_1"], outputCol="features")
-        model = LogisticRegression(
-            featuresCol="features", labelCol="label", **(SETTINGS if settings is None else settings)
-        )
-        return Pipeline(stages=[assembler, model]).fit(rows)
-    finally:
-        rows.unpersist()
+        rows = training_subset(rows, "transaction_id", n).persist()
+    rows = rows.filter(F.col("amount").isNotNull())
+    low, high = rows.agg(F.min("label"), F.max("label")).first()
+    if low is None or low == high:
+        return None
+    assembler = VectorAssembler(inputCols=["amount", "feature_1"], outputCol="features")
+    model = LogisticRegression(
+        featuresCol="features", labelCol="label", **(SETTINGS if settings is None else settings)
+    )
+    return Pipeline(stages=[assembler, model]).fit(rows)
 
 
 def score(featured: DataFrame, model: PipelineModel | None) -> DataFrame:

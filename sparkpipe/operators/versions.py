@@ -144,6 +144,13 @@ def _changes(spark: SparkSession, root: str, versions: Sequence[int]) -> DataFra
     )
 
 
+def merges_since_copy(spark: SparkSession, root: str) -> int:
+    """How many merges a reader of the latest version has to apply."""
+    commits = _commits(spark, root)
+    base = max(c.version for c in commits if c.has_data)
+    return sum(c.version > base for c in commits)
+
+
 def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
     """Publish the current state as a full copy, so later reads apply less."""
     return publish(read_version(spark, root, keys), root, "compact")

@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkpipe.functions.scalars import JSON_TIME
 from sparkpipe.sources.tables import instants, read_table
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet")

@@ -153,12 +153,44 @@ def _rule(name: str, condition: str) -> str:
     return f"SELECT '{name}' AS rule, {failed} AS failed, count(*) AS total, {failed} = 0 AS passed FROM curated"
 
 
-def _column(position: int, name: str, kind: str) -> str:
-    return f"""
-  SELECT {position} AS position, '{name}' AS column_name, '{kind}' AS column_type,
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def _profile(table: str, named: bool) -> str:
+    selects = []
+    for position, column in enumerate(_TABLES[table].split(", ")):
+        name, kind = column.split(" ")
+        zero = " + 0" if kind == "double" else ""
+        low, high = (
+            ("NULL", "NULL")
+            if kind.startswith("array")
+            else (f"min({name}){zero}", f"max({name}){zero}")
+        )
+        selects.append(f"""
+  SELECT {f"'{table}' AS table_name, " if named else ""}{position} AS position,
+    '{name}' AS column_name, '{kind}' AS column_type,
     count(*) AS total, count(*) - count({name}) AS nulls,
-    CAST(min({name}) AS VARCHAR) AS low, CAST(max({name}) AS VARCHAR) AS high
-  FROM orders"""
+    CAST({low} AS VARCHAR) AS low, CAST({high} AS VARCHAR) AS high
+  FROM {table}""")
+    return " UNION ALL ".join(selects)
 
 
 _VALUE = f"""CASE WHEN event_id % 50 = 0 THEN 'not json'
@@ -283,19 +315,8 @@ ORACLE: dict[str, str] = {
         CAST(sum(CAST(amount AS DECIMAL(28, 6))) AS DOUBLE) AS sum,
         min(amount) AS min, max(amount) AS max, CASE bucket {_UPPER} END AS upper_bound
       FROM measured GROUP BY transaction_type, currency, bucket""",
-    "profile_table": " UNION ALL ".join(
-        _column(i, n, k)
-        for i, (n, k) in enumerate(
-            [
-                ("o_orderkey", "bigint"),
-                ("o_custkey", "bigint"),
-                ("o_orderstatus", "string"),
-                ("o_totalprice", "double"),
-                ("o_orderdate", "timestamp"),
-                ("o_orderpriority", "string"),
-            ]
-        )
-    ),
+    "profile_table": _profile("orders", named=False),
+    "catalog_tables": " UNION ALL ".join(_profile(t, named=True) for t in _TABLES),
     "stamp_json_status": f"""
       WITH messages AS (SELECT event_id, {_VALUE} AS value FROM events)
       SELECT event_id,

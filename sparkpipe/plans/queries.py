@@ -249,8 +249,9 @@ def change_feed(spark, sf):
 
 @query
 def apply_feed(spark, sf):
-    orders, updates = _orders(spark, sf), _updates(spark, sf)
-    feed = merge.change_feed(orders, merge.upsert(orders, updates, KEYS), KEYS)
+    orders = _orders(spark, sf)
+    update, insert = merge.full_row(orders.columns, KEYS)
+    feed = merge.merge_feed(orders, _updates(spark, sf), KEYS, update, insert)
     return merge.apply_feed(orders, feed, KEYS)
 
 
@@ -333,6 +334,12 @@ def profile_table(spark, sf):
     return profile.profile(_orders(spark, sf), distinct=False)
 
 
+@query
+def catalog_tables(spark, sf):
+    named = {name: inputs.table(spark, sf, name) for name in inputs.TABLES}
+    return profile.catalog(named, distinct=False)
+
+
 # Records
 
 

@@ -46,7 +46,8 @@ def lookup_sql(
     """Rows of a path-addressed table with ``column = value``, through SQL text."""
     table = path.replace("`", "``")
     name = column.replace("`", "``")
-    return spark.sql(f"SELECT * FROM {fmt}.`{table}` WHERE `{name}` = :value", args={"value": value})
+    text = f"SELECT * FROM {fmt}.`{table}` WHERE `{name}` = :value"
+    return instants(spark.sql(text, args={"value": value}))
 
 
 def exists(df: DataFrame, condition) -> DataFrame:

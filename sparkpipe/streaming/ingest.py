@@ -10,7 +10,13 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
 from sparkpipe.operators.metrics import counters
-from sparkpipe.operators.versions import already_committed, merge_into, publish
+from sparkpipe.operators.versions import (
+    already_committed,
+    compact,
+    merge_into,
+    merges_since_copy,
+    publish,
+)
 
 # Fixed value: micro-batch interval of the ingest stream.
 INTERVAL = "10 seconds"
@@ -75,17 +81,22 @@ def upsert_stream(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     interval: str | None = INTERVAL,
+    compact_after: int | None = None,
 ) -> StreamingQuery:
     """Full-row upsert of every micro-batch into an existing versioned table.
 
     Each commit names its checkpoint and batch, so a batch that runs again
     after a failure is skipped once its version is there. The query must be the
-    table's only writer.
+    table's only writer. After ``compact_after`` merges in a row the table is
+    written out in full, which bounds what a reader has to apply.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        if not already_committed(batch.sparkSession, root, checkpoint, number):
+        spark = batch.sparkSession
+        if not already_committed(spark, root, checkpoint, number):
             merge_into(batch, root, keys, order_by=order_by, writer=checkpoint, batch=number)
+        if compact_after and merges_since_copy(spark, root) >= compact_after:
+            compact(spark, root, keys)
 
     return _each_batch(df, write, root, checkpoint, interval, "append")
 
@@ -128,10 +139,10 @@ def run_bounded(query: StreamingQuery, seconds: float) -> None:
         query.stop()
 
 
-def run_forever(query: StreamingQuery) -> None:
+def run_forever(query: StreamingQuery, spark: SparkSession) -> None:
     """Wait until interrupted, then stop the query and the session."""
     try:
         query.awaitTermination()
     except KeyboardInterrupt:
         query.stop()
-        SparkSession.getActiveSession().stop()
+        spark.stop()

@@ -152,3 +152,11 @@ def test_training_subset_is_replayable(amounts):
     first = score.training_subset(amounts, "transaction_id", 7).collect()
     again = score.training_subset(amounts.repartition(5), "transaction_id", 7).collect()
     assert first == again and len(first) == 7
+
+
+def test_catalog_by_name(spark):
+    tables = {"raw_a": spark.range(3), "raw_b": spark.range(4), "tmp": spark.range(1)}
+    rows = profile.catalog(tables, include="raw_.*", exclude=".*_b").collect()
+    assert [(r.table_name, r.column_name, r.total) for r in rows] == [("raw_a", "id", 3)]
+    with pytest.raises(ValueError):
+        profile.catalog(tables, include="none")

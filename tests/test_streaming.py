@@ -155,3 +155,33 @@ def test_topic_stream_asks_for_the_connector(spark):
     stream = streams.topic_stream(spark, "broker:9092", "raw_financial_events", fmt="rate")
     assert stream.isStreaming
     assert decode(stream.select(F.col("value").cast("string")), "financial").isStreaming
+
+
+def test_compaction_after_some_merges(spark, folder):
+    seed(spark, folder)
+    for i in (1, 2, 3):
+        arrive(spark, folder, record(i))
+    rows = decode(messages(spark, folder, 1), "financial").select("transaction_id", "amount")
+    ingest.run_available(
+        ingest.upsert_stream(
+            rows, f"{folder}/table", f"{folder}/check", ["transaction_id"], None, None, 2
+        )
+    )
+    log = versions.history(spark, f"{folder}/table").orderBy("version").collect()
+    assert [c.operation for c in log] == ["create", "merge", "merge", "compact", "merge"]
+    assert state(spark, folder) == {"T1": 11.0, "T2": 12.0, "T3": 13.0}
+
+
+def test_an_interrupt_stops_query_and_session():
+    class Query:
+        stopped = False
+
+        def awaitTermination(self):
+            raise KeyboardInterrupt
+
+        def stop(self):
+            self.stopped = True
+
+    query, session = Query(), Query()
+    ingest.run_forever(query, session)
+    assert query.stopped and session.stopped
