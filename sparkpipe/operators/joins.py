@@ -17,19 +17,14 @@ def fits_broadcast(
 ) -> bool:
     """Measure whether a side is small enough to broadcast.
 
-    Reads at most ``max_rows + 1`` rows of each partition, and ships only their
-    text lengths.
+    First asks for the row after ``max_rows``: Spark then reads partition by
+    partition and stops early, so a large side costs little. Only a side with
+    few rows is read in full, to add up their lengths as text.
     """
-    if max_rows <= 0:
+    if df.select(F.lit(1)).offset(max_rows).limit(1).collect():
         return False
     width = F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
-    rows, size = (
-        df.select(width.cast("long").alias("width"))
-        .limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    return (df.agg(F.sum(width.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
 def keyed_join(
@@ -62,10 +57,10 @@ def salted_join(
 ) -> DataFrame:
     """Shuffled join that spreads the rows of hot and NULL keys over all tasks.
 
-    One pass over the key columns finds every key holding more than
-    ``hot_share`` of the rows: never more than ``1 / hot_share`` of them, which
-    bounds what is broadcast here. Only their ``keyed`` rows are repeated, once
-    per salt. False positives of the search cost a few copies, nothing else.
+    One pass over the key columns counts the rows per key hash and keeps the
+    keys holding more than ``hot_share`` of all rows: fewer than
+    ``1 / hot_share``, which bounds what is broadcast here. Only their ``keyed``
+    rows are repeated, once per salt.
 
     The salt depends on row content and input partition alone, so a task that
     runs again after a lost executor sends each row to the same place.
@@ -76,12 +71,13 @@ def salted_join(
             raise ValueError(f"join column {name} has two types")
     salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64(*on).alias("_key")
+    total = facts.agg(F.count("*")).scalar()
     hot = (
         facts.select(key)
-        .freqItems(["_key"], hot_share)
-        .select(F.explode("_key_freqItems").alias("_key"))
-        .distinct()
-        .withColumn("_hot", F.lit(True))
+        .groupBy("_key")
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > total * hot_share)
+        .select("_key", F.lit(True).alias("_hot"))
     )
     hashable = [f.name for f in facts.schema.fields if not _has_map(f.dataType)]
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkpipe.functions.scalars import changed
 from sparkpipe.operators.joins import fits_broadcast, keyed_join
@@ -46,7 +46,10 @@ def unique_by_key(
     )
 
 
-def _sides(source, keys, order_by):
+def _sides(
+    source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None
+) -> tuple[DataFrame, DataFrame, bool]:
+    """The source by key, the same with its columns prefixed, and whether it is small."""
     src = unique_by_key(source, keys, order_by)
     renamed = src.select(
         *keys, *[F.col(c).alias(f"_s_{c}") for c in src.columns if c not in keys]
@@ -54,6 +57,20 @@ def _sides(source, keys, order_by):
     return src, renamed, fits_broadcast(source)
 
 
+def _reachable(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """The target rows a small source can match: those in the range of its keys.
+
+    The range reaches the scan as a filter, so that files and row groups beyond
+    it are skipped where the table lies in key order, as it does when keys grow
+    with time.
+    """
+    key = keys[0]
+    if not small or not isinstance(target.schema[key].dataType, (T.IntegralType, T.StringType)):
+        return target
+    low, high = source.agg(F.min(key), F.max(key)).first()
+    return target if low is None else target.filter(F.col(key).between(low, high))
+
+
 def _source_value(name: str, keys: Sequence[str]) -> Column:
     return F.col(name if name in keys else f"_s_{name}")
 
@@ -101,7 +118,8 @@ def merge(
             for c in target.columns
         ]
     )
-    return kept.unionByName(_inserted(_fresh(target, src, keys, small), target.columns, insert))
+    near = _reachable(target, source, keys, small)
+    return kept.unionByName(_inserted(_fresh(near, src, keys, small), target.columns, insert))
 
 
 def upsert(
@@ -135,6 +153,7 @@ def merge_feed(
     """
     columns = target.columns
     src, renamed, small = _sides(source, keys, order_by)
+    target = _reachable(target, source, keys, small)
     matched = keyed_join(target, renamed, keys, "inner", small)
     if compare is not None:
         matched = matched.filter(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkpipe.functions.scalars import JSON_TIME
+from sparkpipe.schemas import TOPIC_NOUNS
 
 # Layout of an object-store notification.
 OBJECT_EVENT = """
@@ -29,7 +30,7 @@ def stamp_json(df: DataFrame, value: str, as_of: Column) -> DataFrame:
     fields = F.when(items == 1, F.size(F.json_object_keys(text)))
     time = F.date_format(as_of, JSON_TIME)
     stamped = F.concat(
-        F.regexp_replace(text, r"\s*\}$", ""),
+        F.regexp_replace(text, r"\s*\}\s*$", ""),
         F.when(fields > 0, F.lit(", ")).otherwise(F.lit("")),
         F.lit('"processed_timestamp": "'),
         time,
@@ -54,9 +55,8 @@ def to_messages(
 
 
 def topic_of(route: Column, domain: str) -> Column:
-    # Topic name endings per domain.
-    noun = {"financial": "events", "insurance": "claims", "sports": "events"}[domain]
-    return F.concat(route, F.lit(f"_{domain}_{noun}"))
+    """The topic of a route, by the naming all domains share."""
+    return F.concat(route, F.lit(f"_{domain}_{TOPIC_NOUNS[domain]}"))
 
 
 def publish_messages(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:

@@ -1,7 +1,7 @@
 """Versioned tables as plain parquet folders.
 
 ``data/version=N`` holds a full copy of the table, ``changes/version=N`` the
-change rows of a merge, and ``commits/version=N`` one small record, written
+change rows of a merge, and ``commits`` one small record per version, written
 last, that makes the version visible. A merge writes only its change rows; a
 version is read as the nearest full copy with the later changes applied.
 Whatever a failed writer leaves behind has no commit record and is overwritten
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from sparkpipe.operators.merge import INSERT, apply_feed, change_feed, full_row, merge_feed
 
 COMMIT = """
-    operation string, has_data boolean, committed_at timestamp,
-    writer string, batch bigint, version bigint
+    version bigint, operation string, has_data boolean, committed_at timestamp,
+    writer string, batch bigint
 """
 
 
@@ -59,6 +59,7 @@ def _publish(
     (
         spark.range(1)
         .select(
+            F.lit(version).cast("bigint").alias("version"),
             F.lit(operation).alias("operation"),
             F.lit(folder == "data").alias("has_data"),
             F.current_timestamp().alias("committed_at"),
@@ -66,8 +67,8 @@ def _publish(
             F.lit(batch).cast("bigint").alias("batch"),
         )
         .coalesce(1)
-        .write.mode("overwrite")
-        .json(f"{root}/commits/version={version}")
+        .write.mode("append")
+        .json(f"{root}/commits")
     )
     return version
 

@@ -52,8 +52,14 @@ DOMAINS: dict[str, tuple[Field, ...]] = {
     ),
 }
 
-# Route families of every domain.
+# A domain's four topics are named route_domain_noun.
 ROUTES = ("raw", "malformed", "curated", "dlq")
+TOPIC_NOUNS = {"financial": "events", "insurance": "claims", "sports": "events"}
+
+
+def topics_of(domain: str) -> list[str]:
+    fields_of(domain)
+    return [f"{route}_{domain}_{TOPIC_NOUNS[domain]}" for route in ROUTES]
 
 
 def fields_of(domain: str) -> tuple[Field, ...]:

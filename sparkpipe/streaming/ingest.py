@@ -74,6 +74,23 @@ def ingest_routed(
     return append_stream(rows, path, checkpoint, interval, ["route"])
 
 
+def publish_stream(
+    messages: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    interval: str | None = INTERVAL,
+    **options: str,
+) -> StreamingQuery:
+    """Messages to a topic, or with a ``topic`` column each to its own."""
+    writer = (
+        messages.writeStream.format(fmt)
+        .outputMode("append")
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, interval).start()
+
+
 def upsert_stream(
     df: DataFrame,
     root: str,

@@ -62,6 +62,13 @@ def test_size_is_measured(spark):
     assert not fits_broadcast(spark.range(11), max_rows=10)
     assert not fits_broadcast(spark.range(10), max_rows=10, max_bytes=50)
     assert fits_broadcast(spark.range(0))
+    assert not fits_broadcast(spark.range(1), max_rows=0)
+
+
+def test_measuring_a_large_side_stops_early(spark):
+    probe = spark.range(10_000_000).select(F.lit(1)).offset(10).limit(1)
+    plan = probe._jdf.queryExecution().executedPlan().toString()
+    assert plan.startswith("CollectLimit 11, 10") and "Exchange" not in plan
 
 
 def test_a_large_side_is_not_broadcast(facts, lookup):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -177,3 +179,46 @@ def test_a_small_source_leaves_the_target_unshuffled(spark, folder, source):
     merged = merge.merge(spark.read.parquet(f"{folder}/big"), source, KEY, UPDATE, INSERT)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_the_range_of_the_source_reaches_the_scan(spark, folder, source):
+    target = spark.range(100).select(F.col("id"), F.lit(0).alias("v"))
+    target.write.parquet(f"{folder}/t")
+    scanned = spark.read.parquet(f"{folder}/t")
+    changes = spark.createDataFrame([(98, 1), (99, 1), (200, 1)], "id long, v int")
+    feed = merge.merge_feed(scanned, changes, ["id"], {"v": "v"}, {"id": "id", "v": "v"})
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,98), LessThanOrEqual(id,200)" in plan
+    assert feed.count() == 5
+    assert merge.merge(scanned, changes, ["id"], {"v": "v"}, {"id": "id", "v": "v"}).count() == 101
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_tables_against_a_plain_model(spark, path, seed):
+    pick = random.Random(seed)
+
+    def table(n):
+        return {k: (k, pick.choice([None, "a", "b"]), pick.randint(0, 3)) for k in pick.sample(range(40), n)}
+
+    schema = "k int, s string, v int"
+    old, new = table(25), table(20)
+    target = spark.createDataFrame(list(old.values()), schema)
+    source = spark.createDataFrame(list(new.values()), schema)
+    model = sorted(({**old, **new}).values(), key=str)
+    upserted = merge.upsert(target, source, ["k"])
+    assert sorted(map(tuple, upserted.collect()), key=str) == model
+    feed = merge.change_feed(target, upserted, ["k"])
+    assert sorted(map(tuple, merge.apply_feed(target, feed, ["k"]).collect()), key=str) == model
+    back = merge.change_feed(upserted, target, ["k"])
+    assert sorted(map(tuple, merge.apply_feed(upserted, back, ["k"]).collect()), key=str) == sorted(
+        old.values(), key=str
+    )
+    kinds = {kind: 0 for kind in ("insert", "update_postimage", "update_preimage")}
+    for row in feed.collect():
+        kinds[row._change_type] += 1
+    differing = sum(k in old and old[k] != v for k, v in new.items())
+    assert kinds == {
+        "insert": len(set(new) - set(old)),
+        "update_postimage": differing,
+        "update_preimage": differing,
+    }

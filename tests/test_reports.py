@@ -61,6 +61,7 @@ def test_profile(spark):
             {"processed_timestamp": "2024-06-01T00:00:00.000000Z"},
         ),
         ('{"a": {"b": "}"} }', 200, {"a": {"b": "}"}, "processed_timestamp": "2024-06-01T00:00:00.000000Z"}),
+        ('{"a": 1}\t\n', 200, {"a": 1, "processed_timestamp": "2024-06-01T00:00:00.000000Z"}),
         ("not json", 400, None),
         ("[1]", 400, None),
         ('"text"', 400, None),

@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sparkpipe.operators import versions
+from sparkpipe.operators import records, versions
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
+from sparkpipe.schemas import topics_of
 from sparkpipe.sources import streams
 from sparkpipe.streaming import ingest
 
@@ -185,3 +186,16 @@ def test_an_interrupt_stops_query_and_session():
     query, session = Query(), Query()
     ingest.run_forever(query, session)
     assert query.stopped and session.stopped
+
+
+def test_every_message_is_published_to_its_topic(spark, folder):
+    arrive(spark, folder, record(1), record(2, amount=-1), "not json")
+    checked = check(messages(spark, folder), "financial")
+    topic = records.topic_of(F.col("route"), "financial")
+    out = checked.select(F.lit("k").alias("key"), "value", topic.alias("topic"))
+    options = {"path": f"{folder}/topics"}
+    ingest.run_available(
+        ingest.publish_stream(out, f"{folder}/check", "json", interval=None, **options)
+    )
+    topics = {r.topic for r in spark.read.json(f"{folder}/topics").collect()}
+    assert topics == set(topics_of("financial")) - {"raw_financial_events"}
