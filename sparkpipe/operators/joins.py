@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -15,16 +15,37 @@ HOT_SHARE = 0.001
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure whether a side is small enough to broadcast.
+    """Measure whether a side is small enough to broadcast."""
+    return measured_small(df, [], max_rows, max_bytes) is not None
+
+
+def measured_small(
+    df: DataFrame,
+    also: Sequence[Column],
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> Row | None:
+    """The values of the aggregates ``also`` over a small side, None for a large one.
 
     First asks for the row after ``max_rows``: Spark then reads partition by
     partition and stops early, so a large side costs little. Only a side with
-    few rows is read in full, to add up their lengths as text.
+    few rows is read in full, to add up their widths.
     """
     if df.select(F.lit(1)).offset(max_rows).limit(1).collect():
-        return False
-    width = F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
-    return (df.agg(F.sum(width.cast("bigint"))).first()[0] or 0) <= max_bytes
+        return None
+    widths = [_width(f) for f in df.schema.fields]
+    total = F.sum(reduce(lambda a, b: a + b, widths)).alias("_bytes")
+    found = df.agg(total, *also).first()
+    return found if (found["_bytes"] or 0) <= max_bytes else None
+
+
+def _width(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        column = F.to_json(F.struct(column))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16).cast("bigint")
+    return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 16
 
 
 def keyed_join(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkpipe.functions.scalars import changed
-from sparkpipe.operators.joins import fits_broadcast, keyed_join
+from sparkpipe.operators.joins import fits_broadcast, keyed_join, measured_small
 
 INSERT, PREIMAGE, POSTIMAGE, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
@@ -29,53 +30,50 @@ def unique_by_key(
         F.count("*").alias("_copies"), F.max(F.struct(rank, row)).alias("_best")
     )
     name = F.to_json(F.struct(*keys))
-    good = F.lit(True)
-    for key in keys:
-        good = good & F.col(key).isNotNull()
-    checked = grouped.filter(
-        F.assert_true(good, F.concat(F.lit("NULL in merge key "), name)).isNull()
-    )
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # Tied to the count, or the optimizer would carry the check over to the target's keys.
+    fault = F.when(missing & (F.col("_copies") > 0), F.concat(F.lit("NULL in merge key "), name))
     if not order_by:
-        checked = checked.filter(
-            F.assert_true(
-                F.col("_copies") == 1, F.concat(F.lit("more than one row for merge key "), name)
-            ).isNull()
+        fault = fault.when(
+            F.col("_copies") > 1, F.concat(F.lit("more than one row for merge key "), name)
         )
+    checked = grouped.filter(F.assert_true(fault.isNull(), fault).isNull())
     return checked.select(*keys, *[F.col(f"_best.row.{c}").alias(c) for c in rest]).select(
         *source.columns
     )
 
 
 def _sides(
-    source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None
-) -> tuple[DataFrame, DataFrame, bool]:
-    """The source by key, the same with its columns prefixed, and whether it is small."""
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None
+) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """The source by key, the same with its columns prefixed, the target rows it
+    can match, and whether it is small.
+
+    For a small source those are the target rows in the range of its keys. The
+    range reaches the scan as a filter, so that files and row groups beyond it
+    are skipped where the table lies in key order, as it does when keys grow
+    with time.
+    """
+    key = keys[0]
     src = unique_by_key(source, keys, order_by)
     renamed = src.select(
         *keys, *[F.col(c).alias(f"_s_{c}") for c in src.columns if c not in keys]
     )
-    return src, renamed, fits_broadcast(source)
-
-
-def _reachable(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """The target rows a small source can match: those in the range of its keys.
-
-    The range reaches the scan as a filter, so that files and row groups beyond
-    it are skipped where the table lies in key order, as it does when keys grow
-    with time.
-    """
-    key = keys[0]
-    if not small or not isinstance(target.schema[key].dataType, (T.IntegralType, T.StringType)):
-        return target
-    low, high = source.agg(F.min(key), F.max(key)).first()
-    return target if low is None else target.filter(F.col(key).between(low, high))
+    found = measured_small(source, [F.min(key).alias("low"), F.max(key).alias("high")])
+    near = target
+    if found is not None and found.low is not None:
+        if isinstance(target.schema[key].dataType, (T.IntegralType, T.StringType)):
+            near = target.filter(F.col(key).between(found.low, found.high))
+    return src, renamed, near, found is not None
 
 
 def _source_value(name: str, keys: Sequence[str]) -> Column:
     return F.col(name if name in keys else f"_s_{name}")
 
 
-def _fresh(target: DataFrame, src: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+def _fresh(
+    target: DataFrame, source: DataFrame, src: DataFrame, keys: Sequence[str], small: bool
+) -> DataFrame:
     """Source rows whose key the target lacks.
 
     A small source first picks its own keys out of the target, so the target's
@@ -83,7 +81,7 @@ def _fresh(target: DataFrame, src: DataFrame, keys: Sequence[str], small: bool)
     """
     keys = list(keys)
     if small:
-        found = target.select(*keys).join(F.broadcast(src.select(*keys)), keys, "left_semi")
+        found = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
         return src.join(F.broadcast(found.distinct()), keys, "left_anti")
     return src.join(target.select(*keys).distinct(), keys, "left_anti")
 
@@ -108,7 +106,7 @@ def merge(
     row takes the ``update`` columns and keeps the others; an unmatched source
     row is inserted. The target is not shuffled when the source is small.
     """
-    src, renamed, small = _sides(source, keys, order_by)
+    src, renamed, near, small = _sides(target, source, keys, order_by)
     matched = keyed_join(target, renamed.withColumn("_hit", F.lit(True)), keys, "left", small)
     kept = matched.select(
         *[
@@ -118,8 +116,8 @@ def merge(
             for c in target.columns
         ]
     )
-    near = _reachable(target, source, keys, small)
-    return kept.unionByName(_inserted(_fresh(near, src, keys, small), target.columns, insert))
+    fresh = _fresh(near, source, src, keys, small)
+    return kept.unionByName(_inserted(fresh, target.columns, insert))
 
 
 def upsert(
@@ -152,9 +150,8 @@ def merge_feed(
     row counts as an update only if one of those target columns changes.
     """
     columns = target.columns
-    src, renamed, small = _sides(source, keys, order_by)
-    target = _reachable(target, source, keys, small)
-    matched = keyed_join(target, renamed, keys, "inner", small)
+    src, renamed, near, small = _sides(target, source, keys, order_by)
+    matched = keyed_join(near, renamed, keys, "inner", small)
     if compare is not None:
         matched = matched.filter(
             changed([(F.col(c), _source_value(update[c], keys)) for c in compare if c in update])
@@ -168,7 +165,7 @@ def merge_feed(
         F.lit(POSTIMAGE).alias("_change_type"),
     )
     images = matched.select(F.explode(F.array(before, after)).alias("image")).select("image.*")
-    fresh = _inserted(_fresh(target, src, keys, small), columns, insert)
+    fresh = _inserted(_fresh(near, source, src, keys, small), columns, insert)
     return images.unionByName(fresh.withColumn("_change_type", F.lit(INSERT)))
 
 

@@ -79,11 +79,16 @@ def publish(
     operation: str = "overwrite",
     writer: str | None = None,
     batch: int | None = None,
+    cluster_by: Sequence[str] | None = None,
 ) -> int:
     """Publish a full copy as the next version; schema and rows are replaced.
 
     The earlier versions stay as they are, so the frame may read from them.
+    With ``cluster_by`` the rows are laid out in that order, which lets a merge
+    skip the files its source cannot touch.
     """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     return _publish(df, root, "data", operation, writer, batch)
 
 
@@ -114,7 +119,9 @@ def merge_into(
     if update is None or insert is None:
         update, insert = full_row(target.columns, keys)
     feed = merge_feed(target, source, keys, update, insert, order_by, compare)
-    return _publish(feed, root, "changes", "merge", writer, batch)
+    # The changes come out of every task that read the table, a few rows each:
+    # gathered first, they make a few files instead of as many as there were tasks.
+    return _publish(feed.hint("rebalance"), root, "changes", "merge", writer, batch)
 
 
 def already_committed(spark: SparkSession, root: str, writer: str, batch: int) -> bool:
@@ -153,8 +160,8 @@ def merges_since_copy(spark: SparkSession, root: str) -> int:
 
 
 def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
-    """Publish the current state as a full copy, so later reads apply less."""
-    return publish(read_version(spark, root, keys), root, "compact")
+    """Publish the current state as a full copy in key order, so later reads apply less."""
+    return publish(read_version(spark, root, keys), root, "compact", cluster_by=keys)
 
 
 def read_change_feed(

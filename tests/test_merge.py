@@ -47,6 +47,7 @@ def source(spark):
 def path(request, monkeypatch):
     if request.param == "salted":
         monkeypatch.setattr(merge, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(merge, "measured_small", lambda df, also: None)
         monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     return request.param
 
@@ -222,3 +223,10 @@ def test_random_tables_against_a_plain_model(spark, path, seed):
         "update_postimage": differing,
         "update_preimage": differing,
     }
+
+
+def test_a_target_row_without_key_is_kept(target, source, path):
+    blank = target.limit(1).withColumn("transaction_id", F.lit(None).cast("string"))
+    wider = target.unionByName(blank)
+    assert merge.merge(wider, source, KEY, UPDATE, INSERT).count() == 6
+    assert merge.merge_feed(wider, source, KEY, UPDATE, INSERT).count() == 4

@@ -89,3 +89,21 @@ def test_a_merge_writes_only_its_changes(spark, folder, rows):
     versions.merge_into(spark.createDataFrame([(9, "z")], "id int, v string"), folder, KEY)
     assert spark.read.parquet(f"{folder}/changes/version=1").count() == 1
     assert spark.read.parquet(f"{folder}/data").select("version").distinct().count() == 1
+
+
+def test_a_compacted_table_lies_in_key_order(spark, folder):
+    table = spark.range(10_000).select(F.col("id"), F.lit("x").alias("v")).repartition(4)
+    versions.publish(table, folder)
+    versions.compact(spark, folder, KEY)
+    copy = spark.read.parquet(f"{folder}/data/version=1")
+    spans = copy.groupBy(F.input_file_name()).agg(F.min("id"), F.max("id")).collect()
+    spans = sorted((low, high) for _, low, high in spans)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_changes_are_gathered_into_few_files(spark, folder):
+    table = spark.range(1000).select(F.col("id"), F.lit("x").alias("v")).repartition(20)
+    versions.publish(table, folder)
+    more = spark.range(0, 1000, 50).select(F.col("id"), F.lit("y").alias("v"))
+    versions.merge_into(more, folder, KEY)
+    assert len(spark.read.parquet(f"{folder}/changes/version=1").inputFiles()) <= 2
