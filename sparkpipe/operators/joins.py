@@ -81,7 +81,8 @@ def salted_join(
     One pass over the key columns counts the rows per key hash and keeps the
     keys holding more than ``hot_share`` of all rows: fewer than
     ``1 / hot_share``, which bounds what is broadcast here. Only their ``keyed``
-    rows are repeated, once per salt.
+    rows are repeated, once per salt. Several salts per task even out how they
+    happen to fall on the tasks.
 
     The salt depends on row content and input partition alone, so a task that
     runs again after a lost executor sends each row to the same place.
@@ -90,7 +91,7 @@ def salted_join(
     for name in on:
         if facts.schema[name].dataType != keyed.schema[name].dataType:
             raise ValueError(f"join column {name} has two types")
-    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or 4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64(*on).alias("_key")
     total = facts.agg(F.count("*")).scalar()
     hot = (

@@ -19,6 +19,16 @@ OBJECT_EVENT = """
 """
 
 
+def request_body(df: DataFrame, value: str) -> DataFrame:
+    """Replace a request envelope by its ``body`` where that is text.
+
+    Any other record, also one whose ``body`` is an object, stays as it is.
+    """
+    body = F.from_json(F.col(value), "body variant")["body"]
+    inner = F.when(F.schema_of_variant(body) == "STRING", F.variant_get(body, "$", "string"))
+    return df.withColumn(value, F.coalesce(inner, F.col(value)))
+
+
 def stamp_json(df: DataFrame, value: str, as_of: Column) -> DataFrame:
     """Add ``stamped`` and ``status_code`` to JSON text records.
 

@@ -113,7 +113,8 @@ def merge_into(
 ) -> int:
     """Merge into a table, writing only the changes.
 
-    Without mappings every column is taken over.
+    Without mappings every column is taken over. The source is read several
+    times: to measure it, to update by it and to insert from it.
     """
     target = read_version(source.sparkSession, root, keys)
     if update is None or insert is None:

@@ -86,6 +86,11 @@ def payloads(events: DataFrame) -> DataFrame:
     )
 
 
+def requests(events: DataFrame) -> DataFrame:
+    """The events' JSON properties as text bodies of request envelopes."""
+    return events.select("event_id", F.to_json(F.struct(F.col("props").alias("body"))).alias("value"))
+
+
 def claim_payloads(orders: DataFrame) -> DataFrame:
     time = F.date_format(F.col("o_orderdate").cast("timestamp"), JSON_TIME)
     record = F.struct(

@@ -324,6 +324,10 @@ ORACLE: dict[str, str] = {
           || ', "processed_timestamp": "2024-06-01T00:00:00.000000Z"}}' END AS stamped,
         CASE WHEN event_id % 50 = 0 THEN 400 ELSE 200 END AS status_code
       FROM messages""",
+    "stamp_request_bodies": """
+      SELECT event_id, props AS value, left(props, length(props) - 1)
+        || ', "processed_timestamp": "2024-06-01T00:00:00.000000Z"}' AS stamped, 200 AS status_code
+      FROM events""",
     "publish_json": f"WITH typed AS (SELECT event_id, {_decoded(_COERCED)} FROM events) {_MESSAGE}",
     "object_events": _OBJECTS,
     "new_parquet_objects": f"SELECT * FROM ({_OBJECTS}) WHERE object_key LIKE '%.parquet'",

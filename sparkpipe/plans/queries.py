@@ -349,6 +349,13 @@ def stamp_json_status(spark, sf):
     return records.stamp_json(_payloads(spark, sf), "value", as_of).drop("value")
 
 
+@query
+def stamp_request_bodies(spark, sf):
+    requests = inputs.requests(inputs.table(spark, sf, "events"))
+    as_of = F.lit(AS_OF).cast("timestamp")
+    return records.stamp_json(records.request_body(requests, "value"), "value", as_of)
+
+
 @query
 def publish_json(spark, sf):
     checked = contracts.check(_payloads(spark, sf), "financial")

@@ -111,7 +111,9 @@ def upsert_stream(
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if not already_committed(spark, root, checkpoint, number):
+            batch.persist()  # a merge looks at its source several times
             merge_into(batch, root, keys, order_by=order_by, writer=checkpoint, batch=number)
+            batch.unpersist()
         if compact_after and merges_since_copy(spark, root) >= compact_after:
             compact(spark, root, keys)
 

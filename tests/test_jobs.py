@@ -91,3 +91,9 @@ def test_work_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first.startswith(f"{base}/sparkpipe/x-") and first != second
+
+
+def test_session_settings(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.sparkContext.appName == "tests"

@@ -161,3 +161,20 @@ def test_catalog_by_name(spark):
     assert [(r.table_name, r.column_name, r.total) for r in rows] == [("raw_a", "id", 3)]
     with pytest.raises(ValueError):
         profile.catalog(tables, include="none")
+
+
+@pytest.mark.parametrize(
+    "text, result",
+    [
+        ('{"body": "{\\"a\\": 1}"}', '{"a": 1}'),
+        ('{"body": "text", "x": 1}', "text"),
+        ('{"body": {"a": 1}}', '{"body": {"a": 1}}'),
+        ('{"body": null}', '{"body": null}'),
+        ('{"a": 1}', '{"a": 1}'),
+        ("not json", "not json"),
+        (None, None),
+    ],
+)
+def test_request_envelopes_are_opened(spark, text, result):
+    df = spark.createDataFrame([(text,)], "value string")
+    assert records.request_body(df, "value").first().value == result
