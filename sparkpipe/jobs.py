@@ -128,7 +128,11 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def parser() -> argparse.ArgumentParser:
-    root = argparse.ArgumentParser(prog="sparkpipe", description=__doc__)
+    root = argparse.ArgumentParser(
+        prog="sparkpipe",
+        description=__doc__,
+        formatter_class=argparse.RawDescriptionHelpFormatter,
+    )
     steps = root.add_subparsers(dest="step", required=True)
 
     def step(name: str, run, *positional: str) -> argparse.ArgumentParser:

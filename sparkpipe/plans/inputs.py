@@ -221,8 +221,8 @@ def notifications(pages: DataFrame) -> DataFrame:
     copied = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".parquet"))
     event = F.struct(
         F.array(
-            entry("s3:ObjectCreated:Put", "raw-data-bucket", F.col("url")),
-            entry("s3:ObjectCreated:Copy", "curated-data-bucket", copied),
+            entry("s3:ObjectCreated:Put", "raw-zone", F.col("url")),
+            entry("s3:ObjectCreated:Copy", "curated-zone", copied),
         ).alias("Records")
     )
     return pages.select(F.to_json(event).alias("value"))

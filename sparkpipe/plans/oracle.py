@@ -215,10 +215,10 @@ _MESSAGE = f"""
   FROM typed"""
 
 _OBJECTS = """
-  SELECT 's3:ObjectCreated:Put' AS event_name, 'raw-data-bucket' AS bucket, url AS object_key,
+  SELECT 's3:ObjectCreated:Put' AS event_name, 'raw-zone' AS bucket, url AS object_key,
     md5(html) AS etag, CAST(length(html) AS BIGINT) AS size FROM pages
   UNION ALL
-  SELECT 's3:ObjectCreated:Copy', 'curated-data-bucket', 'pages/' || CAST(page_id AS VARCHAR) || '.parquet',
+  SELECT 's3:ObjectCreated:Copy', 'curated-zone', 'pages/' || CAST(page_id AS VARCHAR) || '.parquet',
     md5(html), CAST(length(html) AS BIGINT) FROM pages"""
 
 _VERDICT = f"SELECT event_id, {_ROUTE} AS route, {_REASONS} AS reasons FROM events"
