@@ -40,16 +40,19 @@ _ENRICHED = f"""
   SELECT t.*, coalesce(l.category, t.category) AS enriched_category
   FROM txn t LEFT JOIN lookup l ON t.merchant_id = l.merchant_id"""
 
-_ROUTE = "CASE WHEN event_id % 50 IN (0, 3) THEN 'malformed' WHEN event_id % 50 IN (1, 2, 4, 5) THEN 'dlq' ELSE 'curated' END"
+# The contract asks for an amount above zero, which a few event values are not.
+_ROUTE = """CASE WHEN event_id % 50 IN (0, 3) THEN 'malformed'
+  WHEN event_id % 50 IN (1, 2, 4, 5) OR value <= 0 THEN 'dlq' ELSE 'curated' END"""
 
-_REASONS = """CASE event_id % 50
-  WHEN 0 THEN 'transaction_id:required,timestamp:required,account_id:required,amount:required,currency:required,transaction_type:required'
-  WHEN 1 THEN 'amount:type'
-  WHEN 2 THEN 'transaction_id:required'
-  WHEN 3 THEN 'transaction_id:required,account_id:required,amount:required,currency:required,transaction_type:required'
-  WHEN 4 THEN 'amount:gt'
-  WHEN 5 THEN 'currency:max_length'
-  ELSE '' END"""
+_REASONS = """concat_ws(',',
+  CASE WHEN event_id % 50 IN (0, 2, 3) THEN 'transaction_id:required' END,
+  CASE WHEN event_id % 50 = 0 THEN 'timestamp:required' END,
+  CASE WHEN event_id % 50 IN (0, 3) THEN 'account_id:required' END,
+  CASE WHEN event_id % 50 IN (0, 3) THEN 'amount:required' WHEN event_id % 50 = 1 THEN 'amount:type'
+    WHEN event_id % 50 = 4 OR value <= 0 THEN 'amount:gt' END,
+  CASE WHEN event_id % 50 IN (0, 3) THEN 'currency:required'
+    WHEN event_id % 50 = 5 THEN 'currency:max_length' END,
+  CASE WHEN event_id % 50 IN (0, 3) THEN 'transaction_type:required' END)"""
 
 
 def _decoded(amount: str) -> str:
@@ -211,7 +214,7 @@ _MESSAGE = f"""
       '"currency":"' || currency || '"',
       '"transaction_type":"' || transaction_type || '"',
       '"merchant_id":"' || merchant_id || '"') || '}}' AS value,
-    {_ROUTE} || '_financial_events' AS topic
+    route || '_financial_events' AS topic
   FROM typed"""
 
 _OBJECTS = """
@@ -328,7 +331,7 @@ ORACLE: dict[str, str] = {
       SELECT event_id, props AS value, left(props, length(props) - 1)
         || ', "processed_timestamp": "2024-06-01T00:00:00.000000Z"}' AS stamped, 200 AS status_code
       FROM events""",
-    "publish_json": f"WITH typed AS (SELECT event_id, {_decoded(_COERCED)} FROM events) {_MESSAGE}",
+    "publish_json": f"WITH typed AS (SELECT event_id, {_ROUTE} AS route, {_decoded(_COERCED)} FROM events) {_MESSAGE}",
     "object_events": _OBJECTS,
     "new_parquet_objects": f"SELECT * FROM ({_OBJECTS}) WHERE object_key LIKE '%.parquet'",
     "label_rule": f"""
