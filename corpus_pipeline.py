@@ -1,14 +1,39 @@
-"""The training-data pipeline: stages that take and return documents."""
+"""The training-data pipeline: stages that take documents and return documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkpipe.llm import mixing, queries, records
+from sparkpipe.llm import chains, decontaminate, jaccard, mixing, queries, records
 from sparkpipe.llm.frames import written
 from sparkpipe.plans.inputs import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents the classifier chain finds toxic; all others stay.
+
+    The chain is trained on the labelled documents among ``docs``. Rows with a null id
+    are scored like any other; a null text is scored as an empty one.
+    """
+    chain = queries.toxicity_chain(docs, table(spark, sf_dir, "labels"))
+    return chains.keep_below(docs, chain, "toxic", 0.5)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of each group of near duplicates the document with the lowest id.
+
+    Of several rows with that id the first text in order stays. Documents without
+    words, or without an id, are near duplicates of nothing and all stay.
+    """
+    return jaccard.one_per_component(docs, jaccard.jaccard_join(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that overlap with a benchmark item; all others stay."""
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean_documents(docs, found)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or thin out documents until sources meet their weights."""
     return mixing.mixed_documents(mixing.mix(docs))
@@ -19,9 +44,15 @@ def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return records.records_digest(records.round_trip(docs, queries.TOKENIZER, queries.END_ID))
 
 
-STAGES = [("mix_sources", mix_sources), ("token_records", token_records)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_records", token_records),
+]
 
-#: The first stage trains a model, which SQL cannot express.
+#: SQL cannot express the first stage, which trains a model.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sparkpipe.llm import chat, inputs, mixing, records, url_lists
+from sparkpipe.llm import (
+    chains, chat, decontaminate, inputs, jaccard, mixing, records, risk, secrets, url_lists,
+)
 from sparkpipe.plans.inputs import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +30,48 @@ def op1_token_records(spark, sf):
     return records.records_digest(records.round_trip(_documents(spark, sf), TOKENIZER, END_ID))
 
 
+@query
+def op2_risk_rules(spark, sf):
+    return risk.quality_digest(risk.judge(_documents(spark, sf), table(spark, sf, "labels")))
+
+
+@query
+def op3_spaced_seeds(spark, sf):
+    return decontaminate.find_overlaps(_documents(spark, sf), table(spark, sf, "benchmark"))
+
+
+CATEGORIES = ("junk", "abusive_prose", "toxic")
+
+
+def toxicity_chain(docs, labels):
+    """Junk first, then abuse in otherwise good text, then toxicity as such."""
+    marks = labels.select(
+        "doc_id",
+        (F.col("quality") == 0).cast("int").alias("junk"),
+        ((F.col("toxic") == 1) & (F.col("quality") == 1)).cast("int").alias("abusive_prose"),
+        F.col("toxic").cast("int").alias("toxic"),
+    )
+    return chains.fit_chain(docs, marks, CATEGORIES)
+
+
+@query
+def op4_toxicity_chain(spark, sf):
+    docs = _documents(spark, sf)
+    scored = chains.predict(docs, toxicity_chain(docs, table(spark, sf, "labels")), "doc_id")
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+@query
+def op5_secret_scan(spark, sf):
+    return secrets.secrets_digest(secrets.find_secrets(_documents(spark, sf)))
+
+
+@query
+def op6_jaccard_join(spark, sf):
+    joined = jaccard.jaccard_join(_documents(spark, sf))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op7_mix_sources(spark, sf):
     return mixing.mixed_digest(mixing.mix(_documents(spark, sf)))
