@@ -24,14 +24,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkpipe.llm import sieve
 from sparkpipe.llm.components import components
-from sparkpipe.llm.frames import id_and_text, mixed, tasks, window_hashes, word_hashes, written
+from sparkpipe.llm.frames import id_and_text, mixed, window_hashes, word_hashes, written
 
 BAND = 8  # ratio of the sizes at which bands begin
 COUNT_BITS = 18  # cells of the element counts
 COUNT_PARTS = 16
-FILTER_BITS = 28  # of all shared signatures
-FILTER_KEYS = 4
 BITMAP = 8  # longs of a set's parity bitmap
 FREQUENT_COST = 1000.0
 EMPTY = 255
@@ -207,10 +206,6 @@ def _levels(counts: DataFrame) -> np.ndarray:
     return np.ceil(np.log2(np.maximum(1, cells / max(1.0, cells.mean())))).astype(np.uint8)
 
 
-def _filter_key(signature: np.ndarray, k: int, bits: int) -> np.ndarray:
-    return mixed(signature + np.uint64(k + 1)) & np.uint64(bits - 1)
-
-
 def _own_set(rows: Iterator[tuple[int | None, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
     """Each distinct non-empty set of a batch once."""
     seen = set()
@@ -231,75 +226,16 @@ class _Signer:
             yield upper, signatures(elements, band, most, self.plans[band], self.levels)
 
 
-def _shared_filter(docs: DataFrame, width: int, signer, parts_bits: int) -> np.ndarray:
-    """A Bloom filter, of fixed size, of the signatures that two or more sets show.
-
-    Each batch sends its distinct signatures, in parts by their first bits, so even a
-    signature that a third of all sets show arrives once per batch only. It just
-    saves work: a false positive costs a row.
-    """
-    parts, bits = 1 << parts_bits, 1 << (FILTER_BITS - parts_bits)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = signer.value
-        for batch in batches:
-            own = [
-                np.unique(np.concatenate([found for _, found in make(elements)]))
-                for _, elements in _own_set(_sets(batch, width))
-            ]
-            if not own:
-                continue
-            found, n = np.unique(np.concatenate(own), return_counts=True)
-            cuts = np.searchsorted(found >> np.uint64(64 - parts_bits), np.arange(parts + 1))
-            rows = [
-                (p, found[a:b].tobytes(), (n[a:b] > 1).tobytes())
-                for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
-                if b > a
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
-                ["part", "found", "twice"],
-            )
-
-    def gather(
-        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[pa.RecordBatch]:
-        found, shared = [], []
-        for batch in batches:
-            for data, twice in zip(batch.column("found").to_pylist(), batch.column("twice").to_pylist()):
-                found.append(np.frombuffer(data, np.uint64))
-                shared.append(found[-1][np.frombuffer(twice, bool)])
-        found = np.sort(np.concatenate(found))
-        shared.append(found[1:][found[1:] == found[:-1]])
-        shared = np.unique(np.concatenate(shared))
-        cells = np.zeros(bits, bool)
-        for k in range(FILTER_KEYS):
-            cells[_filter_key(shared, k, bits)] = True
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(cells).tobytes()])],
-            ["part", "cells"],
-        )
-
-    sent = docs.mapInArrow(send, "part int, found binary, twice binary")
-    filled = sent.groupBy("part").applyInArrow(gather, "part int, cells binary")
-    table = np.zeros((parts, bits // 8), np.uint8)
-    for part, data in filled.toLocalIterator():
-        table[part] = np.frombuffer(data, np.uint8)
-    return table
-
-
-def _passes(signature: np.ndarray, table: np.ndarray, parts_bits: int) -> np.ndarray:
-    bits = table.shape[1] * 8
-    part = signature >> np.uint64(64 - parts_bits)
-    good = np.ones(len(signature), bool)
-    for k in range(FILTER_KEYS):
-        key = _filter_key(signature, k, bits)
-        byte = table[part, key >> np.uint64(3)]
-        good &= (byte >> (np.uint8(7) - (key & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-    return good
+def _keys_of(batch: pa.RecordBatch, width: int, make: _Signer) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct signatures of a batch, and which of them two or more of its sets show."""
+    own = [np.zeros(0, np.uint64)]
+    for _, elements in _own_set(_sets(batch, width)):
+        own.append(np.unique(np.concatenate([found for _, found in make(elements)])))
+    found, n = np.unique(np.concatenate(own), return_counts=True)
+    return found, n > 1
 
 
-def _shown(docs: DataFrame, width: int, signer, table, parts_bits: int) -> DataFrame:
+def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
     """Rows of shared signatures, and one row with the elements of each set that has one."""
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.list_(pa.int64())]
     names = ["sig", "sid", "n", "upper", "elements", "bits"]
@@ -311,9 +247,12 @@ def _shown(docs: DataFrame, width: int, signer, table, parts_bits: int) -> DataF
             for sid, elements in _own_set(_sets(batch, width)):
                 any_shared = False
                 for upper, found in make(elements):
-                    found = found[_passes(found, cells, parts_bits)]
+                    found = found[sieve.passes(found, cells)]
                     any_shared |= len(found) > 0
-                    rows += [(s, sid, len(elements), upper, None, None) for s in found.view(np.int64).tolist()]
+                    rows += [
+                        (s, sid, len(elements), upper, None, None)
+                        for s in found.view(np.int64).tolist()
+                    ]
                 if any_shared:
                     rows.append(
                         (None, sid, len(elements), None, elements.tobytes(), bitmap(elements))
@@ -453,9 +392,9 @@ def jaccard_join(
     plans = [allocation(b, frequent, percent) for b in range(band_of(max(1, largest)) + 1)]
     context = spark.sparkContext
     signer = context.broadcast(_Signer(levels, plans, percent))
-    parts_bits = min(12, max(4, (tasks(spark) - 1).bit_length()))
-    table = context.broadcast(_shared_filter(rows, width, signer, parts_bits))
-    shown = written(_shown(rows, width, signer, table, parts_bits), "jaccard-shown")
+    shared = sieve.shared_filter(rows, lambda batch: _keys_of(batch, width, signer.value))
+    table = context.broadcast(shared)
+    shown = written(_shown(rows, width, signer, table), "jaccard-shown")
     roots = _links(shown, percent)
 
     known = roots.select(F.col("node").alias("sid"), "root")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import (
-    chains, chat, decontaminate, inputs, jaccard, mixing, records, risk, secrets, url_lists,
+    bwt, chains, chat, decontaminate, inputs, jaccard, mixing, records, risk, secrets, url_lists,
 )
 from sparkpipe.plans.inputs import table
 
@@ -83,6 +83,11 @@ def op8_url_lists(spark, sf):
     return url_lists.judge(inputs.captures(pages), inputs.list_history(pages))
 
 
+@query
+def op9_bwt_dedup(spark, sf):
+    return bwt.repeats_digest(bwt.remove_repeats(_documents(spark, sf)))
+
+
 @query
 def op10_format_chats(spark, sf):
     rows = inputs.with_clash(table(spark, sf, "conversations"))
