@@ -17,6 +17,7 @@ so a task that dies or runs twice leaves only files that nobody reads.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -47,8 +48,14 @@ MASK = 0xA282EAD8
 HEAD, CHECK = "<QI", "<I"  # before and after the payload
 AROUND = struct.calcsize(HEAD) + struct.calcsize(CHECK)
 
-LOOSE = re.compile(r"\s | \s|\A | \Z")
+# A space next to white space, or at either end.
+LOOSE = re.compile(r" (?:(?=\s)|(?<=\s ))|\A | \Z")
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
+# Letters that are letters to every version of the pattern; marks without apostrophes.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?*%$#&|()"
+PLAIN = re.compile(
+    rf"([{LETTERS}]+)([{MARKS}]*)(?:\n([{LETTERS}]+)([{MARKS}]*))?"
+)
 
 
 def masked(data: bytes) -> int:
@@ -78,16 +85,20 @@ def unframe(data: bytes, offset: int) -> bytes:
 
 
 class Encoder:
-    """The ids of whole texts, encoding each distinct piece only once.
-
-    A single space between two characters that are not white space always starts a
-    new unit of a byte-level tokenizer's splitting pattern, so a text may be cut
-    there and its pieces encoded on their own. Pieces met before come from a table
-    that is emptied when it is full; long pieces are never kept.
+    """The ids of whole texts, encoding each distinct word only once.
+
+    With byte-level tokenizers that split by the usual pattern, a single space between
+    two characters that are not white space always starts a new unit, so a text may be
+    cut there and its pieces encoded on their own. A piece of letters and marks with at
+    most one line feed inside may be cut between these as well. What was met before
+    comes from tables that are emptied when full; long pieces are never kept. Any other
+    tokenizer gets the texts whole.
     """
 
-    PIECES = 400_000
+    KEPT = 400_000
     LONGEST = 48
+    TOGETHER = 1 << 20  # characters whose pieces are looked up at a time
+    JOINED = 500  # words encoded as the lines of one string
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -95,26 +106,86 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        splitter = made["pre_tokenizer"] or {}
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.cuts = (
+            made["normalizer"] is None
+            and splitter.get("type") == "ByteLevel"
+            and splitter.get("use_regex", True)
+            and not splitter.get("add_prefix_space", True)
+            and len(self.line_feed) == 1
+        )
+        self.pieces: dict[str, bytes] = {}  # by piece, without the space before it
+        self.units: dict[str, bytes] = {}  # by text, any space before it included
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = f"<u{self.width}"
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, kind).tobytes() for e in encoded]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *pieces = SPLIT.split(text) if LOOSE.search(text) else text.split(" ")
-        parts = list(map(self.known.get, pieces))
-        if None in parts:
-            missing = list({p for p, x in zip(pieces, parts) if x is None})
-            found = dict(zip(missing, self._ids([" " + p for p in missing])))
-            parts = [found[p] if x is None else x for p, x in zip(pieces, parts)]
-            if len(self.known) > self.PIECES:
-                self.known.clear()
-            self.known.update((p, x) for p, x in found.items() if len(p) <= self.LONGEST)
-        return self._ids([first])[0] + b"".join(parts)
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of letters and marks without white space but a space before them.
+
+        A line feed between such words is a unit of its own, and none of theirs.
+        """
+        out, width = [], self.width
+        groups = [words[k : k + self.JOINED] for k in range(0, len(words), self.JOINED)]
+        lines = ["\n".join(g) for g in groups]
+        for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            ids = np.array(e.ids, f"<u{width}")
+            ends = np.flatnonzero(ids == self.line_feed[0]).tolist()
+            data, begins = ids.tobytes(), [0, *[x + 1 for x in ends]]
+            ends.append(len(ids))
+            out += [data[a * width : b * width] for a, b in zip(begins, ends)]
+        return out
+
+    def _learn(self, missing: set[str]) -> None:
+        """Take up pieces, each of which stands after a space."""
+        words = {p for p in missing if p.isalpha()}
+        cut = {p: m.groups("") for p in missing - words if (m := PLAIN.fullmatch(p))}
+        words.update(c[0] for c in cut.values())
+        words.difference_update(self.pieces)
+        words = list(words)
+        self.pieces.update(zip(words, self._words([" " + w for w in words])))
+        units = {u for c in cut.values() for u in c[1:]}.difference(self.units, ("",))
+        self.units.update(zip(units, self._words(list(units))))
+        known, find, line_feed = self.pieces, self.units, self._ids(["\n"])[0]
+        find[""] = b""
+        for piece, (first, marks, after, more) in cut.items():
+            ids = known[first] + find[marks]
+            known[piece] = ids + line_feed + find[after] + find[more] if after else ids
+        rest = [p for p in missing if p not in known]
+        known.update(zip(rest, self._ids([" " + p for p in rest])))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.cuts:
+            return self._ids(texts)
+        out, begin = [], 0
+        while begin < len(texts):
+            end, size = begin, 0
+            while end < len(texts) and size < self.TOGETHER:
+                size += len(texts[end])
+                end += 1
+            out += self._some(texts[begin:end])
+            begin = end
+        return out
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        cut = [SPLIT.split(t) if LOOSE.search(t) else t.split(" ") for t in texts]
+        firsts = self._ids([pieces.pop(0) for pieces in cut])
+        missing = set().union(*cut).difference(self.pieces)
+        if missing:
+            self._learn(missing)
+        find = self.pieces.__getitem__
+        out = [first + b"".join(map(find, pieces)) for first, pieces in zip(firsts, cut)]
+        for piece in missing:
+            if len(piece) > self.LONGEST:
+                del self.pieces[piece]
+        for table in (self.pieces, self.units):
+            if len(table) > self.KEPT:
+                table.clear()
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -187,9 +258,10 @@ def write_records(
         end = np.array([end_id], f"<u{codec.width}").tobytes()
         shard, done = None, []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            encoded = codec.encode([t or "" for t in batch.column(1).to_pylist()])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
                 shard = shard or _Shard(data, part, len(done))
-                payload = codec.encode(text or "") + end
+                payload = ids + end
                 shard.add(doc_id, payload, len(payload) // codec.width)
                 if shard.offset >= shard_bytes:
                     done.append(shard.close(codec.width))
