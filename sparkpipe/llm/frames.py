@@ -48,7 +48,20 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of each run of ``length`` consecutive word hashes."""
     n = max(0, len(hashes) - length + 1)
-    total = np.zeros(n, np.uint64)
-    for k in range(length):
-        total = mixed(total * np.uint64(3) + hashes[k : k + n])
-    return total
+    total = hashes[:n].copy()
+    for k in range(1, length):
+        total *= np.uint64(0xD6E8FEB86659FD93)
+        total += hashes[k : k + n]
+    return mixed(total)
+
+
+def slices(values: list, sizes: list[int], most: int):
+    """Consecutive slices of ``values`` whose sizes add up to about ``most``."""
+    begin = 0
+    while begin < len(values):
+        end, size = begin, 0
+        while end < len(values) and size < most:
+            size += sizes[end]
+            end += 1
+        yield values[begin:end]
+        begin = end

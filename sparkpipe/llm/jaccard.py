@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -26,32 +27,65 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkpipe.llm import sieve
 from sparkpipe.llm.components import components
-from sparkpipe.llm.frames import id_and_text, mixed, window_hashes, word_hashes, written
+from sparkpipe.llm.frames import id_and_text, mixed, slices, window_hashes, word_hashes, written
 
 BAND = 8  # ratio of the sizes at which bands begin
 COUNT_BITS = 18  # cells of the element counts
 COUNT_PARTS = 16
 BITMAP = 8  # longs of a set's parity bitmap
 FREQUENT_COST = 1000.0
-EMPTY = 255
+TOGETHER = 1 << 20  # characters that are hashed at a time
 
 SHINGLES = "doc_id long, n_shingles long, sid long, part int, counts binary"
 
 
-def shingles(text: str, width: int) -> np.ndarray:
-    """The sorted distinct hashes of ``width`` consecutive words, ASCII lower case.
+@dataclass
+class Sets:
+    """The shingle sets of some rows, one after the other, each sorted."""
 
-    A text of fewer words is one shingle, and one without words none.
-    """
-    words = word_hashes(text.encode().lower().split())
-    if not len(words):
-        return words
-    return np.unique(window_hashes(words, min(width, len(words))))
+    elements: np.ndarray
+    owner: np.ndarray  # of each element, by row
+    sizes: np.ndarray
+
+    def ids(self) -> np.ndarray:
+        """A set's identity, together with its size."""
+        ends = np.cumsum(self.sizes)
+        data = memoryview(self.elements.tobytes())
+        spans = zip((8 * (ends - self.sizes)).tolist(), (8 * ends).tolist())
+        return np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in spans], np.uint64)
+
+    def only(self, rows: np.ndarray) -> Sets:
+        """The sets of the rows marked, renumbered."""
+        inside = rows[self.owner]
+        return Sets(
+            self.elements[inside], (np.cumsum(rows) - 1)[self.owner[inside]], self.sizes[rows]
+        )
 
 
-def set_id(elements: np.ndarray) -> int:
-    """A set's identity, together with its size."""
-    return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
+def shingle_sets(texts: list[str], width: int) -> Sets:
+    """The sets of distinct hashes of ``width`` consecutive words, ASCII lower case.
+
+    A text of fewer words is one shingle, and one without words none.
+    """
+    words = [t.encode().lower().split() for t in texts]
+    n = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(n)
+    hashes = word_hashes([w for ws in words for w in ws])
+    windows = window_hashes(hashes, width)
+    owner = np.repeat(np.arange(len(texts)), n)[: len(windows)]
+    whole = np.arange(len(windows)) + width <= ends[owner]
+    elements, owner = [windows[whole]], [owner[whole]]
+    for row in np.flatnonzero((n > 0) & (n < width)).tolist():
+        elements.append(window_hashes(hashes[ends[row] - n[row] : ends[row]], int(n[row])))
+        owner.append(np.array([row]))
+    elements, owner = np.concatenate(elements), np.concatenate(owner)
+    order = np.argsort(elements)
+    order = order[np.argsort(owner[order].astype(np.uint32), kind="stable")]
+    elements, owner = elements[order], owner[order]
+    new = np.ones(len(elements), bool)
+    new[1:] = (elements[1:] != elements[:-1]) | (owner[1:] != owner[:-1])
+    elements, owner = elements[new], owner[new]
+    return Sets(elements, owner, np.bincount(owner, minlength=len(texts)))
 
 
 def band_of(n: int) -> int:
@@ -61,23 +95,25 @@ def band_of(n: int) -> int:
     return band
 
 
-def most_different(n: int, other: int, percent: int) -> int:
+def most_different(n, other, percent: int):
     """How many elements linked sets of these sizes may differ in."""
     return (n + other) * (100 - percent) // (100 + percent)
 
 
-def roles(n: int, percent: int) -> list[tuple[int, int, bool]]:
-    """(band, H, upper) of every band a set of size n takes part in.
+def roles(sizes: np.ndarray, percent: int) -> list[tuple[int, bool, np.ndarray]]:
+    """(band, upper, H of each set) of every band the sets take part in; H 0 is no part.
 
-    It meets sets of its own band there, and as an upper set the largest ones of the
-    band below.
+    A set meets sets of its own band there, and as an upper set the largest ones of the
+    band below. Sets that can only link with equal ones take no part.
     """
-    band = band_of(n)
-    own = (band, most_different(n, n * 100 // percent, percent), False)
-    below = BAND**band - 1
-    if band and below * 100 >= n * percent:
-        return [own, (band - 1, most_different(n, below, percent), True)]
-    return [own]
+    out = []
+    for band in range(band_of(int(sizes.max(initial=1))) + 1):
+        low, high = BAND**band, BAND ** (band + 1) - 1
+        own = (sizes >= low) & (sizes <= high)
+        out.append((band, False, own * most_different(sizes, sizes * 100 // percent, percent)))
+        above = (sizes > high) & (high * 100 >= sizes * percent)
+        out.append((band, True, above * most_different(sizes, high, percent)))
+    return out
 
 
 def allocation(band: int, frequent: float, percent: int) -> tuple[int, int]:
@@ -106,50 +142,86 @@ def allocation(band: int, frequent: float, percent: int) -> tuple[int, int]:
 
 
 def signatures(
-    elements: np.ndarray, band: int, most: int, plan: tuple[int, int], levels: np.ndarray
-) -> np.ndarray:
-    """What a set shows in a band in which it may differ in ``most`` elements."""
+    sets: Sets, band: int, most: np.ndarray, plan: tuple[int, int], levels: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row) of what the sets show in a band; ``most`` is H of each set."""
     segments, deleted = plan
-    if not most:
-        return elements[:0]  # only an equal set is similar enough
+    inside = (most > 0)[sets.owner]
+    elements, owner = sets.elements[inside], sets.owner[inside]
     value = mixed(elements ^ np.uint64(0x9E3779B97F4A7C15 * (band + 1) & (1 << 64) - 1))
-    segment = (value >> np.uint64(33)) % np.uint64(segments)
-    order = np.argsort(segment, kind="stable")
-    segment, value = segment[order], value[order]
-    starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+    place = owner * segments + ((value >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
+    order = np.argsort(place)
+    place, value, elements = place[order], value[order], elements[order]
+    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else order
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     content = np.add.reduceat(value, starts)
-    held = segment[starts]
-    cost = np.minimum.reduceat(
-        levels[elements[order] >> np.uint64(64 - COUNT_BITS)].astype(np.int64), starts
-    )
-    shown = []
-    for s in range(deleted):
-        inside = segment == s
-        whole = value[inside].sum(dtype=np.uint64)
-        shown.append(np.concatenate([[whole], whole - value[inside]]) + np.uint64(s))
+    level = levels[elements >> np.uint64(64 - COUNT_BITS)].astype(np.int64)
+    cost = np.minimum.reduceat(level, starts)
+    row, held = np.divmod(place[starts], segments)
+    shown, rows = [], []
+    if deleted:  # their content, and their content without one element
+        sizes = np.diff(np.append(starts, len(place)))
+        near = held < deleted
+        shown.append((content + held.astype(np.uint64))[near])
+        rows.append(row[near])
+        each = np.repeat(near, sizes)
+        group = np.repeat(np.arange(len(starts)), sizes)[each]
+        shown.append(content[group] - value[each] + held[group].astype(np.uint64))
+        rows.append(row[group])
+        empty = np.ones((len(most), deleted), bool)
+        empty[row[near], held[near]] = False
+        empty[most == 0] = False
+        at, which = np.nonzero(empty)
+        shown.append(which.astype(np.uint64))
+        rows.append(at)
     exact = held >= deleted
-    content, held, cost = content[exact], held[exact], cost[exact]
-    need = most + 1 - 2 * deleted
-    if need > 0:
-        empty = np.setdiff1d(np.arange(deleted, segments, dtype=np.uint64), held)
-        content = np.concatenate([content, np.zeros(len(empty), np.uint64)])
-        held = np.concatenate([held, empty])
-        cost = np.concatenate([cost, np.full(len(empty), EMPTY)])
-        each = mixed(content + held)
-        shown.append((content + held)[np.lexsort((each, cost))[:need]])
-    place = np.uint64(0xD1B54A32D192ED03 * (band + 1) & (1 << 64) - 1)
-    return np.unique(mixed(mixed(np.concatenate(shown)) ^ place))
-
-
-def bitmap(elements: np.ndarray) -> list[int]:
+    row, held, content, cost = row[exact], held[exact], content[exact], cost[exact]
+    need = np.where(most > 0, np.maximum(0, most + 1 - 2 * deleted), 0)
+    value = content + held.astype(np.uint64)
+    order = np.lexsort((mixed(value), cost, row))
+    row, value, held = row[order], value[order], held[order]
+    n = np.bincount(row, minlength=len(most))
+    rank = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    chosen = rank < need[row]
+    shown.append(value[chosen])
+    rows.append(row[chosen])
+    for short in np.flatnonzero(need > n).tolist():  # empty segments, in a fixed order
+        empty = np.setdiff1d(np.arange(deleted, segments), held[row == short]).astype(np.uint64)
+        empty = empty[np.argsort(mixed(empty), kind="stable")][: need[short] - n[short]]
+        shown.append(empty)
+        rows.append(np.full(len(empty), short))
+    seed = np.uint64(0xD1B54A32D192ED03 * (band + 1) & (1 << 64) - 1)
+    return mixed(mixed(np.concatenate(shown)) ^ seed), np.concatenate(rows)
+
+
+def bitmaps(sets: Sets) -> np.ndarray:
     """Parity bits: two sets' bitmaps differ in no more bits than the sets in elements."""
-    bits = np.bincount((elements >> np.uint64(7)) % np.uint64(64 * BITMAP), minlength=64 * BITMAP)
-    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64).tolist()
+    bits = 64 * BITMAP
+    cell = ((sets.elements >> np.uint64(7)) % np.uint64(bits)).astype(np.int64)
+    table = np.bincount(sets.owner * bits + cell, minlength=len(sets.sizes) * bits) & 1
+    return np.packbits(table.astype(np.uint8)).view(np.int64).reshape(-1, BITMAP)
+
 
+def _some(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list, Sets]]:
+    """Ids and sets of a batch's rows, about ``TOGETHER`` characters at a time."""
+    ids = batch.column(0).to_pylist()
+    texts = [t or "" for t in batch.column(1).to_pylist()]
+    for rows in slices(list(range(len(texts))), [len(t) for t in texts], TOGETHER):
+        yield [ids[i] for i in rows], shingle_sets([texts[i] for i in rows], width)
 
-def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        yield doc_id, shingles(text or "", width)
+
+def _distinct(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, Sets]]:
+    """Set ids and sets of a batch, each distinct non-empty set once."""
+    seen = set()
+    for _, sets in _some(batch, width):
+        sids = sets.ids()
+        new = np.zeros(len(sids), bool)
+        for i, key in enumerate(zip(sids.tolist(), sets.sizes.tolist())):
+            if key[1] and key not in seen:
+                seen.add(key)
+                new[i] = True
+        yield sids[new], sets.only(new)
 
 
 def _identities(docs: DataFrame, width: int) -> DataFrame:
@@ -160,17 +232,15 @@ def _identities(docs: DataFrame, width: int) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         cells = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
-            rows, held = [], []
-            for doc_id, elements in _sets(batch, width):
-                held.append((elements >> np.uint64(64 - COUNT_BITS)).astype(np.int32))
-                sid = set_id(elements) if len(elements) else None
-                rows.append((doc_id, len(elements), sid, None, None))
-            if held:
-                cells += np.bincount(np.concatenate(held), minlength=len(cells))
-            columns = zip(*rows) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names
-            )
+            for ids, sets in _some(batch, width):
+                cell = (sets.elements >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+                cells += np.bincount(cell, minlength=len(cells))
+                none = [None] * len(ids)
+                sids = pa.array(sets.ids().view(np.int64), mask=sets.sizes == 0)
+                columns = (ids, sets.sizes, sids, none, none)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)], names
+                )
         if cells.any():
             parts = cells.reshape(COUNT_PARTS, -1)
             table = [(None, None, None, i, p.tobytes()) for i, p in enumerate(parts)]
@@ -206,65 +276,87 @@ def _levels(counts: DataFrame) -> np.ndarray:
     return np.ceil(np.log2(np.maximum(1, cells / max(1.0, cells.mean())))).astype(np.uint8)
 
 
-def _own_set(rows: Iterator[tuple[int | None, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
-    """Each distinct non-empty set of a batch once."""
-    seen = set()
-    for _, elements in rows:
-        if len(elements) and (key := (set_id(elements), len(elements))) not in seen:
-            seen.add(key)
-            yield key[0], elements
-
-
 class _Signer:
-    """Signatures of a set in all its bands."""
+    """(signature, row, upper) of sets in all their bands."""
 
     def __init__(self, levels: np.ndarray, plans: list[tuple[int, int]], percent: int):
         self.levels, self.plans, self.percent = levels, plans, percent
 
-    def __call__(self, elements: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
-        for band, most, upper in roles(len(elements), self.percent):
-            yield upper, signatures(elements, band, most, self.plans[band], self.levels)
+    def __call__(self, sets: Sets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))]
+        for band, upper, most in roles(sets.sizes, self.percent):
+            if most.any():
+                found, row = signatures(sets, band, most, self.plans[band], self.levels)
+                parts.append((found, row, np.full(len(found), upper)))
+        return tuple(map(np.concatenate, zip(*parts)))
 
 
 def _keys_of(batch: pa.RecordBatch, width: int, make: _Signer) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct signatures of a batch, and which of them two or more of its sets show."""
-    own = [np.zeros(0, np.uint64)]
-    for _, elements in _own_set(_sets(batch, width)):
-        own.append(np.unique(np.concatenate([found for _, found in make(elements)])))
-    found, n = np.unique(np.concatenate(own), return_counts=True)
+    """The distinct signatures of a batch, and which of them two or more of its sets show.
+
+    A set showing one twice makes a signature pass for shared, which costs a row.
+    """
+    own = [make(sets)[0] for _, sets in _distinct(batch, width)]
+    found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]), return_counts=True)
     return found, n > 1
 
 
 def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
-    """Rows of shared signatures, and one row with the elements of each set that has one."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.list_(pa.int64())]
-    names = ["sig", "sid", "n", "upper", "elements", "bits"]
+    """(sig, sid, n, upper): shared signatures; and with bits one row per set that has one."""
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, cells = signer.value, table.value
         for batch in batches:
-            rows = []
-            for sid, elements in _own_set(_sets(batch, width)):
-                any_shared = False
-                for upper, found in make(elements):
-                    found = found[sieve.passes(found, cells)]
-                    any_shared |= len(found) > 0
-                    rows += [
-                        (s, sid, len(elements), upper, None, None)
-                        for s in found.view(np.int64).tolist()
-                    ]
-                if any_shared:
-                    rows.append(
-                        (None, sid, len(elements), None, elements.tobytes(), bitmap(elements))
-                    )
-            if rows:
+            for sids, sets in _distinct(batch, width):
+                found, row, upper = make(sets)
+                good = sieve.passes(found, cells)
+                found, row, upper = found[good], row[good], upper[good]
+                once = np.unique(row)
+                bits = list(bitmaps(sets)[once])
+                row = np.concatenate([row, once])
+                none = [None] * len(once)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
+                    [
+                        pa.array(found.view(np.int64).tolist() + none, pa.int64()),
+                        pa.array(sids[row].view(np.int64)),
+                        pa.array(sets.sizes[row].astype(np.int32)),
+                        pa.array(upper.tolist() + none, pa.bool_()),
+                        pa.array([None] * len(found) + bits, pa.list_(pa.int64())),
+                    ],
+                    ["sig", "sid", "n", "upper", "bits"],
                 )
 
-    return docs.mapInArrow(
-        show, "sig long, sid long, n int, upper boolean, elements binary, bits array<long>"
-    )
+    return docs.mapInArrow(show, "sig long, sid long, n int, upper boolean, bits array<long>")
+
+
+def _elements(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
+    """(sid, n, elements) of the sets whose id is ``wanted``, and perhaps a few more."""
+
+    def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        found = np.unique(mixed(batch.column(0).to_numpy().view(np.uint64)))
+        return found, np.ones(len(found), bool)
+
+    table = docs.sparkSession.sparkContext.broadcast(sieve.shared_filter(wanted, keys))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sids, sets in _distinct(batch, width):
+                good = sieve.passes(mixed(sids), table.value)
+                ends = np.cumsum(sets.sizes)
+                data = sets.elements.tobytes()
+                rows = np.flatnonzero(good)
+                spans = zip((8 * (ends - sets.sizes))[rows].tolist(), (8 * ends)[rows].tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(sids[rows].view(np.int64)),
+                        pa.array(sets.sizes[rows].astype(np.int32)),
+                        pa.array([data[a:b] for a, b in spans], pa.binary()),
+                    ],
+                    ["sid", "n", "elements"],
+                )
+
+    rows = docs.mapInArrow(gather, "sid long, n int, elements binary")
+    return rows.dropDuplicates(["sid", "n"])
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -280,13 +372,23 @@ def _bits_fit(percent: int) -> Column:
     return differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
 
 
+def _likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, a_n, b, b_n) that their bitmaps do not rule out."""
+    for s in "ab":
+        one = bits.select(
+            F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
+        )
+        pairs = pairs.join(one, [s, f"{s}_n"])
+    return pairs.where(_bits_fit(percent)).select("a", "a_n", "b", "b_n")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, a_n, b, b_n) whose sets are similar enough, compared in full."""
-    one = {s: sets.select(F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")) for s in "ab"}
-    pairs = pairs.join(one["a"], ["a", "a_n"]).join(one["b"], ["b", "b_n"])
-    pairs = pairs.where(_bits_fit(percent)).select("a", "a_n", "b", "b_n")
-    full = {s: sets.select(F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("elements").alias(f"{s}_set")) for s in "ab"}
-    pairs = pairs.join(full["a"], ["a", "a_n"]).join(full["b"], ["b", "b_n"])
+    """The pairs whose sets are similar enough, compared in full."""
+    for s in "ba":
+        full = sets.select(
+            F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("elements").alias(f"{s}_set")
+        )
+        pairs = pairs.hint("merge").join(full, [s, f"{s}_n"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,11 +399,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    columns = ["a", "b", "a_set", "b_set"]
-    return pairs.select(*columns).mapInArrow(compare, "a long, b long")
+    return pairs.select("a", "b", "a_set", "b_set").mapInArrow(compare, "a long, b long")
 
 
-def _links(shown: DataFrame, percent: int) -> DataFrame:
+def _links(docs: DataFrame, width: int, shown: DataFrame, percent: int) -> DataFrame:
     """(node, root) over set ids, exact.
 
     First every set is compared with two leaders of each signature's group, the lowest
@@ -311,11 +412,9 @@ def _links(shown: DataFrame, percent: int) -> DataFrame:
     sets of other components that sizes and bitmaps allow; between sets of one
     component nothing can be gained.
     """
-    rows = written(shown.where("sig IS NOT NULL").select("sig", "sid", "n", "upper").distinct(), "jaccard-rows")
-    sets = shown.where("sig IS NULL").groupBy("sid", "n").agg(
-        F.first("elements").alias("elements"), F.first("bits").alias("bits")
-    )
-    sets = written(sets, "jaccard-sets")
+    rows = shown.where("sig IS NOT NULL").select("sig", "sid", "n", "upper")
+    bits = shown.where("sig IS NULL").groupBy("sid", "n").agg(F.first("bits").alias("bits"))
+    bits = written(bits, "jaccard-bits")
     key = F.struct("n", "sid")
     leaders = rows.groupBy("sig").agg(
         F.min(F.when(~F.col("upper"), key)).alias("low"),
@@ -323,33 +422,37 @@ def _links(shown: DataFrame, percent: int) -> DataFrame:
         F.min(key).alias("least"),
         F.max(key).alias("most"),
     )
-    leaders = written(leaders.where("low IS NOT NULL AND least != most").select("sig", "low", "high"), "jaccard-leaders")
-    grouped = written(rows.hint("merge").join(leaders, "sig"), "jaccard-groups")
-    star = grouped.select("sid", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("led"))
-    star = star.where((F.col("led.sid") != F.col("sid")) | (F.col("led.n") != F.col("n")))
-    star = star.where(_sizes_fit("led.n", "n", percent)).select(
+    leaders = leaders.where("low IS NOT NULL AND least != most").select("sig", "low", "high")
+    leaders = written(leaders, "jaccard-leaders")
+    grouped = written(rows.hint("merge").join(leaders, "sig").distinct(), "jaccard-groups")
+    led = F.explode(F.array_distinct(F.array("low", "high"))).alias("led")
+    star = grouped.select("sid", "n", led).select(
         F.col("led.sid").alias("a"), F.col("led.n").alias("a_n"),
         F.col("sid").alias("b"), F.col("n").alias("b_n"),
-    ).distinct()
-    first = written(_verified(star, sets, percent), "jaccard-star")
+    )
+    star = star.where((F.col("a") != F.col("b")) | (F.col("a_n") != F.col("b_n")))
+    star = star.where(_sizes_fit("a_n", "b_n", percent)).distinct()
+    star = written(_likely(star, bits, percent), "jaccard-star")
+    first = _compared(docs, width, star, percent, "jaccard-first")
     roots = components(first, "jaccard-roots")
 
     def rooted(df: DataFrame, sid: str, name: str) -> DataFrame:
         known = roots.select(F.col("node").alias(sid), F.col("root").alias(name))
         return df.hint("merge").join(known, sid, "left").withColumn(name, F.coalesce(name, sid))
 
-    members = rooted(grouped.select("sig", "sid", "n", "upper", F.col("low.sid").alias("led")), "sid", "root")
-    members = written(rooted(members, "led", "main"), "jaccard-members")
+    members = grouped.select("sig", "sid", "n", "upper", F.col("low.sid").alias("led"))
+    members = rooted(rooted(members, "sid", "root"), "led", "main")
+    members = written(members, "jaccard-members")
     open_groups = members.groupBy("sig").agg(F.max(F.col("root") != F.col("main")).alias("open"))
-    members = members.join(open_groups.where("open").select("sig"), "sig")
-    members = members.hint("merge").join(sets.select("sid", "n", "bits"), ["sid", "n"])
+    members = members.hint("merge").join(open_groups.where("open").select("sig"), "sig")
+    members = members.hint("merge").join(bits, ["sid", "n"])
     members = written(members, "jaccard-open")
 
     def side(s: str) -> DataFrame:
-        return members.select(
-            "sig", F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"),
-            F.col("root").alias(f"{s}_root"), F.col("main").alias(f"{s}_main"), F.col("upper").alias(f"{s}_upper"),
-        )
+        names = {"sid": s, "n": f"{s}_n"} | {
+            c: f"{s}_{c}" for c in ("bits", "root", "main", "upper")
+        }
+        return members.select("sig", *[F.col(c).alias(name) for c, name in names.items()])
 
     apart = (
         (F.col("a_root") != F.col("b_root"))
@@ -360,11 +463,20 @@ def _links(shown: DataFrame, percent: int) -> DataFrame:
     )
     outside = side("a").where("a_root != a_main")
     both = outside.hint("merge").join(side("b"), "sig").where(apart)
-    rest = both.select("a", "a_n", "b", "b_n").distinct()
-    second = written(_verified(rest, sets, percent), "jaccard-rest")
+    rest = written(both.select("a", "a_n", "b", "b_n").distinct(), "jaccard-rest")
+    second = _compared(docs, width, rest, percent, "jaccard-second")
     return components(first.unionByName(second), "jaccard-components")
 
 
+def _compared(
+    docs: DataFrame, width: int, pairs: DataFrame, percent: int, label: str
+) -> DataFrame:
+    """The similar ones of ``pairs``; only the sets of these pairs are made again."""
+    sids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    sets = written(_elements(docs, width, sids), f"{label}-sets")
+    return written(_verified(pairs, sets, percent), label)
+
+
 def jaccard_join(
     docs: DataFrame,
     width: int = 5,
@@ -395,7 +507,7 @@ def jaccard_join(
     shared = sieve.shared_filter(rows, lambda batch: _keys_of(batch, width, signer.value))
     table = context.broadcast(shared)
     shown = written(_shown(rows, width, signer, table), "jaccard-shown")
-    roots = _links(shown, percent)
+    roots = _links(rows, width, shown, percent)
 
     known = roots.select(F.col("node").alias("sid"), "root")
     rooted = ids.hint("merge").join(known, "sid", "left")
