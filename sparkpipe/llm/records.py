@@ -53,6 +53,7 @@ LOOSE = re.compile(r" (?:(?=\s)|(?<=\s ))|\A | \Z")
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
 # Letters that are letters to every version of the pattern; marks without apostrophes.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?*%$#&|()"
+WORD = re.compile(f"[{LETTERS}]+")
 PLAIN = re.compile(
     rf"([{LETTERS}]+)([{MARKS}]*)(?:\n([{LETTERS}]+)([{MARKS}]*))?"
 )
@@ -95,27 +96,28 @@ class Encoder:
     tokenizer gets the texts whole.
     """
 
-    KEPT = 400_000
+    KEPT = 1_000_000
     LONGEST = 48
     TOGETHER = 1 << 20  # characters whose pieces are looked up at a time
-    JOINED = 500  # words encoded as the lines of one string
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         made = json.loads(self.tokenizer.to_str())
         splitter = made["pre_tokenizer"] or {}
-        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cuts = (
             made["normalizer"] is None
             and splitter.get("type") == "ByteLevel"
             and splitter.get("use_regex", True)
             and not splitter.get("add_prefix_space", True)
-            and len(self.line_feed) == 1
+            and made["model"]["type"] == "BPE"
         )
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = [c for c in map(chr, range(256)) if c == " " or WORD.fullmatch(c)]
+        self.letters = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in plain}
         self.pieces: dict[str, bytes] = {}  # by piece, without the space before it
         self.units: dict[str, bytes] = {}  # by text, any space before it included
 
@@ -125,31 +127,29 @@ class Encoder:
         return [np.array(e.ids, kind).tobytes() for e in encoded]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of letters and marks without white space but a space before them.
+        """The ids of words of plain letters, each after a space.
 
-        A line feed between such words is a unit of its own, and none of theirs.
+        Such a word is one unit, so the tokenizer's own model can take it as it is,
+        once its bytes are written in the model's alphabet.
         """
-        out, width = [], self.width
-        groups = [words[k : k + self.JOINED] for k in range(0, len(words), self.JOINED)]
-        lines = ["\n".join(g) for g in groups]
-        for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
-            ids = np.array(e.ids, f"<u{width}")
-            ends = np.flatnonzero(ids == self.line_feed[0]).tolist()
-            data, begins = ids.tobytes(), [0, *[x + 1 for x in ends]]
-            ends.append(len(ids))
-            out += [data[a * width : b * width] for a, b in zip(begins, ends)]
-        return out
+        merged, kind = self.tokenizer.model.tokenize, f"<u{self.width}"
+        letters, space = self.letters, self.letters[32]
+        found = [merged(space + w.translate(letters)) for w in words]
+        ids = np.fromiter((t.id for tokens in found for t in tokens), kind)
+        ends = (self.width * np.cumsum([len(tokens) for tokens in found])).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, missing: set[str]) -> None:
         """Take up pieces, each of which stands after a space."""
-        words = {p for p in missing if p.isalpha()}
+        words = {p for p in missing if p.isascii() and p.isalpha() or WORD.fullmatch(p)}
         cut = {p: m.groups("") for p in missing - words if (m := PLAIN.fullmatch(p))}
         words.update(c[0] for c in cut.values())
         words.difference_update(self.pieces)
         words = list(words)
-        self.pieces.update(zip(words, self._words([" " + w for w in words])))
+        self.pieces.update(zip(words, self._words(words)))
         units = {u for c in cut.values() for u in c[1:]}.difference(self.units, ("",))
-        self.units.update(zip(units, self._words(list(units))))
+        self.units.update(zip(units, self._ids(list(units))))
         known, find, line_feed = self.pieces, self.units, self._ids(["\n"])[0]
         find[""] = b""
         for piece, (first, marks, after, more) in cut.items():
