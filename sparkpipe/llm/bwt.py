@@ -36,6 +36,7 @@ LENGTH = 50
 ANCHOR = 20
 TOGETHER = 1 << 20  # bytes of text that are hashed at a time
 SHARD = 1 << 16  # bytes of a shard
+AT_ONCE = 8 << 20  # bytes of pieces that are compared before they are sent
 MERGE = 1 << 19  # bytes of whole groups that are merged at a time
 END = 0  # symbol of a string's end; bytes are symbols 1 to 256
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -297,34 +298,42 @@ def _lowest_only(held: dict[bytes, list[tuple]], marks: _Marks) -> Iterator[tupl
 def send_pieces(
     batches: Iterator[pa.RecordBatch], table: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Shared pieces in parts by their keys; of equal ones in a batch only the lowest."""
+    """Shared pieces in parts by their keys; of equal ones sent together only the lowest."""
     parts = table.shape[0]
     shift = np.uint64(64 - (parts - 1).bit_length())
-    for batch in batches:
-        held: dict[bytes, list[tuple]] = {}
-        for ids, rows, texts in _texts(batch):
-            key, text, start, n = cut(texts)
-            good = sieve.passes(key, table)
-            found = (x[good].tolist() for x in (key, text, start, n))
-            for k, t, s, m in zip(*found):
-                data = texts[t][s : s + m + LENGTH - 1]
-                held.setdefault(data, []).append((k, ids[t], rows[t], s))
+
+    def sent(held: dict[bytes, list[tuple]]) -> Iterator[pa.RecordBatch]:
         marks = _Marks()
         kept = sorted(_lowest_only(held, marks), key=lambda x: x[1])
-        del held
         if marks.held:
             yield marks.batch()
         if not kept:
-            continue
-        table_rows = np.array([(*x, len(data)) for data, x in kept], PIECES)
-        cuts = np.searchsorted(table_rows["key"] >> shift, np.arange(parts + 1))
+            return
+        index = np.array([(*x, len(data)) for data, x in kept], PIECES)
+        cuts = np.searchsorted(index["key"] >> shift, np.arange(parts + 1))
         spans = [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
         yield _rows(
             parts=[p for p, _, _ in spans],
-            pieces=[table_rows[a:b].tobytes() for _, a, b in spans],
+            pieces=[index[a:b].tobytes() for _, a, b in spans],
             text=[b"".join(data for data, _ in kept[a:b]) for _, a, b in spans],
         )
 
+    held: dict[bytes, list[tuple]] = {}
+    size = 0
+    for batch in batches:
+        for ids, rows, texts in _texts(batch):
+            key, text, start, n = cut(texts)
+            good = sieve.passes(key, table)
+            found = (x[good].tolist() for x in (key, text, start, n))
+            for k, t, s, m in zip(*found):
+                data = texts[t][s : s + m + LENGTH - 1]
+                held.setdefault(data, []).append((k, ids[t], rows[t], s))
+                size += len(data)
+            if size >= AT_ONCE:
+                yield from sent(held)
+                held, size = {}, 0
+    yield from sent(held)
+
 
 def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Mark the windows of a part's pieces that a smaller document also has."""
@@ -404,8 +413,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and keep all; rows with equal ids do not affect each other; equal rows get equal
     answers. An empty table gives an empty result; other columns are ignored.
 
-    Of equal pieces only one per batch is sent, so a passage that a third of all
-    documents share costs a row per batch. Texts are shuffled once, to meet their marks.
+    Of equal pieces only one per ``AT_ONCE`` bytes is sent, so a passage that a third of
+    all documents share costs few rows. Texts are shuffled once, to meet their marks.
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
