@@ -35,6 +35,7 @@ COUNT_PARTS = 16
 BITMAP = 8  # longs of a set's parity bitmap
 FREQUENT_COST = 1000.0
 TOGETHER = 1 << 20  # characters that are hashed at a time
+NO_ID = (1 << 63) - 1  # stands for a null id where rows are picked by it
 
 SHINGLES = "doc_id long, n_shingles long, sid long, part int, counts binary"
 
@@ -330,27 +331,29 @@ def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
 
 
 def _elements(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
-    """(sid, n, elements) of the sets whose id is ``wanted``, and perhaps a few more."""
+    """(sid, n, elements) of the sets of the rows (doc_id, sid) that are ``wanted``.
 
-    def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        found = np.unique(mixed(batch.column(0).to_numpy().view(np.uint64)))
-        return found, np.ones(len(found), bool)
-
-    table = docs.sparkSession.sparkContext.broadcast(sieve.shared_filter(wanted, keys))
+    A few more may come along, as the rows are picked by a filter of fixed size.
+    """
+    columns = ["doc_id", "sid"]
+    table = docs.sparkSession.sparkContext.broadcast(sieve.filter_of(wanted, columns))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sids, sets in _distinct(batch, width):
-                good = sieve.passes(mixed(sids), table.value)
-                ends = np.cumsum(sets.sizes)
+            for ids, sets in _some(batch, width):
+                ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
+                sids = sets.ids().view(np.int64)
+                rows = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sids)], columns)
+                good = sieve.passes(sieve.row_keys(rows, columns), table.value)
+                ends = 8 * np.cumsum(sets.sizes)
+                begins = ends - 8 * sets.sizes
                 data = sets.elements.tobytes()
-                rows = np.flatnonzero(good)
-                spans = zip((8 * (ends - sets.sizes))[rows].tolist(), (8 * ends)[rows].tolist())
+                rows = np.flatnonzero(good & (sets.sizes > 0))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(sids[rows].view(np.int64)),
+                        pa.array(sids[rows]),
                         pa.array(sets.sizes[rows].astype(np.int32)),
-                        pa.array([data[a:b] for a, b in spans], pa.binary()),
+                        pa.array([data[begins[i] : ends[i]] for i in rows.tolist()], pa.binary()),
                     ],
                     ["sid", "n", "elements"],
                 )
@@ -373,13 +376,14 @@ def _bits_fit(percent: int) -> Column:
 
 
 def _likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, a_n, b, b_n) that their bitmaps do not rule out."""
+    """(a, a_n, b, b_n) of the pairs (a, b) that sizes and bitmaps do not rule out."""
     for s in "ab":
         one = bits.select(
             F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
         )
-        pairs = pairs.join(one, [s, f"{s}_n"])
-    return pairs.where(_bits_fit(percent)).select("a", "a_n", "b", "b_n")
+        pairs = pairs.join(one, s)
+    fit = _sizes_fit("a_n", "b_n", percent) & _bits_fit(percent)
+    return pairs.where(fit).select("a", "a_n", "b", "b_n")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -402,78 +406,80 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "a_set", "b_set").mapInArrow(compare, "a long, b long")
 
 
-def _links(docs: DataFrame, width: int, shown: DataFrame, percent: int) -> DataFrame:
+def _links(
+    docs: DataFrame, ids: DataFrame, width: int, shown: DataFrame, percent: int
+) -> DataFrame:
     """(node, root) over set ids, exact.
 
-    First every set is compared with two leaders of each signature's group, the lowest
-    and the highest set of the band itself: linear in the rows, and enough to join up
-    large groups of near copies. A group that is one component then needs no more.
-    In the others every set outside the lowest leader's component is compared with all
-    sets of other components that sizes and bitmaps allow; between sets of one
-    component nothing can be gained.
+    First every set is compared with two leaders of each signature's group, its lowest
+    and highest set id: linear in the rows, and enough to join up large groups of near
+    copies. A group that is one component then needs no more. In the others every set
+    outside the lowest leader's component is compared with all sets of other components
+    that sizes and bitmaps allow; between sets of one component nothing can be gained.
     """
-    rows = shown.where("sig IS NOT NULL").select("sig", "sid", "n", "upper")
+    rows = shown.where("sig IS NOT NULL").select("sig", "sid", "upper")
     bits = shown.where("sig IS NULL").groupBy("sid", "n").agg(F.first("bits").alias("bits"))
     bits = written(bits, "jaccard-bits")
-    key = F.struct("n", "sid")
-    leaders = rows.groupBy("sig").agg(
-        F.min(F.when(~F.col("upper"), key)).alias("low"),
-        F.max(F.when(~F.col("upper"), key)).alias("high"),
-        F.min(key).alias("least"),
-        F.max(key).alias("most"),
-    )
-    leaders = leaders.where("low IS NOT NULL AND least != most").select("sig", "low", "high")
-    leaders = written(leaders, "jaccard-leaders")
-    grouped = written(rows.hint("merge").join(leaders, "sig").distinct(), "jaccard-groups")
-    led = F.explode(F.array_distinct(F.array("low", "high"))).alias("led")
-    star = grouped.select("sid", "n", led).select(
-        F.col("led.sid").alias("a"), F.col("led.n").alias("a_n"),
-        F.col("sid").alias("b"), F.col("n").alias("b_n"),
-    )
-    star = star.where((F.col("a") != F.col("b")) | (F.col("a_n") != F.col("b_n")))
-    star = star.where(_sizes_fit("a_n", "b_n", percent)).distinct()
-    star = written(_likely(star, bits, percent), "jaccard-star")
-    first = _compared(docs, width, star, percent, "jaccard-first")
+    leaders = rows.groupBy("sig").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+    grouped = rows.hint("merge").join(leaders.where("low != high"), "sig")
+    grouped = written(grouped, "jaccard-groups")
+    led = F.explode(F.array_distinct(F.array("low", "high"))).alias("a")
+    star = grouped.select(led, F.col("sid").alias("b")).where("a != b").distinct()
+    star = written(star, "jaccard-pairs")
+    likely = written(_likely(star, bits, percent), "jaccard-star")
+    first = _compared(docs, ids, width, likely, percent, "jaccard-first")
     roots = components(first, "jaccard-roots")
 
     def rooted(df: DataFrame, sid: str, name: str) -> DataFrame:
         known = roots.select(F.col("node").alias(sid), F.col("root").alias(name))
         return df.hint("merge").join(known, sid, "left").withColumn(name, F.coalesce(name, sid))
 
-    members = grouped.select("sig", "sid", "n", "upper", F.col("low.sid").alias("led"))
-    members = rooted(rooted(members, "sid", "root"), "led", "main")
-    members = written(members, "jaccard-members")
-    open_groups = members.groupBy("sig").agg(F.max(F.col("root") != F.col("main")).alias("open"))
-    members = members.hint("merge").join(open_groups.where("open").select("sig"), "sig")
-    members = members.hint("merge").join(bits, ["sid", "n"])
-    members = written(members, "jaccard-open")
+    apart = rooted(rooted(star, "a", "a_root"), "b", "b_root").where("a_root != b_root")
+    apart = written(
+        apart.select(F.col("a").alias("low"), F.col("b").alias("sid")), "jaccard-apart"
+    )
+    outside = sieve.semi_join(grouped.select("sig", "sid", "low"), apart, ["low", "sid"])
+    opened = written(outside.select("sig").distinct(), "jaccard-opened")
+    members = sieve.semi_join(grouped.select("sig", "sid", "upper", "low"), opened, ["sig"])
+    members = rooted(rooted(members.distinct(), "sid", "root"), "low", "main")
+    members = written(members.hint("merge").join(bits, "sid"), "jaccard-members")
 
     def side(s: str) -> DataFrame:
-        names = {"sid": s, "n": f"{s}_n"} | {
-            c: f"{s}_{c}" for c in ("bits", "root", "main", "upper")
-        }
+        names = {"sid": s} | {c: f"{s}_{c}" for c in ("n", "bits", "root", "main", "upper")}
         return members.select("sig", *[F.col(c).alias(name) for c, name in names.items()])
 
-    apart = (
+    needed = (
         (F.col("a_root") != F.col("b_root"))
         & ~(F.col("a_upper") & F.col("b_upper"))
         & ((F.col("b_root") == F.col("b_main")) | (F.col("a") < F.col("b")))
         & _sizes_fit("a_n", "b_n", percent)
         & _bits_fit(percent)
     )
-    outside = side("a").where("a_root != a_main")
-    both = outside.hint("merge").join(side("b"), "sig").where(apart)
-    rest = written(both.select("a", "a_n", "b", "b_n").distinct(), "jaccard-rest")
-    second = _compared(docs, width, rest, percent, "jaccard-second")
+    strays = side("a").where("a_root != a_main")
+    rest = strays.hint("merge").join(side("b"), "sig").where(needed)
+    rest = rest.select("a", "a_n", "b", "b_n").distinct()
+    rest = rest.hint("merge").join(likely, ["a", "a_n", "b", "b_n"], "left_anti")
+    rest = written(rest, "jaccard-rest")
+    second = _compared(docs, ids, width, rest, percent, "jaccard-second")
     return components(first.unionByName(second), "jaccard-components")
 
 
 def _compared(
-    docs: DataFrame, width: int, pairs: DataFrame, percent: int, label: str
+    docs: DataFrame, ids: DataFrame, width: int, pairs: DataFrame, percent: int, label: str
 ) -> DataFrame:
-    """The similar ones of ``pairs``; only the sets of these pairs are made again."""
-    sids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    sets = written(_elements(docs, width, sids), f"{label}-sets")
+    """The similar ones of ``pairs``; only the sets of these pairs are made again.
+
+    Of the rows that share a set the one with the lowest id makes it.
+    """
+    sids = pairs.select(F.col("a").alias("sid")).unionByName(
+        pairs.select(F.col("b").alias("sid"))
+    )
+    sids = written(sids.distinct(), f"{label}-sids")
+    known = ids.where("sid IS NOT NULL").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "sid"
+    )
+    wanted = sieve.semi_join(known, sids, ["sid"]).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    sets = written(_elements(docs, width, written(wanted, f"{label}-rows")), f"{label}-sets")
     return written(_verified(pairs, sets, percent), label)
 
 
@@ -507,7 +513,7 @@ def jaccard_join(
     shared = sieve.shared_filter(rows, lambda batch: _keys_of(batch, width, signer.value))
     table = context.broadcast(shared)
     shown = written(_shown(rows, width, signer, table), "jaccard-shown")
-    roots = _links(rows, width, shown, percent)
+    roots = _links(rows, ids, width, shown, percent)
 
     known = roots.select(F.col("node").alias("sid"), "root")
     rooted = ids.hint("merge").join(known, "sid", "left")

@@ -1,7 +1,8 @@
 """A filter of fixed size for the 64-bit keys that occur in two or more places.
 
 It only saves work: a key that passes by mistake costs a row. The larger the data, the
-more pass, until the filter does nothing.
+more pass, until the filter does nothing. Keys are told apart by their first bits, which
+give the part, and their last 32.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from sparkpipe.llm.frames import mixed, tasks
 
 BITS = 28
 KEYS = 4
+LAST = np.uint64((1 << 32) - 1)
 
 
 def part_bits(docs: DataFrame) -> int:
@@ -24,7 +26,7 @@ def part_bits(docs: DataFrame) -> int:
 
 
 def _cell(keys: np.ndarray, k: int, cells: int) -> np.ndarray:
-    return mixed(keys + np.uint64(k + 1)) & np.uint64(cells - 1)
+    return mixed((keys & LAST) + np.uint64(k + 1)) & np.uint64(cells - 1)
 
 
 def shared_filter(
@@ -45,7 +47,7 @@ def shared_filter(
             found, twice = keys_of(batch)
             cuts = np.searchsorted(found >> np.uint64(64 - first), np.arange(parts + 1))
             rows = [
-                (p, found[a:b].tobytes(), twice[a:b].tobytes())
+                (p, found[a:b].astype(np.uint32).tobytes(), np.packbits(twice[a:b]).tobytes())
                 for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
                 if b > a
             ]
@@ -62,11 +64,12 @@ def shared_filter(
         for batch in batches:
             twice = batch.column("twice").to_pylist()
             for data, more in zip(batch.column("found").to_pylist(), twice):
-                found.append(np.frombuffer(data, np.uint64))
-                shared.append(found[-1][np.frombuffer(more, bool)])
+                found.append(np.frombuffer(data, np.uint32))
+                bits = np.unpackbits(np.frombuffer(more, np.uint8), count=len(found[-1]))
+                shared.append(found[-1][bits.astype(bool)])
         every = np.sort(np.concatenate(found))
         shared.append(every[1:][every[1:] == every[:-1]])
-        shared = np.unique(np.concatenate(shared))
+        shared = np.unique(np.concatenate(shared)).astype(np.uint64)
         row = np.zeros(cells, bool)
         for k in range(KEYS):
             row[_cell(shared, k, cells)] = True
@@ -92,3 +95,37 @@ def passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
         byte = table[part, cell >> np.uint64(3)]
         good &= (byte >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
     return good
+
+
+def row_keys(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """One key per row from some long columns."""
+    total = np.zeros(batch.num_rows, np.uint64)
+    for name in columns:
+        value = batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = mixed(total * np.uint64(3) + value.view(np.uint64))
+    return total
+
+
+def filter_of(wanted: DataFrame, columns: list[str]) -> np.ndarray:
+    """The filter of all rows of ``wanted``, by some long columns that are never null."""
+
+    def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        found = np.unique(row_keys(batch, columns))
+        return found, np.ones(len(found), bool)
+
+    return shared_filter(wanted.select(*columns), keys)
+
+
+def semi_join(df: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``df`` that ``wanted`` has by some long columns, never null.
+
+    Most others go where they are read; only what is left is shuffled.
+    """
+    table = df.sparkSession.sparkContext.broadcast(filter_of(wanted, columns))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes(row_keys(batch, columns), table.value)))
+
+    left = df.mapInArrow(keep, df.schema)
+    return left.hint("merge").join(wanted.select(*columns), columns, "left_semi")
