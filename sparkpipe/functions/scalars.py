@@ -10,13 +10,14 @@ from pyspark.sql import Column, functions as F
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER = r"^\s*[+-]?\d+(\.0*)?\s*$"
 ISO_TIME = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 )
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def amount_or_zero(amount: Column, numeric: str = "double") -> Column:
-    return F.when(amount.isNull(), F.lit(0.0)).otherwise(amount.try_cast(numeric))
+    """An absent amount is zero; one that is no number is NULL."""
+    return F.coalesce(amount.try_cast(numeric), F.when(amount.isNull(), F.lit(0.0)))
 
 
 def clean_code(text: Column) -> Column:
@@ -24,7 +25,7 @@ def clean_code(text: Column) -> Column:
 
 
 def zero_flag(amount: Column) -> Column:
-    return F.when(amount == 0.0, True).otherwise(False)
+    return F.coalesce(amount == 0.0, F.lit(False))
 
 
 def mask(identifier: Column) -> Column:
@@ -34,6 +35,8 @@ def mask(identifier: Column) -> Column:
 def typed(text: Column, kind: str) -> Column:
     """Text to a typed value, NULL when the text does not have that form.
 
+    Digits of a second beyond the sixth are cut off.
+
     Spark's cast reads more forms than a contract should allow ("1d", a bare
     year, a time of day that takes on today's date), hence the patterns.
     """

@@ -12,7 +12,22 @@ from sparkpipe.operators.decode import decode_text
 from sparkpipe.schemas import Field, fields_of
 
 
-def reason(field: Field, text: Column, value: Column) -> Column:
+def present(field: Field, given: Column) -> Column:
+    """Whether the field is there; a JSON null counts as absent."""
+    if field.type != "string":
+        return given.isNotNull()
+    return given.isNotNull() & ~F.is_variant_null(given)
+
+
+def text_of(field: Field, given: Column) -> Column:
+    """The field as text; of a text field only what is text in the JSON."""
+    if field.type != "string":
+        return given
+    is_text = F.schema_of_variant(given) == "STRING"
+    return F.when(is_text, F.variant_get(given, "$", "string"))
+
+
+def reason(field: Field, there: Column, text: Column, value: Column) -> Column:
     """The first rule the field breaks, as ``name:rule``, or NULL."""
     broken = F.lit(None).cast("string")
     if field.max_length is not None:
@@ -21,12 +36,9 @@ def reason(field: Field, text: Column, value: Column) -> Column:
         ).otherwise(broken)
     if field.gt is not None:
         broken = F.when(~(value > field.gt), F.lit(f"{field.name}:gt")).otherwise(broken)
-    if field.type != "string":
-        broken = F.when(text.isNotNull() & value.isNull(), F.lit(f"{field.name}:type")).otherwise(
-            broken
-        )
+    broken = F.when(there & value.isNull(), F.lit(f"{field.name}:type")).otherwise(broken)
     if field.required:
-        broken = F.when(text.isNull(), F.lit(f"{field.name}:required")).otherwise(broken)
+        broken = F.when(~there, F.lit(f"{field.name}:required")).otherwise(broken)
     return broken
 
 
@@ -38,20 +50,24 @@ def check(df: DataFrame, domain: str, value: str = "value") -> DataFrame:
     record meets its contract.
     """
     fields = fields_of(domain)
+    given = {f: F.col(f"fields.{f.name}") for f in fields}
     parsed = evaluated(
         decode_text(df, domain, value),
         "record",
-        F.struct(*[typed(F.col(f"fields.{f.name}"), f.type).alias(f.name) for f in fields]),
+        F.struct(*[typed(text_of(f, g), f.type).alias(f.name) for f, g in given.items()]),
     )
     absent = reduce(
         lambda a, b: a & b,
         [
-            F.col(f"fields.{f.name}").isNull()
-            for f in fields
+            ~present(f, g)
+            for f, g in given.items()
             if f.required and f.name != "timestamp"
         ],
     )
-    broken = [reason(f, F.col(f"fields.{f.name}"), F.col(f"record.{f.name}")) for f in fields]
+    broken = [
+        reason(f, present(f, g), text_of(f, g), F.col(f"record.{f.name}"))
+        for f, g in given.items()
+    ]
     reasons = F.array_except(F.array(*broken), F.array(F.lit(None).cast("string")))
     return (
         parsed.withColumn("reasons", reasons)

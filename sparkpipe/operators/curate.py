@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkpipe.functions.scalars import amount_or_zero, clean_code, mask, zero_flag
 from sparkpipe.operators.joins import keyed_join
+from sparkpipe.operators.merge import unique_by_key
 
 
 def cleanse(df: DataFrame, numeric: str = "double") -> DataFrame:
@@ -21,12 +22,15 @@ def cleanse(df: DataFrame, numeric: str = "double") -> DataFrame:
 def enrich(df: DataFrame, lookup: DataFrame | None, small: bool | None = None) -> DataFrame:
     """Add ``enriched_category``: the lookup's category, else the record's own.
 
-    Without a lookup the record's own category is used.
+    Without a lookup the record's own category is used. A merchant must be in the
+    lookup once only; its rows without a merchant match nothing.
     """
     if lookup is None:
         return df.withColumn("enriched_category", F.col("category"))
     side = lookup.select("merchant_id", F.col("category").alias("_lookup_category"))
-    joined = keyed_join(df, side, ["merchant_id"], "left", small)
+    side = unique_by_key(side.filter(F.col("merchant_id").isNotNull()), ["merchant_id"])
+    known = ["transaction_id"] if "transaction_id" in df.columns else None
+    joined = keyed_join(df, side, ["merchant_id"], "left", small, salt_by=known)
     return joined.withColumn(
         "enriched_category", F.coalesce("_lookup_category", "category")
     ).drop("_lookup_category")

@@ -54,8 +54,9 @@ def keyed_join(
     on: Sequence[str],
     how: str = "left",
     small: bool | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to ``keyed`` on equally named columns.
+    """Join ``facts`` to ``keyed`` on equally named columns of equal types.
 
     A measured-small ``keyed`` is broadcast and ``facts`` is not shuffled. Any
     larger one goes through :func:`salted_join`. ``small`` carries over the
@@ -63,9 +64,17 @@ def keyed_join(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
+    same_types(facts, keyed, on)
     if fits_broadcast(keyed) if small is None else small:
         return facts.join(F.broadcast(keyed), list(on), how)
-    return salted_join(facts, keyed, on, how)
+    return salted_join(facts, keyed, on, how, salt_by=salt_by)
+
+
+def same_types(facts: DataFrame, keyed: DataFrame, on: Sequence[str]) -> None:
+    """Refuse keys of two types, at every size: how they would be cast is a guess."""
+    for name in on:
+        if facts.schema[name].dataType != keyed.schema[name].dataType:
+            raise ValueError(f"join column {name} has two types")
 
 
 def salted_join(
@@ -75,6 +84,7 @@ def salted_join(
     how: str = "left",
     salts: int | None = None,
     hot_share: float = HOT_SHARE,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Shuffled join that spreads the rows of hot and NULL keys over all tasks.
 
@@ -85,12 +95,13 @@ def salted_join(
     happen to fall on the tasks.
 
     The salt depends on row content and input partition alone, so a task that
-    runs again after a lost executor sends each row to the same place.
+    runs again after a lost executor sends each row to the same place. Columns in
+    ``salt_by`` that tell rows apart keep it from reading all others. The join is
+    hinted, as a side that was measured as too large must not be broadcast after
+    all because its files look small.
     """
     on = list(on)
-    for name in on:
-        if facts.schema[name].dataType != keyed.schema[name].dataType:
-            raise ValueError(f"join column {name} has two types")
+    same_types(facts, keyed, on)
     salts = salts or 4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64(*on).alias("_key")
     total = facts.agg(F.count("*")).scalar()
@@ -101,7 +112,7 @@ def salted_join(
         .filter(F.col("_rows") > total * hot_share)
         .select("_key", F.lit(True).alias("_hot"))
     )
-    hashable = [f.name for f in facts.schema.fields if not _has_map(f.dataType)]
+    hashable = list(salt_by or without_maps(facts))
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(salts)).cast("int")
     left = (
@@ -119,7 +130,12 @@ def salted_join(
         .withColumn("_salt", F.explode(copies))
         .drop("_key", "_hot")
     )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
+def without_maps(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and ordered."""
+    return [f.name for f in df.schema.fields if not _has_map(f.dataType)]
 
 
 def _has_map(kind: T.DataType) -> bool:

@@ -2,94 +2,108 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sparkpipe.functions.scalars import changed
-from sparkpipe.operators.joins import fits_broadcast, keyed_join, measured_small
+from sparkpipe.operators.joins import fits_broadcast, keyed_join, same_types, without_maps
+from sparkpipe.session import work_dir
 
 INSERT, PREIMAGE, POSTIMAGE, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
 
 def unique_by_key(
-    source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
+    source: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
+    what: str = "for merge key",
 ) -> DataFrame:
-    """One row per key, by an aggregate that collapses copies before the shuffle.
+    """One row per key, through a single shuffle on the key that a join can build on.
 
     A NULL key is an error. Two rows for one key are an error too, unless
     ``order_by`` is given: then the greatest wins, ties being settled by the
-    remaining columns.
+    remaining columns that have an order (maps have none). Of a crowded key each
+    task passes on one row only.
     """
-    keys = list(keys)
-    rest = [c for c in source.columns if c not in keys]
-    rank = F.struct(*(order_by or [F.lit(0).alias("none")])).alias("rank")
-    row = F.struct(*(rest or [F.lit(0).alias("none")])).alias("row")
-    grouped = source.groupBy(*keys).agg(
-        F.count("*").alias("_copies"), F.max(F.struct(rank, row)).alias("_best")
-    )
+    by_key = Window.partitionBy(*keys)
     name = F.to_json(F.struct(*keys))
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    # Tied to the count, or the optimizer would carry the check over to the target's keys.
-    fault = F.when(missing & (F.col("_copies") > 0), F.concat(F.lit("NULL in merge key "), name))
-    if not order_by:
+    fault = F.when(missing, F.concat(F.lit("NULL in merge key "), name))
+    if order_by:
+        rest = [c for c in without_maps(source) if c not in (*keys, *order_by)]
+        last = by_key.orderBy(*[F.col(c).desc() for c in [*order_by, *rest]])
+        picked = source.withColumn("_place", F.row_number().over(last)).filter("_place = 1")
+    else:
+        picked = source.withColumn("_place", F.count("*").over(by_key))
         fault = fault.when(
-            F.col("_copies") > 1, F.concat(F.lit("more than one row for merge key "), name)
+            F.col("_place") > 1, F.concat(F.lit(f"more than one row {what} "), name)
         )
-    checked = grouped.filter(F.assert_true(fault.isNull(), fault).isNull())
-    return checked.select(*keys, *[F.col(f"_best.row.{c}").alias(c) for c in rest]).select(
-        *source.columns
-    )
+    return picked.filter(F.assert_true(fault.isNull(), fault).isNull()).drop("_place")
+
+
+def _settled(source: DataFrame) -> DataFrame:
+    """A written copy, so that every later look sees the same rows and faults show now."""
+    folder = work_dir(source.sparkSession, "merge-source")
+    source.write.parquet(folder)
+    return source.sparkSession.read.schema(source.schema).parquet(folder)
 
 
 def _sides(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None
-) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
-    """The source by key, the same with its columns prefixed, the target rows it
-    can match, and whether it is small.
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None,
+    small: bool | None,
+) -> tuple[DataFrame, DataFrame, bool]:
+    """The source by key with its other columns prefixed, the target rows it can
+    match, and whether it is small.
 
     For a small source those are the target rows in the range of its keys. The
     range reaches the scan as a filter, so that files and row groups beyond it
     are skipped where the table lies in key order, as it does when keys grow
     with time.
     """
-    key = keys[0]
+    same_types(target, source, keys)
+    small = fits_broadcast(source) if small is None else small
+    near, key = target, keys[0]
     src = unique_by_key(source, keys, order_by)
-    renamed = src.select(
-        *keys, *[F.col(c).alias(f"_s_{c}") for c in src.columns if c not in keys]
-    )
-    found = measured_small(source, [F.min(key).alias("low"), F.max(key).alias("high")])
-    near = target
-    if found is not None and found.low is not None:
-        if isinstance(target.schema[key].dataType, (T.IntegralType, T.StringType)):
-            near = target.filter(F.col(key).between(found.low, found.high))
-    return src, renamed, near, found is not None
+    if small:
+        src = _settled(src)
+        low, high = src.agg(F.min(key), F.max(key)).first()
+        ordered = isinstance(target.schema[key].dataType, (T.IntegralType, T.StringType))
+        if low is not None and ordered:
+            near = target.filter(F.col(key).between(low, high))
+    others = [F.col(c).alias(f"_s_{c}") for c in src.columns if c not in keys]
+    return src.select(*keys, *others, F.lit(True).alias("_given")), near, small
 
 
 def _source_value(name: str, keys: Sequence[str]) -> Column:
     return F.col(name if name in keys else f"_s_{name}")
 
 
-def _fresh(
-    target: DataFrame, source: DataFrame, src: DataFrame, keys: Sequence[str], small: bool
-) -> DataFrame:
-    """Source rows whose key the target lacks.
+def _inserted(columns: Sequence[str], insert: Mapping[str, str], keys: Sequence[str]) -> list:
+    return [
+        (_source_value(insert[c], keys) if c in insert else F.lit(None)).alias(c) for c in columns
+    ]
 
-    A small source first picks its own keys out of the target, so the target's
-    keys are never shuffled; the picked keys are no more than the source's.
-    """
-    keys = list(keys)
-    if small:
-        found = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        return src.join(F.broadcast(found.distinct()), keys, "left_anti")
-    return src.join(target.select(*keys).distinct(), keys, "left_anti")
 
+def _updated(columns: Sequence[str], update: Mapping[str, str], keys: Sequence[str]) -> list:
+    return [
+        (_source_value(update[c], keys) if c in update else F.col(c)).alias(c) for c in columns
+    ]
 
-def _inserted(fresh: DataFrame, columns: Iterable[str], insert: Mapping[str, str]) -> DataFrame:
-    return fresh.select(
-        *[F.col(insert[c]).alias(c) if c in insert else F.lit(None).alias(c) for c in columns]
-    )
+
+def _fresh(near: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a small source whose key the target lacks.
+
+    The source first picks its own keys out of the target, so the target's keys
+    are never shuffled; the picked keys are no more than the source's.
+    """
+    keys = list(keys)
+    found = near.select(*keys).join(F.broadcast(src.select(*keys)), keys, "left_semi")
+    return src.join(F.broadcast(found.distinct()), keys, "left_anti")
 
 
 def merge(
@@ -99,25 +113,41 @@ def merge(
     update: Mapping[str, str],
     insert: Mapping[str, str],
     order_by: Sequence[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """The target after a keyed merge.
 
     ``update`` and ``insert`` map target columns to source columns. A matched
     row takes the ``update`` columns and keeps the others; an unmatched source
-    row is inserted. The target is not shuffled when the source is small.
+    row is inserted. The target is not shuffled when the source is small; else
+    both are shuffled once and one outer join gives updates and inserts together.
     """
-    src, renamed, near, small = _sides(target, source, keys, order_by)
-    matched = keyed_join(target, renamed.withColumn("_hit", F.lit(True)), keys, "left", small)
-    kept = matched.select(
+    keys, columns = list(keys), target.columns
+    src, near, small = _sides(target, source, keys, order_by, small)
+    given = F.coalesce("_given", F.lit(False))
+    if small:
+        matched = target.join(F.broadcast(src), keys, "left")
+        kept = matched.select(
+            *[
+                F.when(given, new).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+                for c, new in zip(columns, _updated(columns, update, keys))
+            ]
+        )
+        fresh = _fresh(near, src, keys).select(*_inserted(columns, insert, keys))
+        return kept.unionByName(fresh)
+    both = target.withColumn("_there", F.lit(True)).join(src.hint("merge"), keys, "full_outer")
+    values = zip(
+        columns, _updated(columns, update, keys), _inserted(columns, insert, keys), strict=True
+    )
+    return both.select(
         *[
-            F.when(F.col("_hit"), _source_value(update[c], keys)).otherwise(F.col(c)).alias(c)
-            if c in update
-            else F.col(c)
-            for c in target.columns
+            F.when(F.col("_there").isNull(), added)
+            .when(given, changed_to)
+            .otherwise(F.col(c))
+            .alias(c)
+            for c, changed_to, added in values
         ]
     )
-    fresh = _fresh(near, source, src, keys, small)
-    return kept.unionByName(_inserted(fresh, target.columns, insert))
 
 
 def upsert(
@@ -135,6 +165,29 @@ def full_row(columns: Sequence[str], keys: Sequence[str]) -> tuple[dict[str, str
     return {c: c for c in columns if c not in keys}, {c: c for c in columns}
 
 
+def merge_table(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    update: Mapping[str, str],
+    insert: Mapping[str, str],
+    order_by: Sequence[str] | None = None,
+) -> None:
+    """The same merge by the table's own engine, where its format supports one."""
+    named = unique_by_key(source, keys, order_by).alias("s")
+    condition = reduce(
+        lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in keys]
+    )
+    (
+        named.mergeInto(table, condition)
+        .whenMatched()
+        .update({c: F.col(f"s.{v}") for c, v in update.items()})
+        .whenNotMatched()
+        .insert({c: F.col(f"s.{v}") for c, v in insert.items()})
+        .merge()
+    )
+
+
 def merge_feed(
     target: DataFrame,
     source: DataFrame,
@@ -143,30 +196,38 @@ def merge_feed(
     insert: Mapping[str, str],
     order_by: Sequence[str] | None = None,
     compare: Sequence[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """The change rows of a merge, without computing the merged table.
 
     Its size follows the source, not the target. With ``compare``, a matched
     row counts as an update only if one of those target columns changes.
     """
-    columns = target.columns
-    src, renamed, near, small = _sides(target, source, keys, order_by)
-    matched = keyed_join(near, renamed, keys, "inner", small)
+    keys, columns = list(keys), target.columns
+    src, near, small = _sides(target, source, keys, order_by, small)
+    there = near.withColumn("_there", F.lit(True))
+    if small:
+        matched = there.join(F.broadcast(src), keys)
+        missed = _fresh(near, src, keys).select(*_inserted(columns, insert, keys))
+        missed = missed.withColumn("_change_type", F.lit(INSERT))
+    else:
+        matched = src.join(there.hint("merge"), keys, "left")
+        missed = None
+    differs = F.lit(True)
     if compare is not None:
-        matched = matched.filter(
-            changed([(F.col(c), _source_value(update[c], keys)) for c in compare if c in update])
+        differs = changed(
+            [(F.col(c), _source_value(update[c], keys)) for c in compare if c in update]
         )
+    kind = matched.select(*columns).schema
     before = F.struct(*columns, F.lit(PREIMAGE).alias("_change_type"))
-    after = F.struct(
-        *[
-            (_source_value(update[c], keys) if c in update else F.col(c)).alias(c)
-            for c in columns
-        ],
-        F.lit(POSTIMAGE).alias("_change_type"),
-    )
-    images = matched.select(F.explode(F.array(before, after)).alias("image")).select("image.*")
-    fresh = _inserted(_fresh(near, source, src, keys, small), columns, insert)
-    return images.unionByName(fresh.withColumn("_change_type", F.lit(INSERT)))
+    after = F.struct(*_updated(columns, update, keys), F.lit(POSTIMAGE).alias("_change_type"))
+    images = F.when(F.col("_there") & differs, F.array(before, after))
+    if missed is None:
+        added = [v.cast(kind[c].dataType).alias(c) for c, v in zip(columns, _inserted(columns, insert, keys))]
+        new = F.struct(*added, F.lit(INSERT).alias("_change_type"))
+        images = images.when(F.col("_there").isNull(), F.array(new))
+    rows = matched.select(F.explode(images).alias("image")).select("image.*")
+    return rows if missed is None else rows.unionByName(missed)
 
 
 def change_feed(
@@ -174,29 +235,26 @@ def change_feed(
 ) -> DataFrame:
     """Row changes between two versions of a table.
 
-    Both versions go through one aggregate on the key, so there is one shuffle
-    and no join; a key occurring twice in a version is an error. Columns in
-    ``ignore`` (audit times) do not by themselves make a change.
+    Each version is shuffled once, by key, and one outer join compares them; a key
+    occurring twice in a version is an error. Columns in ``ignore`` (audit times) do
+    not by themselves make a change. Columns that have no order, as maps, are
+    compared as JSON.
     """
-    keys = list(keys)
-    columns = before.columns
+    keys, columns = list(keys), before.columns
+    plain = without_maps(before)
     compared = [c for c in columns if c not in keys and c not in ignore]
-    row = F.struct(*columns)
-    both = before.select(row.alias("_row"), F.lit(0).alias("_side")).unionByName(
-        after.select(*columns).select(row.alias("_row"), F.lit(1).alias("_side"))
-    )
-    sides = both.groupBy(*[F.col(f"_row.{k}").alias(k) for k in keys]).agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_row"))).alias("_old"),
-        F.max(F.when(F.col("_side") == 1, F.col("_row"))).alias("_new"),
-        F.count_if(F.col("_side") == 0).alias("_olds"),
-        F.count_if(F.col("_side") == 1).alias("_news"),
-    )
-    single = F.assert_true(
-        (F.col("_olds") <= 1) & (F.col("_news") <= 1),
-        F.concat(F.lit("more than one row in a version for key "), F.to_json(F.struct(*keys))),
-    )
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        whole = unique_by_key(df.select(*columns), keys, what="in a version for key")
+        return whole.select(*keys, F.struct(*columns).alias(name))
+
+    both = side(before, "_old").join(side(after, "_new").hint("merge"), keys, "full_outer")
     old, new = F.col("_old"), F.col("_new")
-    differs = changed([(F.col(f"_old.{c}"), F.col(f"_new.{c}")) for c in compared])
+
+    def value(side: str, c: str) -> Column:
+        return F.col(f"{side}.{c}") if c in plain else F.to_json(F.struct(f"{side}.{c}"))
+
+    differs = changed([(value("_old", c), value("_new", c)) for c in compared])
 
     def image(side: str, kind: str) -> Column:
         return F.struct(
@@ -208,29 +266,17 @@ def change_feed(
         .when(old.isNull(), F.array(image("_new", INSERT)))
         .when(differs, F.array(image("_old", PREIMAGE), image("_new", POSTIMAGE)))
     )
-    return (
-        sides.filter(single.isNull()).select(F.explode(images).alias("image")).select("image.*")
-    )
+    return both.select(F.explode(images).alias("image")).select("image.*")
 
 
 def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after the changes; later ``_commit_version`` wins per key."""
     columns = before.columns
     version = F.col("_commit_version") if "_commit_version" in feed.columns else F.lit(0)
-    last = (
-        feed.filter(F.col("_change_type") != PREIMAGE)
-        .groupBy(*keys)
-        .agg(
-            F.max(
-                F.struct(
-                    version.alias("version"),
-                    F.col("_change_type").alias("kind"),
-                    F.struct(*columns).alias("row"),
-                )
-            ).alias("_last")
-        )
-    )
+    changes = feed.filter(F.col("_change_type") != PREIMAGE)
+    changes = changes.withColumn("_commit_version", version)
+    last = unique_by_key(changes, keys, ["_commit_version", "_change_type"])
     small = fits_broadcast(feed.select(*keys))
-    kept = keyed_join(before, last.select(*keys), keys, "left_anti", small)
-    live = last.filter(F.col("_last.kind") != DELETE).select("_last.row.*")
+    kept = keyed_join(before, last.select(*keys), keys, "left_anti", small, salt_by=keys)
+    live = last.filter(F.col("_change_type") != DELETE).select(*columns)
     return kept.unionByName(live)

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkpipe.functions.once import evaluated
 from sparkpipe.functions.scalars import JSON_TIME
+from sparkpipe.operators.decode import STRICT
 from sparkpipe.schemas import TOPIC_NOUNS
 
 # Layout of an object-store notification.
@@ -19,6 +21,10 @@ OBJECT_EVENT = """
 """
 
 
+# Fixed value: the field a stamped record carries.
+STAMP = "processed_timestamp"
+
+
 def request_body(df: DataFrame, value: str) -> DataFrame:
     """Replace a request envelope by its ``body`` where that is text.
 
@@ -32,20 +38,32 @@ def request_body(df: DataFrame, value: str) -> DataFrame:
 def stamp_json(df: DataFrame, value: str, as_of: Column) -> DataFrame:
     """Add ``stamped`` and ``status_code`` to JSON text records.
 
-    An object gets a ``processed_timestamp`` and 200, anything else 400. The
-    field goes last, where it outranks one of that name already there.
+    An object in strict JSON gets a ``processed_timestamp`` and 200, anything else
+    400. A field of that name already there is replaced; only such a record is written
+    anew, all others keep their text.
     """
     text = F.trim(F.col(value))
-    items = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    fields = F.when(items == 1, F.size(F.json_object_keys(text)))
+    strict = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", STRICT)
+    items = F.size(strict)
+    members = F.when(items == 1, F.get(strict, F.lit(0)))
+    fields = F.when(members.isNotNull(), F.size(members))
     time = F.date_format(as_of, JSON_TIME)
+    others = F.map_filter(members, lambda k, _: k != STAMP)
+    anew = F.concat(
+        F.regexp_replace(F.to_json(others), r"\}$", ""),
+        F.when(F.size(others) > 0, F.lit(",")).otherwise(F.lit("")),
+        F.lit(f'"{STAMP}":"'),
+        time,
+        F.lit('"}'),
+    )
     stamped = F.concat(
         F.regexp_replace(text, r"\s*\}\s*$", ""),
         F.when(fields > 0, F.lit(", ")).otherwise(F.lit("")),
-        F.lit('"processed_timestamp": "'),
+        F.lit(f'"{STAMP}": "'),
         time,
         F.lit('"}'),
     )
+    stamped = F.when(F.map_contains_key(members, STAMP), anew).otherwise(stamped)
     good = fields >= 0
     return df.withColumn("stamped", F.when(good, stamped)).withColumn(
         "status_code", F.when(good, 200).otherwise(400)
@@ -74,12 +92,22 @@ def publish_messages(messages: DataFrame, fmt: str = "kafka", **options: str) ->
 
 
 def object_events(df: DataFrame, value: str = "value") -> DataFrame:
-    """One row per record of each notification, not only the first record."""
-    event = F.from_json(F.col(value).cast("string"), OBJECT_EVENT)
-    return df.select(F.explode(event["Records"]).alias("r")).select(
-        F.coalesce("r.eventName", F.lit("N/A")).alias("event_name"),
+    """One row per record of each notification, not only the first record.
+
+    A notification that is no JSON, or has no records, stays as one row with a
+    ``reason`` and nothing else; all other rows have none.
+    """
+    event = F.from_json(F.col(value).cast("string"), OBJECT_EVENT, STRICT)
+    read = evaluated(df.select(value), "event", event).select(
+        F.explode_outer("event.Records").alias("r"), F.col(value).alias("_value")
+    )
+    members = F.from_json("_value", "map<string,variant>", STRICT)
+    why = F.when(members.isNull(), F.lit("unreadable")).otherwise(F.lit("no records"))
+    return read.select(
+        F.when(F.col("r").isNotNull(), F.coalesce("r.eventName", F.lit("N/A"))).alias("event_name"),
         F.col("r.s3.bucket.name").alias("bucket"),
         F.col("r.s3.object.key").alias("object_key"),
         F.col("r.s3.object.eTag").alias("etag"),
         F.col("r.s3.object.size").alias("size"),
+        F.when(F.col("r").isNull(), why).alias("reason"),
     )

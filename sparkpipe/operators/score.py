@@ -19,7 +19,7 @@ OUTPUT = ("transaction_id", "amount", "category", "fraud_prediction", "fraud_pro
 
 
 def label(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    return df.withColumn("label", F.when(F.col("amount") > threshold, 1).otherwise(0))
+    return df.withColumn("label", F.coalesce((F.col("amount") > threshold).cast("int"), F.lit(0)))
 
 
 def features(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -42,17 +42,35 @@ def fit(
     n rows are kept in memory, as each look at them would scan the table again.
     """
     rows = featured.select("transaction_id", "amount", "feature_1", "label")
-    if n is not None:
-        rows = training_subset(rows, "transaction_id", n).persist()
-    rows = rows.filter(F.col("amount").isNotNull())
-    low, high = rows.agg(F.min("label"), F.max("label")).first()
-    if low is None or low == high:
-        return None
-    assembler = VectorAssembler(inputCols=["amount", "feature_1"], outputCol="features")
-    model = LogisticRegression(
-        featuresCol="features", labelCol="label", **(SETTINGS if settings is None else settings)
-    )
-    return Pipeline(stages=[assembler, model]).fit(rows)
+    kept = rows if n is None else training_subset(rows, "transaction_id", n).persist()
+    try:
+        present = kept.filter(F.col("amount").isNotNull())
+        low, high = present.agg(F.min("label"), F.max("label")).first()
+        if low is None or low == high:
+            return None
+        assembler = VectorAssembler(inputCols=["amount", "feature_1"], outputCol="features")
+        model = LogisticRegression(
+            featuresCol="features", labelCol="label", **(SETTINGS if settings is None else settings)
+        )
+        return Pipeline(stages=[assembler, model]).fit(present)
+    finally:
+        if n is not None:
+            kept.unpersist()
+
+
+def score_linear(featured: DataFrame, intercept: float, weights: dict[str, float]) -> DataFrame:
+    """Score with given coefficients: plain column arithmetic, a logistic of the sum.
+
+    A row that lacks one of the weighted columns gets 0.0 and NULL.
+    """
+    total = F.lit(intercept)
+    for name, weight in weights.items():
+        total = total + F.col(name) * weight
+    probability = 1 / (1 + F.exp(-total))
+    positive = F.coalesce((probability > 0.5).cast("double"), F.lit(0.0))
+    return featured.withColumns(
+        {"fraud_prediction": positive, "fraud_probability": probability}
+    ).select(*OUTPUT)
 
 
 def score(featured: DataFrame, model: PipelineModel | None) -> DataFrame:

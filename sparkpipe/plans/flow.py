@@ -7,8 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparkpipe.operators.contracts import check, typed_records
 from sparkpipe.operators.curate import curate
 from sparkpipe.operators.quality import curated_rules, gate, rule_suite
-from sparkpipe.operators.score import THRESHOLD, TRAINING_ROWS, features, fit, score
-from sparkpipe.operators.versions import publish
+from sparkpipe.operators.score import (
+    THRESHOLD,
+    TRAINING_ROWS,
+    features,
+    fit,
+    score,
+    score_linear,
+)
+from sparkpipe.sources.tables import write_table
 
 
 def curated_records(messages: DataFrame, domain: str, value: str = "value") -> DataFrame:
@@ -24,19 +31,22 @@ def messages_to_scored(
     spark: SparkSession,
     messages: DataFrame,
     lookup: DataFrame | None,
-    curated_root: str,
+    curated_path: str,
     must_pass: tuple[str, ...] = ("transaction_id_present", "amount_not_negative", "account_masked"),
     threshold: float = THRESHOLD,
     training_rows: int | None = TRAINING_ROWS,
+    weights: tuple[float, dict[str, float]] | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
-    """Curate, publish, gate on the published rows, then score them.
+    """Curate, write, gate on the written rows, then score them.
 
-    The published version cuts the lineage: gate, fit and scoring read it
-    instead of decoding the messages again.
+    The written table cuts the lineage: gate, fit and scoring read it instead of
+    decoding the messages again. With a given model nothing is fitted.
     """
-    version = publish(messages_to_curated(messages, lookup), curated_root)
-    curated = spark.read.parquet(f"{curated_root}/data/version={version}")
+    curated = write_table(messages_to_curated(messages, lookup), curated_path, fmt)
     rules = curated_rules()
     gate(rule_suite(curated, {name: rules[name] for name in must_pass}))
     featured = features(curated, threshold)
+    if weights is not None:
+        return score_linear(featured, *weights)
     return score(featured, fit(featured, training_rows))

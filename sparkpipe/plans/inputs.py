@@ -25,30 +25,42 @@ def _currency(key: Column) -> Column:
 
 
 def transactions(events: DataFrame) -> DataFrame:
-    """Uncleansed transactions: missing and zero amounts, padded lower-case codes."""
-    kind = F.col("event_type")
-    return events.select(
+    """Uncleansed transactions: missing and zero amounts, padded lower-case codes.
+
+    Some come twice, some without a merchant, some with one nobody knows.
+    """
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    merchant = F.when(F.col("event_id") % 11 == 0, None).when(
+        F.col("event_id") % 13 == 0, F.concat(F.lit("M"), user)
+    )
+    times = F.when(F.col("event_id") % 17 == 0, 2).otherwise(1)
+    twice = events.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
+    return twice.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("ts").alias("timestamp"),
         F.col("user_id").cast("string").alias("account_id"),
         F.when(kind == "error", None).when(kind == "view", 0.0).otherwise(F.col("value")).alias("amount"),
         F.concat(F.lit(" "), F.lower(_currency(F.col("event_id"))), F.lit(" ")).alias("currency"),
         kind.alias("transaction_type"),
-        F.col("user_id").cast("string").alias("merchant_id"),
+        merchant.otherwise(user).alias("merchant_id"),
         F.when(F.col("event_id") % 4 != 0, kind).alias("category"),
     )
 
 
 def merchants(customer: DataFrame) -> DataFrame:
-    """Lookup of the well-funded customers; the others stay without a match."""
-    return customer.filter(F.col("c_acctbal") > 4000).select(
+    """Every customer as a merchant."""
+    return customer.select(
         F.col("c_custkey").cast("string").alias("merchant_id"),
         F.col("c_mktsegment").alias("category"),
     )
 
 
+#: A stamp that a record may already carry.
+STAMPED_BEFORE = '"processed_timestamp": "2020-01-01T00:00:00.000000Z"'
+
+
 def payloads(events: DataFrame) -> DataFrame:
-    """JSON messages, some of them broken in one of seven ways by ``event_id``."""
+    """JSON messages, some of them broken or odd in a way that ``event_id`` decides."""
     events = instants(events)
     fault = F.col("event_id") % 50
     amount = (
@@ -64,10 +76,14 @@ def payloads(events: DataFrame) -> DataFrame:
             F.concat(F.lit('"transaction_id": "'), F.col("event_id").cast("string"), F.lit('", '))
         ),
         F.lit('"timestamp": "'),
-        time,
-        F.lit('", "account_id": "'),
-        F.col("user_id").cast("string"),
-        F.lit('", "amount": '),
+        F.when(fault == 11, F.concat(F.substring(time, 1, 26), F.lit("789Z"))).otherwise(time),
+        F.lit('", "account_id": '),
+        F.when(fault == 7, "5")
+        .when(fault == 8, "true")
+        .when(fault == 9, '{"x":1}')
+        .otherwise(F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"'))),
+        F.when(fault == 12, f', "category": "gift", "is_flagged": true, {STAMPED_BEFORE}').otherwise(""),
+        F.lit(', "amount": '),
         amount,
         F.lit(', "currency": "'),
         F.when(fault == 5, "USDX").otherwise(_currency(F.col("event_id"))),
@@ -82,7 +98,11 @@ def payloads(events: DataFrame) -> DataFrame:
     )
     return events.select(
         "event_id",
-        F.when(fault == 0, "not json").when(fault == 3, malformed).otherwise(record).alias("value"),
+        F.when(fault == 0, "not json")
+        .when(fault == 3, malformed)
+        .when(fault == 10, F.replace(record, F.lit('"'), F.lit("'")))
+        .otherwise(record)
+        .alias("value"),
     )
 
 
@@ -92,22 +112,37 @@ def requests(events: DataFrame) -> DataFrame:
 
 
 def claim_payloads(orders: DataFrame) -> DataFrame:
+    """Claims, some with an amount that is missing, negative or no number, some with a
+    number for text, some no JSON."""
+    fault = F.col("o_orderkey") % 20
     time = F.date_format(F.col("o_orderdate").cast("timestamp"), JSON_TIME)
     record = F.struct(
         F.col("o_orderkey").cast("string").alias("claim_id"),
         time.alias("timestamp"),
         F.col("o_custkey").cast("string").alias("policy_number"),
-        F.when(F.col("o_orderkey") % 20 != 0, F.col("o_totalprice")).alias("claim_amount"),
+        F.when(fault == 1, -F.col("o_totalprice"))
+        .when(fault != 0, F.col("o_totalprice"))
+        .alias("claim_amount"),
         F.col("o_orderpriority").alias("claim_type"),
         F.col("o_orderstatus").alias("claim_status"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         time.alias("incident_date"),
     )
-    return orders.select("o_orderkey", F.to_json(record).alias("value"))
+    no_number = record.withField("claim_amount", F.lit("much"))
+    no_text = record.withField("policy_number", F.col("o_custkey"))
+    value = (
+        F.when(fault == 2, F.to_json(no_number))
+        .when(fault == 3, "not json")
+        .when(fault == 4, F.to_json(no_text))
+        .otherwise(F.to_json(record))
+    )
+    return orders.select("o_orderkey", value.alias("value"))
 
 
 def sports_payloads(events: DataFrame) -> DataFrame:
-    odd = F.col("event_id") % 2 == 1
+    """Results, some without a status, with text for a score, a number for a team, or
+    no JSON."""
+    odd, fault = F.col("event_id") % 2 == 1, F.col("event_id") % 30
     user = F.col("user_id")
     record = F.struct(
         F.col("event_id").cast("string").alias("event_id"),
@@ -117,9 +152,15 @@ def sports_payloads(events: DataFrame) -> DataFrame:
         F.concat(F.lit("Team "), (user + 1).cast("string")).alias("team_b"),
         F.when(~odd, (user % 7).cast("int")).alias("score_a"),
         F.when(~odd, (user % 5).cast("int")).alias("score_b"),
-        F.when(F.col("event_id") % 30 != 0, "finished").alias("status"),
+        F.when(fault != 0, "finished").alias("status"),
+    )
+    value = (
+        F.when(fault == 1, F.to_json(record.withField("score_a", F.lit("two"))))
+        .when(fault == 2, "not json")
+        .when(fault == 3, F.to_json(record.withField("team_a", user)))
+        .otherwise(F.to_json(record))
     )
-    return events.select("event_id", F.to_json(record).alias("value"))
+    return events.select("event_id", value.alias("value"))
 
 
 def claim_documents(lineitem: DataFrame) -> DataFrame:
@@ -192,9 +233,10 @@ def event_documents(events: DataFrame) -> DataFrame:
 
 
 def order_updates(orders: DataFrame) -> DataFrame:
-    """Pending orders at a higher price, and urgent ones again under new keys."""
-    pending = orders.filter(F.col("o_orderstatus") == "P").withColumn(
-        "o_totalprice", F.col("o_totalprice") + 1
+    """Pending orders at a higher price and as low priority, and urgent ones again
+    under new keys."""
+    pending = orders.filter(F.col("o_orderstatus") == "P").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "o_orderpriority": F.lit("5-LOW")}
     )
     urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT").withColumn(
         "o_orderkey", F.col("o_orderkey") + 1_000_000_000
@@ -203,7 +245,10 @@ def order_updates(orders: DataFrame) -> DataFrame:
 
 
 def notifications(pages: DataFrame) -> DataFrame:
-    """Object-store events of two records: a page's text, and its parquet copy."""
+    """Object-store events of two records: a page's text, and its parquet copy.
+
+    Some notifications cannot be read and some hold no records.
+    """
 
     def entry(event: str, bucket: str, key: Column) -> Column:
         return F.struct(
@@ -225,4 +270,9 @@ def notifications(pages: DataFrame) -> DataFrame:
             entry("s3:ObjectCreated:Copy", "curated-zone", copied),
         ).alias("Records")
     )
-    return pages.select(F.to_json(event).alias("value"))
+    value = (
+        F.when(F.col("page_id") % 40 == 0, "no notification")
+        .when(F.col("page_id") % 40 == 1, '{"Records": []}')
+        .otherwise(F.to_json(event))
+    )
+    return pages.select(value.alias("value"))

@@ -13,14 +13,16 @@ txn AS (
     CAST(user_id AS VARCHAR) AS account_id,
     CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CAST(0 AS DOUBLE) ELSE value END AS amount,
     ' ' || lower({_CODE}) || ' ' AS currency,
-    event_type AS transaction_type, CAST(user_id AS VARCHAR) AS merchant_id,
+    event_type AS transaction_type,
+    CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'M' || user_id
+      ELSE CAST(user_id AS VARCHAR) END AS merchant_id,
     CASE WHEN event_id % 4 <> 0 THEN event_type END AS category
-  FROM events)"""
+  FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 17 = 0))"""
 
 _LOOKUP = """
 lookup AS (
   SELECT CAST(c_custkey AS VARCHAR) AS merchant_id, c_mktsegment AS category
-  FROM customer WHERE c_acctbal > 4000)"""
+  FROM customer)"""
 
 _CURATED = f"""{_TXN},{_LOOKUP},
 curated AS (
@@ -41,36 +43,42 @@ _ENRICHED = f"""
   FROM txn t LEFT JOIN lookup l ON t.merchant_id = l.merchant_id"""
 
 # The contract asks for an amount above zero, which a few event values are not.
-_ROUTE = """CASE WHEN event_id % 50 IN (0, 3) THEN 'malformed'
-  WHEN event_id % 50 IN (1, 2, 4, 5) OR value <= 0 THEN 'dlq' ELSE 'curated' END"""
+_ROUTE = """CASE WHEN event_id % 50 IN (0, 3, 10) THEN 'malformed'
+  WHEN event_id % 50 IN (1, 2, 4, 5, 7, 8, 9) OR value <= 0 THEN 'dlq' ELSE 'curated' END"""
 
 _REASONS = """concat_ws(',',
-  CASE WHEN event_id % 50 IN (0, 2, 3) THEN 'transaction_id:required' END,
-  CASE WHEN event_id % 50 = 0 THEN 'timestamp:required' END,
-  CASE WHEN event_id % 50 IN (0, 3) THEN 'account_id:required' END,
-  CASE WHEN event_id % 50 IN (0, 3) THEN 'amount:required' WHEN event_id % 50 = 1 THEN 'amount:type'
+  CASE WHEN event_id % 50 IN (0, 2, 3, 10) THEN 'transaction_id:required' END,
+  CASE WHEN event_id % 50 IN (0, 10) THEN 'timestamp:required' END,
+  CASE WHEN event_id % 50 IN (0, 3, 10) THEN 'account_id:required'
+    WHEN event_id % 50 IN (7, 8, 9) THEN 'account_id:type' END,
+  CASE WHEN event_id % 50 IN (0, 3, 10) THEN 'amount:required' WHEN event_id % 50 = 1 THEN 'amount:type'
     WHEN event_id % 50 = 4 OR value <= 0 THEN 'amount:gt' END,
-  CASE WHEN event_id % 50 IN (0, 3) THEN 'currency:required'
+  CASE WHEN event_id % 50 IN (0, 3, 10) THEN 'currency:required'
     WHEN event_id % 50 = 5 THEN 'currency:max_length' END,
-  CASE WHEN event_id % 50 IN (0, 3) THEN 'transaction_type:required' END)"""
+  CASE WHEN event_id % 50 IN (0, 3, 10) THEN 'transaction_type:required' END)"""
 
 
-def _decoded(amount: str) -> str:
-    there = "event_id % 50 NOT IN (0, 3)"
+def _decoded(lenient: bool) -> str:
+    """The lenient reading takes single quotes, and anything as text; the strict one
+    takes a number in quotes."""
+    there = f"event_id % 50 NOT IN ({'0, 3' if lenient else '0, 3, 10'})"
+    no_amount = "0, 1, 3, 6" if lenient else "0, 1, 3, 10"
+    amount = f"""CASE WHEN event_id % 50 IN ({no_amount}) THEN NULL
+      WHEN event_id % 50 = 4 THEN -1 ELSE value END"""
+    odd = ("'5'", "'true'", "'{\"x\":1}'") if lenient else ("NULL",) * 3
     return f"""
     CASE WHEN {there} AND event_id % 50 <> 2 THEN CAST(event_id AS VARCHAR) END AS transaction_id,
-    CASE WHEN event_id % 50 <> 0 THEN ts END AS "timestamp",
-    CASE WHEN {there} THEN CAST(user_id AS VARCHAR) END AS account_id,
+    CASE WHEN {there} OR event_id % 50 = 3 THEN ts END AS "timestamp",
+    CASE event_id % 50 WHEN 7 THEN {odd[0]} WHEN 8 THEN {odd[1]} WHEN 9 THEN {odd[2]}
+      ELSE CASE WHEN {there} THEN CAST(user_id AS VARCHAR) END END AS account_id,
     {amount} AS amount,
     CASE WHEN event_id % 50 = 5 THEN 'USDX' WHEN {there} THEN {_CODE} END AS currency,
     CASE WHEN {there} THEN event_type END AS transaction_type,
     CASE WHEN {there} THEN CAST(user_id AS VARCHAR) END AS merchant_id,
-    CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BOOLEAN) AS is_flagged"""
+    CASE WHEN event_id % 50 = 12 THEN 'gift' END AS category,
+    CASE WHEN event_id % 50 = 12 THEN true END AS is_flagged"""
 
 
-_STRICT = "CASE WHEN event_id % 50 IN (0, 1, 3, 6) THEN NULL WHEN event_id % 50 = 4 THEN -1 ELSE value END"
-_COERCED = "CASE WHEN event_id % 50 IN (0, 1, 3) THEN NULL WHEN event_id % 50 = 4 THEN -1 ELSE value END"
-
 _CLAIM = """CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS claim_id,
     CAST(l_partkey AS VARCHAR) AS policy_id, l_shipdate AS claim_date, l_linestatus AS status,
     l_returnflag AS claim_type, l_shipdate AS incident_date, CAST(l_suppkey AS VARCHAR) AS vehicle_vin"""
@@ -102,7 +110,8 @@ _ORDER = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_ord
 
 _UPDATES = f"""
 updates AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate,
+    '5-LOW' AS o_orderpriority
   FROM orders WHERE o_orderstatus = 'P'
   UNION ALL
   SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -199,11 +208,20 @@ def _profile(table: str, named: bool) -> str:
 _VALUE = f"""CASE WHEN event_id % 50 = 0 THEN 'not json'
   WHEN event_id % 50 = 3 THEN '{{"bad_field": "not a real transaction", "timestamp": "' || {_TIME.format("ts")} || '"}}'
   ELSE '{{' || CASE WHEN event_id % 50 = 2 THEN '' ELSE '"transaction_id": "' || event_id || '", ' END
-    || '"timestamp": "' || {_TIME.format("ts")} || '", "account_id": "' || user_id || '", "amount": '
+    || '"timestamp": "' || CASE WHEN event_id % 50 = 11 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f789Z')
+      ELSE {_TIME.format("ts")} END || '", "account_id": '
+    || CASE event_id % 50 WHEN 7 THEN '5' WHEN 8 THEN 'true' WHEN 9 THEN '{{"x":1}}' ELSE '"' || user_id || '"' END
+    || ', "amount": '
     || CASE event_id % 50 WHEN 1 THEN '"not-a-number"' WHEN 4 THEN '-1' WHEN 6 THEN '"' || value || '"' ELSE CAST(value AS VARCHAR) END
     || ', "currency": "' || CASE WHEN event_id % 50 = 5 THEN 'USDX' ELSE {_CODE} END
     || '", "transaction_type": "' || event_type || '", "merchant_id": "' || user_id || '"}}' END"""
 
+# A record that already had a stamp is written anew, without blanks.
+_ANEW = f"""'{{"transaction_id":"' || event_id || '","timestamp":"' || {_TIME.format("ts")}
+    || '","account_id":"' || user_id || '","category":"gift","is_flagged":true,"amount":'
+    || CAST(value AS VARCHAR) || ',"currency":"' || {_CODE} || '","transaction_type":"' || event_type
+    || '","merchant_id":"' || user_id || '","processed_timestamp":"2024-06-01T00:00:00.000000Z"}}'"""
+
 _MESSAGE = f"""
   SELECT CAST(event_id AS VARCHAR) AS key,
     '{{' || concat_ws(',',
@@ -213,35 +231,61 @@ _MESSAGE = f"""
       '"amount":' || CAST(amount AS VARCHAR),
       '"currency":"' || currency || '"',
       '"transaction_type":"' || transaction_type || '"',
-      '"merchant_id":"' || merchant_id || '"') || '}}' AS value,
+      '"merchant_id":"' || merchant_id || '"',
+      '"category":"' || category || '"',
+      '"is_flagged":' || CAST(is_flagged AS VARCHAR)) || '}}' AS value,
     route || '_financial_events' AS topic
   FROM typed"""
 
 _OBJECTS = """
   SELECT 's3:ObjectCreated:Put' AS event_name, 'raw-zone' AS bucket, url AS object_key,
-    md5(html) AS etag, CAST(length(html) AS BIGINT) AS size FROM pages
+    md5(html) AS etag, CAST(length(html) AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS reason
+  FROM pages WHERE page_id % 40 > 1
   UNION ALL
   SELECT 's3:ObjectCreated:Copy', 'curated-zone', 'pages/' || CAST(page_id AS VARCHAR) || '.parquet',
-    md5(html), CAST(length(html) AS BIGINT) FROM pages"""
+    md5(html), CAST(length(html) AS BIGINT), NULL FROM pages WHERE page_id % 40 > 1
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, CASE WHEN page_id % 40 = 0 THEN 'unreadable' ELSE 'no records' END
+  FROM pages WHERE page_id % 40 <= 1"""
 
 _VERDICT = f"SELECT event_id, {_ROUTE} AS route, {_REASONS} AS reasons FROM events"
 
+def _scored(rows: str) -> str:
+    logistic = "1 / (1 + exp(-(-2.0 + 0.05 * amount + 0.5 * CASE WHEN amount > 35 THEN 1 ELSE 0 END)))"
+    return f"""
+      SELECT transaction_id, amount, category,
+        CAST(coalesce({logistic} > 0.5, false) AS DOUBLE) AS fraud_prediction,
+        round({logistic}, 9) AS fraud_probability
+      FROM {rows}"""
+
+
 ORACLE: dict[str, str] = {
     "cleanse_transactions": f"WITH {_TXN} {_CLEANSED}",
     "enrich_category": _ENRICHED,
     "enrich_category_salted": _ENRICHED,
     "enrich_without_lookup": f"WITH {_TXN} SELECT *, category AS enriched_category FROM txn",
     "curate_transactions": f"WITH {_CURATED} SELECT * FROM curated",
-    "decode_payload": f"SELECT event_id, {_decoded(_STRICT)} FROM events",
-    "typed_payload": f"SELECT event_id, {_ROUTE} AS route, {_decoded(_COERCED)} FROM events",
+    "decode_payload": f"SELECT event_id, {_decoded(lenient=True)} FROM events",
+    "typed_payload": f"SELECT event_id, {_ROUTE} AS route, {_decoded(lenient=False)} FROM events",
     "contract_financial": _VERDICT,
     "contract_insurance": """
-      SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN 'dlq' ELSE 'curated' END AS route,
-        CASE WHEN o_orderkey % 20 = 0 THEN 'claim_amount:required' ELSE '' END AS reasons
+      SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 3 THEN 'malformed'
+          WHEN o_orderkey % 20 < 5 THEN 'dlq' ELSE 'curated' END AS route,
+        CASE o_orderkey % 20 WHEN 0 THEN 'claim_amount:required' WHEN 1 THEN 'claim_amount:gt'
+          WHEN 2 THEN 'claim_amount:type' WHEN 4 THEN 'policy_number:type'
+          WHEN 3 THEN 'claim_id:required,timestamp:required,policy_number:required,'
+            || 'claim_amount:required,claim_type:required,claim_status:required,'
+            || 'customer_id:required,incident_date:required'
+          ELSE '' END AS reasons
       FROM orders""",
     "contract_sports": """
-      SELECT event_id, CASE WHEN event_id % 30 = 0 THEN 'dlq' ELSE 'curated' END AS route,
-        CASE WHEN event_id % 30 = 0 THEN 'status:required' ELSE '' END AS reasons
+      SELECT event_id, CASE WHEN event_id % 30 = 2 THEN 'malformed'
+          WHEN event_id % 30 < 4 THEN 'dlq' ELSE 'curated' END AS route,
+        CASE event_id % 30 WHEN 0 THEN 'status:required' WHEN 1 THEN 'score_a:type'
+          WHEN 3 THEN 'team_a:type'
+          WHEN 2 THEN 'event_id:required,timestamp:required,sport:required,team_a:required,'
+            || 'team_b:required,status:required'
+          ELSE '' END AS reasons
       FROM events""",
     "route_counts": f"SELECT {_ROUTE} AS route, count(*) AS records FROM events GROUP BY 1",
     "flatten_claims": _DAMAGES,
@@ -275,6 +319,19 @@ ORACLE: dict[str, str] = {
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
           l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""",
     "merge_feed": f"WITH {_UPDATES} {_MERGE_FEED}",
+    "merge_feed_large": f"WITH {_UPDATES} {_MERGE_FEED}",
+    "merge_upsert_large": _MERGED,
+    "merge_audited": f"""
+      WITH {_UPDATES}
+      SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus,
+        coalesce(u.o_totalprice, o.o_totalprice) AS o_totalprice, o.o_orderdate,
+        coalesce(u.o_orderpriority, o.o_orderpriority) AS o_orderpriority,
+        TIMESTAMP '2020-01-01' AS created_at,
+        CASE WHEN u.o_orderkey IS NULL THEN TIMESTAMP '2020-01-01' ELSE TIMESTAMP '2024-06-01' END AS updated_at
+      FROM orders o LEFT JOIN updates u ON o.o_orderkey = u.o_orderkey
+      UNION ALL
+      SELECT {_ORDER}, TIMESTAMP '2024-06-01', TIMESTAMP '2024-06-01'
+      FROM updates WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
     "change_feed": f"""
       WITH {_UPSERTED},
       b AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'),
@@ -286,10 +343,6 @@ ORACLE: dict[str, str] = {
       SELECT b.*, 'update_preimage' FROM b JOIN a ON b.o_orderkey = a.o_orderkey WHERE {_CHANGED}
       UNION ALL
       SELECT a.*, 'update_postimage' FROM b JOIN a ON b.o_orderkey = a.o_orderkey WHERE {_CHANGED}""",
-    "version_history": """
-      SELECT CAST(0 AS BIGINT) AS version, 'create' AS operation, true AS has_data
-      UNION ALL SELECT 1, 'merge', false
-      UNION ALL SELECT 2, 'compact', true""",
     "version_change_feed": f"""
       WITH {_UPDATES}
       SELECT *, 'insert' AS _change_type, CAST(0 AS BIGINT) AS _commit_version FROM orders
@@ -300,14 +353,15 @@ ORACLE: dict[str, str] = {
     "row_count": "SELECT count(*) AS total FROM lineitem",
     "dq_rule_suite": f"WITH {_CURATED} " + " UNION ALL ".join(_rule(n, c) for n, c in _RULES.items()),
     "ingest_counters": f"""
-      SELECT CASE WHEN event_id % 50 NOT IN (0, 3) THEN event_type END AS transaction_type,
-        CASE WHEN event_id % 50 = 5 THEN 'USDX' WHEN event_id % 50 NOT IN (0, 3) THEN {_CODE} END AS currency,
+      SELECT CASE WHEN event_id % 50 NOT IN (0, 3, 10) THEN event_type END AS transaction_type,
+        CASE WHEN event_id % 50 = 5 THEN 'USDX' WHEN event_id % 50 NOT IN (0, 3, 10) THEN {_CODE} END AS currency,
         CASE WHEN {_ROUTE} = 'curated' THEN 'success' ELSE 'failed' END AS status,
         count(*) AS ingested_total
       FROM events GROUP BY 1, 2, 3""",
     "claim_counters": """
-      SELECT o_orderpriority AS claim_type, o_orderstatus AS claim_status,
-        CASE WHEN o_orderkey % 20 = 0 THEN 'failed' ELSE 'success' END AS status,
+      SELECT CASE WHEN o_orderkey % 20 <> 3 THEN o_orderpriority END AS claim_type,
+        CASE WHEN o_orderkey % 20 <> 3 THEN o_orderstatus END AS claim_status,
+        CASE WHEN o_orderkey % 20 < 5 THEN 'failed' ELSE 'success' END AS status,
         count(*) AS ingested_total
       FROM orders GROUP BY 1, 2, 3""",
     "amount_histogram": f"""
@@ -315,23 +369,23 @@ ORACLE: dict[str, str] = {
         SELECT transaction_type, currency, amount, CAST({_BUCKET} AS INTEGER) AS bucket
         FROM txn WHERE amount IS NOT NULL)
       SELECT transaction_type, currency, bucket, count(*) AS count,
-        CAST(sum(CAST(amount AS DECIMAL(28, 6))) AS DOUBLE) AS sum,
+        round(sum(amount), 4) AS sum,
         min(amount) AS min, max(amount) AS max, CASE bucket {_UPPER} END AS upper_bound
       FROM measured GROUP BY transaction_type, currency, bucket""",
     "profile_table": _profile("orders", named=False),
     "catalog_tables": " UNION ALL ".join(_profile(t, named=True) for t in _TABLES),
     "stamp_json_status": f"""
-      WITH messages AS (SELECT event_id, {_VALUE} AS value FROM events)
+      WITH messages AS (SELECT event_id, {_VALUE} AS message FROM events)
       SELECT event_id,
-        CASE WHEN event_id % 50 <> 0 THEN left(value, length(value) - 1)
+        CASE WHEN event_id % 50 = 12 THEN {_ANEW} WHEN event_id % 50 NOT IN (0, 10) THEN left(message, length(message) - 1)
           || ', "processed_timestamp": "2024-06-01T00:00:00.000000Z"}}' END AS stamped,
-        CASE WHEN event_id % 50 = 0 THEN 400 ELSE 200 END AS status_code
-      FROM messages""",
+        CASE WHEN event_id % 50 IN (0, 10) THEN 400 ELSE 200 END AS status_code
+      FROM messages JOIN events USING (event_id)""",
     "stamp_request_bodies": """
       SELECT event_id, props AS value, left(props, length(props) - 1)
         || ', "processed_timestamp": "2024-06-01T00:00:00.000000Z"}' AS stamped, 200 AS status_code
       FROM events""",
-    "publish_json": f"WITH typed AS (SELECT event_id, {_ROUTE} AS route, {_decoded(_COERCED)} FROM events) {_MESSAGE}",
+    "publish_json": f"WITH typed AS (SELECT event_id, {_ROUTE} AS route, {_decoded(lenient=False)} FROM events) {_MESSAGE}",
     "object_events": _OBJECTS,
     "new_parquet_objects": f"SELECT * FROM ({_OBJECTS}) WHERE object_key LIKE '%.parquet'",
     "label_rule": f"""
@@ -342,15 +396,24 @@ ORACLE: dict[str, str] = {
       SELECT transaction_id, amount, category, CAST(0 AS DOUBLE) AS fraud_prediction,
         CAST(NULL AS DOUBLE) AS fraud_probability
       FROM curated""",
+    "score_transactions": f"WITH {_CURATED} {_scored('curated')}",
+    "messages_to_scored": f"""
+      WITH {_LOOKUP}, curated AS (
+        SELECT CAST(e.event_id AS VARCHAR) AS transaction_id, e.value AS amount,
+          coalesce(l.category, CASE WHEN e.event_id % 50 = 12 THEN 'gift' END) AS category
+        FROM events e LEFT JOIN lookup l ON CAST(e.user_id AS VARCHAR) = l.merchant_id
+        WHERE {_ROUTE} = 'curated') {_scored('curated')}""",
     "messages_to_curated": f"""
       WITH {_LOOKUP}
       SELECT DISTINCT CAST(e.event_id AS VARCHAR) AS transaction_id, e.ts AS "timestamp",
         sha256(CAST(e.user_id AS VARCHAR)) AS hashed_account_id, e.value AS amount,
         {_CODE} AS currency, e.event_type AS transaction_type,
-        CAST(e.user_id AS VARCHAR) AS merchant_id, l.category, e.value = 0 AS is_amount_zero_flag
+        CAST(e.user_id AS VARCHAR) AS merchant_id,
+        coalesce(l.category, CASE WHEN e.event_id % 50 = 12 THEN 'gift' END) AS category,
+        e.value = 0 AS is_amount_zero_flag
       FROM events e LEFT JOIN lookup l ON CAST(e.user_id AS VARCHAR) = l.merchant_id
       WHERE {_ROUTE} = 'curated'""",
-    "stream_append": f"SELECT {_decoded(_STRICT)} FROM events",
+    "stream_append": f"SELECT {_decoded(lenient=True)} FROM events",
     "stream_route": _VERDICT,
     "stream_incremental": f"WITH {_TXN} SELECT * FROM txn",
     "stream_counters": f"""

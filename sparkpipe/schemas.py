@@ -83,5 +83,9 @@ def schema_of(domain: str) -> T.StructType:
 
 
 def text_schema_of(domain: str) -> T.StructType:
-    """The same fields, all as text, for untrusted input."""
-    return T.StructType.fromDDL(", ".join(f"`{f.name}` string" for f in fields_of(domain)))
+    """The same fields for untrusted input: typed ones as text, text ones as they come.
+
+    A variant keeps apart what is text in the JSON and what only looks like it.
+    """
+    kinds = {f.name: "variant" if f.type == "string" else "string" for f in fields_of(domain)}
+    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))

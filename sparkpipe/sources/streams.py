@@ -7,15 +7,28 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def topic_stream(spark: SparkSession, brokers: str, topic: str, fmt: str = "kafka") -> DataFrame:
-    """A topic read from its earliest offset; the broker connector is the user's."""
-    return (
-        spark.readStream.format(fmt)
-        .option("kafka.bootstrap.servers", brokers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .load()
-    )
+def topic_stream(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    fmt: str = "kafka",
+    per_trigger: int | None = 1_000_000,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A topic read from its earliest offset; the broker connector is the user's.
+
+    A first run from the earliest offset has a whole topic before it, so a micro-batch
+    takes ``per_trigger`` messages at most. ``options`` go to the connector and may
+    override all of this.
+    """
+    given = {
+        "kafka.bootstrap.servers": brokers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        **({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {}),
+        **(options or {}),
+    }
+    return spark.readStream.format(fmt).options(**given).load()
 
 
 def file_stream(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -26,6 +27,38 @@ def instants(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp") for n in names}) if names else df
 
 
+def table_exists(
+    spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> bool:
+    try:
+        spark.read.format(fmt).options(**(options or {})).load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Replace a table's rows and schema; the table read back.
+
+    The frame must not read from the folder it replaces, unless the format keeps
+    earlier versions. ``options`` are the format's own, as ``overwriteSchema``.
+    """
+    df.write.format(fmt).mode("overwrite").options(**(options or {})).save(path)
+    return read_table(df.sparkSession, path, fmt)
+
+
+def create_if_absent(
+    df: DataFrame, path: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> bool:
+    """Write ``df`` unless the table exists; tell whether it did."""
+    if table_exists(df.sparkSession, path, fmt):
+        return False
+    write_table(df, path, fmt, options)
+    return True
+
+
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append to a table; read it with ``mergeSchema`` to see columns added later."""
     df.write.format(fmt).mode("append").save(path)

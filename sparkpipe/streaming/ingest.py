@@ -9,14 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
+from sparkpipe.operators.merge import unique_by_key, upsert
 from sparkpipe.operators.metrics import counters
-from sparkpipe.operators.versions import (
-    already_committed,
-    compact,
-    merge_into,
-    merges_since_copy,
-    publish,
-)
 
 # Fixed value: micro-batch interval of the ingest stream.
 INTERVAL = "10 seconds"
@@ -98,26 +92,24 @@ def upsert_stream(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     interval: str | None = INTERVAL,
-    compact_after: int | None = None,
 ) -> StreamingQuery:
-    """Full-row upsert of every micro-batch into an existing versioned table.
+    """The upserts of every micro-batch, one row per key, in a folder of the batch.
 
-    Each commit names its checkpoint and batch, so a batch that runs again
-    after a failure is skipped once its version is there. The query must be the
-    table's only writer. After ``compact_after`` merges in a row the table is
-    written out in full, which bounds what a reader has to apply.
+    A batch that runs again replaces its own folder. :func:`upserted` applies them to a
+    table; the query must be the only one that writes below ``root``.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if not already_committed(spark, root, checkpoint, number):
-            batch.persist()  # a merge looks at its source several times
-            merge_into(batch, root, keys, order_by=order_by, writer=checkpoint, batch=number)
-            batch.unpersist()
-        if compact_after and merges_since_copy(spark, root) >= compact_after:
-            compact(spark, root, keys)
+    def rows(batch: DataFrame) -> DataFrame:
+        return unique_by_key(batch, keys, order_by)
+
+    return _each_batch(df, rows, root, checkpoint, interval, "append")
 
-    return _each_batch(df, write, root, checkpoint, interval, "append")
+
+def upserted(base: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
+    """``base`` after all batches of an upsert stream; the latest batch wins per key."""
+    batches = base.sparkSession.read.parquet(root)
+    latest = unique_by_key(batches, keys, ["_batch_time", "batch"])
+    return upsert(base, latest.select(*base.columns), keys)
 
 
 def counter_stream(
@@ -127,16 +119,36 @@ def counter_stream(
     checkpoint: str,
     interval: str | None = INTERVAL,
 ) -> StreamingQuery:
-    """Running counts per attribute set; every batch publishes the new totals."""
+    """Running counts per attribute set; every batch writes the new totals."""
+    return _each_batch(
+        counters(df, attributes), lambda batch: batch, root, checkpoint, interval, "complete"
+    )
 
-    def write(batch: DataFrame, number: int) -> None:
-        if not already_committed(batch.sparkSession, root, checkpoint, number):
-            publish(batch, root, writer=checkpoint, batch=number)
 
-    return _each_batch(counters(df, attributes), write, root, checkpoint, interval, "complete")
+def latest_totals(spark: SparkSession, root: str) -> DataFrame:
+    """The totals of the newest batch below ``root``."""
+    batches = spark.read.parquet(root)
+    newest = batches.agg(F.max(F.struct("_batch_time", "query", "batch")).alias("at")).first().at
+    if newest is None:
+        return batches.drop("_batch_time", "query", "batch")
+    found = batches.filter((F.col("query") == newest.query) & (F.col("batch") == newest.batch))
+    return found.drop("_batch_time", "query", "batch")
 
 
-def _each_batch(df, write, root, checkpoint, interval, mode) -> StreamingQuery:
+def _each_batch(df, rows, root, checkpoint, interval, mode) -> StreamingQuery:
+    """Write what ``rows`` makes of each batch to ``root/query=<id>/batch=<number>``.
+
+    The id is the query's own, kept in its checkpoint: a new checkpoint, even one in the
+    place of an old one, is another query and counts its batches from 0 in a folder of
+    its own.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        out = rows(batch).withColumn("_batch_time", F.current_timestamp())
+        out.write.mode("overwrite").parquet(f"{root}/query={query}/batch={number}")
+
     writer = (
         df.writeStream.outputMode(mode)
         .foreachBatch(write)

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparkpipe.operators import curate
@@ -75,9 +76,17 @@ def test_stamp_is_added_last(raw):
     assert curate.stamped(curate.curate(raw)).count() == 3
 
 
-def test_curation_shuffles_once(raw, lookup):
+def test_curation_shuffles_transactions_once(raw, lookup):
+    """And the lookup once, by merchant, to make sure that each is there once."""
     plan = curate.curate(raw, lookup)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 2 and sum("(merchant_id#" in x for x in shuffles) == 1
+
+
+def test_a_merchant_twice_in_the_lookup_is_an_error(raw, lookup):
+    for small in (True, False):
+        with pytest.raises(PySparkException, match="more than one row for merge key"):
+            curate.enrich(raw, lookup.unionByName(lookup), small).collect()
 
 
 def test_lookup_over_jdbc(spark, raw, lookup):

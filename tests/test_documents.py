@@ -22,12 +22,12 @@ def claims(spark):
 
 
 def test_claims(claims):
-    flat = flatten.flatten_claims(claims)
+    flat = flatten.transform_documents(claims, "claims")
     assert [(r.claim_id, r.claim_type, r.damage_item.part) for r in flat.collect()] == [
         ("c1", "auto", "door"),
         ("c1", "auto", "hood"),
     ]
-    assert flatten.flatten_claims(claims, outer=True).count() == 5
+    assert flatten.transform_documents(claims, "claims", outer=True).count() == 5
 
 
 def test_optional_fields(spark, claims):
@@ -73,7 +73,7 @@ def test_inferred_and_given_schemas(spark, folder, claims):
     given = documents.read_documents(spark, f"{folder}/docs", schema=claims.schema)
     sampled = documents.read_documents(spark, f"{folder}/docs", sampling_ratio=1.0)
     for df in (inferred, given, sampled):
-        assert flatten.flatten_claims(df).count() == 2
+        assert flatten.transform_documents(df, "claims").count() == 2
 
 
 def test_table_helpers(spark, folder, capsys):

@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkpipe import jobs
-from sparkpipe.operators import versions
 from sparkpipe.operators.quality import QualityError
 from sparkpipe.session import work_dir
+from sparkpipe.sources import tables
 
 
 def test_wrong_arguments_are_a_usage_error(capsys):
@@ -47,10 +47,21 @@ def test_from_topic_to_scores(spark, folder):
     with pytest.raises(QualityError, match="category_present"):
         run("gate", curated)
     run("score", curated, scored)
-    rows = versions.read_version(spark, scored, ["transaction_id"]).collect()
+    rows = spark.read.parquet(scored).collect()
     assert len(rows) == 20 and all(r.inference_timestamp for r in rows)
 
 
+def test_messages_to_scores_in_one_job(spark, folder):
+    record = '{"transaction_id": "T%d", "timestamp": "2024-01-01T00:00:00Z", "account_id": "a", '
+    record += '"amount": %d, "currency": "usd", "transaction_type": "sale"}'
+    messages = [record % (i, 100 * i) for i in range(1, 13)] + ["not json", record % (99, -5)]
+    spark.createDataFrame([(m,) for m in messages], "value string").write.text(f"{folder}/in")
+    paths = [f"{folder}/{name}" for name in ("in", "curated", "scored")]
+    jobs.main(["pipeline", *paths, "--format", "text", "--table-format", "orc"], spark)
+    assert spark.read.orc(paths[1]).count() == 12
+    assert spark.read.orc(paths[2]).filter("inference_timestamp IS NOT NULL").count() == 12
+
+
 def test_merge_and_feed(spark, folder):
     schema = "transaction_id string, account_id string, amount double, currency string"
     seed = [("T001", "A1", 100.0, "USD"), ("T002", "A2", 200.0, "EUR"), ("T003", "A3", 50.0, "GBP")]
@@ -58,20 +69,22 @@ def test_merge_and_feed(spark, folder):
     spark.createDataFrame(seed, schema).write.parquet(f"{folder}/seed")
     spark.createDataFrame(new, schema).write.parquet(f"{folder}/new")
     table = f"{folder}/table"
+    after = f"{folder}/after"
     merge = ["merge", table, f"{folder}/new", "--key", "transaction_id", "--seed", f"{folder}/seed"]
-    jobs.main([*merge, "--update", "amount", "--update", "currency"], spark)
-    rows = {r.transaction_id: r for r in versions.read_version(spark, table, ["transaction_id"]).collect()}
+    with pytest.raises(ValueError, match="--output"):
+        jobs.main(merge, spark)
+    jobs.main([*merge, "--output", after, "--update", "amount", "--update", "currency"], spark)
+    rows = {r.transaction_id: r for r in spark.read.parquet(after).collect()}
     assert len(rows) == 5
     assert (rows["T002"].account_id, rows["T002"].amount, rows["T002"].currency) == ("A2", 250.0, "GBP")
     assert rows["T002"].updated_at > rows["T002"].created_at
     assert rows["T004"].updated_at == rows["T004"].created_at
-    jobs.main(["feed", table, f"{folder}/feed", "--key", "transaction_id"], spark)
-    kinds = spark.read.parquet(f"{folder}/feed").groupBy("_commit_version", "_change_type").count()
+    jobs.main(["feed", table, after, f"{folder}/feed", "--key", "transaction_id"], spark)
+    kinds = spark.read.parquet(f"{folder}/feed").groupBy("_change_type").count()
     assert sorted(map(tuple, kinds.collect())) == [
-        (0, "insert", 3),
-        (1, "insert", 2),
-        (1, "update_postimage", 1),
-        (1, "update_preimage", 1),
+        ("insert", 2),
+        ("update_postimage", 1),
+        ("update_preimage", 1),
     ]
 
 
@@ -79,12 +92,12 @@ def test_documents(spark, folder, capsys):
     docs = spark.range(2).select("id", F.array(F.lit(1)).alias("tags"))
     docs.write.json(f"{folder}/docs")
     jobs.main(["documents", f"{folder}/docs", "misc", f"{folder}/flat"], spark)
-    flat = versions.read_version(spark, f"{folder}/flat", ["id"])
+    flat = spark.read.parquet(f"{folder}/flat")
     assert flat.columns[-1] == "processing_timestamp" and flat.count() == 2
     spark.createDataFrame([], "value string").write.text(f"{folder}/none")
     jobs.main(["documents", f"{folder}/none", "misc", f"{folder}/out", "--format", "text"], spark)
     assert "no documents" in capsys.readouterr().out
-    assert not versions.table_exists(spark, f"{folder}/out")
+    assert not tables.table_exists(spark, f"{folder}/out")
 
 
 def test_work_dir_follows_the_session(spark):

@@ -76,3 +76,20 @@ def test_a_large_side_is_not_broadcast(facts, lookup):
     assert "rightHint=(strategy=broadcast)" in plan and "_salt" not in plan
     plan = keyed_join(facts, lookup, ["k"], small=False)._jdf.queryExecution().optimizedPlan()
     assert "_salt" in plan.toString()
+    plan = keyed_join(facts, lookup, ["k"], small=False)._jdf.queryExecution().executedPlan()
+    assert "SortMergeJoin" in plan.toString()
+
+
+def test_the_salt_reads_named_columns_only(spark, folder, lookup):
+    wide = spark.range(50).select("id", F.lit("hot").alias("k"), F.lit("x").alias("unused"))
+    wide.write.parquet(f"{folder}/wide")
+    joined = salted_join(spark.read.parquet(f"{folder}/wide"), lookup, ["k"], salt_by=["id"])
+    plan = joined.select("k", "name")._jdf.queryExecution().executedPlan().toString()
+    assert "unused" not in plan
+
+
+def test_types_are_judged_before_the_choice(spark):
+    small = spark.createDataFrame([("1",)], "id string")
+    for choice in (None, True, False):
+        with pytest.raises(ValueError):
+            keyed_join(spark.range(3), small, ["id"], small=choice)

@@ -47,7 +47,6 @@ def source(spark):
 def path(request, monkeypatch):
     if request.param == "salted":
         monkeypatch.setattr(merge, "fits_broadcast", lambda df: False)
-        monkeypatch.setattr(merge, "measured_small", lambda df, also: None)
         monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     return request.param
 

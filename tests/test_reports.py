@@ -87,9 +87,12 @@ def test_object_events_read_every_record(spark):
     other = {"s3": {"bucket": {"name": "b"}, "object": {"key": "k.csv", "eTag": "e", "size": 4}}}
     payloads = [json.dumps({"Records": [record, other]}), json.dumps({"Records": []}), "x"]
     df = spark.createDataFrame([(p,) for p in payloads], "value string")
-    assert sorted(map(tuple, records.object_events(df).collect())) == [
-        ("N/A", "b", "k.csv", "e", 4),
-        ("s3:ObjectCreated:Put", "b", "k.parquet", "e", 3),
+    none = (None,) * 5
+    assert sorted(map(tuple, records.object_events(df).collect()), key=str) == [
+        ("N/A", "b", "k.csv", "e", 4, None),
+        ("s3:ObjectCreated:Put", "b", "k.parquet", "e", 3, None),
+        (*none, "no records"),
+        (*none, "unreadable"),
     ]
 
 
