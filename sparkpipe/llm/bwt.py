@@ -296,11 +296,10 @@ def _lowest_only(held: dict[bytes, list[tuple]], marks: _Marks) -> Iterator[tupl
 
 
 def send_pieces(
-    batches: Iterator[pa.RecordBatch], table: np.ndarray
+    batches: Iterator[pa.RecordBatch], table: sieve.Sieve
 ) -> Iterator[pa.RecordBatch]:
     """Shared pieces in parts by their keys; of equal ones sent together only the lowest."""
-    parts = table.shape[0]
-    shift = np.uint64(64 - (parts - 1).bit_length())
+    parts = len(table.sizes)
 
     def sent(held: dict[bytes, list[tuple]]) -> Iterator[pa.RecordBatch]:
         marks = _Marks()
@@ -310,7 +309,7 @@ def send_pieces(
         if not kept:
             return
         index = np.array([(*x, len(data)) for data, x in kept], PIECES)
-        cuts = np.searchsorted(index["key"] >> shift, np.arange(parts + 1))
+        cuts = np.searchsorted(table.part_of(index["key"]), np.arange(parts + 1))
         spans = [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
         yield _rows(
             parts=[p for p, _, _ in spans],

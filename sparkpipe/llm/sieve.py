@@ -1,13 +1,15 @@
-"""A filter of fixed size for the 64-bit keys that occur in two or more places.
+"""A filter of bounded size for the 64-bit keys that occur in two or more places.
 
-It only saves work: a key that passes by mistake costs a row. The larger the data, the
-more pass, until the filter does nothing. Keys are told apart by their first bits, which
-give the part, and their last 32.
+It only saves work: a key that passes by mistake costs a row. It takes about 16 bits a
+key up to 32 MB in all; the larger the data beyond that, the more pass, until the filter
+does nothing. Keys are told apart by their first bits, which give the part, and their
+last 32.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,32 +17,44 @@ from pyspark.sql import DataFrame
 
 from sparkpipe.llm.frames import mixed, tasks
 
-BITS = 28
-KEYS = 4
+MOST_BITS = 28  # of a whole filter
+KEY_BITS = 16
+HASHES = 4
 LAST = np.uint64((1 << 32) - 1)
 
 
+@dataclass
+class Sieve:
+    """The bits of all parts, one after the other; a part has a power of two of them."""
+
+    bits: np.ndarray  # packed
+    starts: np.ndarray  # of the parts, in bits
+    sizes: np.ndarray
+
+    def part_of(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(64 - (len(self.sizes) - 1).bit_length())
+
+
 def part_bits(docs: DataFrame) -> int:
     """Keys are gathered in this many bits' worth of parts, at least one per task."""
     return min(14, max(4, (tasks(docs.sparkSession) - 1).bit_length()))
 
 
-def _cell(keys: np.ndarray, k: int, cells: int) -> np.ndarray:
-    return mixed((keys & LAST) + np.uint64(k + 1)) & np.uint64(cells - 1)
+def _cell(keys: np.ndarray, k: int, size) -> np.ndarray:
+    return mixed((keys & LAST) + np.uint64(k + 1)) & (size - np.uint64(1))
 
 
 def shared_filter(
     docs: DataFrame, keys_of: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
-) -> np.ndarray:
-    """The filter as one row of bits for each part of the keys.
+) -> Sieve:
+    """The filter of the keys that two batches have, or one batch has twice.
 
     ``keys_of`` gives the sorted distinct keys of a batch, and which of them occur twice
     in it. Each batch sends a key once, so even a key that a third of all rows have
-    arrives no more often than there are batches. What reaches the driver has a fixed
-    size.
+    arrives no more often than there are batches. What reaches the driver is bounded.
     """
     first = part_bits(docs)
-    parts, cells = 1 << first, 1 << (BITS - first)
+    parts, most = 1 << first, 1 << (MOST_BITS - first)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,9 +84,10 @@ def shared_filter(
         every = np.sort(np.concatenate(found))
         shared.append(every[1:][every[1:] == every[:-1]])
         shared = np.unique(np.concatenate(shared)).astype(np.uint64)
-        row = np.zeros(cells, bool)
-        for k in range(KEYS):
-            row[_cell(shared, k, cells)] = True
+        size = min(most, max(8, 1 << (KEY_BITS * len(shared)).bit_length()))
+        row = np.zeros(size, bool)
+        for k in range(HASHES):
+            row[_cell(shared, k, np.uint64(size))] = True
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(row).tobytes()])],
             ["part", "cells"],
@@ -80,19 +95,20 @@ def shared_filter(
 
     sent = docs.mapInArrow(send, "part int, found binary, twice binary")
     filled = sent.groupBy("part").applyInArrow(gather, "part int, cells binary")
-    table = np.zeros((parts, cells // 8), np.uint8)
-    for part, data in filled.toLocalIterator():
-        table[part] = np.frombuffer(data, np.uint8)
-    return table
+    rows = {part: bytes(data) for part, data in filled.toLocalIterator()}
+    rows = [rows.get(part, b"\0") for part in range(parts)]
+    sizes = np.array([8 * len(r) for r in rows], np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    return Sieve(np.frombuffer(b"".join(rows), np.uint8), starts, sizes)
 
 
-def passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+def passes(keys: np.ndarray, sieve: Sieve) -> np.ndarray:
     """Which keys may be shared."""
-    first, cells = (table.shape[0] - 1).bit_length(), table.shape[1] * 8
-    part, good = keys >> np.uint64(64 - first), np.ones(len(keys), bool)
-    for k in range(KEYS):
-        cell = _cell(keys, k, cells)
-        byte = table[part, cell >> np.uint64(3)]
+    part, good = sieve.part_of(keys), np.ones(len(keys), bool)
+    starts, sizes = sieve.starts[part], sieve.sizes[part]
+    for k in range(HASHES):
+        cell = starts + _cell(keys, k, sizes)
+        byte = sieve.bits[cell >> np.uint64(3)]
         good &= (byte >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
     return good
 
@@ -106,7 +122,7 @@ def row_keys(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
     return total
 
 
-def filter_of(wanted: DataFrame, columns: list[str]) -> np.ndarray:
+def filter_of(wanted: DataFrame, columns: list[str]) -> Sieve:
     """The filter of all rows of ``wanted``, by some long columns that are never null."""
 
     def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from odd import ROWS, documents, empty, tuples
 
 from sparkpipe.llm import components, jaccard
@@ -140,3 +141,16 @@ def test_components(spark):
     want = {n: root(n) for n in parent if root(n) != n}
     assert got == want
     assert components.components(df.limit(0), "test").count() == 0
+
+
+def test_filter_of_shared_keys(spark):
+    """It passes every key that is wanted and few others, at any size."""
+    from sparkpipe.llm import sieve
+
+    wanted = spark.range(0, 3000, 3).select((F.col("id") * 7919).alias("k"))
+    every = spark.range(3000).select((F.col("id") * 7919).alias("k"), F.lit("x").alias("v"))
+    for rows in (wanted, wanted.limit(1), wanted.limit(0)):
+        table = sieve.filter_of(rows, ["k"])
+        assert len(table.bits) < 1 << 20
+        left = sieve.semi_join(every, rows, ["k"])
+        assert tuples(left, "k") == tuples(rows, "k")
