@@ -2,9 +2,134 @@
 
 from __future__ import annotations
 
+from sparkpipe.llm.risk import RULES
+
 WORDS = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_CUTOFFS = ", ".join(
+    f"('{rule}', {i}, {cutoff})"
+    for rule, (_, _, cutoffs) in RULES.items()
+    for i, cutoff in enumerate(cutoffs)
+)
+_TOP, _BOTTOM = (
+    "CASE rule " + " ".join(f"WHEN '{r}' THEN {x[k]}" for r, x in RULES.items()) + " END"
+    for k in (0, 1)
+)
 
 LLM_ORACLE = {
+    "op2_risk_rules": rf"""
+        WITH w AS (
+            SELECT doc_id, lang, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws,
+                list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda x: regexp_matches(x, '{WORDS}')) AS lines
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 2]) AS times
+            FROM w, unnest(range(1, greatest(1, len(ws) - 1))) AS u(i)
+        ), repeated AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n
+            FROM windows, range(3) AS r(k) WHERE times > 1 GROUP BY doc_id
+        ), c AS (
+            SELECT w.doc_id, lang, t, CAST(len(ws) AS BIGINT) AS n_words,
+                CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+                len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+                len(regexp_extract_all(t, '[!?]')) AS n_marks
+            FROM w LEFT JOIN repeated r ON r.doc_id = w.doc_id
+        ), marks AS (
+            SELECT doc_id, bool_and(quality = 1) AS good FROM labels
+            WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+        ), once AS (
+            SELECT lang, bool_and(good) AS good, min(n_words) AS n_words,
+                min(word_chars) AS word_chars, min(n_symbols) AS n_symbols,
+                min(n_dup_lines) AS n_dup_lines, min(n_repeat_words) AS n_repeat_words,
+                min(n_lines) AS n_lines, min(n_upper) AS n_upper, min(n_marks) AS n_marks
+            FROM c JOIN marks USING (doc_id) GROUP BY lang, t
+        ), held AS (
+            SELECT lang, rule, i, cutoff, count(*) AS n, count(*) FILTER (
+                {_BOTTOM} > 0 AND 100 * {_TOP} >= cutoff * {_BOTTOM}) AS k
+            FROM once, (VALUES {_CUTOFFS}) AS v(rule, i, cutoff) WHERE good
+            GROUP BY lang, rule, i, cutoff
+        ), tested AS (
+            SELECT *, k < n AND list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                    + j * ln(0.06 / {len(RULES)}) + (n - j) * ln(1 - 0.06 / {len(RULES)}))
+                    for j in range(0, k + 1)])
+                <= 0.05 / ((SELECT count(DISTINCT coalesce(lang, chr(0))) FROM held) * {len(RULES)})
+                AS safe
+            FROM held
+        ), chosen AS (
+            SELECT lang, rule, min(cutoff) AS cutoff FROM (
+                SELECT *, bool_and(safe) OVER (PARTITION BY lang, rule ORDER BY i) AS so_far
+                FROM tested) WHERE so_far GROUP BY lang, rule
+        ), rejected AS (
+            SELECT DISTINCT c.doc_id FROM c JOIN chosen h ON c.lang IS NOT DISTINCT FROM h.lang
+            WHERE {_BOTTOM} > 0 AND 100 * {_TOP} >= cutoff * {_BOTTOM}
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+                AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+        FROM c
+    """,
+    "op6_jaccard_join": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORDS}') AS ws
+            FROM documents
+        ), g AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 5 THEN ws[i:i + 4] ELSE ws END AS s
+            FROM w, unnest(range(1, greatest(2, len(ws) - 3))) AS u(i) WHERE len(ws) > 0
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+        ), p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+            FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * k >= 80 * (x.n + y.n - k)
+        ), r AS (
+            SELECT doc_id, doc_id AS root FROM documents
+            UNION SELECT l.a, r.root FROM r JOIN l ON l.b = r.doc_id
+        )
+        SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id
+        FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
+    "op9_bwt_dedup": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
+                CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
+            FROM documents
+        ), x AS (
+            SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) AS m
+            FROM d, unnest(range(0, greatest(0, n - 49))) AS u(p)
+        ), q AS (
+            SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+            FROM x WHERE m < doc_id
+        ), i AS (
+            SELECT doc_id, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END)
+                OVER (PARTITION BY doc_id ORDER BY p) AS span
+            FROM q
+        ), s AS (
+            SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, span
+        ), k AS (
+            SELECT s.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER o, 0) + 1,
+                2 * (a - coalesce(lag(b) OVER o, 0))) AS part
+            FROM s JOIN d ON d.doc_id = s.doc_id
+            WINDOW o AS (PARTITION BY s.doc_id ORDER BY a)
+        ), t AS (
+            SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+                string_agg(part, '' ORDER BY a) AS parts
+            FROM k GROUP BY doc_id
+        )
+        SELECT d.doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(coalesce(parts, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+    """,
     "op7_mix_sources": rf"""
         WITH d AS (
             SELECT doc_id, source,
