@@ -103,9 +103,13 @@ LLM_ORACLE = {
             SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
                 CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
             FROM documents
+        ), c AS (
+            SELECT doc_id, n, j, substr(h, 2000 * j + 1, 2098) AS part
+            FROM d, unnest(range(0, (n + 999) // 1000)) AS u(j)
         ), x AS (
-            SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) AS m
-            FROM d, unnest(range(0, greatest(0, n - 49))) AS u(p)
+            SELECT doc_id, 1000 * j + o AS p,
+                min(doc_id) OVER (PARTITION BY substr(part, 2 * o + 1, 100)) AS m
+            FROM c, unnest(range(0, least(1000, greatest(0, n - 49 - 1000 * j)))) AS v(o)
         ), q AS (
             SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
             FROM x WHERE m < doc_id
