@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -34,13 +35,13 @@ from sparkpipe.llm.frames import id_and_text, mixed, written
 
 LENGTH = 50
 ANCHOR = 20
-TOGETHER = 1 << 20  # bytes of text that are hashed at a time
+TOGETHER = 1 << 18  # bytes of text that are hashed at a time
 SHARD = 1 << 16  # bytes of a shard
-AT_ONCE = 8 << 20  # bytes of pieces that are compared before they are sent
+AT_ONCE = 4 << 20  # bytes of pieces that are compared before they are sent
 MERGE = 1 << 19  # bytes of whole groups that are merged at a time
 END = 0  # symbol of a string's end; bytes are symbols 1 to 256
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-PIECES = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i8"), ("n", "<i8")])
+PIECES = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("n", "<u4")])
 
 
 def _power(n: int) -> np.uint64:
@@ -256,10 +257,11 @@ class _Marks:
         else:
             held += (start, end)
 
-    def batch(self) -> pa.RecordBatch:
+    def batch(self, parts: int = 1) -> pa.RecordBatch:
+        """A row per document row, spread over ``parts``."""
         data = [np.array(x, np.int64).tobytes() for x in self.held.values()]
         docs, rows = zip(*self.held) if self.held else ((), ())
-        return _rows(docs=docs, rows=rows, marks=data)
+        return _rows(docs=docs, rows=rows, marks=data, parts=[r % parts for r in rows])
 
 
 def _rows(docs=(), rows=(), marks=(), parts=(), pieces=(), text=()) -> pa.RecordBatch:
@@ -305,7 +307,7 @@ def send_pieces(
         marks = _Marks()
         kept = sorted(_lowest_only(held, marks), key=lambda x: x[1])
         if marks.held:
-            yield marks.batch()
+            yield marks.batch(parts)
         if not kept:
             return
         index = np.array([(*x, len(data)) for data, x in kept], PIECES)
@@ -335,9 +337,14 @@ def send_pieces(
 
 
 def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mark the windows of a part's pieces that a smaller document also has."""
+    """Mark the windows of a part's pieces that a smaller document also has.
+
+    Marks that come along are passed on.
+    """
     held: dict[bytes, list[tuple]] = {}
     for batch in batches:
+        yield batch.filter(pc.is_valid(batch.column("marks")))
+        batch = batch.filter(pc.is_valid(batch.column("pieces")))
         for pieces, text in zip(batch.column("pieces").to_pylist(), batch.column("text").to_pylist()):
             at = 0
             for key, doc, row, start, n in np.frombuffer(pieces, PIECES).tolist():
@@ -427,14 +434,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ) -> Iterator[pa.RecordBatch]:
         yield from judge_pieces(batches)
 
-    sent = written(rows.mapInArrow(send, SENT), "bwt-pieces")
-    judged = sent.where("part IS NOT NULL").groupBy("part").applyInArrow(judge, SENT)
-    marks = written(
-        judged.select("doc_id", "row", "marks").unionByName(
-            sent.where("marks IS NOT NULL").select("doc_id", "row", "marks")
-        ),
-        "bwt-marks",
-    )
+    judged = rows.mapInArrow(send, SENT).groupBy("part").applyInArrow(judge, SENT)
+    marks = written(judged.select("doc_id", "row", "marks"), "bwt-marks")
     marks = marks.groupBy("doc_id", "row").agg(F.collect_list("marks").alias("marks"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

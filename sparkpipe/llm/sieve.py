@@ -20,6 +20,7 @@ from sparkpipe.llm.frames import mixed, tasks
 MOST_BITS = 28  # of a whole filter
 KEY_BITS = 16
 HASHES = 4
+ROWS = 2500  # whose keys are sent together
 LAST = np.uint64((1 << 32) - 1)
 
 
@@ -51,13 +52,13 @@ def shared_filter(
 
     ``keys_of`` gives the sorted distinct keys of a batch, and which of them occur twice
     in it. Each batch sends a key once, so even a key that a third of all rows have
-    arrives no more often than there are batches. What reaches the driver is bounded.
+    arrives no more often than there are batches of ``ROWS`` rows. What reaches the driver is bounded.
     """
     first = part_bits(docs)
     parts, most = 1 << first, 1 << (MOST_BITS - first)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             found, twice = keys_of(batch)
             cuts = np.searchsorted(found >> np.uint64(64 - first), np.arange(parts + 1))
             rows = [
