@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 
 from sparkpipe.plans.queries import QUERIES
@@ -26,6 +28,7 @@ def run(spark, name: str) -> float:
 
 
 def main() -> None:
+    work = tempfile.mkdtemp(prefix="sparkpipe-bench-")
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
@@ -33,6 +36,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": work,
         },
         "ERROR",
     )
@@ -43,6 +47,7 @@ def main() -> None:
         timings[name] = round(statistics.median(run(spark, name) for _ in range(RUNS)), 3)
         print(f"{name} {timings[name]}", file=sys.stderr, flush=True)
     spark.stop()
+    shutil.rmtree(work, ignore_errors=True)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
