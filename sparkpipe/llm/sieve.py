@@ -37,8 +37,11 @@ class Sieve:
 
 
 def part_bits(docs: DataFrame) -> int:
-    """Keys are gathered in this many bits' worth of parts, at least one per task."""
-    return min(14, max(4, (tasks(docs.sparkSession) - 1).bit_length()))
+    """Keys are gathered in this many bits' worth of parts, at least four per task.
+
+    What a part holds is in memory at once, so parts are smaller than a task's share.
+    """
+    return min(14, max(4, (tasks(docs.sparkSession) - 1).bit_length() + 2))
 
 
 def _cell(keys: np.ndarray, k: int, size) -> np.ndarray:
