@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
 
 from sparkpipe.llm import chains, decontaminate, jaccard, mixing, queries, records
-from sparkpipe.llm.frames import written
+from sparkpipe.llm.frames import visible_to_workers, written
 from sparkpipe.plans.inputs import table
 
 
@@ -44,12 +46,21 @@ def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return records.records_digest(records.round_trip(docs, queries.TOKENIZER, queries.END_ID))
 
 
+def _visible(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        visible_to_workers(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", one_of_each_group),
-    ("decontamination", drop_contaminated),
-    ("mixing", mix_sources),
-    ("token_records", token_records),
+    ("toxicity", _visible(drop_toxic)),
+    ("near_duplicates", _visible(one_of_each_group)),
+    ("decontamination", _visible(drop_contaminated)),
+    ("mixing", _visible(mix_sources)),
+    ("token_records", _visible(token_records)),
 ]
 
 #: SQL cannot express the first stage, which trains a model.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +16,19 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def visible_to_workers(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver found it.
+
+    That serves a driver started in another folder; on machines of their own, workers
+    get the library as any other, installed or through ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` after a write to the shared work folder, so nothing above it runs again."""
     spark = df.sparkSession

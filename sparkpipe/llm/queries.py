@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import (
     bwt, chains, chat, decontaminate, inputs, jaccard, mixing, records, risk, secrets, url_lists,
 )
+from sparkpipe.llm.frames import visible_to_workers
 from sparkpipe.plans.inputs import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,8 +20,13 @@ LLM_QUERIES = {}
 
 
 def query(run):
-    LLM_QUERIES[run.__name__] = run
-    return run
+    @functools.wraps(run)
+    def visible(spark, sf):
+        visible_to_workers(spark)
+        return run(spark, sf)
+
+    LLM_QUERIES[run.__name__] = visible
+    return visible
 
 
 def _documents(spark, sf):
