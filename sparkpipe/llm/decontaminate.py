@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkpipe.llm.frames import id_and_text, mixed, word_hashes, written
 
-# Seeds of ten words, seven of which count.
-SEEDS = ("1101011011", "1011101101", "1110110011")
-SPAN = len(SEEDS[0])
+# Seeds of which six words count. Every stretch with ten or more equal words
+# and eight in ten equal has a hit: one of more than 25 words holds a shorter such stretch
+# (a half of it), and for the others the tests go through all substitutions.
+SEEDS = ("1101111", "111010011", "11100100011")
+SEEDS_FIND = 10, 8  # equal words at least, and in ten
 SHORTEST = 5  # shorter benchmark items say nothing and are left out
 FOUND = "doc_id long, item_id long, matched int, length int, doc_word int, item_word int"
 SIEVE_BITS = 22
@@ -30,6 +32,19 @@ def words_of(text: str) -> np.ndarray:
     return word_hashes(text.encode().lower().split())
 
 
+def masks_for(least: int, tenths: int) -> tuple[str, ...]:
+    """Seeds that hit every overlap of ``least`` equal words, ``tenths`` in ten equal.
+
+    Looser overlaps than ``SEEDS`` find are found by the run of equal words that the
+    substitutions must leave: m equal words and at most m (10 - tenths) / tenths others
+    have a run as long as the mean of all runs, which grows with m.
+    """
+    if least >= SEEDS_FIND[0] and tenths >= SEEDS_FIND[1]:
+        return SEEDS
+    run = -(-least * tenths // (least * (10 - tenths) + tenths)) if tenths else 1
+    return ("1" * max(1, run),)
+
+
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     """A hash for each position of ``mask`` along ``words``."""
     n = len(words) - len(mask) + 1
@@ -50,6 +65,7 @@ class Block:
 
     ids: list[int] = field(default_factory=list)
     items: list[np.ndarray] = field(default_factory=list)
+    least: int = SEEDS_FIND[0]
     masks: tuple[str, ...] = SEEDS
     hashes: np.ndarray = None  # sorted
     item: np.ndarray = None
@@ -57,12 +73,13 @@ class Block:
     sieve: np.ndarray = None
 
     def close(self) -> Block:
-        """Index all positions. An item shorter than a seed is a seed of its own."""
-        short = {"1" * len(x) for x in self.items if SHORTEST <= len(x) < SPAN}
-        self.masks = SEEDS + tuple(sorted(short))
+        """Index all positions. An item of too few words for an overlap is its own seed."""
+        seeds = self.masks
+        short = {"1" * len(x) for x in self.items if len(x) < self.least}
+        self.masks = (*seeds, *sorted(short.difference(seeds)))
         hashes, item, place = [], [], []
         for k, words in enumerate(self.items):
-            own = SEEDS if len(words) >= SPAN else ("1" * len(words),)
+            own = seeds if len(words) >= self.least else ("1" * len(words),)
             for mask in own:
                 found = seed_hashes(words, mask)
                 hashes.append(found)
@@ -78,10 +95,12 @@ class Block:
         return self
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, words: int) -> Iterator[Block]:
+def blocks(
+    benchmark: DataFrame, id_col: str, text_col: str, words: int, least: int, tenths: int
+) -> Iterator[Block]:
     """The benchmark in blocks of about ``words`` words; a block holds at least one item."""
     rows = id_and_text(benchmark, id_col, text_col).dropna().distinct()
-    block, size = Block(), 0
+    block, size = Block(least=least, masks=masks_for(least, tenths)), 0
     for row in written(rows, "benchmark").toLocalIterator():
         item = words_of(row["text"])
         if len(item) < SHORTEST:
@@ -91,7 +110,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, words: int) -> Iter
         size += len(item)
         if size >= words:
             yield block.close()
-            block, size = Block(), 0
+            block, size = Block(least=least, masks=masks_for(least, tenths)), 0
     if block.ids:
         yield block.close()
 
@@ -193,7 +212,7 @@ def find_overlaps(
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
     parts = []
-    for block in blocks(benchmark, item_id_col, item_text_col, block_words):
+    for block in blocks(benchmark, item_id_col, item_text_col, block_words, least, tenths):
         sent = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -59,6 +60,36 @@ def test_against_brute_force(spark):
     assert all(k[0] < 100 for k in found)
 
 
+def test_seeds_hit_every_allowed_substitution():
+    """Stretches of up to 25 words; of a longer one, a half is a stretch as well."""
+    for n in range(10, 26):
+        hit = [int(m, 2) << k for m in d.SEEDS for k in range(n - len(m) + 1)]
+        for others in range(n - max(10, -(-8 * n // 10)) + 1):
+            for places in itertools.combinations(range(n), others):
+                gone = sum(1 << k for k in places)
+                assert any(not gone & h for h in hit), (n, places)
+
+
+def test_finds_all_that_brute_force_finds(spark):
+    chance = random.Random(3)
+    sizes = [10, 11, 12, 13, 15, 16, 18, 20, 25, 7]
+    items = [(i, " ".join(words(chance, n))) for i, n in enumerate(sizes)]
+    docs = []
+    for k in range(300):
+        item = items[k % 10][1].split()
+        for place in chance.sample(range(len(item)), len(item) // 5):
+            item[place] = "other"
+        text = words(chance, 8) + item + words(chance, 8)
+        docs.append((k, " ".join(text), "en", "a", 1))
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], ITEM)
+    for least, tenths in ((10, 8), (12, 9), (6, 7)):
+        got = d.find_overlaps(documents(spark, docs), benchmark, least, tenths, block_words=60)
+        want = brute([r[:2] for r in docs], items, least, tenths)
+        found = {(r.doc_id, r.item_id): r.matched for r in got.collect()}
+        assert found.keys() == want.keys() and len(want) > 20
+        assert all(matched <= want[pair] for pair, matched in found.items())
+
+
 def test_longest_stretch():
     chance = random.Random(1)
     for _ in range(300):
