@@ -93,18 +93,21 @@ class Encoder:
     cut there and its pieces encoded on their own. A piece of letters and marks with at
     most one line feed inside may be cut between these as well. What was met before
     comes from tables that are emptied when full; long pieces are never kept. Any other
-    tokenizer gets the texts whole.
+    tokenizer gets the texts whole, and so does a text that holds one of the tokenizer's
+    added tokens. ``literal`` reads special tokens in a text as plain text.
     """
 
     KEPT = 1_000_000
     LONGEST = 48
     TOGETHER = 1 << 20  # characters whose pieces are looked up at a time
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [a.content for a in added if not (literal and a.special)]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         made = json.loads(self.tokenizer.to_str())
         splitter = made["pre_tokenizer"] or {}
@@ -161,6 +164,14 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._ids(texts)
+        whole = [any(a in t for a in self.added) for t in texts]
+        if any(whole):
+            uncut = iter(self._ids([t for t, w in zip(texts, whole) if w]))
+            rest = iter(self._cut([t for t, w in zip(texts, whole) if not w]))
+            return [next(uncut if w else rest) for w in whole]
+        return self._cut(texts)
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
         out, begin = [], 0
         while begin < len(texts):
             end, size = begin, 0
@@ -188,17 +199,17 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    if path not in _encoders:
+def encoder(path: str, literal: bool) -> Encoder:
+    """One encoder per worker process, tokenizer file and reading of special tokens."""
+    if (path, literal) not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders[path, literal] = Encoder(path, literal)
+    return _encoders[path, literal]
 
 
 class _Shard:
@@ -239,6 +250,7 @@ def write_records(
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_bytes: int = 256 << 20,
+    literal: bool = False,
 ) -> DataFrame:
     """Encode every text, append ``end_id``, write shards in id order; the manifest.
 
@@ -246,7 +258,8 @@ def write_records(
     order is id order and rows that share one id can still spread over tasks. A null
     text is encoded as an empty one; a null id sorts first and stays null; rows with
     equal ids follow the hash of their text; an empty table gives an empty manifest.
-    Columns other than the two named are ignored. A shard is closed once it holds
+    Columns other than the two named are ignored. Special tokens in a text are encoded as
+    the tokenizer does by default, or with ``literal`` as plain text. A shard is closed once it holds
     ``shard_bytes``, so no file grows with the input.
     """
     spark = docs.sparkSession
@@ -254,7 +267,7 @@ def write_records(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        codec, part = encoder(tokenizer), TaskContext.get().partitionId()
+        codec, part = encoder(tokenizer, literal), TaskContext.get().partitionId()
         end = np.array([end_id], f"<u{codec.width}").tobytes()
         shard, done = None, []
         for batch in batches:

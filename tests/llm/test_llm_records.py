@@ -48,6 +48,19 @@ def test_pieces_are_encoded_like_whole_texts(plain):
         assert np.frombuffer(data, "<u2").tolist() == plain(text), repr(text)
 
 
+def test_added_tokens_are_encoded_as_by_default(spark, folder):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>", " plain text. ", "<|endoftext|><|endoftext|>\n x"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    got = records.Encoder(TOKENIZER, literal=False).encode(texts)
+    assert [np.frombuffer(data, "<u2").tolist() for data in got] == want
+    rows = [(k, t, "en", "a", 1) for k, t in enumerate(texts)]
+    records.write_records(documents(spark, rows), folder, TOKENIZER, END_ID)
+    read = records.read_records(spark, folder).orderBy("start").collect()
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in read] == [[*w, END_ID] for w in want]
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     codec = records.Encoder(path)
