@@ -7,7 +7,9 @@ Texts are cut so that equal strings meet. The windows of ``LENGTH`` bytes that s
 their lowest hash of ``ANCHOR`` consecutive bytes with the windows next to them form a
 piece, and pieces go by that hash: equal windows lie in pieces of the same group, so a
 group decides about its windows alone. Pieces whose hash occurs in one document only
-are dropped first.
+are dropped first. A hash whose pieces may exceed ``MERGE`` bytes, say because many
+documents carry one passage with other text around it, is crowded: its windows go by
+their own hash instead, and those that occur in one document only are dropped as well.
 
 The pieces of some groups are divided into shards, and each shard's suffixes are sorted
 and give its Burrows-Wheeler transform. The transforms are merged by refining an
@@ -38,33 +40,48 @@ ANCHOR = 20
 TOGETHER = 1 << 18  # bytes of text that are hashed at a time
 SHARD = 1 << 16  # bytes of a shard
 AT_ONCE = 4 << 20  # bytes of pieces that are compared before they are sent
-MERGE = 1 << 19  # bytes of whole groups that are merged at a time
+MERGE = 1 << 19  # bytes of whole groups that are merged at a time; more are crowded
+MARKED = 20_000  # document rows whose marks are held at a time
 END = 0  # symbol of a string's end; bytes are symbols 1 to 256
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-PIECES = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("n", "<u4")])
+PIECES = np.dtype(
+    [
+        ("key", "<u8"),
+        ("doc", "<i8"),
+        ("row", "<i8"),
+        ("start", "<u4"),
+        ("to", "<u4"),  # where the last window ends; a run of one window has a longer stretch
+        ("n", "<u4"),
+    ]
+)
 
 
 def _power(n: int) -> np.uint64:
     return np.uint64(pow(0xD6E8FEB86659FD93, n, 1 << 64))
 
 
-def window_keys(data: np.ndarray) -> np.ndarray:
-    """For each window of ``LENGTH`` bytes the lowest hash of its anchors."""
-    n = len(data) - LENGTH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+def hashes_of(data: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of ``length`` bytes."""
     hashes, held = [BYTE[data]], 1
-    while held * 2 <= ANCHOR:  # hashes of 1, 2, 4, 8, 16 bytes
+    while held * 2 <= length:  # hashes of 1, 2, 4, 8, 16 bytes
         last = hashes[-1]
         hashes.append(last[:-held] * _power(held) + last[held:])
         held *= 2
     value, at = hashes[-1], held
     for k in reversed(range(len(hashes) - 1)):
-        if (ANCHOR - held) >> k & 1:
+        if (length - held) >> k & 1:
             size = len(hashes[k]) - at
             value = value[:size] * _power(1 << k) + hashes[k][at:]
             at += 1 << k
-    low, wide, window = mixed(value), 1, LENGTH - ANCHOR + 1
+    return mixed(value)
+
+
+def window_keys(data: np.ndarray) -> np.ndarray:
+    """For each window of ``LENGTH`` bytes the lowest hash of its anchors."""
+    n = len(data) - LENGTH + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    low, wide, window = hashes_of(data, ANCHOR), 1, LENGTH - ANCHOR + 1
     while wide * 2 <= window:
         low = np.minimum(low[:-wide], low[wide:])
         wide *= 2
@@ -73,29 +90,43 @@ def window_keys(data: np.ndarray) -> np.ndarray:
     return low[:n]
 
 
-def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The pieces of some texts: key, text number, first window, number of windows."""
+def cut(
+    texts: list[bytes], table: sieve.Sieve | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of some texts: key, text number, first window, number of windows, crowded.
+
+    Windows whose key is heavy in ``table`` go by their own hash, and equal ones next to
+    each other together.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    keys = window_keys(np.frombuffer(b"".join(texts), np.uint8))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    keys = window_keys(data)
+    none = np.zeros(0, np.int64)
     if not len(keys):
-        none = np.zeros(0, np.int64)
-        return keys, none, none, none
+        return keys, none, none, none, none.astype(bool)
+    crowded = np.zeros(len(keys), bool)
+    if table is not None and len(table.heavy):
+        # Windows next to each other mostly have one key, so each run is looked up once.
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        many = sieve.is_heavy(keys[first], table)
+        crowded = np.repeat(many, np.diff(np.append(first, len(keys))))
+        if many.any():
+            keys = np.where(crowded, hashes_of(data, LENGTH), keys)
     # A window must not cross into the next text.
     change = np.zeros(len(keys) + 1, np.int64)
     np.add.at(change, np.minimum(begins[:-1], len(keys)), 1)
     np.add.at(change, np.minimum(begins[:-1] + np.maximum(0, sizes - LENGTH + 1), len(keys)), -1)
     at = np.flatnonzero(np.cumsum(change[:-1]))
     if not len(at):
-        none = np.zeros(0, np.int64)
-        return keys[:0], none, none, none
+        return keys[:0], none, none, none, none.astype(bool)
     values = keys[at]
     text = np.searchsorted(begins, at, "right") - 1
     new = np.ones(len(at), bool)
     new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(at)))
-    return values[first], text[first], at[first] - begins[text[first]], n
+    return values[first], text[first], at[first] - begins[text[first]], n, crowded[at[first]]
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -127,20 +158,35 @@ def row_key(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
-def keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct piece keys of a batch, and which occur in two of its documents."""
-    keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def keys_of(
+    batch: pa.RecordBatch, table: sieve.Sieve | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct piece keys of a batch, which occur in two of its documents, their bytes.
+
+    With ``table`` the crowded windows' keys instead.
+    """
+    keys, docs, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for ids, _, texts in _texts(batch):
-        key, text, _, _ = cut(texts)
+        key, text, _, n, crowded = cut(texts, table)
+        if table is not None:
+            key, text, n = key[crowded], text[crowded], n[crowded]
         keys.append(key)
         docs.append(np.array(ids, np.int64)[text])
-    key, doc = np.concatenate(keys), np.concatenate(docs)
+        sizes.append(n + LENGTH - 1)
+    key, doc, size = np.concatenate(keys), np.concatenate(docs), np.concatenate(sizes)
     order = np.argsort(key, kind="stable")
-    key, doc = key[order], doc[order]
+    key, doc, size = key[order], doc[order], size[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
     if not len(first):
-        return key, np.zeros(0, bool)
-    return key[first], np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+        return key, np.zeros(0, bool), size
+    twice = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    return key[first], twice, np.add.reduceat(size, first)
+
+
+def crowded_keys_of(
+    batch: pa.RecordBatch, table: sieve.Sieve
+) -> tuple[np.ndarray, np.ndarray]:
+    return keys_of(batch, table)[:2]
 
 
 def sort_suffixes(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -292,15 +338,18 @@ def _lowest_only(held: dict[bytes, list[tuple]], marks: _Marks) -> Iterator[tupl
         low = min(x[1] for x in found)
         for x in found:
             if x[1] > low:
-                marks.add(x[1], x[2], x[3], x[3] + len(data))
+                marks.add(x[1], x[2], x[3], x[4])
             else:
                 yield data, x
 
 
 def send_pieces(
-    batches: Iterator[pa.RecordBatch], table: sieve.Sieve
+    batches: Iterator[pa.RecordBatch], table: sieve.Sieve, windows: sieve.Sieve | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Shared pieces in parts by their keys; of equal ones sent together only the lowest."""
+    """Shared pieces in parts by their keys; of equal ones sent together only the lowest.
+
+    ``windows`` is the filter of the crowded windows.
+    """
     parts = len(table.sizes)
 
     def sent(held: dict[bytes, list[tuple]]) -> Iterator[pa.RecordBatch]:
@@ -323,16 +372,19 @@ def send_pieces(
     size = 0
     for batch in batches:
         for ids, rows, texts in _texts(batch):
-            key, text, start, n = cut(texts)
-            good = sieve.passes(key, table)
-            found = (x[good].tolist() for x in (key, text, start, n))
-            for k, t, s, m in zip(*found):
-                data = texts[t][s : s + m + LENGTH - 1]
-                held.setdefault(data, []).append((k, ids[t], rows[t], s))
+            key, text, start, n, crowded = cut(texts, table)
+            good = sieve.passes(key, table) & ~crowded
+            if crowded.any():
+                good[crowded] = sieve.passes(key[crowded], windows)
+            found = (x[good].tolist() for x in (key, text, start, n, crowded))
+            for k, t, s, m, one in zip(*found):
+                to = s + m + LENGTH - 1
+                data = texts[t][s : s + LENGTH if one else to]
+                held.setdefault(data, []).append((k, ids[t], rows[t], s, to))
                 size += len(data)
-            if size >= AT_ONCE:
-                yield from sent(held)
-                held, size = {}, 0
+                if size >= AT_ONCE:
+                    yield from sent(held)
+                    held, size = {}, 0
     yield from sent(held)
 
 
@@ -341,18 +393,39 @@ def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Marks that come along are passed on.
     """
-    held: dict[bytes, list[tuple]] = {}
+    indexes, texts = [np.zeros(0, PIECES)], []
     for batch in batches:
         yield batch.filter(pc.is_valid(batch.column("marks")))
         batch = batch.filter(pc.is_valid(batch.column("pieces")))
-        for pieces, text in zip(batch.column("pieces").to_pylist(), batch.column("text").to_pylist()):
-            at = 0
-            for key, doc, row, start, n in np.frombuffer(pieces, PIECES).tolist():
-                held.setdefault(text[at : at + n], []).append((key, doc, row, start))
-                at += n
-    marks = _Marks()
+        indexes += (np.frombuffer(x, PIECES) for x in batch.column("pieces").to_pylist())
+        texts += batch.column("text").to_pylist()
+    # Only the pieces of some keys at a time become objects.
+    index, text = np.concatenate(indexes), b"".join(texts)
+    del indexes, texts
+    ends = np.cumsum(index["n"], dtype=np.int64)
+    order = np.argsort(index["key"], kind="stable")
+    sizes = np.cumsum(index["n"][order], dtype=np.int64)
+    keys = index["key"][order]
+    cuts = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)) if len(keys) else []
+    marks, begin, done = _Marks(), 0, 0
+    for end in cuts:
+        if sizes[end - 1] - done < AT_ONCE and end < len(keys):
+            continue
+        held: dict[bytes, list[tuple]] = {}
+        some = order[begin:end]
+        for at, (*x, n) in zip(ends[some].tolist(), index[some].tolist()):
+            held.setdefault(text[at - n : at], []).append(tuple(x))
+        _judge(held, marks)
+        begin, done = end, sizes[end - 1]
+        if len(marks.held) >= MARKED:
+            yield marks.batch()
+            marks = _Marks()
+    yield marks.batch()
+
+
+def _judge(held: dict[bytes, list[tuple]], marks: _Marks) -> None:
+    """Judge all pieces of some keys."""
     kept = sorted(_lowest_only(held, marks), key=lambda x: x[1])
-    del held
     for group in _groups(kept):
         strings = list(dict.fromkeys(data for data, _ in group))
         number = {data: i for i, data in enumerate(strings)}
@@ -360,15 +433,14 @@ def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, x in group:
             docs[number[data]] = x[1]
         lowest = smallest_docs(strings, docs)
-        for data, (_, doc, row, start) in group:
+        for data, (_, doc, row, start, to) in group:
             hit = np.flatnonzero(lowest[number[data]] < doc)
             for first, last in _runs(hit):
-                marks.add(doc, row, start + first, start + last + LENGTH)
-    yield marks.batch()
+                marks.add(doc, row, start + first, to - (len(data) - LENGTH - last))
 
 
 def _groups(kept: list[tuple[bytes, tuple]]) -> Iterator[list[tuple[bytes, tuple]]]:
-    """Whole groups of equal keys, about ``MERGE`` bytes at a time.
+    """Whole groups of equal keys, fewer than twice ``MERGE`` bytes at a time.
 
     A group of one string has nothing to be merged with.
     """
@@ -424,10 +496,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
-    table = spark.sparkContext.broadcast(sieve.shared_filter(rows, keys_of))
+    shared = sieve.shared_filter(rows, keys_of, MERGE)
+    table = spark.sparkContext.broadcast(shared)
+    windows = None
+    if len(shared.heavy):
+        single = sieve.shared_filter(rows, lambda batch: crowded_keys_of(batch, table.value))
+        windows = spark.sparkContext.broadcast(single)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from send_pieces(batches, table.value)
+        yield from send_pieces(batches, table.value, windows and windows.value)
 
     def judge(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]

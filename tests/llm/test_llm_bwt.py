@@ -2,10 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import ROWS, documents, empty, tuples
 
-from sparkpipe.llm import bwt
+from sparkpipe.llm import bwt, sieve
+from sparkpipe.llm.frames import id_and_text
 from sparkpipe.llm.queries import op9_bwt_dedup
 
 SF = "/root/testdata/sf0.001"
@@ -50,6 +52,37 @@ def test_random_documents(spark, letters):
     assert sorted(tuple(r) for r in got.collect()) == sorted(brute([r[:2] for r in rows]))
 
 
+def test_passage_shared_with_different_flanks(spark, monkeypatch):
+    """Many documents share a passage, so nearly all send other pieces under one key."""
+    chance = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(chance.choices(letters, k=389))
+    rows = []
+    for k in range(600):
+        a, b = ("".join(chance.choices(letters, k=chance.randint(40, 90))) for _ in range(2))
+        text = a + passage + b + "-" * chance.randint(0, 120) + "ab" * chance.randint(0, 60)
+        rows.append((k * 7 % 601, text, "en", "a", 1))
+    pairs = [r[:2] for r in rows]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in pairs])
+    monkeypatch.setattr(bwt, "MERGE", 1 << 13)
+    sizes, merged = [], bwt.smallest_docs
+
+    def watched(strings, docs):
+        sizes.append(sum(map(len, strings)))
+        return merged(strings, docs)
+
+    monkeypatch.setattr(bwt, "smallest_docs", watched)
+    docs = id_and_text(documents(spark, rows), "doc_id", "text")
+    table = sieve.shared_filter(docs, bwt.keys_of, bwt.MERGE)
+    assert len(table.heavy)
+    windows = sieve.shared_filter(docs, lambda b: bwt.crowded_keys_of(b, table))
+    sent = list(bwt.send_pieces(iter([batch]), table, windows))
+    list(bwt.judge_pieces(iter(sent)))
+    assert max(sizes, default=0) < 2 * bwt.MERGE
+    got = bwt.repeats_digest(bwt.remove_repeats(documents(spark, rows)))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(pairs))
+
+
 @pytest.mark.parametrize("shard", [60, 300, 1 << 16])
 def test_merge_of_shards(monkeypatch, shard):
     monkeypatch.setattr(bwt, "SHARD", shard)
