@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sparkpipe.functions.once import evaluated
+from sparkpipe.llm.frames import SPACE
 from sparkpipe.llm.url_lists import host_of
 
 #: The conversation that holds the template's own control strings.
@@ -60,3 +62,20 @@ def list_history(pages: DataFrame) -> DataFrame:
         F.struct(F.lit("add").alias("action"), _day(first + gone + again).alias("at")),
     )
     return listed.select("list", "entry", F.inline(F.slice(events, 1, (F.col("chance") % 3 + 1).cast("int"))))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents, those with a crc32 of their id that ends in 0 made periodic.
+
+    From word a on they repeat p words, both of which the crc32 decides.
+    """
+    mark = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", f"{SPACE}+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.floor(mark / 10).alias("g"), F.when(mark % 10 == 0, words).alias("w"))
+    n, g = F.size("words"), F.col("g")
+    rows = evaluated(chosen, "words", F.col("w")).withColumn("a", g % n)
+    rows = rows.withColumn("p", F.floor((n - F.col("a")) / (3 + g % 8)) + 1)
+    a, p = F.col("a").cast("int"), F.col("p").cast("int")
+    periodic = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + (i - a) % p)))
+    text = F.when(n > 0, F.array_join(periodic, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))

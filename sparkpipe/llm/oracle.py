@@ -17,6 +17,31 @@ _TOP, _BOTTOM = (
     for k in (0, 1)
 )
 
+# CRC-32, bit by bit over the digits of an id.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295,
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _assigned(books: str) -> str:
+    """The nearest entry of each part of each vector, as (distance, entry)."""
+    return f"""SELECT rid, part, min(struct_pack(d := list_sum(list_transform(list_zip(x.v, b.v),
+                lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := entry)) AS best
+            FROM parts x JOIN {books} b USING (part) GROUP BY rid, part"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    """Entries after one round: floored means, or as they were."""
+    return f"""SELECT part, entry, coalesce(new.v, b.v) AS v FROM {books} b LEFT JOIN (
+                SELECT part, entry, list(mean ORDER BY pos) AS v FROM (
+                    SELECT x.part, a.best.e AS entry, pos, CAST(floor(sum(x.v[pos]) / count(*)) AS BIGINT) AS mean
+                    FROM {assigned} a JOIN parts x USING (rid, part), unnest(range(1, len(x.v) + 1)) AS u(pos)
+                    GROUP BY ALL
+                ) GROUP BY part, entry
+            ) new USING (part, entry)"""
+
+
 LLM_ORACLE = {
     "op2_risk_rules": rf"""
         WITH w AS (
@@ -251,4 +276,72 @@ LLM_ORACLE = {
                 AS formatted_chars
         FROM w GROUP BY conv_id
     """,
+    "op11_word_runs": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws, {_CRC} AS h
+            FROM documents
+        ), g AS (
+            SELECT doc_id, ws, h % 10 = 0 AND len(ws) > 0 AS due, len(ws) AS n, h // 10 AS g FROM d
+        ), a AS (
+            SELECT *, g % greatest(n, 1) AS a,
+                1 + (n - g % greatest(n, 1)) // (3 + g % 8) AS p FROM g
+        ), words AS (
+            SELECT doc_id, n, i, CASE WHEN due AND i >= a THEN ws[a + (i - a) % p + 1]
+                ELSE ws[i + 1] END AS w
+            FROM a, unnest(range(n)) AS u(i)
+        ), pairs AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q
+            FROM words x JOIN words y ON y.doc_id = x.doc_id AND y.w = x.w
+                AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+        ), islands AS (
+            SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+            FROM pairs
+        ), periodic AS (
+            SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands
+            GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (
+            SELECT doc_id, s, l, min(q) AS q FROM periodic GROUP BY doc_id, s, l
+        ), r AS (
+            SELECT doc_id, count(*) AS n_runs,
+                max(struct_pack(l := l, s := -s, q := -q)) AS best,
+                sha256(string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256
+            FROM runs GROUP BY doc_id
+        ), dropped AS (
+            SELECT DISTINCT doc_id, i FROM runs, unnest(range(s + q, s + l)) AS u(i)
+        ), kept AS (
+            SELECT doc_id, sha256(string_agg(w, ' ' ORDER BY i)) AS collapsed_sha256
+            FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, best.l AS length,
+            -best.q AS period, 1000 * best.l // -best.q AS exponent_milli,
+            coalesce(runs_sha256, sha256('')) AS runs_sha256,
+            coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+        FROM d LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op12_vector_codes": rf"""
+        WITH k AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT rid, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS v
+            FROM k, unnest(range(16)) AS u(part)
+        ), b0 AS (
+            SELECT part, rid - 1 AS entry, v FROM parts WHERE rid <= 64
+        ), a0 AS ({_assigned("b0")}), b1 AS ({_moved("b0", "a0")}),
+        a1 AS ({_assigned("b1")}), b2 AS ({_moved("b1", "a1")}),
+        a2 AS ({_assigned("b2")}),
+        coded AS (
+            SELECT rid, string_agg(lower(printf('%02x', best.e)), '' ORDER BY part) AS code,
+                CAST(sum(best.d) AS BIGINT) AS error
+            FROM a2 GROUP BY rid
+        ), books AS (
+            SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry))
+                AS codebooks_sha256 FROM b2
+        )
+        SELECT vec_id, code, error,
+            CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM k JOIN coded USING (rid), books
+    """,
 }

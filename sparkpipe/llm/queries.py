@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import (
-    bwt, chains, chat, decontaminate, inputs, jaccard, mixing, records, risk, secrets, url_lists,
+    bwt, chains, chat, codes, decontaminate, inputs, jaccard, mixing, nearest, records, risk, runs, secrets,
+    url_lists,
 )
 from sparkpipe.llm.frames import visible_to_workers
 from sparkpipe.plans.inputs import table
@@ -100,3 +101,21 @@ def op9_bwt_dedup(spark, sf):
 def op10_format_chats(spark, sf):
     rows = inputs.with_clash(table(spark, sf, "conversations"))
     return chat.chat_digest(chat.format_chats(rows))
+
+
+@query
+def op11_word_runs(spark, sf):
+    return runs.runs_digest(runs.find_runs(inputs.with_periods(_documents(spark, sf))))
+
+
+@query
+def op12_vector_codes(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    books = codes.fit_codebooks(vectors)
+    return codes.codes_digest(codes.with_label_error(codes.encode(vectors, books)), books)
+
+
+@query
+def op13_collision_search(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"))

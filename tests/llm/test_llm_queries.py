@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = importlib.reload(__spark_entry__).queries()
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(names)
 
 
