@@ -25,7 +25,7 @@ def unique_by_key(
     A NULL key is an error. Two rows for one key are an error too, unless
     ``order_by`` is given: then the greatest wins, ties being settled by the
     remaining columns that have an order (maps have none). Of a crowded key each
-    task passes on one row only.
+    task passes on one row only, or two where a second one is an error.
     """
     by_key = Window.partitionBy(*keys)
     name = F.to_json(F.struct(*keys))
@@ -36,7 +36,8 @@ def unique_by_key(
         last = by_key.orderBy(*[F.col(c).desc() for c in [*order_by, *rest]])
         picked = source.withColumn("_place", F.row_number().over(last)).filter("_place = 1")
     else:
-        picked = source.withColumn("_place", F.count("*").over(by_key))
+        place = F.row_number().over(by_key.orderBy(*keys))
+        picked = source.withColumn("_place", place).filter("_place <= 2")
         fault = fault.when(
             F.col("_place") > 1, F.concat(F.lit(f"more than one row {what} "), name)
         )
@@ -269,6 +270,71 @@ def change_feed(
     return both.select(F.explode(images).alias("image")).select("image.*")
 
 
+def feed_of_states(
+    states: Sequence[DataFrame],
+    keys: Sequence[str],
+    ignore: Sequence[str] = (),
+    since: int = 0,
+) -> DataFrame:
+    """Row changes over the consecutive states of a table, each with its ``_commit_version``.
+
+    The rows of the first state are inserts of version 0. ``since`` gives the changes of
+    that version and later ones only, and reads no state but the one before it and those
+    after. A key occurring twice in a state is an error, and so is a NULL key. Columns in
+    ``ignore`` do not by themselves make a change.
+
+    All states meet in one exchange by key; there each key's rows are in order of version,
+    and those that differ from the row before, or have none right before, are changes.
+    """
+    if not states:
+        raise ValueError("no state")
+    keys, columns = list(keys), states[0].columns
+    first = max(0, since - 1)
+    plain = without_maps(states[0])
+    compared = [c for c in columns if c not in keys and c not in ignore]
+    tagged = [
+        df.select(F.lit(v).cast("bigint").alias("_version"), *keys, F.struct(*columns).alias("_row"))
+        for v, df in enumerate(states[first:], first)
+    ]
+    in_order = Window.partitionBy(*keys).orderBy("_version")
+    met = reduce(DataFrame.unionByName, tagged).select(
+        "*",
+        F.lag(F.struct("_version", "_row")).over(in_order).alias("_before"),
+        F.lead("_version").over(in_order).alias("_next"),
+    )
+    version, row, before = F.col("_version"), F.col("_row"), F.col("_before")
+    name = F.to_json(F.struct(*keys))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    fault = F.when(missing, F.concat(F.lit("NULL in key "), name)).when(
+        version == before["_version"], F.concat(F.lit("more than one row in a version for key "), name)
+    )
+    met = met.filter(F.assert_true(fault.isNull(), fault).isNull())
+
+    def value(side: Column, c: str) -> Column:
+        return side[c] if c in plain else F.to_json(F.struct(side[c]))
+
+    def image(side: Column, kind: str, at: Column) -> Column:
+        return F.struct(
+            *[side[c].alias(c) for c in columns],
+            F.lit(kind).alias("_change_type"),
+            at.alias("_commit_version"),
+        )
+
+    old = before["_row"]
+    follows = F.coalesce(before["_version"] == version - 1, F.lit(False))
+    differs = changed([(value(old, c), value(row, c)) for c in compared])
+    came = F.when(~follows, F.array(image(row, INSERT, version))).when(
+        differs, F.array(image(old, PREIMAGE, version), image(row, POSTIMAGE, version))
+    )
+    stays = F.coalesce(F.col("_next") == version + 1, F.lit(False)) | (version == len(states) - 1)
+    left = F.when(~stays, F.array(image(row, DELETE, version + 1)))
+    none = F.array().cast(T.ArrayType(met.select(image(row, DELETE, version)).schema[0].dataType))
+    images = F.concat(F.coalesce(came, none), F.coalesce(left, none))
+    feed = met.select(F.explode(images).alias("image")).select("image.*")
+    # The state before ``since`` is only there to be compared with.
+    return feed.filter(F.col("_commit_version") >= since)
+
+
 def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after the changes; later ``_commit_version`` wins per key."""
     columns = before.columns

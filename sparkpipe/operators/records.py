@@ -35,38 +35,69 @@ def request_body(df: DataFrame, value: str) -> DataFrame:
     return df.withColumn(value, F.coalesce(inner, F.col(value)))
 
 
+# A string, a bracket, comma or colon, or anything else without blanks.
+TOKEN = r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+'
+FIRST_STRING = r'^"(?:[^"\\]|\\.)*"'
+
+
+def _members(text: Column) -> Column:
+    """The members of a JSON object as they are written, but without blanks."""
+    start = F.struct(
+        F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("depth")
+    )
+
+    def read(state: Column, token: Column) -> Column:
+        depth, held = state["depth"], state["open"]
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        ends = ((depth == 1) & (closes | (token == ","))) & (held != "")
+        return F.struct(
+            F.when(ends, F.concat(state["done"], F.array(held))).otherwise(state["done"]).alias("done"),
+            F.when(ends | (depth == 0), "").otherwise(F.concat(held, token)).alias("open"),
+            (depth + opens.cast("int") - closes.cast("int")).alias("depth"),
+        )
+
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.aggregate(tokens, start, read, lambda state: state["done"])
+
+
+def _without_stamp(text: Column) -> Column:
+    """The members of an object but the old stamp; numbers and strings keep their text."""
+
+    def other(member: Column) -> Column:
+        key = F.concat(F.lit("["), F.regexp_extract(member, FIRST_STRING, 0), F.lit("]"))
+        return F.get(F.from_json(key, "array<string>"), F.lit(0)) != STAMP
+
+    return F.filter(_members(text), other)
+
+
 def stamp_json(df: DataFrame, value: str, as_of: Column) -> DataFrame:
     """Add ``stamped`` and ``status_code`` to JSON text records.
 
     An object in strict JSON gets a ``processed_timestamp`` and 200, anything else
     400. A field of that name already there is replaced; only such a record is written
-    anew, all others keep their text.
+    anew, without blanks, its numbers as they were. All others keep their text.
     """
     text = F.trim(F.col(value))
-    strict = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", STRICT)
-    items = F.size(strict)
-    members = F.when(items == 1, F.get(strict, F.lit(0)))
-    fields = F.when(members.isNotNull(), F.size(members))
+    items = F.concat(F.lit("["), text, F.lit("]"))
+    strict = F.from_json(items, "array<map<string,string>>", STRICT)
+    read = evaluated(df, "_members", F.when(F.size(strict) == 1, F.get(strict, F.lit(0))))
+    members = F.col("_members")
     time = F.date_format(as_of, JSON_TIME)
-    others = F.map_filter(members, lambda k, _: k != STAMP)
-    anew = F.concat(
-        F.regexp_replace(F.to_json(others), r"\}$", ""),
-        F.when(F.size(others) > 0, F.lit(",")).otherwise(F.lit("")),
-        F.lit(f'"{STAMP}":"'),
-        time,
-        F.lit('"}'),
-    )
-    stamped = F.concat(
+    stamp = F.concat(F.lit(f'"{STAMP}":"'), time, F.lit('"'))
+    kept = F.concat(_without_stamp(text), F.array(stamp))
+    anew = F.concat(F.lit("{"), F.array_join(kept, ","), F.lit("}"))
+    added = F.concat(
         F.regexp_replace(text, r"\s*\}\s*$", ""),
-        F.when(fields > 0, F.lit(", ")).otherwise(F.lit("")),
+        F.when(F.size(members) > 0, ", ").otherwise(""),
         F.lit(f'"{STAMP}": "'),
         time,
         F.lit('"}'),
     )
-    stamped = F.when(F.map_contains_key(members, STAMP), anew).otherwise(stamped)
-    good = fields >= 0
-    return df.withColumn("stamped", F.when(good, stamped)).withColumn(
-        "status_code", F.when(good, 200).otherwise(400)
+    stamped = F.when(F.map_contains_key(members, STAMP), anew).otherwise(added)
+    return read.select(
+        *df.columns,
+        F.when(members.isNotNull(), stamped).alias("stamped"),
+        F.when(members.isNotNull(), 200).otherwise(400).alias("status_code"),
     )
 
 

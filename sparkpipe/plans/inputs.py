@@ -276,3 +276,20 @@ def notifications(pages: DataFrame) -> DataFrame:
         .otherwise(F.to_json(event))
     )
     return pages.select(value.alias("value"))
+
+
+def later_events(events: DataFrame) -> DataFrame:
+    """The events some time later: some gone, some of another value or type, some new.
+
+    The largest values are among those that go.
+    """
+    number = F.col("event_id")
+    stays = (number % 7 != 0) & (F.col("value") < 200)
+    kept = events.filter(F.coalesce(stays, F.lit(True))).withColumns(
+        {
+            "value": F.when(number % 5 == 0, F.col("value") / 2).otherwise(F.col("value")),
+            "event_type": F.when(number % 9 == 0, "view").otherwise(F.col("event_type")),
+        }
+    )
+    new = events.filter(number % 6 == 0).withColumn("event_id", number + 1_000_000_000)
+    return kept.unionByName(new)

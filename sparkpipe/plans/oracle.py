@@ -147,9 +147,34 @@ _CHANGED = " OR ".join(
     for c in ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 )
 
+_STATES = f"""{_UPSERTED},
+s0 AS (SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT'),
+s1 AS (SELECT * FROM upserted),
+s2 AS (SELECT * FROM upserted WHERE o_orderstatus <> 'F'),
+s3 AS (SELECT * FROM orders)"""
+
+
+def _between(version: int) -> str:
+    b, a = f"s{version - 1} b", f"s{version} a"
+    v = f"CAST({version} AS BIGINT) AS _commit_version"
+    return f"""
+      SELECT b.*, 'delete' AS _change_type, {v} FROM {b} ANTI JOIN {a} USING (o_orderkey)
+      UNION ALL SELECT a.*, 'insert', {v} FROM {a} ANTI JOIN {b} USING (o_orderkey)
+      UNION ALL SELECT b.*, 'update_preimage', {v} FROM {b} JOIN {a} ON b.o_orderkey = a.o_orderkey WHERE {_CHANGED}
+      UNION ALL SELECT a.*, 'update_postimage', {v} FROM {b} JOIN {a} ON b.o_orderkey = a.o_orderkey WHERE {_CHANGED}"""
+
+
 _BUCKET = " + ".join(f"CAST(amount > CAST({b} AS DOUBLE) AS INTEGER)" for b in BOUNDARIES)
 _UPPER = " ".join(f"WHEN {i} THEN CAST({b} AS DOUBLE)" for i, b in enumerate(BOUNDARIES))
 
+_LATER = """
+later AS (
+  SELECT event_id, ts, user_id, CASE WHEN event_id % 9 = 0 THEN 'view' ELSE event_type END AS event_type,
+    CASE WHEN event_id % 5 = 0 THEN value / 2 ELSE value END AS value, props
+  FROM events WHERE coalesce(event_id % 7 <> 0 AND value < 200, true)
+  UNION ALL
+  SELECT event_id + 1000000000, ts, user_id, event_type, value, props FROM events WHERE event_id % 6 = 0)"""
+
 _RULES = {
     "transaction_id_present": "transaction_id IS NOT NULL",
     "amount_not_negative": "amount >= 0",
@@ -347,9 +372,25 @@ ORACLE: dict[str, str] = {
       WITH {_UPDATES}
       SELECT *, 'insert' AS _change_type, CAST(0 AS BIGINT) AS _commit_version FROM orders
       UNION ALL SELECT *, CAST(1 AS BIGINT) FROM ({_MERGE_FEED})""",
+    "feed_of_states": f"""
+      WITH {_STATES}
+      SELECT *, 'insert' AS _change_type, CAST(0 AS BIGINT) AS _commit_version FROM s0
+      UNION ALL {_between(1)} UNION ALL {_between(2)} UNION ALL {_between(3)}""",
+    "feed_since_version": f"WITH {_STATES} {_between(2)} UNION ALL {_between(3)}",
+    "feed_replayed": "SELECT * FROM orders",
     "schema_evolution": f"""
       WITH {_TXN}
       SELECT *, CASE WHEN transaction_type = 'purchase' THEN amount > 35 END AS is_flagged FROM txn""",
+    "upkeep_counters": f"""
+      WITH {_LATER} SELECT event_type, user_id, count(*) AS ingested_total FROM later GROUP BY 1, 2""",
+    "upkeep_histogram": f"""
+      WITH {_LATER}, measured AS (
+        SELECT event_type, value AS amount, CAST({_BUCKET.replace("amount", "value")} AS INTEGER) AS bucket
+        FROM later WHERE value IS NOT NULL)
+      SELECT event_type, bucket, count(*) AS count, round(sum(amount), 4) AS sum,
+        min(amount) AS min, max(amount) AS max, CASE bucket {_UPPER} END AS upper_bound
+      FROM measured GROUP BY event_type, bucket""",
+    "upkeep_curated": f"WITH {_LATER}, {_CURATED.replace('FROM events', 'FROM later')} SELECT * FROM curated",
     "row_count": "SELECT count(*) AS total FROM lineitem",
     "dq_rule_suite": f"WITH {_CURATED} " + " UNION ALL ".join(_rule(n, c) for n, c in _RULES.items()),
     "ingest_counters": f"""

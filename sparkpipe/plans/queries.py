@@ -17,6 +17,7 @@ from sparkpipe.operators import (
     quality,
     records,
     score,
+    upkeep,
 )
 from sparkpipe.plans import flow, inputs
 from sparkpipe.session import work_dir
@@ -298,12 +299,34 @@ def read_latest_version(spark, sf):
 @query
 def version_change_feed(spark, sf):
     """The rows of the first state as inserts, then the changes to the second."""
-    before, after = _written_states(spark, sf)
-    created = merge.change_feed(before.limit(0), before, KEYS)
-    changed = merge.change_feed(before, after, KEYS)
-    return created.withColumn("_commit_version", F.lit(0).cast("bigint")).unionByName(
-        changed.withColumn("_commit_version", F.lit(1).cast("bigint"))
-    )
+    return merge.feed_of_states(_written_states(spark, sf), KEYS)
+
+
+def _states(spark, sf) -> list[DataFrame]:
+    """Four states of the orders: without the urgent ones, with their updates, without
+    the finished ones, and as they were again."""
+    orders = _orders(spark, sf)
+    first = orders.filter(F.col("o_orderpriority") != "1-URGENT")
+    second = merge.upsert(orders, _updates(spark, sf), KEYS)
+    return [first, second, second.filter(F.col("o_orderstatus") != "F"), orders]
+
+
+@query
+def feed_of_states(spark, sf):
+    return merge.feed_of_states(_states(spark, sf), KEYS)
+
+
+@query
+def feed_since_version(spark, sf):
+    """The changes of the last two states only."""
+    return merge.feed_of_states(_states(spark, sf), KEYS, since=2)
+
+
+@query
+def feed_replayed(spark, sf):
+    """The first state after the changes of all others: the last one."""
+    states = _states(spark, sf)
+    return merge.apply_feed(states[0], merge.feed_of_states(states, KEYS, since=1), KEYS)
 
 
 @query
@@ -317,6 +340,46 @@ def schema_evolution(spark, sf):
     return tables.read_table(spark, path, options={"mergeSchema": "true"})
 
 
+# Derived tables kept up by a change feed
+
+
+def _later_events(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The events, what they are later, and the changes in between, written once."""
+    events = inputs.table(spark, sf, "events")
+    later = inputs.later_events(events)
+    feed = merge.change_feed(events, later, ["event_id"])
+    return events, later, tables.write_table(feed, work_dir(spark, "feed"))
+
+
+@query
+def upkeep_counters(spark, sf):
+    events, _, feed = _later_events(spark, sf)
+    attributes = ["event_type", "user_id"]
+    return upkeep.maintained_counts(metrics.counters(events, attributes), feed, attributes)
+
+
+@query
+def upkeep_histogram(spark, sf):
+    """Sums rounded, as in ``amount_histogram``."""
+    events, later, feed = _later_events(spark, sf)
+    before = metrics.histogram(events, "value", ["event_type"])
+    after = upkeep.maintained_histogram(before, feed, later, "value", ["event_type"])
+    return after.withColumn("sum", F.round("sum", 4))
+
+
+@query
+def upkeep_curated(spark, sf):
+    events, later, feed = _later_events(spark, sf)
+    key = F.col("event_id").cast("string")
+    return upkeep.maintained_rows(
+        _curated(spark, sf),
+        feed.withColumn("transaction_id", key),
+        later.withColumn("transaction_id", key),
+        ["transaction_id"],
+        lambda rows: curate.curate(inputs.transactions(rows), _merchants(spark, sf)),
+    )
+
+
 # Quality, metrics, profile
 
 

@@ -79,6 +79,21 @@ def test_stamped_records(spark, text, code, result):
     assert (json.loads(row.stamped) if row.stamped else None) == result
 
 
+def test_a_record_stamped_before_keeps_its_numbers_and_strings(spark):
+    text = (
+        '{"a": 1.10, "b": 11.0, "c": 1e2, "processed_timestamp": {"x": [1, "}"]}, '
+        '"d": "q\\"u, \\u00e9{", "e": null, "f": [1.0, {"g": 2.50, "processed_timestamp": 1}], "h": true}'
+    )
+    row = records.stamp_json(
+        spark.createDataFrame([(text,)], "value string"), "value", F.lit("2024-06-01").cast("timestamp")
+    ).first()
+    assert row.stamped == (
+        '{"a":1.10,"b":11.0,"c":1e2,"d":"q\\"u, \\u00e9{","e":null,'
+        '"f":[1.0,{"g":2.50,"processed_timestamp":1}],"h":true,'
+        '"processed_timestamp":"2024-06-01T00:00:00.000000Z"}'
+    )
+
+
 def test_object_events_read_every_record(spark):
     record = {
         "eventName": "s3:ObjectCreated:Put",
