@@ -293,3 +293,64 @@ def later_events(events: DataFrame) -> DataFrame:
     )
     new = events.filter(number % 6 == 0).withColumn("event_id", number + 1_000_000_000)
     return kept.unionByName(new)
+
+
+def customer_moves(customer: DataFrame) -> DataFrame:
+    """Some customers in another country: of a higher balance, or of a lower one."""
+    moved = customer.withColumn("c_nationkey", (F.col("c_nationkey") + 1) % 25)
+    higher = F.when(F.col("c_custkey") % 3 == 0, 1).when(F.col("c_custkey") % 3 == 1, -1)
+    return moved.withColumn("c_acctbal", F.col("c_acctbal") + higher).filter(higher.isNotNull())
+
+
+def _days(at: Column, number: Column) -> Column:
+    return at.cast("timestamp") + F.make_dt_interval(number)
+
+
+def order_history(orders: DataFrame) -> DataFrame:
+    """Every order as a row that holds from its date on; returned ones for 90 days."""
+    placed = F.col("o_orderdate").cast("timestamp")
+    until = F.when(F.col("o_orderstatus") == "F", _days(placed, F.lit(90)))
+    return orders.select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", placed.alias("valid_from"), until.alias("valid_to")
+    )
+
+
+def order_changes(orders: DataFrame) -> DataFrame:
+    """Dated changes of orders: new prices, of which some come late and date from before
+    the order, some that change nothing, two at one time, and orders that are gone."""
+    number = F.col("o_orderkey")
+    some = orders.filter(number % 4 != 3)
+    price = F.when(number % 4 != 2, F.col("o_totalprice") + F.col("n")).otherwise(F.col("o_totalprice"))
+    days = (number % 60 - 20 + F.when(number % 12 == 0, 0).otherwise(F.col("n") * 50)).cast("int")
+    return some.select("*", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("n")).select(
+        "o_orderkey",
+        "o_orderstatus",
+        price.alias("o_totalprice"),
+        _days(F.col("o_orderdate"), days).alias("changed_at"),
+        ((number % 5 == 0) & (F.col("n") == 2)).alias("is_gone"),
+    )
+
+
+def category_history(customer: DataFrame) -> DataFrame:
+    """Three categories per merchant, one after the other; those of some end before."""
+    number, n = F.col("c_custkey"), F.col("n")
+    begin = F.lit("2024-01-01").cast("timestamp")
+    since = _days(begin, (number % 10 + 10 * n).cast("int"))
+    return customer.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("n")).select(
+        number.alias("merchant"),
+        since.alias("since"),
+        F.when(number % 3 == 0, _days(since, F.lit(6))).alias("until"),
+        F.concat_ws("-", "c_mktsegment", "n").alias("category"),
+    )
+
+
+def timed_facts(events: DataFrame) -> DataFrame:
+    """Events by merchant; a third are of one merchant, and some of none or no time."""
+    number = F.col("event_id")
+    merchant = F.when(number % 3 == 0, 7).when(number % 11 != 0, F.col("user_id"))
+    return events.select(
+        "event_id",
+        merchant.cast("bigint").alias("merchant"),
+        F.when(number % 13 != 0, F.col("ts").cast("timestamp")).alias("ts"),
+        "value",
+    )

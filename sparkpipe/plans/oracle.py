@@ -175,6 +175,36 @@ later AS (
   UNION ALL
   SELECT event_id + 1000000000, ts, user_id, event_type, value, props FROM events WHERE event_id % 6 = 0)"""
 
+_HISTORY = """
+WITH history AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS TIMESTAMP) AS valid_from,
+    CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 90 DAY END AS valid_to
+  FROM orders
+), changes AS (
+  SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 4 <> 2 THEN o_totalprice + n ELSE o_totalprice END AS o_totalprice,
+    CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(o_orderkey % 60 - 20
+      + CASE WHEN o_orderkey % 12 = 0 THEN 0 ELSE n * 50 END AS INTEGER)) AS on_time,
+    o_orderkey % 5 = 0 AND n = 2 AS gone
+  FROM orders, range(1, 3) AS r(n) WHERE o_orderkey % 4 <> 3
+), events AS (
+  SELECT o_orderkey, valid_from AS on_time, o_orderstatus, o_totalprice, false AS gone, 1 AS lvl FROM history
+  UNION ALL SELECT o_orderkey, valid_to, NULL, NULL, true, 0 FROM history WHERE valid_to IS NOT NULL
+  UNION ALL SELECT o_orderkey, on_time, o_orderstatus, o_totalprice, gone, 2 FROM changes
+), once AS (
+  SELECT * FROM events
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey, on_time ORDER BY lvl DESC, gone DESC, o_totalprice DESC) = 1
+), told AS (
+  SELECT *, lag(struct_pack(g := gone, s := o_orderstatus, p := o_totalprice)) OVER (
+    PARTITION BY o_orderkey ORDER BY on_time) AS before
+  FROM once
+), apart AS (
+  SELECT * FROM told WHERE before IS NULL OR before.g <> gone
+    OR (NOT gone AND (before.s IS DISTINCT FROM o_orderstatus OR before.p IS DISTINCT FROM o_totalprice))
+), dated AS (
+  SELECT *, lead(on_time) OVER (PARTITION BY o_orderkey ORDER BY on_time) AS valid_to FROM apart
+)
+SELECT o_orderkey, o_orderstatus, o_totalprice, on_time AS valid_from, valid_to FROM dated WHERE NOT gone"""
+
 _RULES = {
     "transaction_id_present": "transaction_id IS NOT NULL",
     "amount_not_negative": "amount >= 0",
@@ -381,6 +411,22 @@ ORACLE: dict[str, str] = {
     "schema_evolution": f"""
       WITH {_TXN}
       SELECT *, CASE WHEN transaction_type = 'purchase' THEN amount > 35 END AS is_flagged FROM txn""",
+    "merge_history": _HISTORY,
+    "merge_history_large": _HISTORY,
+    "enrich_as_of": """
+      WITH facts AS (
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 11 <> 0 THEN user_id END AS merchant,
+          CASE WHEN event_id % 13 <> 0 THEN ts END AS ts, value
+        FROM events
+      ), side AS (
+        SELECT c_custkey AS merchant, TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 10 + 10 * n AS INTEGER)) AS since,
+          c_custkey % 3 = 0 AS ends, c_mktsegment || '-' || n AS category
+        FROM customer, range(3) AS r(n)
+      )
+      SELECT event_id, f.merchant, ts, value,
+        CASE WHEN NOT ends OR ts < since + INTERVAL 6 DAY THEN category END AS category,
+        CASE WHEN NOT ends OR ts < since + INTERVAL 6 DAY THEN since END AS since
+      FROM facts f ASOF LEFT JOIN side s ON f.merchant = s.merchant AND f.ts >= s.since""",
     "upkeep_counters": f"""
       WITH {_LATER} SELECT event_type, user_id, count(*) AS ingested_total FROM later GROUP BY 1, 2""",
     "upkeep_histogram": f"""
@@ -457,6 +503,11 @@ ORACLE: dict[str, str] = {
     "stream_append": f"SELECT {_decoded(lenient=True)} FROM events",
     "stream_route": _VERDICT,
     "stream_incremental": f"WITH {_TXN} SELECT * FROM txn",
+    "stream_change_feed": """
+      SELECT *, 'insert' AS _change_type, 0 AS batch FROM customer
+      UNION ALL SELECT *, 'update_preimage', 1 FROM customer WHERE c_custkey % 3 = 0
+      UNION ALL SELECT c_custkey, c_name, (c_nationkey + 1) % 25, c_acctbal + 1, c_mktsegment,
+        'update_postimage', 1 FROM customer WHERE c_custkey % 3 = 0""",
     "stream_counters": f"""
       WITH {_TXN}
       SELECT transaction_type, currency, count(*) AS ingested_total FROM txn GROUP BY 1, 2""",

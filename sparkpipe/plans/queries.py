@@ -11,6 +11,7 @@ from sparkpipe.operators import (
     curate,
     decode,
     flatten,
+    history,
     merge,
     metrics,
     profile,
@@ -340,6 +341,35 @@ def schema_evolution(spark, sf):
     return tables.read_table(spark, path, options={"mergeSchema": "true"})
 
 
+# History
+
+
+def _history(spark, sf, small):
+    orders = _orders(spark, sf)
+    changes = inputs.order_changes(orders)
+    return history.merge_history(
+        inputs.order_history(orders), changes, KEYS, "changed_at", ["is_gone", "o_totalprice"], F.col("is_gone"), small
+    )
+
+
+@query
+def merge_history(spark, sf):
+    return _history(spark, sf, None)
+
+
+@query
+def merge_history_large(spark, sf):
+    """The same the way it goes when too many keys change to broadcast them."""
+    return _history(spark, sf, False)
+
+
+@query
+def enrich_as_of(spark, sf):
+    facts = inputs.timed_facts(inputs.table(spark, sf, "events"))
+    side = inputs.category_history(inputs.table(spark, sf, "customer"))
+    return history.as_of_join(facts, side, ["merchant"], "ts", "since", ["category", "since"], "until")
+
+
 # Derived tables kept up by a change feed
 
 
@@ -554,12 +584,26 @@ def stream_upsert(spark, sf):
     stream = tables.instants(streams.file_stream(spark, sf, schema, glob="orders.parquet"))
     ingest.run_available(
         ingest.upsert_stream(
-            inputs.order_updates(stream), root, f"{root}-checkpoint", KEYS, interval=None
+            inputs.order_updates(stream), root, f"{root}-checkpoint", KEYS, ["o_totalprice"], None
         )
     )
     return ingest.upserted(_orders(spark, sf), root, KEYS)
 
 
+@query
+def stream_change_feed(spark, sf):
+    """Customers in two batches: all of them, then newer and older rows of some."""
+    root, arrivals = work_dir(spark, "changes"), work_dir(spark, "customers")
+    customers = inputs.table(spark, sf, "customer")
+    customers.coalesce(1).write.parquet(arrivals)
+    inputs.customer_moves(customers).coalesce(1).write.mode("append").parquet(arrivals)
+    stream = streams.file_stream(spark, arrivals, customers.schema, files_per_trigger=1)
+    ingest.run_available(
+        ingest.change_stream(stream, root, f"{root}-checkpoint", ["c_custkey"], ["c_acctbal"], None)
+    )
+    return ingest.batches_after(spark, root).drop("run", "query")
+
+
 @query
 def stream_counters(spark, sf):
     root = work_dir(spark, "counters")

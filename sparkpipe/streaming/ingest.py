@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,12 +10,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
-from sparkpipe.operators.merge import unique_by_key, upsert
+from sparkpipe.operators.merge import PREIMAGE, unique_by_key, upsert
 from sparkpipe.operators.metrics import counters
+from sparkpipe.streaming.keyed import latest_images, latest_rows, rocks_store
 
 # Fixed value: micro-batch interval of the ingest stream.
 INTERVAL = "10 seconds"
 
+Batch = tuple[int, int]  # number of the run, number of the batch in it
+
 
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """A micro-batch interval, or with None all that is there now, then stop."""
@@ -95,20 +99,69 @@ def upsert_stream(
 ) -> StreamingQuery:
     """The upserts of every micro-batch, one row per key, in a folder of the batch.
 
-    A batch that runs again replaces its own folder. :func:`upserted` applies them to a
-    table; the query must be the only one that writes below ``root``.
+    With ``order_by`` the greatest row of a key wins over all batches: the stream keeps it
+    as keyed state, so no earlier batch is read again and a row that comes late changes
+    nothing. Without, a later batch wins and two rows of a key in one batch are an error.
+
+    A batch that runs again replaces its own folder. :func:`upserted` applies the rows to
+    a table; the query must be the only one that writes below ``root``.
     """
+    if order_by:
+        latest = latest_rows(df, keys, order_by)
+        return _each_batch(latest, root, checkpoint, interval, "update")
+    return _each_batch(df, root, checkpoint, interval, "append", lambda batch: unique_by_key(batch, keys))
 
-    def rows(batch: DataFrame) -> DataFrame:
-        return unique_by_key(batch, keys, order_by)
 
-    return _each_batch(df, rows, root, checkpoint, interval, "append")
+def change_stream(
+    df: DataFrame,
+    root: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
+    interval: str | None = INTERVAL,
+    keep: datetime.timedelta | None = None,
+) -> StreamingQuery:
+    """The changes that every micro-batch makes, with ``_change_type``, in its folder.
+
+    What :func:`sparkpipe.streaming.keyed.latest_images` gives, laid out as the upserts
+    of :func:`upsert_stream`: derived tables can be kept up from it batch by batch.
+    State that ages needs an ``interval``: a run over what is there now would go on for
+    ever, looking for state to drop.
+    """
+    if keep and interval is None:
+        raise ValueError("state that ages needs an interval")
+    images = latest_images(df, keys, order_by, keep)
+    return _each_batch(images, root, checkpoint, interval, "update")
 
 
-def upserted(base: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
-    """``base`` after all batches of an upsert stream; the latest batch wins per key."""
-    batches = base.sparkSession.read.parquet(root)
-    latest = unique_by_key(batches, keys, ["_batch_time", "batch"])
+def batches_after(spark: SparkSession, root: str, since: Batch | None = None) -> DataFrame:
+    """What a stream wrote below ``root`` in batches after ``since``; others are not read."""
+    written = spark.read.parquet(root)
+    if since is None:
+        return written
+    run, batch = since
+    return written.filter((F.col("run") > run) | ((F.col("run") == run) & (F.col("batch") > batch)))
+
+
+def newest_batch(spark: SparkSession, root: str) -> Batch | None:
+    """The newest batch below ``root``, read from folder names."""
+    runs = _numbers(spark, root, "run")
+    for run in sorted(runs, reverse=True):
+        batches = [n for path in _folders(spark, runs[run]) for n in _numbers(spark, path, "batch")]
+        if batches:
+            return run, max(batches)
+    return None
+
+
+def upserted(base: DataFrame, root: str, keys: Sequence[str], since: Batch | None = None) -> DataFrame:
+    """``base`` after the batches of an upsert stream; the latest batch wins per key.
+
+    A base that holds all batches up to ``since`` needs only those after it.
+    """
+    rows = batches_after(base.sparkSession, root, since)
+    if "_change_type" in rows.columns:
+        rows = rows.filter(F.col("_change_type") != PREIMAGE)
+    latest = unique_by_key(rows, keys, ["run", "batch"])
     return upsert(base, latest.select(*base.columns), keys)
 
 
@@ -119,42 +172,79 @@ def counter_stream(
     checkpoint: str,
     interval: str | None = INTERVAL,
 ) -> StreamingQuery:
-    """Running counts per attribute set; every batch writes the new totals."""
-    return _each_batch(
-        counters(df, attributes), lambda batch: batch, root, checkpoint, interval, "complete"
-    )
-
+    """Running counts per attribute set; a batch writes the totals it changes, no others."""
+    return _each_batch(counters(df, attributes), root, checkpoint, interval, "update")
 
-def latest_totals(spark: SparkSession, root: str) -> DataFrame:
-    """The totals of the newest batch below ``root``."""
-    batches = spark.read.parquet(root)
-    newest = batches.agg(F.max(F.struct("_batch_time", "query", "batch")).alias("at")).first().at
-    if newest is None:
-        return batches.drop("_batch_time", "query", "batch")
-    found = batches.filter((F.col("query") == newest.query) & (F.col("batch") == newest.batch))
-    return found.drop("_batch_time", "query", "batch")
 
+def latest_totals(
+    spark: SparkSession, root: str, base: DataFrame | None = None, since: Batch | None = None
+) -> DataFrame:
+    """The totals of the newest run below ``root``: per attribute set those of its last batch.
 
-def _each_batch(df, rows, root, checkpoint, interval, mode) -> StreamingQuery:
-    """Write what ``rows`` makes of each batch to ``root/query=<id>/batch=<number>``.
+    Totals read up to the batch ``since`` may be given as ``base``; then only later batches
+    are read. A run that is newer than ``since`` counts from nothing and replaces them.
+    """
+    newest = max(_numbers(spark, root, "run"))
+    rows = batches_after(spark, root, since).filter(F.col("run") == newest)
+    rows = rows.drop("run", "query")
+    if base is not None and since is not None and since[0] == newest:
+        rows = rows.unionByName(base.withColumn("batch", F.lit(-1)))
+    attributes = [c for c in rows.columns if c not in ("batch", "ingested_total")]
+    last = F.max_by("ingested_total", "batch").alias("ingested_total")
+    return rows.groupBy(*attributes).agg(last)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder, by the file system that Spark uses for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    return [s.getPath().toString() for s in files.listStatus(at) if s.isDirectory()]
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """The folders ``name=<number>`` in a folder, by number."""
+    found = {}
+    for folder in _folders(spark, path):
+        last = folder.rsplit("/", 1)[1]
+        if last.startswith(f"{name}="):
+            found[int(last.removeprefix(f"{name}="))] = folder
+    return found
+
+
+def _run_of(spark: SparkSession, root: str, query: str) -> int:
+    """The number of a query's run: its own from before, or one after all others."""
+    runs = _numbers(spark, root, "run")
+    for run, folder in runs.items():
+        if any(f.endswith(f"/query={query}") for f in _folders(spark, folder)):
+            return run
+    return max(runs, default=-1) + 1
+
+
+def _each_batch(df, root, checkpoint, interval, mode, rows=lambda batch: batch) -> StreamingQuery:
+    """Write what ``rows`` makes of each batch to ``root/run=<number>/query=<id>/batch=<number>``.
 
     The id is the query's own, kept in its checkpoint: a new checkpoint, even one in the
-    place of an old one, is another query and counts its batches from 0 in a folder of
-    its own.
+    place of an old one, is another query and counts its batches from 0. Runs are
+    numbered in the order in which their queries first wrote, whatever any clock says.
     """
+    place = []
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
-        out = rows(batch).withColumn("_batch_time", F.current_timestamp())
-        out.write.mode("overwrite").parquet(f"{root}/query={query}/batch={number}")
+        if not place:
+            query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+            place.append(f"{root}/run={_run_of(spark, root, query)}/query={query}")
+        rows(batch).write.mode("overwrite").parquet(f"{place[0]}/batch={number}")
 
     writer = (
         df.writeStream.outputMode(mode)
         .foreachBatch(write)
         .option("checkpointLocation", _outside(root, checkpoint))
     )
-    return _triggered(writer, interval).start()
+    with rocks_store(df.sparkSession):
+        return _triggered(writer, interval).start()
 
 
 def run_available(query: StreamingQuery) -> None:

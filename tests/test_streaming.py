@@ -1,9 +1,10 @@
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkpipe.operators import records
+from sparkpipe.operators import metrics, records, upkeep
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
 from sparkpipe.schemas import topics_of
@@ -134,21 +135,138 @@ def test_a_new_checkpoint_at_the_old_path_loses_nothing(spark, folder):
     assert batches(spark, folder) == 4
 
 
+def count(spark, folder, per_trigger=None):
+    rows = decode(messages(spark, folder, per_trigger), "financial")
+    ingest.run_available(
+        ingest.counter_stream(rows, ["currency"], f"{folder}/counts", f"{folder}/check", None)
+    )
+
+
+def settled(df):
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def totals(df):
+    return {r.currency: r.ingested_total for r in df.collect()}
+
+
 def test_running_counts(spark, folder):
+    arrive(spark, folder, record(1), record(2), record(3, currency="EUR"), "not json")
+    count(spark, folder)
+    before = settled(ingest.latest_totals(spark, f"{folder}/counts"))
+    arrive(spark, folder, record(4))
+    count(spark, folder)
+    table = ingest.latest_totals(spark, f"{folder}/counts")
+    assert totals(table) == {"USD": 3, "EUR": 1, None: 1}
+    # A batch writes what it changes, and what was read before needs that batch only.
+    later = ingest.batches_after(spark, f"{folder}/counts", (0, 0))
+    assert totals(later) == {"USD": 3}
+    assert ingest.newest_batch(spark, f"{folder}/counts") == (0, 1)
+    assert totals(ingest.latest_totals(spark, f"{folder}/counts", before, (0, 0))) == totals(table)
+
+
+def test_a_new_run_counts_from_nothing(spark, folder):
+    import pathlib
+
+    arrive(spark, folder, record(1), record(2, currency="EUR"))
+    count(spark, folder)
+    old = settled(ingest.latest_totals(spark, f"{folder}/counts"))
+    pathlib.Path(f"{folder}/check").rename(f"{folder}/old-check")
+    arrive(spark, folder, record(3))
+    count(spark, folder)
+    for table in (
+        ingest.latest_totals(spark, f"{folder}/counts"),
+        ingest.latest_totals(spark, f"{folder}/counts", old, (0, 0)),
+    ):
+        assert totals(table) == {"USD": 2, "EUR": 1}
+    assert ingest.newest_batch(spark, f"{folder}/counts") == (1, 0)
+
+
+def test_a_second_run_reads_no_batch_written_before(spark, folder):
+    """The state holds what it needs; the folders of earlier batches may be gone."""
+    import pathlib
+
+    arrive(spark, folder, record(1, amount=5.0), record(2, amount=7.0))
+    ingest.run_available(upserts(spark, folder))
+    whole = state(spark, folder)
+    (first,) = pathlib.Path(f"{folder}/table").glob("run=0/query=*/batch=0")
+    first.rename(f"{folder}/moved")
+    arrive(spark, folder, record(1, amount=4.0), record(2, amount=9.0))
+    ingest.run_available(upserts(spark, folder))
+    second = ingest.batches_after(spark, f"{folder}/table", (0, 0))
+    assert {(r.transaction_id, r.amount) for r in second.collect()} == {("T1", 5.0), ("T2", 9.0)}
+    assert whole == {"T1": 5.0, "T2": 7.0}
+    base = spark.createDataFrame(list(whole.items()), "transaction_id string, amount double")
+    after = ingest.upserted(base, f"{folder}/table", ["transaction_id"], (0, 0))
+    assert {r.transaction_id: r.amount for r in after.collect()} == {"T1": 5.0, "T2": 9.0}
+
+
+def test_without_an_order_a_later_batch_wins_and_two_rows_fail(spark, folder):
     def run():
-        rows = decode(messages(spark, folder), "financial")
-        ingest.run_available(
-            ingest.counter_stream(
-                rows, ["currency"], f"{folder}/counts", f"{folder}/check", None
-            )
+        rows = decode(messages(spark, folder), "financial").select("transaction_id", "amount")
+        query = ingest.upsert_stream(rows, f"{folder}/table", f"{folder}/check", ["transaction_id"], None, None)
+        ingest.run_available(query)
+
+    for amount in (8.0, 2.0):
+        arrive(spark, folder, record(1, amount=amount))
+        run()
+    assert state(spark, folder) == {"T1": 2.0}
+    arrive(spark, folder, record(2), record(2))
+    with pytest.raises(Exception, match="more than one row"):
+        run()
+
+
+def test_a_null_key_is_refused(spark, folder):
+    arrive(spark, folder, "not json")
+    with pytest.raises(Exception, match="NULL in merge key"):
+        ingest.run_available(upserts(spark, folder))
+
+
+def changes(spark, folder, order_by=("amount",)):
+    rows = decode(messages(spark, folder), "financial").select("transaction_id", "amount", "category")
+    ingest.run_available(
+        ingest.change_stream(
+            rows, f"{folder}/table", f"{folder}/check", ["transaction_id"], order_by, None
         )
+    )
 
-    arrive(spark, folder, record(1), record(2), record(3, currency="EUR"))
-    run()
-    arrive(spark, folder, record(4))
-    run()
-    table = ingest.latest_totals(spark, f"{folder}/counts")
-    assert {r.currency: r.ingested_total for r in table.collect()} == {"USD": 3, "EUR": 1}
+
+def test_changes_name_the_rows_they_replace(spark, folder):
+    arrive(spark, folder, record(1, amount=5.0), record(2, amount=7.0), record(2, amount=6.0))
+    changes(spark, folder)
+    arrive(spark, folder, record(1, amount=4.0), record(2, amount=9.0), record(3, amount=1.0))
+    changes(spark, folder)
+    arrive(spark, folder, record(2, amount=9.0), record(3, amount=1.0, category="late"))
+    changes(spark, folder)
+    feed = ingest.batches_after(spark, f"{folder}/table")
+    found = sorted((r.batch, r.transaction_id, r._change_type, r.amount, r.category) for r in feed.collect())
+    assert found == [
+        (0, "T1", "insert", 5.0, None),
+        (0, "T2", "insert", 7.0, None),
+        (1, "T2", "update_postimage", 9.0, None),
+        (1, "T2", "update_preimage", 7.0, None),
+        (1, "T3", "insert", 1.0, None),
+        (2, "T3", "update_postimage", 1.0, "late"),
+        (2, "T3", "update_preimage", 1.0, None),
+    ]
+    counts = upkeep.maintained_counts(
+        metrics.counters(feed.limit(0), ["amount"]), feed, ["amount"]
+    )
+    assert {(r.amount, r.ingested_total) for r in counts.collect()} == {(5.0, 1), (9.0, 1), (1.0, 1)}
+
+
+def test_state_of_untouched_keys_goes_after_a_while(spark, folder):
+    arrive(spark, folder, record(1, amount=5.0))
+    rows = decode(messages(spark, folder), "financial").select("transaction_id", "amount")
+    keep = datetime.timedelta(milliseconds=1)
+    given = (f"{folder}/table", f"{folder}/check", ["transaction_id"], ["amount"])
+    with pytest.raises(ValueError):
+        ingest.change_stream(rows, *given, None, keep)
+    ingest.run_bounded(ingest.change_stream(rows, *given, "1 second", keep), 10)
+    arrive(spark, folder, record(1, amount=9.0))
+    ingest.run_bounded(ingest.change_stream(rows, *given, "1 second", keep), 10)
+    feed = ingest.batches_after(spark, f"{folder}/table")
+    assert [r._change_type for r in feed.collect()] == ["insert", "insert"]
 
 
 def test_interval_and_bounded_run(spark, folder):
