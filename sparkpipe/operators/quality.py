@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 class QualityError(Exception):
@@ -37,6 +37,30 @@ def rule_suite(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with its rules counted by whatever action runs over it, and those counts.
+
+    Gate and write so share one scan. Counts are exact where the rows are in the action's
+    last stage; of a shuffle after them a lost executor may have some counted twice.
+    """
+    seen = Observation()
+    counts = [
+        F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"failed_{i}")
+        for i, ok in enumerate(rules.values())
+    ]
+    return df.observe(seen, F.count(F.lit(1)).alias("total"), *counts), seen
+
+
+def gate_observed(seen: Observation, rules: Mapping[str, Column]) -> dict[str, int]:
+    """The failures by rule after the action; raise with every failing rule named."""
+    counts = seen.get
+    failed = {name: counts[f"failed_{i}"] for i, name in enumerate(rules)}
+    faults = [f"{name} ({n} of {counts['total']})" for name, n in failed.items() if n]
+    if faults:
+        raise QualityError("; ".join(faults))
+    return failed
+
+
 def gate(report: DataFrame) -> None:
     """Raise with every failing rule named; the report has a row per rule."""
     failed = [f"{r.rule} ({r.failed} of {r.total})" for r in report.filter(~F.col("passed")).collect()]

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkpipe.functions.scalars import hash_fraction
 
@@ -33,6 +33,16 @@ def training_subset(df: DataFrame, key: str, n: int = TRAINING_ROWS) -> DataFram
     return df.orderBy(F.md5(F.col(key).cast("string")), key, *rest).limit(n)
 
 
+def stratified_subset(df: DataFrame, key: str, by: str, n: int = TRAINING_ROWS) -> DataFrame:
+    """Of each value of ``by``, NULL included, the n rows that :func:`training_subset` takes.
+
+    Each task passes on n rows per value at most, however many it has read.
+    """
+    rest = [c for c in df.columns if c != key]
+    order = Window.partitionBy(by).orderBy(F.md5(F.col(key).cast("string")), key, *rest)
+    return df.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
+
+
 def fit(
     featured: DataFrame, n: int | None = TRAINING_ROWS, settings: dict | None = None
 ) -> PipelineModel | None:

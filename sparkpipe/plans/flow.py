@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkpipe.operators.contracts import check, typed_records
 from sparkpipe.operators.curate import curate
-from sparkpipe.operators.quality import curated_rules, gate, rule_suite
+from sparkpipe.operators.quality import curated_rules, gate_observed, observed
 from sparkpipe.operators.score import (
     THRESHOLD,
     TRAINING_ROWS,
@@ -38,14 +38,16 @@ def messages_to_scored(
     weights: tuple[float, dict[str, float]] | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Curate, write, gate on the written rows, then score them.
+    """Curate, count the rules' failures while writing, gate, then score what is written.
 
-    The written table cuts the lineage: gate, fit and scoring read it instead of
-    decoding the messages again. With a given model nothing is fitted.
+    Messages are decoded once, and the table is not read again for the gate. The written
+    table cuts the lineage for fit and scoring. With a given model nothing is fitted.
     """
-    curated = write_table(messages_to_curated(messages, lookup), curated_path, fmt)
     rules = curated_rules()
-    gate(rule_suite(curated, {name: rules[name] for name in must_pass}))
+    chosen = {name: rules[name] for name in must_pass}
+    rows, seen = observed(messages_to_curated(messages, lookup), chosen)
+    curated = write_table(rows, curated_path, fmt)
+    gate_observed(seen, chosen)
     featured = features(curated, threshold)
     if weights is not None:
         return score_linear(featured, *weights)

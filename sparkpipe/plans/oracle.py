@@ -362,6 +362,9 @@ ORACLE: dict[str, str] = {
     "lookup_exists": "SELECT count(*) > 0 AS found FROM orders WHERE o_orderkey = 7",
     "topk_recent": "SELECT * FROM events ORDER BY ts DESC, event_id LIMIT 5",
     "bounded_subset": "SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 10",
+    "stratified_subset": """
+      SELECT * FROM orders QUALIFY row_number() OVER (
+        PARTITION BY o_orderstatus ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 10""",
     "filter_suffix": "SELECT page_id, url FROM pages WHERE url LIKE '%#top'",
     "merge_upsert": _MERGED,
     "read_latest_version": _MERGED,
@@ -460,6 +463,15 @@ ORACLE: dict[str, str] = {
         min(amount) AS min, max(amount) AS max, CASE bucket {_UPPER} END AS upper_bound
       FROM measured GROUP BY transaction_type, currency, bucket""",
     "profile_table": _profile("orders", named=False),
+    "merged_profile": " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS column_type, count(*) AS total,
+          count(*) - count({name}) AS nulls,
+          {f"CAST(min({name}) AS DOUBLE)" if kind in ("bigint", "double") else "NULL"} AS low,
+          {f"CAST(max({name}) AS DOUBLE)" if kind in ("bigint", "double") else "NULL"} AS high,
+          true AS distinct_close, {"true" if name == "o_totalprice" else "NULL"} AS median_close
+        FROM orders"""
+        for i, (name, kind) in enumerate(c.split(" ") for c in _TABLES["orders"].split(", "))
+    ),
     "catalog_tables": " UNION ALL ".join(_profile(t, named=True) for t in _TABLES),
     "stamp_json_status": f"""
       WITH messages AS (SELECT event_id, {_VALUE} AS message FROM events)
@@ -503,6 +515,7 @@ ORACLE: dict[str, str] = {
     "stream_append": f"SELECT {_decoded(lenient=True)} FROM events",
     "stream_route": _VERDICT,
     "stream_incremental": f"WITH {_TXN} SELECT * FROM txn",
+    "stream_gated": f"WITH {_TXN} SELECT * REPLACE (coalesce(amount, 0) AS amount) FROM txn",
     "stream_change_feed": """
       SELECT *, 'insert' AS _change_type, 0 AS batch FROM customer
       UNION ALL SELECT *, 'update_preimage', 1 FROM customer WHERE c_custkey % 3 = 0

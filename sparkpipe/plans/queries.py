@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from sparkpipe.operators import (
     quality,
     records,
     score,
+    sketches,
     upkeep,
 )
 from sparkpipe.plans import flow, inputs
@@ -207,6 +209,11 @@ def bounded_subset(spark, sf):
     return score.training_subset(_orders(spark, sf), "o_orderkey")
 
 
+@query
+def stratified_subset(spark, sf):
+    return score.stratified_subset(_orders(spark, sf), "o_orderkey", "o_orderstatus")
+
+
 @query
 def filter_suffix(spark, sf):
     pages = inputs.table(spark, sf, "pages")
@@ -456,6 +463,32 @@ def profile_table(spark, sf):
     return profile.profile(_orders(spark, sf), distinct=False)
 
 
+@query
+def merged_profile(spark, sf):
+    """Sketches of two loads, written apart and merged; exact columns, and whether the
+    estimates are within five in a hundred of what one scan counts."""
+    orders = _orders(spark, sf)
+    newer = F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp")
+    loads = [
+        tables.write_table(sketches.column_sketches(part), work_dir(spark, "sketches"))
+        for part in (orders.filter(~newer), orders.filter(newer))
+    ]
+    found = sketches.sketched_profile(sketches.merged(loads))
+    exact = orders.agg(
+        *[F.count_distinct(c).alias(f"n_{c}") for c in orders.columns],
+        F.percentile_approx("o_totalprice", 0.55, 100_000).alias("above"),
+        F.percentile_approx("o_totalprice", 0.45, 100_000).alias("below"),
+    )
+    n = reduce(lambda a, c: F.when(F.col("column_name") == c, F.col(f"n_{c}")).otherwise(a), orders.columns, F.lit(None))
+    median = F.get("approx_quantiles", F.lit(1))
+    priced = F.col("column_name") == "o_totalprice"
+    return found.crossJoin(F.broadcast(exact)).select(
+        *sketches.ORDER, "total", "nulls", "low", "high",
+        (F.abs(F.col("approx_distinct") - n) <= 0.05 * n).alias("distinct_close"),
+        F.when(priced, median.between(F.col("below"), F.col("above"))).alias("median_close"),
+    )
+
+
 @query
 def catalog_tables(spark, sf):
     named = {name: inputs.table(spark, sf, name) for name in inputs.TABLES}
@@ -590,6 +623,16 @@ def stream_upsert(spark, sf):
     return ingest.upserted(_orders(spark, sf), root, KEYS)
 
 
+@query
+def stream_gated(spark, sf):
+    """Transactions whose batch keeps its rules; they are counted by the write."""
+    root = work_dir(spark, "gated")
+    rules = {"id_present": F.col("transaction_id").isNotNull(), "not_negative": ~(F.col("amount") < 0)}
+    stream = inputs.transactions(_event_stream(spark, sf)).fillna({"amount": 0.0})
+    ingest.run_available(ingest.gated_stream(stream, root, f"{root}-checkpoint", rules, None))
+    return ingest.batches_after(spark, root).drop("run", "query", "batch")
+
+
 @query
 def stream_change_feed(spark, sf):
     """Customers in two batches: all of them, then newer and older rows of some."""

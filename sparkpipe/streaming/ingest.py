@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
 from sparkpipe.operators.merge import PREIMAGE, unique_by_key, upsert
 from sparkpipe.operators.metrics import counters
+from sparkpipe.operators.quality import QualityError, gate_observed, observed
 from sparkpipe.streaming.keyed import latest_images, latest_rows, rocks_store
 
 # Fixed value: micro-batch interval of the ingest stream.
@@ -109,7 +110,11 @@ def upsert_stream(
     if order_by:
         latest = latest_rows(df, keys, order_by)
         return _each_batch(latest, root, checkpoint, interval, "update")
-    return _each_batch(df, root, checkpoint, interval, "append", lambda batch: unique_by_key(batch, keys))
+
+    def write(batch: DataFrame, folder: str) -> None:
+        _overwrite(unique_by_key(batch, keys), folder)
+
+    return _each_batch(df, root, checkpoint, interval, "append", write)
 
 
 def change_stream(
@@ -134,6 +139,31 @@ def change_stream(
     return _each_batch(images, root, checkpoint, interval, "update")
 
 
+def gated_stream(
+    df: DataFrame,
+    root: str,
+    checkpoint: str,
+    rules: Mapping[str, Column],
+    interval: str | None = INTERVAL,
+) -> StreamingQuery:
+    """Append batches in folders of their own; one that breaks a rule fails the query.
+
+    The rules are counted by the write itself. The rows of a failed batch are taken away
+    again, and as its offsets are not committed, a restart gives it another try.
+    """
+
+    def write(batch: DataFrame, folder: str) -> None:
+        rows, seen = observed(batch, rules)
+        rows.write.mode("overwrite").parquet(folder)
+        try:
+            gate_observed(seen, rules)
+        except QualityError:
+            _remove(batch.sparkSession, folder)
+            raise
+
+    return _each_batch(df, root, checkpoint, interval, "append", write)
+
+
 def batches_after(spark: SparkSession, root: str, since: Batch | None = None) -> DataFrame:
     """What a stream wrote below ``root`` in batches after ``since``; others are not read."""
     written = spark.read.parquet(root)
@@ -203,6 +233,15 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in files.listStatus(at) if s.isDirectory()]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _overwrite(batch: DataFrame, folder: str) -> None:
+    batch.write.mode("overwrite").parquet(folder)
+
+
 def _numbers(spark: SparkSession, path: str, name: str) -> dict[int, str]:
     """The folders ``name=<number>`` in a folder, by number."""
     found = {}
@@ -222,8 +261,8 @@ def _run_of(spark: SparkSession, root: str, query: str) -> int:
     return max(runs, default=-1) + 1
 
 
-def _each_batch(df, root, checkpoint, interval, mode, rows=lambda batch: batch) -> StreamingQuery:
-    """Write what ``rows`` makes of each batch to ``root/run=<number>/query=<id>/batch=<number>``.
+def _each_batch(df, root, checkpoint, interval, mode, put=_overwrite) -> StreamingQuery:
+    """Put each batch into ``root/run=<number>/query=<id>/batch=<number>``.
 
     The id is the query's own, kept in its checkpoint: a new checkpoint, even one in the
     place of an old one, is another query and counts its batches from 0. Runs are
@@ -231,16 +270,16 @@ def _each_batch(df, root, checkpoint, interval, mode, rows=lambda batch: batch)
     """
     place = []
 
-    def write(batch: DataFrame, number: int) -> None:
+    def put_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if not place:
             query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
             place.append(f"{root}/run={_run_of(spark, root, query)}/query={query}")
-        rows(batch).write.mode("overwrite").parquet(f"{place[0]}/batch={number}")
+        put(batch, f"{place[0]}/batch={number}")
 
     writer = (
         df.writeStream.outputMode(mode)
-        .foreachBatch(write)
+        .foreachBatch(put_batch)
         .option("checkpointLocation", _outside(root, checkpoint))
     )
     with rocks_store(df.sparkSession):
