@@ -109,7 +109,7 @@ def cut(
     if table is not None and len(table.heavy):
         # Windows next to each other mostly have one key, so each run is looked up once.
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        many = sieve.is_heavy(keys[first], table)
+        many = sieve.is_heavy(mixed(keys[first]), table)
         crowded = np.repeat(many, np.diff(np.append(first, len(keys))))
         if many.any():
             keys = np.where(crowded, hashes_of(data, LENGTH), keys)
@@ -126,7 +126,8 @@ def cut(
     new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(at)))
-    return values[first], text[first], at[first] - begins[text[first]], n, crowded[at[first]]
+    # Lowest hashes crowd among the low values; scrambled, their first bits are even.
+    return mixed(values[first]), text[first], at[first] - begins[text[first]], n, crowded[at[first]]
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[int], list[bytes]]]:

@@ -132,7 +132,8 @@ def shared_filter(
     sent = docs.mapInArrow(send, "part int, found binary, twice binary, power binary")
     filled = sent.groupBy("part").applyInArrow(gather, "part int, cells binary, heavy binary")
     rows, heavy = {}, [np.zeros(0, np.uint64)]
-    for part, data, some in filled.toLocalIterator():
+    # At most 32 MB and the heavy keys; taken part by part, each would be a job of its own.
+    for part, data, some in filled.collect():
         rows[part] = bytes(data)
         heavy.append(np.frombuffer(some, np.uint32) + (np.uint64(part) << np.uint64(32)))
     rows = [rows.get(part, b"\0") for part in range(parts)]

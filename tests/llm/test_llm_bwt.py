@@ -131,3 +131,28 @@ def test_odd_rows(spark):
     )
     assert tuples(got) == tuples(want)
     assert bwt.remove_repeats(empty(spark)).count() == 0
+
+
+def test_parts_are_even(spark):
+    """Keys are lowest hashes; their first bits must not crowd in the first parts."""
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(97, 123, 4000, np.uint8).tobytes() for _ in range(40)]
+    keys, _, _, n, _ = bwt.cut(texts)
+    parts = np.bincount((keys >> np.uint64(58)).astype(int), n, 64)
+    assert parts.max() < 3 * parts.sum() / 64
+
+
+def test_jobs_do_not_grow_with_partitions(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} " * 20) for i in range(50)], "doc_id long, text string")
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.sparkContext.setJobGroup(f"filter-{partitions}", "")
+        sieve.shared_filter(docs, bwt.keys_of)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        return len(tracker.getJobIdsForGroup(f"filter-{partitions}"))
+
+    assert jobs("32") <= jobs("4")
