@@ -23,8 +23,8 @@ from sparkpipe.llm.frames import id_and_text, mixed, word_hashes, written
 # (a half of it), and for the others the tests go through all substitutions.
 SEEDS = ("1101111", "111010011", "11100100011")
 SEEDS_FIND = 10, 8  # equal words at least, and in ten
-SHORTEST = 5  # shorter benchmark items say nothing and are left out
-FOUND = "doc_id long, item_id long, matched int, length int, doc_word int, item_word int"
+SHORTEST = 5  # benchmark items of fewer words are found where they are a whole text
+FOUND = "doc_id long, text_hash long, item_id long, matched int, length int, doc_word int, item_word int"
 SIEVE_BITS = 22
 
 
@@ -67,6 +67,8 @@ class Block:
     items: list[np.ndarray] = field(default_factory=list)
     least: int = SEEDS_FIND[0]
     masks: tuple[str, ...] = SEEDS
+    anywhere: int = SHORTEST  # words from which an item may be a part of a text
+    whole: set[str] = field(default_factory=set)  # masks of items that are whole texts only
     hashes: np.ndarray = None  # sorted
     item: np.ndarray = None
     place: np.ndarray = None
@@ -77,6 +79,7 @@ class Block:
         seeds = self.masks
         short = {"1" * len(x) for x in self.items if len(x) < self.least}
         self.masks = (*seeds, *sorted(short.difference(seeds)))
+        self.whole = {m for m in short.difference(seeds) if len(m) < self.anywhere}
         hashes, item, place = [], [], []
         for k, words in enumerate(self.items):
             own = seeds if len(words) >= self.least else ("1" * len(words),)
@@ -96,21 +99,26 @@ class Block:
 
 
 def blocks(
-    benchmark: DataFrame, id_col: str, text_col: str, words: int, least: int, tenths: int
+    benchmark: DataFrame, id_col: str, text_col: str, words: int, least: int, tenths: int,
+    anywhere: int = SHORTEST,
 ) -> Iterator[Block]:
     """The benchmark in blocks of about ``words`` words; a block holds at least one item."""
     rows = id_and_text(benchmark, id_col, text_col).dropna().distinct()
-    block, size = Block(least=least, masks=masks_for(least, tenths)), 0
+
+    def new() -> Block:
+        return Block(least=least, masks=masks_for(least, tenths), anywhere=anywhere)
+
+    block, size = new(), 0
     for row in written(rows, "benchmark").toLocalIterator():
         item = words_of(row["text"])
-        if len(item) < SHORTEST:
+        if not len(item):
             continue
         block.ids.append(row["doc_id"])
         block.items.append(item)
         size += len(item)
         if size >= words:
             yield block.close()
-            block, size = Block(least=least, masks=masks_for(least, tenths)), 0
+            block, size = new(), 0
     if block.ids:
         yield block.close()
 
@@ -123,6 +131,8 @@ def alignments(words: np.ndarray, block: Block) -> Iterator[tuple[int, int]]:
     """
     seen: set[tuple[int, int]] = set()
     for mask in block.masks:
+        if mask in block.whole and len(mask) != len(words):
+            continue
         hashes = seed_hashes(words, mask)
         at = np.flatnonzero(block.sieve[hashes >> np.uint64(64 - SIEVE_BITS)])
         first = np.searchsorted(block.hashes, hashes[at], "left")
@@ -178,6 +188,8 @@ def overlaps(
     found: dict[int, tuple[int, int, int, int]] = {}
     for k, shift in alignments(words, block):
         item = block.items[k]
+        if len(item) < block.anywhere and len(item) != len(words):
+            continue
         start, end = max(0, -shift), min(len(item), len(words) - shift)
         same = words[start + shift : end + shift] == item[start:end]
         matched, low, high = longest_stretch(same, tenths)
@@ -197,37 +209,40 @@ def find_overlaps(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = 2_000_000,
+    anywhere: int = SHORTEST,
 ) -> DataFrame:
     """One row per document row and benchmark item found in it, by its best overlap.
 
     An overlap is an aligned stretch of at least ``least`` equal words (all words of a
     shorter item) with at least ``tenths`` equal words in ten, words compared in ASCII
-    lower case. Null or empty texts overlap with nothing; items of fewer than five
-    words, or without an id, are left out; equal items count once; a null document id
-    stays null and equal documents give equal rows. Other columns are ignored.
+    lower case. An item of fewer than ``anywhere`` words is found where it is all words of
+    a text; with 1, it is found anywhere. Null or empty texts overlap with nothing; items
+    without words or an id are left out; equal items count once; a null document id stays
+    null and equal documents give equal rows, which ``text_hash`` tells from others of the
+    same id. Other columns are ignored.
 
     The benchmark is gone through in blocks of bounded size, each sent to all tasks and
     met with all documents, so it may be of any size. Documents are never shuffled.
     """
     spark = docs.sparkSession
-    rows = id_and_text(docs, id_col, text_col)
+    rows = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     parts = []
-    for block in blocks(benchmark, item_id_col, item_text_col, block_words, least, tenths):
+    for block in blocks(benchmark, item_id_col, item_text_col, block_words, least, tenths, anywhere):
         sent = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
             for batch in batches:
                 out = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns)):
                     words = words_of(text or "")
                     for k, best in overlaps(words, block, least, tenths).items():
-                        out.append((doc_id, block.ids[k], *best))
+                        out.append((doc_id, mark, block.ids[k], *best))
                 if out:
-                    kinds = [pa.int64()] * 2 + [pa.int32()] * 4
+                    kinds = [pa.int64()] * 3 + [pa.int32()] * 4
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                        ["doc_id", "item_id", "matched", "length", "doc_word", "item_word"],
+                        ["doc_id", "text_hash", "item_id", "matched", "length", "doc_word", "item_word"],
                     )
 
         parts.append(rows.mapInArrow(search, FOUND))
@@ -239,7 +254,14 @@ def find_overlaps(
     return found
 
 
-def clean_documents(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without an overlap. Rows with a null id are kept."""
-    hit = found.select(F.col("doc_id").alias("_hit")).where("_hit IS NOT NULL").distinct()
-    return docs.join(hit, docs[id_col].cast("long") == hit["_hit"], "left_anti")
+def clean_documents(
+    docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without an overlap, judged row by row.
+
+    Rows go by id and text hash: one that shares its id with a text that overlaps stays,
+    and a row with a null id goes if its own text overlaps.
+    """
+    hit = found.select(F.col("doc_id").alias("_hit"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(hit["_hit"]) & (F.xxhash64(docs[text_col]) == hit["_hash"])
+    return docs.join(hit, same, "left_anti")

@@ -37,7 +37,7 @@ FREQUENT_COST = 1000.0
 TOGETHER = 1 << 20  # characters that are hashed at a time
 NO_ID = (1 << 63) - 1  # stands for a null id where rows are picked by it
 
-SHINGLES = "doc_id long, n_shingles long, sid long, part int, counts binary"
+SHINGLES = "doc_id long, text_hash long, n_shingles long, sid long, part int, counts binary"
 
 
 @dataclass
@@ -226,30 +226,31 @@ def _distinct(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, S
 
 
 def _identities(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, size and set id of every row, and counts of elements by cell."""
+    """doc_id, text hash, size and set id of every row, and counts of elements by cell."""
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "sid", "part", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["doc_id", "text_hash", "n_shingles", "sid", "part", "counts"]
+        kinds = [*[pa.int64()] * 4, pa.int32(), pa.binary()]
         cells = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
+            hashes = iter(batch.column(2).to_pylist())
             for ids, sets in _some(batch, width):
                 cell = (sets.elements >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
                 cells += np.bincount(cell, minlength=len(cells))
                 none = [None] * len(ids)
                 sids = pa.array(sets.ids().view(np.int64), mask=sets.sizes == 0)
-                columns = (ids, sets.sizes, sids, none, none)
+                columns = (ids, [next(hashes) for _ in ids], sets.sizes, sids, none, none)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names
                 )
         if cells.any():
             parts = cells.reshape(COUNT_PARTS, -1)
-            table = [(None, None, None, i, p.tobytes()) for i, p in enumerate(parts)]
+            table = [(None, None, None, None, i, p.tobytes()) for i, p in enumerate(parts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*table), kinds)], names
             )
 
-    return docs.mapInArrow(identify, SHINGLES)
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(identify, SHINGLES)
 
 
 def _levels(counts: DataFrame) -> np.ndarray:
@@ -490,12 +491,12 @@ def jaccard_join(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, set_id, component_id.
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, set_id, root, component_id.
 
     Rows link if their sets of distinct shingles have a Jaccard similarity of
     ``percent`` in a hundred or more, compared exactly over 64-bit shingle hashes.
     component_id is the lowest id reachable by links, the row's own included. Rows of
-    equal sets are one node. A null or wordless text has no shingles and links with
+    equal sets are one node; ``root`` tells components apart whose lowest id is one. A null or wordless text has no shingles and links with
     nothing; a null id takes part but is never a component's id, so a component of
     null ids only has a null one. Equal rows give equal rows; an empty table gives an
     empty result; other columns are ignored.
@@ -504,7 +505,7 @@ def jaccard_join(
     rows = id_and_text(docs, id_col, text_col)
     seen = written(_identities(rows, width), "jaccard-identities")
     levels = _levels(seen.where("counts IS NOT NULL").select("part", "counts"))
-    ids = seen.where("counts IS NULL").select("doc_id", "n_shingles", "sid")
+    ids = seen.where("counts IS NULL").select("doc_id", "text_hash", "n_shingles", "sid")
     largest = ids.agg(F.max("n_shingles")).first()[0] or 0
     frequent = float((levels > 3).mean())
     plans = [allocation(b, frequent, percent) for b in range(band_of(max(1, largest)) + 1)]
@@ -522,32 +523,43 @@ def jaccard_join(
     out = rooted.hint("merge").join(lowest, "root", "left")
     return out.select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         F.col("sid").alias("set_id"),
+        "root",
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"),
     )
 
 
-def one_per_component(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, all columns as they are.
+def one_per_component(
+    docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Of each component the row with the lowest id, all columns as they are.
 
-    Rows with a null id stay. Of several rows with the kept id, the one whose text is
-    lowest stays; if none of them has words, they all stay.
+    Rows go by their own text, told by id and text hash: of rows with one id and
+    different texts those go that lie in a component with another row to keep. Of several
+    rows of a component with its lowest id the one of the lowest text hash stays, of equal
+    ones the first in order of all columns. Rows without words or an id all stay.
     """
-    out = joined.where("n_shingles > 0").groupBy("doc_id").agg(
-        F.min("component_id").alias("lowest"), F.count("*").alias("times")
+    judged = joined.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    first = F.min(F.struct("doc_id", "text_hash"))
+    kept = judged.groupBy("root").agg(first.alias("first")).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")
     )
-    dropped = out.where("doc_id IS NOT NULL AND lowest != doc_id")
-    twice = out.where("doc_id IS NOT NULL AND lowest = doc_id AND times > 1").select("doc_id")
-    key = docs[id_col].cast("long")
-    gone = dropped.select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, key == gone["_gone"], "left_anti")
+    rows = judged.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times")).hint("merge")
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    dropped = written(rows.join(kept, same, "left_anti").select("doc_id", "text_hash"), "jaccard-dropped")
+    twice = rows.where("times > 1").join(kept, same, "left_semi").select("doc_id", "text_hash")
+
+    def of(some: DataFrame):
+        return (docs[id_col].cast("long") == some["doc_id"]) & (F.xxhash64(docs[text_col]) == some["text_hash"])
+
+    left = docs.join(dropped, of(dropped), "left_anti")
     if twice.isEmpty():
-        return kept
-    again = twice.select(F.col("doc_id").alias("_again"))
-    single = kept.join(again, kept[id_col].cast("long") == again["_again"], "left_anti")
-    several = kept.join(again, kept[id_col].cast("long") == again["_again"], "left_semi")
-    whole = several.select(F.struct("*").alias("doc"))
-    lowest = F.min_by("doc", F.coalesce(F.col("doc.text"), F.lit("")))
-    first = whole.groupBy(f"doc.{id_col}").agg(lowest.alias("doc"))
-    return single.unionByName(first.select("doc.*"))
+        return left
+    single = left.join(twice, of(twice), "left_anti")
+    names = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+    again = left.join(twice, of(twice), "left_semi").select(F.struct("*").alias("doc"))
+    key = (F.col(f"doc.`{id_col}`"), F.xxhash64(F.col(f"doc.`{text_col}`")))
+    once = again.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.min("doc").alias("doc"))
+    return single.unionByName(once.select(*names))

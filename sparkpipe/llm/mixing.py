@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkpipe.llm.frames import SPACE, WORD, tasks, written
+from sparkpipe.llm.frames import WORD, tasks, written
 
 #: Documents of a source fall into this many slices of the seeded order.
 SLICES = 4096
@@ -161,19 +161,15 @@ def mixed_digest(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mixed_documents(mixed: DataFrame, text_col: str = "text") -> DataFrame:
+def mixed_documents(mixed: DataFrame) -> DataFrame:
     """The mix itself: a row for each repetition, with the columns of the documents.
 
-    A partial repetition keeps its first words, with the white space before them. A
-    document without words stays once: it costs the mix nothing.
+    Texts are never cut. The document of which a source's last repetition takes a part
+    comes once more if that is half of its words or more, so a source is off its target
+    by half a document at most. One without words stays once: it costs the mix nothing.
     """
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("repetitions")).cast("int")
-    copies = F.array_repeat(F.lit(0).cast("long"), times)
-    part = F.array(F.when(F.col("words") > 0, F.col("words")))
-    takes = F.array_compact(F.concat(copies, part))
-    rows = mixed.select("doc", F.explode(takes).alias("take"))
-    pieces = F.split(F.col(f"doc.{text_col}"), rf"(?<={WORD[:-1]})(?={SPACE})")
-    cut = F.array_join(F.slice(pieces, 1, F.col("take").cast("int")), "")
-    text = F.when(F.col("take") > 0, cut).otherwise(F.col(f"doc.{text_col}")).alias(text_col)
-    names = [c for c in mixed.schema["doc"].dataType.fieldNames()]
-    return rows.select(*[text if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in names])
+    more = (F.col("words") > 0) & (2 * F.col("words") >= F.col("size"))
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("repetitions") + more.cast("long"))
+    copies = F.explode(F.array_repeat(F.lit(0), times.cast("int")))
+    rows = mixed.select("doc", copies.alias("copy"))
+    return rows.select(*[F.col(f"doc.`{c}`").alias(c) for c in mixed.schema["doc"].dataType.fieldNames()])

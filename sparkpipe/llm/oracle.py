@@ -256,8 +256,7 @@ LLM_ORACLE = {
             UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
         ), k AS (
             SELECT conv_id, bool_or(contains(role, ': ') OR contains(role, '###')
-                OR contains(role, '</turn>') OR contains(text, '###') OR contains(text, '</turn>')
-                OR suffix(role, ':') AND FALSE) AS marked
+                OR contains(role, '</turn>') OR contains(text, '###') OR contains(text, '</turn>')) AS marked
             FROM c GROUP BY conv_id
         ), w AS (
             SELECT c.*, CASE WHEN marked THEN replace(replace(replace(replace(role, '\', '\\'),

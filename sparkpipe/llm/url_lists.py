@@ -28,11 +28,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(path, "/+$", "")
 
 
-def url_keys(url: Column, depth: int = 8) -> Column:
+def url_keys(url: Column, depth: int) -> Column:
     """The keys a URL lies under, most specific first.
 
     All paths of up to ``depth`` steps on its own host, the host, and every parent
-    domain. List entries deeper than ``depth`` steps never hold.
+    domain.
     """
     host, steps = host_of(url), F.filter(F.split(path_of(url), "/"), lambda s: s != "")
     shown = F.least(F.size(steps), F.lit(depth))
@@ -74,7 +74,7 @@ def _bucket(time: Column) -> Column:
     return F.floor(F.unix_seconds(time) / (86400 * BUCKET_DAYS)).cast("int")
 
 
-def judge(captures: DataFrame, entries: DataFrame, depth: int = 8) -> DataFrame:
+def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Judge every capture (capture_id, url, fetched) by the list of its fetch time.
 
     Returns one row per row of ``captures``: capture_id, fetched, host, n_active
@@ -90,8 +90,10 @@ def judge(captures: DataFrame, entries: DataFrame, depth: int = 8) -> DataFrame:
     (url, time).
     """
     latest = F.lit(captures.agg(F.max("fetched")).first()[0]).cast("timestamp")
-    held = intervals(entries).where(F.size(F.split("entry", "/")) <= depth + 1)
-    held = held.where(F.col("since") <= latest)
+    held = intervals(entries).where(F.col("since") <= latest)
+    # A URL is looked up under as many steps as the deepest entry has.
+    depth = entries.agg(F.max(F.size(F.split("entry", "/")))).first()[0] or 1
+    depth -= 1
     end = F.least(F.coalesce(F.col("until"), latest), latest)
     held = held.select(
         "list",

@@ -117,8 +117,26 @@ def test_odd_rows(spark):
     ]
     benchmark = spark.createDataFrame(benchmark, ITEM)
     found = d.find_overlaps(documents(spark), benchmark)
-    assert tuples(found, "doc_id", "item_id") == [(7, 4)]
+    assert tuples(found, "doc_id", "item_id") == [(7, 4), (10, 5), (11, 5)]
     kept = d.clean_documents(documents(spark), found)
-    assert kept.count() == len(ROWS) - 1 and kept.columns == documents(spark).columns
+    assert kept.count() == len(ROWS) - 3 and kept.columns == documents(spark).columns
     assert d.find_overlaps(empty(spark), benchmark).count() == 0
     assert d.find_overlaps(documents(spark), benchmark.limit(0)).count() == 0
+
+
+def test_short_items_are_found_as_whole_texts_or_anywhere(spark):
+    benchmark = spark.createDataFrame([(1, "to be or", 1), (2, "yes", 1)], ITEM)
+    texts = ["To be  or", "to be or not", "not to be or", "yes", "yes yes", "or be to"]
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    assert tuples(d.find_overlaps(docs, benchmark), "doc_id", "item_id") == [(0, 1), (3, 2)]
+    assert tuples(d.find_overlaps(docs, benchmark, anywhere=1), "doc_id", "item_id") == [
+        (0, 1), (1, 1), (2, 1), (3, 2), (4, 2),
+    ]
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    item = "a passage of the benchmark that somebody has copied from it word for word"
+    rows = [(9, f"before {item} after", 0), (9, "clean text", 1), (None, item, 2), (None, "clean", 3), (9, None, 4)]
+    docs = documents(spark, [(i, t, "en", "a", n) for i, t, n in rows])
+    found = d.find_overlaps(docs, spark.createDataFrame([(1, item, 1)], ITEM))
+    assert sorted(r.n_chars for r in d.clean_documents(docs, found).collect()) == [1, 3, 4]

@@ -103,6 +103,24 @@ def test_one_of_each_group(spark):
     assert ids == [None, None, 1, 4, 5, 6, 7, 8, 9, 10]
 
 
+def test_rows_of_one_id_are_kept_by_their_own_text(spark):
+    base = " ".join(f"w{k}" for k in range(100))
+    rows = [
+        (3, base),
+        (9, base + " tail"),
+        (9, "something else entirely that is like no other text here"),
+        (9, "and a third text of the same id that is also like none"),
+        (12, "something else entirely that is like no other text here"),
+        (20, base + " more"),
+        (20, base + " more"),
+        (30, "a repeated row that nothing else is like at all"),
+        (30, "a repeated row that nothing else is like at all"),
+    ]
+    docs = documents(spark, [(i, t, "en", "a", n) for n, (i, t) in enumerate(rows)])
+    kept = jaccard.one_per_component(docs, jaccard.jaccard_join(docs))
+    assert sorted(r.n_chars for r in kept.collect()) == [0, 2, 3, 7]
+
+
 @pytest.mark.parametrize("deleted", [0, 1, 2])
 @pytest.mark.parametrize("n", [4, 9, 40, 300])
 def test_similar_sets_always_show_a_common_signature(n, deleted):
