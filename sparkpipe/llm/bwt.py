@@ -38,10 +38,12 @@ from sparkpipe.llm.frames import id_and_text, mixed, written
 LENGTH = 50
 ANCHOR = 20
 TOGETHER = 1 << 18  # bytes of text that are hashed at a time
-SHARD = 1 << 16  # bytes of a shard
+SHARD = 1 << 14  # bytes of a shard
 AT_ONCE = 4 << 20  # bytes of pieces that are compared before they are sent
-MERGE = 1 << 19  # bytes of whole groups that are merged at a time; more are crowded
+MERGE = 1 << 19  # bytes of a whole group; more are crowded
+LOT = 1 << 17  # bytes from which on whole groups are merged
 MARKED = 20_000  # document rows whose marks are held at a time
+STEP = 5  # bytes between the strings by which pieces are told to have none in common
 END = 0  # symbol of a string's end; bytes are symbols 1 to 256
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 PIECES = np.dtype(
@@ -226,26 +228,29 @@ def merge(
     follows from the transforms.
     """
     sizes = [len(t) for t in transforms]
-    shard = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-    ends = np.repeat(np.arange(len(sizes), dtype=np.uint16), strings)
+    number = np.arange(len(sizes), dtype=np.uint8 if len(sizes) <= 256 else np.uint32)
+    shard, ends = np.repeat(number, sizes), np.repeat(number, strings)
     symbols = np.concatenate(transforms)
     n = len(symbols)
-    block = np.zeros(n, np.int64)  # entries agreeing in the symbols seen so far
-    prefix = np.full(n, depth, np.int16)
-    prefix[:1] = 0
-    for h in range(depth):
-        read = np.empty(n, symbols.dtype)
+    block = np.zeros(n, np.int32)  # entries agreeing in the symbols seen so far
+    # Symbols that are dealt out lie in the same order after every pass.
+    in_order = np.sort(symbols)
+    parted = in_order[1:] != in_order[:-1]
+    prefix = np.zeros(n, np.int16)
+    read = np.empty(n, symbols.dtype)
+    new = np.ones(n, bool)
+    for _ in range(depth):
         read[np.argsort(shard, kind="stable")] = symbols
         dealt = np.argsort(read, kind="stable")
-        symbol, before = read[dealt], block[dealt]
+        before = block[dealt]
         shard = shard[dealt]
         shard[: len(ends)] = ends
-        new = np.ones(n, bool)
-        new[1:] = (symbol[1:] != symbol[:-1]) | (before[1:] != before[:-1])
+        np.not_equal(before[1:], before[:-1], out=new[1:])
+        new[1:] |= parted
         # Ends are alike at first and told apart by nothing but their strings.
         new[1 : len(ends)] = False
-        prefix[new & (prefix == depth)] = h
-        block = np.cumsum(new)
+        prefix += ~new  # a boundary stays once it is set
+        block = np.cumsum(new, dtype=np.int32)
     return shard, prefix
 
 
@@ -426,7 +431,7 @@ def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _judge(held: dict[bytes, list[tuple]], marks: _Marks) -> None:
     """Judge all pieces of some keys."""
-    kept = sorted(_lowest_only(held, marks), key=lambda x: x[1])
+    kept = _with_partners(sorted(_lowest_only(held, marks), key=lambda x: x[1]))
     for group in _groups(kept):
         strings = list(dict.fromkeys(data for data, _ in group))
         number = {data: i for i, data in enumerate(strings)}
@@ -440,8 +445,48 @@ def _judge(held: dict[bytes, list[tuple]], marks: _Marks) -> None:
                 marks.add(doc, row, start + first, to - (len(data) - LENGTH - last))
 
 
+def _with_partners(kept: list[tuple[bytes, tuple]]) -> list[tuple[bytes, tuple]]:
+    """The pieces that may share a window with a different piece of their key.
+
+    A window that starts l bytes before its anchor holds, for the multiple m of ``STEP``
+    at or below l, the ``LENGTH - STEP + 1`` bytes from m bytes before the anchor on. So
+    pieces with a window in common have such a string in common, at the same m. Only equal
+    hashes of these let a piece pass; a clash of two hashes costs no more than a merge.
+    """
+    once: dict[int, bytes] = {}
+    different = {x[0] for data, x in kept if once.setdefault(x[0], data) != data}
+    kept = [(data, x) for data, x in kept if x[0] in different]
+    known: dict[bytes, int] = {}
+    number = np.array([known.setdefault(data, len(known)) for data, _ in kept], np.int64)
+    if len(known) < 2:
+        return []
+    keys = np.zeros(len(known), np.uint64)
+    keys[number] = np.fromiter((x[0] for _, x in kept), np.uint64, len(kept))
+    sizes = np.fromiter(map(len, known), np.int64, len(known))
+    begins, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), np.uint8)
+    anchors, part = hashes_of(data, ANCHOR), LENGTH - STEP + 1
+    piece = np.repeat(np.arange(len(known)), sizes)[: len(anchors)]
+    at = np.flatnonzero(mixed(anchors) == keys[piece])
+    piece, strings = piece[at], hashes_of(data, part)
+    place = at - begins[piece]
+    found = []
+    for before in range(0, LENGTH - ANCHOR + 1, STEP):
+        inside = (place >= before) & (place - before + part <= sizes[piece])
+        own = piece[inside]
+        told = keys[own] + np.uint64(before)
+        found.append((mixed(strings[at[inside] - before] ^ mixed(told)), own))
+    string, piece = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(string, kind="stable")
+    string, piece = string[order], piece[order]
+    first = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
+    several = np.minimum.reduceat(piece, first) != np.maximum.reduceat(piece, first)
+    good = np.zeros(len(known), bool)
+    good[piece[np.repeat(several, np.diff(np.append(first, len(piece))))]] = True
+    return [x for x, one in zip(kept, good[number].tolist()) if one]
+
+
 def _groups(kept: list[tuple[bytes, tuple]]) -> Iterator[list[tuple[bytes, tuple]]]:
-    """Whole groups of equal keys, fewer than twice ``MERGE`` bytes at a time.
+    """Whole groups of equal keys, fewer than ``LOT`` and ``MERGE`` bytes at a time.
 
     A group of one string has nothing to be merged with.
     """
@@ -456,7 +501,7 @@ def _groups(kept: list[tuple[bytes, tuple]]) -> Iterator[list[tuple[bytes, tuple
             continue
         out += group
         size += sum(len(data) for data, _ in group)
-        if size >= MERGE:
+        if size >= LOT:
             yield out
             out, size = [], 0
     if out:
