@@ -24,7 +24,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from sparkpipe.llm.frames import written
+from sparkpipe.llm.frames import few_at_a_time, written
 
 TRIM = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 BEGINNINGS = (3, 5)
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, chain: Chain, id_col: str, text_col: str = "text")
         for batch in batches:
             table = [
                 chain.score([place[w] for w in features(t or "") & known])
-                for t in batch.column(1).to_pylist()
+                for t in few_at_a_time(batch.column(1))
             ]
             columns = list(zip(*table)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
@@ -244,7 +244,7 @@ def keep_below(
         for batch in batches:
             good = [
                 chain.score([place[w] for w in features(t or "") & known])[which] < limit
-                for t in batch.column(1).to_pylist()
+                for t in few_at_a_time(batch.column(1))
             ]
             yield batch.select(["doc"]).filter(pa.array(good, pa.bool_()))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -70,6 +71,12 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return mixed(total)
 
 
+def few_at_a_time(column: pa.Array, rows: int = 256):
+    """The values of a column; only some rows at a time become objects."""
+    for begin in range(0, len(column), rows):
+        yield from column.slice(begin, rows).to_pylist()
+
+
 def slices(values: list, sizes: list[int], most: int):
     """Consecutive slices of ``values`` whose sizes add up to about ``most``."""
     begin = 0

@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -206,10 +207,12 @@ def bitmaps(sets: Sets) -> np.ndarray:
 
 def _some(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list, Sets]]:
     """Ids and sets of a batch's rows, about ``TOGETHER`` characters at a time."""
-    ids = batch.column(0).to_pylist()
-    texts = [t or "" for t in batch.column(1).to_pylist()]
-    for rows in slices(list(range(len(texts))), [len(t) for t in texts], TOGETHER):
-        yield [ids[i] for i in rows], shingle_sets([texts[i] for i in rows], width)
+    ids, texts = batch.column(0).to_pylist(), batch.column(1)
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+    for rows in slices(list(range(len(ids))), sizes, TOGETHER):
+        # Only these texts become objects.
+        some = texts.slice(rows[0], len(rows)).to_pylist()
+        yield [ids[i] for i in rows], shingle_sets([t or "" for t in some], width)
 
 
 def _distinct(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, Sets]]:
