@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkpipe.functions.scalars import hash_fraction
@@ -94,14 +93,8 @@ def score(featured: DataFrame, model: PipelineModel | None) -> DataFrame:
             {"fraud_prediction": F.lit(0.0), "fraud_probability": none}
         )
         return scored.select(*OUTPUT)
-    present = F.col("amount").isNotNull()
-    filled = featured.withColumns(
-        {"_amount": F.col("amount"), "amount": F.coalesce("amount", F.lit(0.0))}
-    )
-    scored = model.transform(filled).withColumn("amount", F.col("_amount"))
-    return scored.withColumns(
-        {
-            "fraud_prediction": F.when(present, F.col("prediction")).otherwise(0.0),
-            "fraud_probability": F.when(present, vector_to_array("probability")[1]),
-        }
-    ).select(*OUTPUT)
+    # A fitted model drags its training session into every task, which fails once that
+    # session has observed a frame; its coefficients say all there is to say.
+    assembler, logistic = model.stages[0], model.stages[-1]
+    weights = zip(assembler.getInputCols(), logistic.coefficients.toArray().tolist())
+    return score_linear(featured, float(logistic.intercept), dict(weights))
