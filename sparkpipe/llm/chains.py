@@ -145,7 +145,10 @@ def _fitted(rows: DataFrame, category: str):
     model = LogisticRegression(
         featuresCol="features", labelCol=category, regParam=2e-3, maxIter=30, aggregationDepth=2
     )
-    return model.fit(rows)
+    fitted = model.fit(rows)
+    # The summary holds the session, which cannot go to tasks once it has observed a frame.
+    fitted._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return fitted
 
 
 def fit_chain(
