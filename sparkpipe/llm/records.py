@@ -48,8 +48,7 @@ MASK = 0xA282EAD8
 HEAD, CHECK = "<QI", "<I"  # before and after the payload
 AROUND = struct.calcsize(HEAD) + struct.calcsize(CHECK)
 
-# A space next to white space, or at either end.
-LOOSE = re.compile(r" (?:(?=\s)|(?<=\s ))|\A | \Z")
+# A space between two characters that are not white space.
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
 # Letters that are letters to every version of the pattern; marks without apostrophes.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?*%$#&|()"
@@ -85,6 +84,25 @@ def unframe(data: bytes, offset: int) -> bytes:
     return payload
 
 
+class _Loose(Exception):
+    """A text holds a space next to white space."""
+
+
+class _Pieces(dict):
+    """Ids by piece; a piece not met before is made, and kept unless it is long."""
+
+    LONGEST = 48
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.make(piece)
+        if len(piece) <= self.LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """The ids of whole texts, encoding each distinct word only once.
 
@@ -98,8 +116,6 @@ class Encoder:
     """
 
     KEPT = 1_000_000
-    LONGEST = 48
-    TOGETHER = 1 << 20  # characters whose pieces are looked up at a time
 
     def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -109,6 +125,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [a.content for a in added if not (literal and a.special)]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         made = json.loads(self.tokenizer.to_str())
         splitter = made["pre_tokenizer"] or {}
         self.cuts = (
@@ -121,45 +138,39 @@ class Encoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         plain = [c for c in map(chr, range(256)) if c == " " or WORD.fullmatch(c)]
         self.letters = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in plain}
-        self.pieces: dict[str, bytes] = {}  # by piece, without the space before it
-        self.units: dict[str, bytes] = {}  # by text, any space before it included
+        self.merged = self.tokenizer.model.tokenize
+        self.pieces = _Pieces(self._piece)  # by piece, without the space before it
+        self.units = _Pieces(lambda unit: self._ids([unit])[0])  # by text, as it stands
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in encoded]
+        return [self._packed(e.ids) for e in encoded]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of words of plain letters, each after a space.
+    def _word(self, word: str) -> bytes:
+        """The ids of a word of plain letters after a space.
 
         Such a word is one unit, so the tokenizer's own model can take it as it is,
         once its bytes are written in the model's alphabet.
         """
-        merged, kind = self.tokenizer.model.tokenize, f"<u{self.width}"
-        letters, space = self.letters, self.letters[32]
-        found = [merged(space + w.translate(letters)) for w in words]
-        ids = np.fromiter((t.id for tokens in found for t in tokens), kind)
-        ends = (self.width * np.cumsum([len(tokens) for tokens in found])).tolist()
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, missing: set[str]) -> None:
-        """Take up pieces, each of which stands after a space."""
-        words = {p for p in missing if p.isascii() and p.isalpha() or WORD.fullmatch(p)}
-        cut = {p: m.groups("") for p in missing - words if (m := PLAIN.fullmatch(p))}
-        words.update(c[0] for c in cut.values())
-        words.difference_update(self.pieces)
-        words = list(words)
-        self.pieces.update(zip(words, self._words(words)))
-        units = {u for c in cut.values() for u in c[1:]}.difference(self.units, ("",))
-        self.units.update(zip(units, self._ids(list(units))))
-        known, find, line_feed = self.pieces, self.units, self._ids(["\n"])[0]
-        find[""] = b""
-        for piece, (first, marks, after, more) in cut.items():
-            ids = known[first] + find[marks]
-            known[piece] = ids + line_feed + find[after] + find[more] if after else ids
-        rest = [p for p in missing if p not in known]
-        known.update(zip(rest, self._ids([" " + p for p in rest])))
+        spelt = word if word.isascii() else word.translate(self.letters)
+        return self._packed([t.id for t in self.merged(self.letters[32] + spelt)])
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a piece after a space; white space at its ends is not for a table."""
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Loose
+        if WORD.fullmatch(piece):
+            return self._word(piece)
+        if cut := PLAIN.fullmatch(piece):
+            first, marks, after, more = cut.groups("")
+            ids = self.pieces[first] + (self.units[marks] if marks else b"")
+            if not after:
+                return ids
+            return ids + self.units["\n"] + self.units[after] + (self.units[more] if more else b"")
+        return self._ids([" " + piece])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
@@ -172,31 +183,23 @@ class Encoder:
         return self._cut(texts)
 
     def _cut(self, texts: list[str]) -> list[bytes]:
-        out, begin = [], 0
-        while begin < len(texts):
-            end, size = begin, 0
-            while end < len(texts) and size < self.TOGETHER:
-                size += len(texts[end])
-                end += 1
-            out += self._some(texts[begin:end])
-            begin = end
-        return out
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        cut = [SPLIT.split(t) if LOOSE.search(t) else t.split(" ") for t in texts]
-        firsts = self._ids([pieces.pop(0) for pieces in cut])
-        missing = set().union(*cut).difference(self.pieces)
-        if missing:
-            self._learn(missing)
-        find = self.pieces.__getitem__
-        out = [first + b"".join(map(find, pieces)) for first, pieces in zip(firsts, cut)]
-        for piece in missing:
-            if len(piece) > self.LONGEST:
-                del self.pieces[piece]
+        return [self._one(t) for t in texts]
+
+    def _one(self, text: str) -> bytes:
+        first, *pieces = text.split(" ")
+        try:
+            if pieces and (not first or first[-1].isspace()):
+                raise _Loose
+            out = [*map(self.pieces.__getitem__, pieces)]
+        except _Loose:
+            first, *pieces = SPLIT.split(text)
+            # Only the last piece can end in white space, and none begins with it.
+            loose = [pieces.pop()] if pieces and pieces[-1][-1].isspace() else []
+            out = [*map(self.pieces.__getitem__, pieces), *self._ids([" " + p for p in loose])]
         for table in (self.pieces, self.units):
             if len(table) > self.KEPT:
                 table.clear()
-        return out
+        return b"".join([self._ids([first])[0], *out])
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
