@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkpipe.llm.frames import written
+from sparkpipe.llm.frames import discard, written
 
 
 def _to_lowest(links: DataFrame, upward: bool) -> DataFrame:
@@ -39,8 +39,9 @@ def components(links: DataFrame, label: str) -> DataFrame:
     links = written(links.where("a != b").select("a", "b").distinct(), label)
     before = None
     while True:
-        links = written(_to_lowest(links, upward=True), label)
-        links = written(_to_lowest(links, upward=False), label)
+        for upward in (True, False):
+            last, links = links, written(_to_lowest(links, upward), label)
+            discard(last)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -16,9 +16,18 @@ from sparkpipe.session import work_dir
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Workers live on between tasks. These settings let them give freed memory back, so that
+#: what one stage needed is not held through the next.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+}
+
 
 def visible_to_workers(spark: SparkSession) -> None:
-    """Let Python workers find this library where the driver found it.
+    """Let Python workers find this library where the driver found it, and set up their memory.
 
     That serves a driver started in another folder; on machines of their own, workers
     get the library as any other, installed or through ``--py-files``.
@@ -28,6 +37,8 @@ def visible_to_workers(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +49,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by :func:`written`, once all that reads them is itself written."""
+    for table in tables:
+        spark = table.sparkSession
+        for file in table.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

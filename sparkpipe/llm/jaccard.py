@@ -28,12 +28,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkpipe.llm import sieve
 from sparkpipe.llm.components import components
-from sparkpipe.llm.frames import id_and_text, mixed, slices, window_hashes, word_hashes, written
+from sparkpipe.llm.frames import (
+    discard, id_and_text, mixed, slices, window_hashes, word_hashes, written,
+)
 
 BAND = 8  # ratio of the sizes at which bands begin
 COUNT_BITS = 18  # cells of the element counts
 COUNT_PARTS = 16
 BITMAP = 8  # longs of a set's parity bitmap
+WIDE = 4  # bits per element of its wide one, rounded up to a power of two
 FREQUENT_COST = 1000.0
 TOGETHER = 1 << 20  # characters that are hashed at a time
 NO_ID = (1 << 63) - 1  # stands for a null id where rows are picked by it
@@ -205,6 +208,28 @@ def bitmaps(sets: Sets) -> np.ndarray:
     return np.packbits(table.astype(np.uint8)).view(np.int64).reshape(-1, BITMAP)
 
 
+def wide_bitmap(elements: np.ndarray) -> bytes:
+    """Parity bits of one set in a table as large as the set asks for."""
+    bits = 64
+    while bits < WIDE * len(elements):
+        bits *= 2
+    cell = ((elements >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def least_different(a: bytes, b: bytes) -> int:
+    """In how many elements two sets differ at least, by their wide bitmaps.
+
+    The halves of a bitmap laid over each other are the bitmap of half the size.
+    """
+    a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _some(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list, Sets]]:
     """Ids and sets of a batch's rows, about ``TOGETHER`` characters at a time."""
     ids, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -307,7 +332,7 @@ def _keys_of(batch: pa.RecordBatch, width: int, make: _Signer) -> tuple[np.ndarr
 
 
 def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
-    """(sig, sid, n, upper): shared signatures; and with bits one row per set that has one."""
+    """(sig, sid, n, upper): shared signatures; and with bitmaps one row per set that has one."""
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, cells = signer.value, table.value
@@ -318,6 +343,9 @@ def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
                 found, row, upper = found[good], row[good], upper[good]
                 once = np.unique(row)
                 bits = list(bitmaps(sets)[once])
+                ends = np.cumsum(sets.sizes)[once].tolist()
+                spans = zip(ends, sets.sizes[once].tolist())
+                wide = [wide_bitmap(sets.elements[end - n : end]) for end, n in spans]
                 row = np.concatenate([row, once])
                 none = [None] * len(once)
                 yield pa.RecordBatch.from_arrays(
@@ -327,11 +355,14 @@ def _shown(docs: DataFrame, width: int, signer, table) -> DataFrame:
                         pa.array(sets.sizes[row].astype(np.int32)),
                         pa.array(upper.tolist() + none, pa.bool_()),
                         pa.array([None] * len(found) + bits, pa.list_(pa.int64())),
+                        pa.array([None] * len(found) + wide, pa.binary()),
                     ],
-                    ["sig", "sid", "n", "upper", "bits"],
+                    ["sig", "sid", "n", "upper", "bits", "wide"],
                 )
 
-    return docs.mapInArrow(show, "sig long, sid long, n int, upper boolean, bits array<long>")
+    return docs.mapInArrow(
+        show, "sig long, sid long, n int, upper boolean, bits array<long>, wide binary"
+    )
 
 
 def _elements(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
@@ -390,6 +421,28 @@ def _likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     return pairs.where(fit).select("a", "a_n", "b", "b_n")
 
 
+def _near(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, a_n, b, b_n) that their sets' wide bitmaps do not rule out.
+
+    These leave few pairs too many, and take a sixteenth of the sets' room.
+    """
+    for s in "ab":
+        one = bits.select(F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), F.col("wide").alias(f"{s}_wide"))
+        pairs = pairs.join(one, [s, f"{s}_n"])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_wide", "b_wide")]
+            good = [
+                least_different(a, b) <= most_different(n, other, percent)
+                for n, other, a, b in zip(*columns)
+            ]
+            yield batch.select(["a", "a_n", "b", "b_n"]).filter(pa.array(good, pa.bool_()))
+
+    pairs = pairs.select("a", "a_n", "b", "b_n", "a_wide", "b_wide")
+    return pairs.mapInArrow(keep, "a long, a_n int, b long, b_n int")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, compared in full."""
     for s in "ba":
@@ -415,38 +468,46 @@ def _links(
 ) -> DataFrame:
     """(node, root) over set ids, exact.
 
-    First every set is compared with two leaders of each signature's group, its lowest
-    and highest set id: linear in the rows, and enough to join up large groups of near
-    copies. A group that is one component then needs no more. In the others every set
-    outside the lowest leader's component is compared with all sets of other components
-    that sizes and bitmaps allow; between sets of one component nothing can be gained.
+    Each signature's group has two leaders, its lowest and highest set id. First every
+    set is compared with one of its leaders, the lowest that sizes and bitmaps allow: no
+    more pairs than sets, and enough to join up most large groups of near copies. What is
+    one component then needs no more. Sets whose other leaders lie in another component
+    are compared with these; and in a group that is not one component every set outside
+    the lowest leader's component is compared with all sets of other components that
+    sizes and bitmaps allow. Between sets of one component nothing can be gained.
     """
     rows = shown.where("sig IS NOT NULL").select("sig", "sid", "upper")
-    bits = shown.where("sig IS NULL").groupBy("sid", "n").agg(F.first("bits").alias("bits"))
-    bits = written(bits, "jaccard-bits")
+    marks = [F.first(c).alias(c) for c in ("bits", "wide")]
+    bits = written(shown.where("sig IS NULL").groupBy("sid", "n").agg(*marks), "jaccard-bits")
     leaders = rows.groupBy("sig").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
     grouped = rows.hint("merge").join(leaders.where("low != high"), "sig")
     grouped = written(grouped, "jaccard-groups")
     led = F.explode(F.array_distinct(F.array("low", "high"))).alias("a")
     star = grouped.select(led, F.col("sid").alias("b")).where("a != b").distinct()
     star = written(star, "jaccard-pairs")
-    likely = written(_likely(star, bits, percent), "jaccard-star")
-    first = _compared(docs, ids, width, likely, percent, "jaccard-first")
+    likely = written(_near(_likely(star, bits, percent), bits, percent), "jaccard-star")
+    lowest = likely.groupBy("b", "b_n").agg(F.min(F.struct("a", "a_n")).alias("to"))
+    lowest = written(lowest.select("to.a", "to.a_n", "b", "b_n"), "jaccard-lowest")
+    first = _compared(docs, ids, width, lowest, percent, "jaccard-first")
     roots = components(first, "jaccard-roots")
 
     def rooted(df: DataFrame, sid: str, name: str) -> DataFrame:
         known = roots.select(F.col("node").alias(sid), F.col("root").alias(name))
         return df.hint("merge").join(known, sid, "left").withColumn(name, F.coalesce(name, sid))
 
-    apart = rooted(rooted(star, "a", "a_root"), "b", "b_root").where("a_root != b_root")
-    apart = written(
-        apart.select(F.col("a").alias("low"), F.col("b").alias("sid")), "jaccard-apart"
-    )
+    def across(pairs: DataFrame) -> DataFrame:
+        return rooted(rooted(pairs, "a", "a_root"), "b", "b_root").where("a_root != b_root")
+
+    apart = across(star).select(F.col("a").alias("low"), F.col("b").alias("sid"))
+    apart = written(apart, "jaccard-apart")
+    discard(star)
     outside = sieve.semi_join(grouped.select("sig", "sid", "low"), apart, ["low", "sid"])
     opened = written(outside.select("sig").distinct(), "jaccard-opened")
     members = sieve.semi_join(grouped.select("sig", "sid", "upper", "low"), opened, ["sig"])
     members = rooted(rooted(members.distinct(), "sid", "root"), "low", "main")
-    members = written(members.hint("merge").join(bits, "sid"), "jaccard-members")
+    members = members.hint("merge").join(bits.select("sid", "n", "bits"), "sid")
+    members = written(members, "jaccard-members")
+    discard(grouped, apart, opened)
 
     def side(s: str) -> DataFrame:
         names = {"sid": s} | {c: f"{s}_{c}" for c in ("n", "bits", "root", "main", "upper")}
@@ -461,10 +522,14 @@ def _links(
     )
     strays = side("a").where("a_root != a_main")
     rest = strays.hint("merge").join(side("b"), "sig").where(needed)
-    rest = rest.select("a", "a_n", "b", "b_n").distinct()
-    rest = rest.hint("merge").join(likely, ["a", "a_n", "b", "b_n"], "left_anti")
+    rest = written(rest.select("a", "a_n", "b", "b_n").distinct(), "jaccard-strays")
+    discard(members)
+    rest = _near(rest, bits, percent).unionByName(across(likely).select("a", "a_n", "b", "b_n"))
+    rest = rest.distinct().hint("merge").join(lowest, ["a", "a_n", "b", "b_n"], "left_anti")
     rest = written(rest, "jaccard-rest")
+    discard(likely, lowest, bits)
     second = _compared(docs, ids, width, rest, percent, "jaccard-second")
+    discard(rest)
     return components(first.unionByName(second), "jaccard-components")
 
 
@@ -483,8 +548,11 @@ def _compared(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "sid"
     )
     wanted = sieve.semi_join(known, sids, ["sid"]).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    sets = written(_elements(docs, width, written(wanted, f"{label}-rows")), f"{label}-sets")
-    return written(_verified(pairs, sets, percent), label)
+    wanted = written(wanted, f"{label}-rows")
+    sets = written(_elements(docs, width, wanted), f"{label}-sets")
+    similar = written(_verified(pairs, sets, percent), label)
+    discard(sids, wanted, sets)
+    return similar
 
 
 def jaccard_join(
@@ -518,10 +586,12 @@ def jaccard_join(
     table = context.broadcast(shared)
     shown = written(_shown(rows, width, signer, table), "jaccard-shown")
     roots = _links(rows, ids, width, shown, percent)
+    discard(shown)
 
     known = roots.select(F.col("node").alias("sid"), "root")
     rooted = ids.hint("merge").join(known, "sid", "left")
     rooted = written(rooted.withColumn("root", F.coalesce("root", "sid")), "jaccard-rooted")
+    discard(seen, roots)
     lowest = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("lowest"))
     out = rooted.hint("merge").join(lowest, "root", "left")
     return out.select(
