@@ -49,9 +49,10 @@ def typed(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), value)
 
 
-def hash_fraction(key: Column, steps: int = 1_000_000) -> Column:
-    """A replayable stand-in for a uniform random number in [0, 1)."""
-    return F.pmod(F.xxhash64(key), F.lit(steps)) / F.lit(float(steps))
+def hash_fraction(key: Column) -> Column:
+    """A replayable stand-in for a uniform random number in [0, 1): 32 bits of an md5."""
+    digits = F.substring(F.md5(key.cast("string").cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def bucket_index(value: Column, boundaries: Sequence[float]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from sparkpipe.functions.scalars import changed
 from sparkpipe.operators.joins import fits_broadcast, keyed_join, same_types, without_maps
 from sparkpipe.session import work_dir
+from sparkpipe.sources.tables import Bucketed, write_bucketed
 
 INSERT, PREIMAGE, POSTIMAGE, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
@@ -151,6 +152,27 @@ def merge(
     )
 
 
+def merge_bucketed(
+    target: Bucketed,
+    source: DataFrame,
+    folder: str,
+    update: Mapping[str, str],
+    insert: Mapping[str, str],
+    order_by: Sequence[str] | None = None,
+) -> Bucketed:
+    """A keyed merge whose target stays where it lies; the next state, bucketed alike.
+
+    Only the source is shuffled, once, into the target's buckets; the join's tasks are
+    the buckets, and each writes its own again. So a merge costs a read and a write of
+    the target however large it is, and the next one finds the same layout.
+    """
+    keys = list(target.keys)
+    dealt = source.repartition(target.buckets, *keys)
+    rows = target.rows(source.sparkSession)
+    merged = merge(rows, dealt, keys, update, insert, order_by, small=False)
+    return write_bucketed(merged, folder, keys, target.buckets, dealt=True)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -67,6 +70,50 @@ def fit(
             kept.unpersist()
 
 
+def fit_newton(
+    featured: DataFrame,
+    inputs: Sequence[str],
+    rounds: int = 8,
+    penalty: float = 0.1,
+    label: str = "label",
+) -> tuple[float, dict[str, float]] | None:
+    """(intercept, weights) of a logistic regression, by Newton steps from zero.
+
+    The objective is the mean log loss and half of ``penalty`` times the square of all
+    coefficients, the intercept's too, so labels that the inputs tell apart without
+    error do not send the weights to infinity. A round is one aggregate over all rows,
+    whose sums (of a fixed number) reach the driver; rounds are fixed, so that the same
+    rows give the same weights but for the order of sums. Rows that lack an input or the
+    label are left out; None without rows or when all labels are alike.
+    """
+    names = list(inputs)
+    columns = [F.col(c).cast("double") for c in names]
+    rows = featured.select(*columns, F.col(label).cast("double").alias("_y")).dropna()
+    n, low, high = rows.agg(F.count("*"), F.min("_y"), F.max("_y")).first()
+    if not n or low == high:
+        return None
+    terms = [F.lit(1.0), *[F.col(c) for c in names]]
+    size = len(terms)
+    upper = [(i, j) for i in range(size) for j in range(i, size)]
+    weights = np.zeros(size)
+    for _ in range(rounds):
+        total = F.lit(float(weights[0]))
+        for name, weight in zip(names, weights[1:]):
+            total = total + F.col(name) * float(weight)
+        told = rows.withColumn("_p", 1 / (1 + F.exp(-total)))
+        spread = F.col("_p") * (1 - F.col("_p"))
+        sums = told.agg(
+            *[F.sum((F.col("_p") - F.col("_y")) * t).alias(f"g{i}") for i, t in enumerate(terms)],
+            *[F.sum(spread * terms[i] * terms[j]).alias(f"h{i}_{j}") for i, j in upper],
+        ).first()
+        gradient = np.array(sums[:size]) / n + penalty * weights
+        curvature = np.zeros((size, size))
+        for (i, j), value in zip(upper, sums[size:]):
+            curvature[i, j] = curvature[j, i] = value / n
+        weights = weights - np.linalg.solve(curvature + penalty * np.eye(size), gradient)
+    return float(weights[0]), dict(zip(names, map(float, weights[1:])))
+
+
 def score_linear(featured: DataFrame, intercept: float, weights: dict[str, float]) -> DataFrame:
     """Score with given coefficients: plain column arithmetic, a logistic of the sum.
 

@@ -314,7 +314,59 @@ def _scored(rows: str) -> str:
       FROM {rows}"""
 
 
+_FRACTION = "CAST(CAST('0x' || left(md5(transaction_id), 8) AS UBIGINT) AS DOUBLE) / 4294967296.0"
+
+
+def _newton(rounds: int, penalty: float) -> str:
+    """Newton steps of a logistic regression with two inputs, one query per step."""
+    steps = [
+        f"""fit AS (
+        SELECT CASE WHEN amount > 35 THEN 1.0 ELSE 0.0 END AS y, amount / 100 AS u, {_FRACTION} AS v
+        FROM curated WHERE amount IS NOT NULL),
+      w0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c)"""
+    ]
+    for k in range(rounds):
+        steps.append(f"""
+      p{k} AS (
+        SELECT fit.*, a, b, c, 1 / (1 + exp(-(a + b * u + c * v))) AS p FROM fit, w{k}),
+      s{k} AS (
+        SELECT any_value(a) AS a, any_value(b) AS b, any_value(c) AS c,
+          avg(p - y) + {penalty} * any_value(a) AS g0,
+          avg((p - y) * u) + {penalty} * any_value(b) AS g1,
+          avg((p - y) * v) + {penalty} * any_value(c) AS g2,
+          avg(p * (1 - p)) + {penalty} AS h00, avg(p * (1 - p) * u) AS h01,
+          avg(p * (1 - p) * v) AS h02, avg(p * (1 - p) * u * u) + {penalty} AS h11,
+          avg(p * (1 - p) * u * v) AS h12, avg(p * (1 - p) * v * v) + {penalty} AS h22
+        FROM p{k}),
+      d{k} AS (
+        SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02)
+          + h02 * (h01 * h12 - h11 * h02) AS det
+        FROM s{k}),
+      w{k + 1} AS (
+        SELECT
+          a - (g0 * (h11 * h22 - h12 * h12) + g1 * (h02 * h12 - h01 * h22)
+            + g2 * (h01 * h12 - h02 * h11)) / det AS a,
+          b - (g0 * (h12 * h02 - h01 * h22) + g1 * (h00 * h22 - h02 * h02)
+            + g2 * (h02 * h01 - h00 * h12)) / det AS b,
+          c - (g0 * (h01 * h12 - h11 * h02) + g1 * (h01 * h02 - h00 * h12)
+            + g2 * (h00 * h11 - h01 * h01)) / det AS c
+        FROM d{k})""")
+    return ",".join(steps)
+
+
 ORACLE: dict[str, str] = {
+    "label_features": f"""
+      WITH {_CURATED}
+      SELECT transaction_id, CASE WHEN amount > 35 THEN 1 ELSE 0 END AS label,
+        round({_FRACTION}, 9) AS feature_1
+      FROM curated""",
+    "fit_weights": f"""
+      WITH {_CURATED},
+      {_newton(8, 0.01)}
+      SELECT 'intercept' AS term, round(a, 6) AS weight FROM w8
+      UNION ALL SELECT 'amount_share', round(b, 6) FROM w8
+      UNION ALL SELECT 'feature_1', round(c, 6) FROM w8""",
+    "merge_bucketed": _MERGED,
     "cleanse_transactions": f"WITH {_TXN} {_CLEANSED}",
     "enrich_category": _ENRICHED,
     "enrich_category_salted": _ENRICHED,

@@ -290,6 +290,17 @@ def merge_feed_large(spark, sf):
     )
 
 
+@query
+def merge_bucketed(spark, sf):
+    """Two merges in a row into a table that keeps its buckets."""
+    first = tables.write_bucketed(_orders(spark, sf), work_dir(spark, "bucketed"), KEYS, 8)
+    updates = _updates(spark, sf)
+    for half in (F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 2 != 0):
+        folder = work_dir(spark, "bucketed-merged")
+        first = merge.merge_bucketed(first, updates.where(half), folder, UPDATE, INSERT)
+    return first.rows(spark)
+
+
 def _written_states(spark, sf) -> tuple[DataFrame, DataFrame]:
     """A table created once, and the state a merge writes beside it."""
     first, second = work_dir(spark, "orders"), work_dir(spark, "orders-merged")
@@ -559,6 +570,30 @@ def score_transactions(spark, sf):
     return _rounded(score.score_linear(featured, *WEIGHTS))
 
 
+@query
+def label_features(spark, sf):
+    featured = score.features(_curated(spark, sf), THRESHOLD)
+    return featured.select("transaction_id", "label", F.round("feature_1", 9).alias("feature_1"))
+
+
+def _fit_inputs(spark, sf) -> DataFrame:
+    featured = score.features(_curated(spark, sf), THRESHOLD)
+    return featured.withColumn("amount_share", F.col("amount") / 100)
+
+
+FIT = ("amount_share", "feature_1")
+
+
+@query
+def fit_weights(spark, sf):
+    """The weights of the label's model, by eight Newton steps over all rows."""
+    fitted = score.fit_newton(_fit_inputs(spark, sf), FIT, rounds=8, penalty=0.01)
+    if fitted is None:
+        return spark.createDataFrame([], "term string, weight double")
+    rows = [("intercept", fitted[0]), *fitted[1].items()]
+    return spark.createDataFrame([(t, round(w, 6)) for t, w in rows], "term string, weight double")
+
+
 # From messages to curated and scored rows
 
 
