@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkpipe.functions.scalars import hash_fraction
+from sparkpipe.session import work_dir
 
 # Label threshold, training rows, and model settings.
 THRESHOLD = 500.0
@@ -81,14 +82,18 @@ def fit_newton(
 
     The objective is the mean log loss and half of ``penalty`` times the square of all
     coefficients, the intercept's too, so labels that the inputs tell apart without
-    error do not send the weights to infinity. A round is one aggregate over all rows,
-    whose sums (of a fixed number) reach the driver; rounds are fixed, so that the same
-    rows give the same weights but for the order of sums. Rows that lack an input or the
-    label are left out; None without rows or when all labels are alike.
+    error do not send the weights to infinity. The columns needed are written once to the
+    work folder, so that ``featured`` is not made again for every round. A round is one
+    aggregate over all rows, whose sums (of a fixed number) reach the driver; rounds are
+    fixed, so that the same rows give the same weights but for the order of sums. Rows that
+    lack an input or the label are left out; None without rows or when all labels are alike.
     """
     names = list(inputs)
     columns = [F.col(c).cast("double") for c in names]
     rows = featured.select(*columns, F.col(label).cast("double").alias("_y")).dropna()
+    spark, folder = featured.sparkSession, work_dir(featured.sparkSession, "fit")
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
     n, low, high = rows.agg(F.count("*"), F.min("_y"), F.max("_y")).first()
     if not n or low == high:
         return None

@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkpipe.operators import score
 
 
@@ -42,3 +44,17 @@ def test_labels_without_overlap_stay_finite(spark):
     df = spark.createDataFrame([(float(i), int(i > 5)) for i in range(12)], "a double, label int")
     intercept, weights = score.fit_newton(df, ["a"], rounds=12)
     assert np.isfinite(intercept) and weights["a"] > 0
+
+
+def test_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return float(x)
+
+    df = spark.range(40).select(counted("id").alias("a"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    assert score.fit_newton(df, ["a"], rounds=4) is not None
+    # Python may be asked twice for a row: for the column, and by the filter on it.
+    assert made.value <= 80
