@@ -670,15 +670,18 @@ def stream_gated(spark, sf):
 
 @query
 def stream_change_feed(spark, sf):
-    """Customers in two batches: all of them, then newer and older rows of some."""
+    """Customers in two batches: all of them, then newer and older rows of some.
+
+    Each batch is all that is there when the query is started, in any number of files.
+    """
     root, arrivals = work_dir(spark, "changes"), work_dir(spark, "customers")
     customers = inputs.table(spark, sf, "customer")
-    customers.coalesce(1).write.parquet(arrivals)
-    inputs.customer_moves(customers).coalesce(1).write.mode("append").parquet(arrivals)
-    stream = streams.file_stream(spark, arrivals, customers.schema, files_per_trigger=1)
-    ingest.run_available(
-        ingest.change_stream(stream, root, f"{root}-checkpoint", ["c_custkey"], ["c_acctbal"], None)
-    )
+    for rows in (customers, inputs.customer_moves(customers)):
+        rows.write.mode("append").parquet(arrivals)
+        stream = streams.file_stream(spark, arrivals, customers.schema)
+        ingest.run_available(
+            ingest.change_stream(stream, root, f"{root}-checkpoint", ["c_custkey"], ["c_acctbal"], None)
+        )
     return ingest.batches_after(spark, root).drop("run", "query")
 
 

@@ -9,7 +9,7 @@ from sparkpipe.operators.contracts import check
 from sparkpipe.operators.decode import decode
 from sparkpipe.schemas import topics_of
 from sparkpipe.sources import streams
-from sparkpipe.streaming import ingest
+from sparkpipe.streaming import ingest, keyed
 
 
 def record(i, **fields):
@@ -269,6 +269,37 @@ def test_state_of_untouched_keys_goes_after_a_while(spark, folder):
     assert [r._change_type for r in feed.collect()] == ["insert", "insert"]
 
 
+def test_keys_of_a_bucket_are_told_apart(spark, folder, monkeypatch):
+    """Keys go to Python together, and are no one else's for it."""
+    monkeypatch.setattr(keyed, "BUCKETS", 2)
+    schema = "a double, b binary, v int"
+    nan, none = float("nan"), None
+    batches = [
+        [(0.0, b"x", 1), (nan, b"x", 2), (none, none, 3), *[(float(i), b"y", i) for i in range(9)]],
+        [(-0.0, b"x", 4), (nan, b"x", 5), (none, none, 0), (3.0, b"y", 7), (3.0, b"z", 8)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        ingest.run_available(
+            ingest.change_stream(stream, f"{folder}/out", f"{folder}/check", ["a", "b"], ["v"], None)
+        )
+    plan = keyed.latest_images(stream, ["a", "b"], ["v"])._jdf.queryExecution().analyzed().toString()
+    assert "pmod(hash(a#" in plan and "TransformWithState" in plan  # not one group per key
+    feed = ingest.batches_after(spark, f"{folder}/out")
+    assert feed.where("batch = 0").count() == 12
+    found = sorted((r._change_type, r.v) for r in feed.where("batch = 1").collect())
+    assert found == [
+        ("insert", 8),
+        ("update_postimage", 4),
+        ("update_postimage", 5),
+        ("update_postimage", 7),
+        ("update_preimage", 1),
+        ("update_preimage", 2),
+        ("update_preimage", 3),
+    ]
+
+
 def test_interval_and_bounded_run(spark, folder):
     arrive(spark, folder, record(1))
     query = ingest.ingest_raw(
