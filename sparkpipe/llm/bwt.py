@@ -33,16 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sparkpipe.llm import sieve
-from sparkpipe.llm.frames import id_and_text, mixed, written
+from sparkpipe.llm.frames import few_at_a_time, id_and_text, mixed, written
 
 LENGTH = 50
 ANCHOR = 20
-TOGETHER = 1 << 18  # bytes of text that are hashed at a time
+TOGETHER = 1 << 16  # bytes of text that are hashed at a time; their hashes stay in the cache
 SHARD = 1 << 14  # bytes of a shard
 AT_ONCE = 4 << 20  # bytes of pieces that are compared before they are sent
 MERGE = 1 << 19  # bytes of a whole group; more are crowded
-LOT = 1 << 17  # bytes from which on whole groups are merged
-MARKED = 20_000  # document rows whose marks are held at a time
+LOT = 1 << 16  # bytes from which on whole groups are merged
+MARKED = 200_000  # marks that are held at a time
 STEP = 5  # bytes between the strings by which pieces are told to have none in common
 END = 0  # symbol of a string's end; bytes are symbols 1 to 256
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -114,7 +114,13 @@ def cut(
         many = sieve.is_heavy(mixed(keys[first]), table)
         crowded = np.repeat(many, np.diff(np.append(first, len(keys))))
         if many.any():
-            keys = np.where(crowded, hashes_of(data, LENGTH), keys)
+            # Only the stretches that crowded windows cover are hashed.
+            change = np.zeros(len(data) + 1, np.int32)
+            np.add.at(change, first[many], 1)
+            np.add.at(change, np.append(first[1:], len(keys))[many] + LENGTH - 1, -1)
+            inside = np.cumsum(change[:-1]) > 0
+            place = np.cumsum(inside) - 1
+            keys[crowded] = hashes_of(data[inside], LENGTH)[place[: len(keys)][crowded]]
     # A window must not cross into the next text.
     change = np.zeros(len(keys) + 1, np.int64)
     np.add.at(change, np.minimum(begins[:-1], len(keys)), 1)
@@ -177,7 +183,7 @@ def keys_of(
         docs.append(np.array(ids, np.int64)[text])
         sizes.append(n + LENGTH - 1)
     key, doc, size = np.concatenate(keys), np.concatenate(docs), np.concatenate(sizes)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key, doc, size = key[order], doc[order], size[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
     if not len(first):
@@ -296,38 +302,61 @@ def smallest_docs(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     return np.split(low[by_text], np.cumsum(np.maximum(0, sizes - LENGTH + 1))[:-1])
 
 
+def _joined(
+    owner: np.ndarray, start: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches by owner and start, those of one owner joined where they touch."""
+    order = np.lexsort((start, owner))
+    owner, start, end = owner[order], start[order], end[order]
+    # Counted on from owner to owner, no stretch touches one of another owner.
+    shift = owner * (int(end.max(initial=0)) + 2)
+    reach = np.maximum.accumulate(end + shift)
+    new = np.flatnonzero(np.append(True, (start + shift)[1:] > reach[:-1]))
+    last = np.append(new[1:], len(owner)) - 1
+    return owner[new], start[new], (reach - shift)[last]
+
+
 class _Marks:
     """Removed stretches by row."""
 
     def __init__(self):
-        self.held: dict[tuple[int, int], list[int]] = {}
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.n = 0
 
-    def add(self, doc: int, row: int, start: int, end: int) -> None:
-        held = self.held.setdefault((doc, row), [])
-        if held and held[-2] <= start <= held[-1]:
-            held[-1] = max(held[-1], end)
-        else:
-            held += (start, end)
+    def add(self, doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        if len(doc):
+            self.held.append((doc, row, start, end))
+            self.n += len(doc)
 
     def batch(self, parts: int = 1) -> pa.RecordBatch:
         """A row per document row, spread over ``parts``."""
-        data = [np.array(x, np.int64).tobytes() for x in self.held.values()]
-        docs, rows = zip(*self.held) if self.held else ((), ())
-        return _rows(docs=docs, rows=rows, marks=data, parts=[r % parts for r in rows])
+        if not self.held:
+            return _rows()
+        doc, row, start, end = (np.concatenate(x) for x in zip(*self.held))
+        names = np.empty(len(doc), [("doc", "<i8"), ("row", "<i8")])
+        names["doc"], names["row"] = doc, row
+        order = np.lexsort((row, doc))
+        new = np.append(True, names[order][1:] != names[order][:-1])
+        owner = np.empty(len(doc), np.int64)
+        owner[order] = np.cumsum(new) - 1
+        names = names[order[new]]
+        owner, start, end = _joined(owner, start.astype(np.int64), end.astype(np.int64))
+        data = np.stack([start, end], 1).astype("<u4").tobytes()
+        cuts = (8 * np.searchsorted(owner, np.arange(len(names) + 1))).tolist()
+        return _rows(
+            docs=names["doc"],
+            rows=names["row"],
+            marks=[data[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
+            parts=(names["row"] % parts).astype(np.int32),
+        )
 
 
 def _rows(docs=(), rows=(), marks=(), parts=(), pieces=(), text=()) -> pa.RecordBatch:
     n = len(docs) or len(parts)
-    none = [None] * n
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+    columns = zip((docs, rows, marks, parts, pieces, text), kinds)
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(docs or none, pa.int64()),
-            pa.array(rows or none, pa.int64()),
-            pa.array(marks or none, pa.binary()),
-            pa.array(parts or none, pa.int32()),
-            pa.array(pieces or none, pa.binary()),
-            pa.array(text or none, pa.binary()),
-        ],
+        [pa.array(c, k) if len(c) else pa.nulls(n, k) for c, k in columns],
         ["doc_id", "row", "marks", "part", "pieces", "text"],
     )
 
@@ -335,18 +364,42 @@ def _rows(docs=(), rows=(), marks=(), parts=(), pieces=(), text=()) -> pa.Record
 SENT = "doc_id long, row long, marks binary, part int, pieces binary, text binary"
 
 
-def _lowest_only(held: dict[bytes, list[tuple]], marks: _Marks) -> Iterator[tuple[bytes, tuple]]:
+def _packed(index: np.ndarray, text: list[bytes]) -> tuple[bytes, bytes]:
+    """Pieces as they are sent: the first bytes of all numbers, then the second, and so on."""
+    planes = [np.ascontiguousarray(index[c]).view(np.uint8).reshape(len(index), -1).T.tobytes() for c in PIECES.names]
+    squeeze = pa.Codec("zstd", 1).compress
+    size = len(index).to_bytes(4, "little")
+    return size + squeeze(b"".join(planes), asbytes=True), squeeze(b"".join(text), asbytes=True)
+
+
+def _unpacked(pieces: bytes, text: bytes) -> tuple[np.ndarray, bytes]:
+    n, at = int.from_bytes(pieces[:4], "little"), 0
+    index, expand = np.empty(n, PIECES), pa.Codec("zstd").decompress
+    data = np.frombuffer(expand(pieces[4:], n * PIECES.itemsize, asbytes=True), np.uint8)
+    for name in PIECES.names:
+        width = PIECES[name].itemsize
+        plane = data[at : at + n * width].reshape(width, n)
+        index[name] = np.ascontiguousarray(plane.T).view(PIECES[name])[:, 0]
+        at += n * width
+    return index, expand(text, int(index["n"].sum(dtype=np.int64)), asbytes=True)
+
+
+def _lowest_only(
+    index: np.ndarray, data: list[bytes], marks: _Marks
+) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Of equal pieces those of the smallest document; the rest is marked.
 
-    Whatever windows a piece has, they also start in the smallest document's.
+    Whatever windows a piece has, they also start in the smallest document's. Returns the
+    strings' numbers by piece, the strings, and which pieces are left.
     """
-    for data, found in held.items():
-        low = min(x[1] for x in found)
-        for x in found:
-            if x[1] > low:
-                marks.add(x[1], x[2], x[3], x[4])
-            else:
-                yield data, x
+    known: dict[bytes, int] = {}
+    number = np.fromiter((known.setdefault(d, len(known)) for d in data), np.int64, len(data))
+    low = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(low, number, index["doc"])
+    lowest = index["doc"] == low[number]
+    lost = index[~lowest]
+    marks.add(lost["doc"], lost["row"], lost["start"], lost["to"])
+    return number, list(known), lowest
 
 
 def send_pieces(
@@ -358,40 +411,43 @@ def send_pieces(
     """
     parts = len(table.sizes)
 
-    def sent(held: dict[bytes, list[tuple]]) -> Iterator[pa.RecordBatch]:
-        marks = _Marks()
-        kept = sorted(_lowest_only(held, marks), key=lambda x: x[1])
+    def sent(held: list[np.ndarray], data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        marks, index = _Marks(), np.concatenate([np.zeros(0, PIECES), *held])
+        _, _, lowest = _lowest_only(index, data, marks)
         if marks.held:
             yield marks.batch(parts)
-        if not kept:
+        order = np.flatnonzero(lowest)
+        if not len(order):
             return
-        index = np.array([(*x, len(data)) for data, x in kept], PIECES)
+        order = order[np.argsort(index["key"][order])]
+        index = index[order]
         cuts = np.searchsorted(table.part_of(index["key"]), np.arange(parts + 1))
+        order = order.tolist()
         spans = [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-        yield _rows(
-            parts=[p for p, _, _ in spans],
-            pieces=[index[a:b].tobytes() for _, a, b in spans],
-            text=[b"".join(data for data, _ in kept[a:b]) for _, a, b in spans],
-        )
+        packed = [_packed(index[a:b], [data[i] for i in order[a:b]]) for _, a, b in spans]
+        pieces, text = zip(*packed)
+        yield _rows(parts=[p for p, _, _ in spans], pieces=pieces, text=text)
 
-    held: dict[bytes, list[tuple]] = {}
-    size = 0
+    held, data, size = [], [], 0
     for batch in batches:
         for ids, rows, texts in _texts(batch):
             key, text, start, n, crowded = cut(texts, table)
             good = sieve.passes(key, table) & ~crowded
             if crowded.any():
                 good[crowded] = sieve.passes(key[crowded], windows)
-            found = (x[good].tolist() for x in (key, text, start, n, crowded))
-            for k, t, s, m, one in zip(*found):
-                to = s + m + LENGTH - 1
-                data = texts[t][s : s + LENGTH if one else to]
-                held.setdefault(data, []).append((k, ids[t], rows[t], s, to))
-                size += len(data)
-                if size >= AT_ONCE:
-                    yield from sent(held)
-                    held, size = {}, 0
-    yield from sent(held)
+            text, start = text[good], start[good]
+            index = np.empty(len(text), PIECES)
+            index["key"], index["start"], index["to"] = key[good], start, start + n[good] + LENGTH - 1
+            index["doc"], index["row"] = np.array(ids, np.int64)[text], np.array(rows, np.int64)[text]
+            end = np.where(crowded[good], start + LENGTH, index["to"])
+            index["n"] = end - start
+            held.append(index)
+            data += [texts[t][a:b] for t, a, b in zip(text.tolist(), start.tolist(), end.tolist())]
+            size += int(index["n"].sum(dtype=np.int64))
+            if size >= AT_ONCE:
+                yield from sent(held, data)
+                held, data, size = [], [], 0
+    yield from sent(held, data)
 
 
 def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,13 +459,15 @@ def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield batch.filter(pc.is_valid(batch.column("marks")))
         batch = batch.filter(pc.is_valid(batch.column("pieces")))
-        indexes += (np.frombuffer(x, PIECES) for x in batch.column("pieces").to_pylist())
-        texts += batch.column("text").to_pylist()
+        for pieces, text in zip(batch.column("pieces"), batch.column("text")):
+            index, text = _unpacked(pieces.as_py(), text.as_py())
+            indexes.append(index)
+            texts.append(text)
     # Only the pieces of some keys at a time become objects.
     index, text = np.concatenate(indexes), b"".join(texts)
     del indexes, texts
     ends = np.cumsum(index["n"], dtype=np.int64)
-    order = np.argsort(index["key"], kind="stable")
+    order = np.argsort(index["key"])
     sizes = np.cumsum(index["n"][order], dtype=np.int64)
     keys = index["key"][order]
     cuts = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)) if len(keys) else []
@@ -417,109 +475,114 @@ def judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for end in cuts:
         if sizes[end - 1] - done < AT_ONCE and end < len(keys):
             continue
-        held: dict[bytes, list[tuple]] = {}
         some = order[begin:end]
-        for at, (*x, n) in zip(ends[some].tolist(), index[some].tolist()):
-            held.setdefault(text[at - n : at], []).append(tuple(x))
-        _judge(held, marks)
+        stops = ends[some]
+        spans = zip((stops - index["n"][some]).tolist(), stops.tolist())
+        _judge(index[some], [text[a:b] for a, b in spans], marks)
         begin, done = end, sizes[end - 1]
-        if len(marks.held) >= MARKED:
+        if marks.n >= MARKED:
             yield marks.batch()
             marks = _Marks()
     yield marks.batch()
 
 
-def _judge(held: dict[bytes, list[tuple]], marks: _Marks) -> None:
-    """Judge all pieces of some keys."""
-    kept = _with_partners(sorted(_lowest_only(held, marks), key=lambda x: x[1]))
-    for group in _groups(kept):
-        strings = list(dict.fromkeys(data for data, _ in group))
-        number = {data: i for i, data in enumerate(strings)}
-        docs = np.zeros(len(strings), np.int64)
-        for data, x in group:
-            docs[number[data]] = x[1]
-        lowest = smallest_docs(strings, docs)
-        for data, (_, doc, row, start, to) in group:
-            hit = np.flatnonzero(lowest[number[data]] < doc)
-            for first, last in _runs(hit):
-                marks.add(doc, row, start + first, to - (len(data) - LENGTH - last))
+def _judge(index: np.ndarray, data: list[bytes], marks: _Marks) -> None:
+    """Judge all pieces of some keys, which are sorted."""
+    number, strings, lowest = _lowest_only(index, data, marks)
+    index, number = index[lowest], number[lowest]
+    keys, docs = np.zeros(len(strings), np.uint64), np.zeros(len(strings), np.int64)
+    keys[number], docs[number] = index["key"], index["doc"]
+    good = _with_partners(strings, keys)
+    found = []
+    for lot in _lots(good, keys, strings):
+        lows = smallest_docs([strings[i] for i in lot], docs[lot])
+        sizes = np.array([len(x) for x in lows], np.int64)
+        hit = np.concatenate(lows) < np.repeat(docs[lot], sizes)
+        begins = np.cumsum(sizes) - sizes
+        inside = np.append(hit[1:] & hit[:-1], False)
+        inside[begins[1:] - 1] = False  # windows of two strings are not neighbours
+        last = np.flatnonzero(hit & ~inside)
+        first = np.flatnonzero(hit & ~np.append(False, inside[:-1]))
+        at = np.searchsorted(begins, first, "right") - 1
+        found.append((lot[at], first - begins[at], sizes[at] - 1 - (last - begins[at])))
+    if not found:
+        return
+    string, first, left = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(string, kind="stable")
+    string, first, left = string[order], first[order], left[order]
+    # Each piece of a string gets its stretches.
+    begins = np.searchsorted(string, number)
+    n = np.searchsorted(string, number, "right") - begins
+    piece = np.repeat(np.arange(len(number)), n)
+    which = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n) + begins[piece]
+    some = index[piece]
+    start, to = some["start"].astype(np.int64), some["to"].astype(np.int64)
+    marks.add(some["doc"], some["row"], start + first[which], to - left[which])
 
 
-def _with_partners(kept: list[tuple[bytes, tuple]]) -> list[tuple[bytes, tuple]]:
-    """The pieces that may share a window with a different piece of their key.
+def _with_partners(strings: list[bytes], keys: np.ndarray) -> np.ndarray:
+    """Which strings, each of a different content, may share a window with one of their key.
 
     A window that starts l bytes before its anchor holds, for the multiple m of ``STEP``
     at or below l, the ``LENGTH - STEP + 1`` bytes from m bytes before the anchor on. So
     pieces with a window in common have such a string in common, at the same m. Only equal
     hashes of these let a piece pass; a clash of two hashes costs no more than a merge.
     """
-    once: dict[int, bytes] = {}
-    different = {x[0] for data, x in kept if once.setdefault(x[0], data) != data}
-    kept = [(data, x) for data, x in kept if x[0] in different]
-    known: dict[bytes, int] = {}
-    number = np.array([known.setdefault(data, len(known)) for data, _ in kept], np.int64)
-    if len(known) < 2:
-        return []
-    keys = np.zeros(len(known), np.uint64)
-    keys[number] = np.fromiter((x[0] for _, x in kept), np.uint64, len(kept))
-    sizes = np.fromiter(map(len, known), np.int64, len(known))
-    begins, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), np.uint8)
+    _, group, n = np.unique(keys, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(n[group] > 1)
+    if not len(several):
+        return several
+    keys, data = keys[several], b"".join([strings[i] for i in several.tolist()])
+    sizes = np.fromiter((len(strings[i]) for i in several.tolist()), np.int64, len(several))
+    begins, data = np.cumsum(sizes) - sizes, np.frombuffer(data, np.uint8)
     anchors, part = hashes_of(data, ANCHOR), LENGTH - STEP + 1
-    piece = np.repeat(np.arange(len(known)), sizes)[: len(anchors)]
+    piece = np.repeat(np.arange(len(several)), sizes)[: len(anchors)]
     at = np.flatnonzero(mixed(anchors) == keys[piece])
-    piece, strings = piece[at], hashes_of(data, part)
+    piece, hashes = piece[at], hashes_of(data, part)
     place = at - begins[piece]
     found = []
     for before in range(0, LENGTH - ANCHOR + 1, STEP):
         inside = (place >= before) & (place - before + part <= sizes[piece])
         own = piece[inside]
         told = keys[own] + np.uint64(before)
-        found.append((mixed(strings[at[inside] - before] ^ mixed(told)), own))
+        found.append((mixed(hashes[at[inside] - before] ^ mixed(told)), own))
     string, piece = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(string, kind="stable")
+    if not len(string):
+        return several[:0]
+    order = np.argsort(string)
     string, piece = string[order], piece[order]
-    first = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
-    several = np.minimum.reduceat(piece, first) != np.maximum.reduceat(piece, first)
-    good = np.zeros(len(known), bool)
-    good[piece[np.repeat(several, np.diff(np.append(first, len(piece))))]] = True
-    return [x for x, one in zip(kept, good[number].tolist()) if one]
+    first = np.flatnonzero(np.append(True, string[1:] != string[:-1]))
+    shared = np.minimum.reduceat(piece, first) != np.maximum.reduceat(piece, first)
+    good = np.zeros(len(several), bool)
+    good[piece[np.repeat(shared, np.diff(np.append(first, len(piece))))]] = True
+    return several[good]
 
 
-def _groups(kept: list[tuple[bytes, tuple]]) -> Iterator[list[tuple[bytes, tuple]]]:
-    """Whole groups of equal keys, fewer than ``LOT`` and ``MERGE`` bytes at a time.
+def _lots(good: np.ndarray, keys: np.ndarray, strings: list[bytes]) -> Iterator[np.ndarray]:
+    """Strings by whole groups of equal keys, fewer than ``LOT`` and ``MERGE`` bytes at a time.
 
     A group of one string has nothing to be merged with.
     """
+    good = good[np.argsort(keys[good], kind="stable")]
+    keys = keys[good]
+    cuts = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)).tolist()
     out, size, begin = [], 0, 0
-    while begin < len(kept):
-        end = begin
-        while end < len(kept) and kept[end][1][0] == kept[begin][1][0]:
-            end += 1
-        group = kept[begin:end]
-        begin = end
-        if all(data == group[0][0] for data, _ in group):
+    for end in cuts if len(keys) else []:
+        group, begin = good[begin:end], end
+        if len(group) == 1:
             continue
-        out += group
-        size += sum(len(data) for data, _ in group)
+        out.append(group)
+        size += sum(len(strings[i]) for i in group.tolist())
         if size >= LOT:
-            yield out
+            yield np.concatenate(out)
             out, size = [], 0
     if out:
-        yield out
-
-
-def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
-    if not len(hit):
-        return []
-    gap = np.flatnonzero(np.diff(hit) > 1)
-    firsts = np.concatenate([[0], gap + 1])
-    lasts = np.concatenate([gap, [len(hit) - 1]])
-    return list(zip(hit[firsts].tolist(), hit[lasts].tolist()))
+        yield np.concatenate(out)
 
 
 def spans_of(marks: list[bytes]) -> np.ndarray:
     """The marked stretches of a text, joined where they touch: rows of start, end."""
-    found = np.concatenate([np.frombuffer(m, np.int64).reshape(-1, 2) for m in marks])
+    found = np.concatenate([np.frombuffer(m, "<u4").reshape(-1, 2) for m in marks]).astype(np.int64)
     found = found[np.argsort(found[:, 0], kind="stable")]
     reach = np.maximum.accumulate(found[:, 1])
     new = np.flatnonzero(np.concatenate([[True], found[1:, 0] > reach[:-1]]))
@@ -538,7 +601,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     answers. An empty table gives an empty result; other columns are ignored.
 
     Of equal pieces only one per ``AT_ONCE`` bytes is sent, so a passage that a third of
-    all documents share costs few rows. Texts are shuffled once, to meet their marks.
+    all documents share costs few rows. Pieces and texts travel
+    packed; texts are shuffled once, to meet their marks.
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
@@ -562,15 +626,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = marks.groupBy("doc_id", "row").agg(F.collect_list("marks").alias("marks"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = pa.Codec("zstd", 1).compress
         for batch in batches:
-            keys = [row_key(t.encode()) if t else None for t in batch.column(1).to_pylist()]
-            yield batch.append_column("row", pa.array(keys, pa.int64()))
+            keys, packed = [], []
+            for text in few_at_a_time(batch.column(1)):
+                data = text.encode() if text else b""
+                keys.append(row_key(data) if data else None)
+                packed.append(len(data).to_bytes(8, "little") + squeeze(data, asbytes=True) if data else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(packed, pa.binary()), pa.array(keys, pa.int64())],
+                ["doc_id", "packed", "row"],
+            )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = pa.Codec("zstd").decompress
         for batch in batches:
             out = []
-            for text, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data, spans = (text or "").encode(), []
+            for packed, marks in zip(few_at_a_time(batch.column(1)), few_at_a_time(batch.column(2))):
+                data, spans = b"", []
+                if packed:
+                    data = expand(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
                 kept, at = [], 0
                 if marks:
                     spans = spans_of(marks).tolist()
@@ -592,9 +667,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ["doc_id", "n_bytes", "spans", "kept"],
             )
 
-    numbered = rows.mapInArrow(number, "doc_id long, text string, row long")
+    numbered = rows.mapInArrow(number, "doc_id long, packed binary, row long")
     met = numbered.hint("merge").join(marks, ["doc_id", "row"], "left")
-    return met.select("doc_id", "text", "marks").mapInArrow(apply, DEDUPED)
+    return met.select("doc_id", "packed", "marks").mapInArrow(apply, DEDUPED)
 
 
 def repeats_digest(deduped: DataFrame) -> DataFrame:

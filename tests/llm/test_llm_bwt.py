@@ -156,3 +156,31 @@ def test_jobs_do_not_grow_with_partitions(spark):
         return len(tracker.getJobIdsForGroup(f"filter-{partitions}"))
 
     assert jobs("32") <= jobs("4")
+
+
+def test_pieces_travel_packed():
+    """What is sent takes less room than the numbers and strings it stands for."""
+    chance = random.Random(4)
+    words = ["".join(chance.choices("abcdefgh", k=chance.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(chance.choices(words, k=400)) for _ in range(30)]
+    texts = [t + texts[0][:900] for t in texts]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate(texts)])
+    keys = np.sort(bwt.keys_of(batch)[0])
+    bits = np.full(1 << 10, 255, np.uint8)  # all pass
+    table = sieve.Sieve(bits, np.zeros(2, np.uint64), np.full(2, 1 << 13, np.uint64), keys[:0])
+    sent = [b for b in bwt.send_pieces(iter([batch]), table) if b.column("pieces").null_count == 0]
+    room = sum(b.column(c).nbytes for b in sent for c in ("pieces", "text"))
+    _, _, _, n, _ = bwt.cut([t.encode() for t in texts])
+    plain = int((n + 49 + bwt.PIECES.itemsize).sum())
+    assert room < plain // 2
+
+
+def test_marks_of_rows_are_joined():
+    marks = bwt._Marks()
+    for spans in ([(1, 5, 0, 60), (1, 5, 60, 90), (2, 5, 10, 70)], [(1, 5, 200, 260), (1, 4, 50, 100), (2, 5, 0, 20)]):
+        marks.add(*np.array(spans, np.int64).T)
+    got = {}
+    for row in marks.batch(3).to_pylist():
+        got[row["doc_id"], row["row"]] = bwt.spans_of([row["marks"]]).tolist()
+        assert row["part"] == row["row"] % 3
+    assert got == {(1, 5): [[0, 90], [200, 260]], (1, 4): [[50, 100]], (2, 5): [[0, 70]]}
