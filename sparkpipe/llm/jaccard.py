@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkpipe.llm import sieve
 from sparkpipe.llm.components import components
@@ -37,8 +37,9 @@ COUNT_BITS = 18  # cells of the element counts
 COUNT_PARTS = 16
 BITMAP = 8  # longs of a set's parity bitmap
 WIDE = 4  # bits per element of its wide one, rounded up to a power of two
+BLOCKS = 4  # of a set's signatures, in each of which a pair is made once
 FREQUENT_COST = 1000.0
-TOGETHER = 1 << 20  # characters that are hashed at a time
+TOGETHER = 1 << 18  # characters that are hashed at a time; their hashes stay in the cache
 NO_ID = (1 << 63) - 1  # stands for a null id where rows are picked by it
 
 SHINGLES = "doc_id long, text_hash long, n_shingles long, sid long, part int, counts binary"
@@ -463,6 +464,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "a_set", "b_set").mapInArrow(compare, "a long, b long")
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Every row with the signatures of its set, in the same role, that are in the row's block."""
+    block = Window.partitionBy("sid", "upper", F.pmod(F.xxhash64("sig"), F.lit(BLOCKS)))
+    return members.withColumn("sigs", F.collect_list("sig").over(block))
+
+
+def _pairs_apart(members: DataFrame, percent: int) -> DataFrame:
+    """(a, a_n, b, b_n) of sets of two components that share a signature and may be similar.
+
+    Similar sets share many signatures; in each block of these the first one they share
+    makes the pair. Two sets have the same roles in all they share: either both are of
+    the band, or one is an upper set.
+    """
+
+    def side(s: str) -> DataFrame:
+        names = {"sid": s} | {c: f"{s}_{c}" for c in ("n", "bits", "root", "main", "upper", "sigs")}
+        return members.select("sig", *[F.col(c).alias(name) for c, name in names.items()])
+
+    needed = (
+        (F.col("a_root") != F.col("b_root"))
+        & ~(F.col("a_upper") & F.col("b_upper"))
+        & ((F.col("b_root") == F.col("b_main")) | (F.col("a") < F.col("b")))
+        & _sizes_fit("a_n", "b_n", percent)
+        & _bits_fit(percent)
+        & (F.array_min(F.array_intersect("a_sigs", "b_sigs")) == F.col("sig"))
+    )
+    strays = side("a").where("a_root != a_main")
+    pairs = strays.hint("merge").join(side("b"), "sig").where(needed)
+    return pairs.select("a", "a_n", "b", "b_n")
+
+
 def _links(
     docs: DataFrame, ids: DataFrame, width: int, shown: DataFrame, percent: int
 ) -> DataFrame:
@@ -506,23 +538,10 @@ def _links(
     members = sieve.semi_join(grouped.select("sig", "sid", "upper", "low"), opened, ["sig"])
     members = rooted(rooted(members.distinct(), "sid", "root"), "low", "main")
     members = members.hint("merge").join(bits.select("sid", "n", "bits"), "sid")
-    members = written(members, "jaccard-members")
+    members = written(_in_blocks(members), "jaccard-members")
     discard(grouped, apart, opened)
 
-    def side(s: str) -> DataFrame:
-        names = {"sid": s} | {c: f"{s}_{c}" for c in ("n", "bits", "root", "main", "upper")}
-        return members.select("sig", *[F.col(c).alias(name) for c, name in names.items()])
-
-    needed = (
-        (F.col("a_root") != F.col("b_root"))
-        & ~(F.col("a_upper") & F.col("b_upper"))
-        & ((F.col("b_root") == F.col("b_main")) | (F.col("a") < F.col("b")))
-        & _sizes_fit("a_n", "b_n", percent)
-        & _bits_fit(percent)
-    )
-    strays = side("a").where("a_root != a_main")
-    rest = strays.hint("merge").join(side("b"), "sig").where(needed)
-    rest = written(rest.select("a", "a_n", "b", "b_n").distinct(), "jaccard-strays")
+    rest = written(_pairs_apart(members, percent).distinct(), "jaccard-strays")
     discard(members)
     rest = _near(rest, bits, percent).unionByName(across(likely).select("a", "a_n", "b", "b_n"))
     rest = rest.distinct().hint("merge").join(lowest, ["a", "a_n", "b", "b_n"], "left_anti")

@@ -172,3 +172,19 @@ def test_filter_of_shared_keys(spark):
         assert len(table.bits) < 1 << 20
         left = sieve.semi_join(every, rows, ["k"])
         assert tuples(left, "k") == tuples(rows, "k")
+
+
+def test_a_pair_is_made_once_a_block(spark):
+    """However many signatures two sets share, and whichever of them is an upper set."""
+    bits, rows = [0] * jaccard.BITMAP, []
+    for sig in range(60):
+        # 1, 2 and 3 are of one band, 9 is an upper set there; 2 lies in the leader's component.
+        rows += [(sig, s, upper, 1, s, 2, n, bits) for s, upper, n in ((1, False, 50), (2, False, 51), (3, False, 52))]
+        rows += [(sig, 9, True, 1, 9, 2, 60, bits), (sig, 10, True, 1, 10, 2, 60, bits)]
+    schema = "sig long, sid long, upper boolean, low long, root long, main long, n int, bits array<long>"
+    members = spark.createDataFrame(rows, schema)
+    made = jaccard._pairs_apart(jaccard._in_blocks(members), 80)
+    found = sorted((r.a, r.b) for r in made.collect())
+    # Upper sets meet each other in their own band; all other pairs are made.
+    assert set(found) == {(1, 2), (3, 2), (9, 2), (10, 2), (1, 3), (1, 9), (3, 9), (1, 10), (3, 10)}
+    assert len(found) <= jaccard.BLOCKS * len(set(found))
