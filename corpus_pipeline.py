@@ -7,10 +7,21 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkpipe.llm import chains, decontaminate, jaccard, mixing, queries, records
-from sparkpipe.llm.frames import visible_to_workers, written
+from sparkpipe.llm.frames import WORKER_MEMORY, visible_to_workers, written
 from sparkpipe.plans.inputs import table
 
 
+#: Workers also hold what earlier stages left behind, so the last remembers fewer pieces.
+PIECES_KEPT = 1 << 17
+
+#: And they give back smaller stretches of memory than those of a single operator do.
+STAGE_MEMORY = {
+    **WORKER_MEMORY,
+    "MALLOC_MMAP_THRESHOLD_": str(256 << 10),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+}
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents the classifier chain finds toxic; all others stay.
 
@@ -43,13 +54,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write token records and return the digest of what is read back."""
-    return records.records_digest(records.round_trip(docs, queries.TOKENIZER, queries.END_ID))
+    made = records.round_trip(docs, queries.TOKENIZER, queries.END_ID, kept=PIECES_KEPT)
+    return records.records_digest(made)
 
 
 def _visible(stage):
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        visible_to_workers(spark)
+        visible_to_workers(spark, STAGE_MEMORY)
         return stage(spark, docs, sf_dir)
 
     return run_stage

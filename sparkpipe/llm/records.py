@@ -45,6 +45,7 @@ INDEX = np.dtype(
 MANIFEST = "part int, shard int, data string, index string, width int, documents long, tokens long"
 RECORDS = "doc_id long, start long, n_tokens long, ids binary"
 MASK = 0xA282EAD8
+TOGETHER = 256  # texts that are encoded at a time
 HEAD, CHECK = "<QI", "<I"  # before and after the payload
 AROUND = struct.calcsize(HEAD) + struct.calcsize(CHECK)
 
@@ -117,9 +118,10 @@ class Encoder:
 
     KEPT = 1_000_000
 
-    def __init__(self, path: str, literal: bool = True):
+    def __init__(self, path: str, literal: bool = True, kept: int = KEPT):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.KEPT = kept
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -202,17 +204,17 @@ class Encoder:
         return b"".join([self._ids([first])[0], *out])
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, literal: bool) -> Encoder:
-    """One encoder per worker process, tokenizer file and reading of special tokens."""
-    if (path, literal) not in _encoders:
+def encoder(path: str, literal: bool, kept: int = Encoder.KEPT) -> Encoder:
+    """One encoder per worker process, tokenizer file, reading of special tokens and table size."""
+    if (path, literal, kept) not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[path, literal] = Encoder(path, literal)
-    return _encoders[path, literal]
+        _encoders[path, literal, kept] = Encoder(path, literal, kept)
+    return _encoders[path, literal, kept]
 
 
 class _Shard:
@@ -254,6 +256,7 @@ def write_records(
     text_col: str = "text",
     shard_bytes: int = 256 << 20,
     literal: bool = False,
+    kept: int = Encoder.KEPT,
 ) -> DataFrame:
     """Encode every text, append ``end_id``, write shards in id order; the manifest.
 
@@ -263,25 +266,28 @@ def write_records(
     equal ids follow the hash of their text; an empty table gives an empty manifest.
     Columns other than the two named are ignored. Special tokens in a text are encoded as
     the tokenizer does by default, or with ``literal`` as plain text. A shard is closed once it holds
-    ``shard_bytes``, so no file grows with the input.
+    ``shard_bytes``, so no file grows with the input. ``kept`` bounds the pieces whose ids a
+    worker remembers, at some 160 bytes each; fewer save memory and cost time.
     """
     spark = docs.sparkSession
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        codec, part = encoder(tokenizer, literal), TaskContext.get().partitionId()
+        codec, part = encoder(tokenizer, literal, kept), TaskContext.get().partitionId()
         end = np.array([end_id], f"<u{codec.width}").tobytes()
         shard, done = None, []
         for batch in batches:
-            encoded = codec.encode([t or "" for t in batch.column(1).to_pylist()])
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
-                shard = shard or _Shard(data, part, len(done))
-                payload = ids + end
-                shard.add(doc_id, payload, len(payload) // codec.width)
-                if shard.offset >= shard_bytes:
-                    done.append(shard.close(codec.width))
-                    shard = None
+            # Only the texts of some rows at a time become objects.
+            for some in (batch.slice(at, TOGETHER) for at in range(0, batch.num_rows, TOGETHER)):
+                encoded = codec.encode([t or "" for t in some.column(1).to_pylist()])
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoded):
+                    shard = shard or _Shard(data, part, len(done))
+                    payload = ids + end
+                    shard.add(doc_id, payload, len(payload) // codec.width)
+                    if shard.offset >= shard_bytes:
+                        done.append(shard.close(codec.width))
+                        shard = None
         if shard:
             done.append(shard.close(codec.width))
         if done:
@@ -416,9 +422,11 @@ def records_digest(records: DataFrame) -> DataFrame:
     return records.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def round_trip(
+    docs: DataFrame, tokenizer: str, end_id: int, kept: int = Encoder.KEPT
+) -> DataFrame:
     """Write ``docs`` below the shared work folder and read the records back."""
     spark = docs.sparkSession
     folder = work_dir(spark, "records")
-    write_records(docs, folder, tokenizer, end_id)
+    write_records(docs, folder, tokenizer, end_id, kept=kept)
     return read_records(spark, folder)

@@ -108,3 +108,11 @@ def test_damage_is_found():
             records.unframe(bytes(broken), 0)
     with pytest.raises(ValueError):
         records.unframe(bytes(data[:-6]), 0)
+
+
+def test_tables_of_pieces_are_bounded(plain):
+    texts = [" ".join(f"w{i}x{k}" for k in range(50)) for i in range(40)]
+    codec = records.Encoder(TOKENIZER, kept=200)
+    for text, data in zip(texts, codec.encode(texts)):
+        assert np.frombuffer(data, "<u2").tolist() == plain(text)
+        assert len(codec.pieces) <= 200
