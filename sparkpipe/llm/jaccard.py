@@ -38,6 +38,7 @@ COUNT_PARTS = 16
 BITMAP = 8  # longs of a set's parity bitmap
 WIDE = 4  # bits per element of its wide one, rounded up to a power of two
 BLOCKS = 4  # of a set's signatures, in each of which a pair is made once
+CROWD = 16  # sets that show a signature, above which its group is led from the middle
 FREQUENT_COST = 1000.0
 TOGETHER = 1 << 18  # characters that are hashed at a time; their hashes stay in the cache
 NO_ID = (1 << 63) - 1  # stands for a null id where rows are picked by it
@@ -495,32 +496,60 @@ def _pairs_apart(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "a_n", "b", "b_n")
 
 
+def _groups(rows: DataFrame) -> list[DataFrame]:
+    """(sig, sid, upper, m, lead, other, weight) of the signatures that two sets show, in two tables.
+
+    m is the size of the group. Groups up to ``CROWD`` are led by their lowest and highest
+    set id. Near copies of one text are often like that text and not like each other; a set
+    in the middle shows what many show, others mostly what was changed in them. So a
+    crowd's first leader is the set of most weight, the sizes of all the crowds it is in.
+    """
+    ends = [F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("m")]
+    ends = rows.groupBy("sig").agg(*ends).where("low != high")
+    grouped = written(rows.hint("merge").join(ends, "sig"), "jaccard-grouped")
+    few, crowds = grouped.where(F.col("m") <= CROWD), grouped.where(F.col("m") > CROWD)
+    few = few.withColumnsRenamed({"low": "lead", "high": "other"}).withColumn("weight", F.lit(0).cast("long"))
+    few = written(few, "jaccard-groups")
+    weights = crowds.groupBy("sid").agg(F.sum("m").alias("weight"))
+    weighted = crowds.select("sig", "sid").hint("merge").join(weights, "sid")
+    heads = weighted.groupBy("sig").agg(F.max(F.struct("weight", "sid")).alias("head"))
+    other = F.when(F.col("low") == F.col("head.sid"), F.col("high")).otherwise(F.col("low"))
+    crowds = crowds.hint("merge").join(heads, "sig").select(
+        "sig", "sid", "upper", "m", F.col("head.sid").alias("lead"), other.alias("other"), "head.weight"
+    )
+    crowds = written(crowds, "jaccard-crowds")
+    discard(grouped)
+    return [few, crowds]
+
+
 def _links(
     docs: DataFrame, ids: DataFrame, width: int, shown: DataFrame, percent: int
 ) -> DataFrame:
     """(node, root) over set ids, exact.
 
-    Each signature's group has two leaders, its lowest and highest set id. First every
-    set is compared with one of its leaders, the lowest that sizes and bitmaps allow: no
-    more pairs than sets, and enough to join up most large groups of near copies. What is
-    one component then needs no more. Sets whose other leaders lie in another component
-    are compared with these; and in a group that is not one component every set outside
-    the lowest leader's component is compared with all sets of other components that
-    sizes and bitmaps allow. Between sets of one component nothing can be gained.
+    Each signature's group has two leaders. First every set is compared with one of its
+    leaders, the one of most weight that sizes and bitmaps allow: no more pairs than sets,
+    and enough to join up large groups of near copies. What is one component then needs
+    no more. Sets whose other leaders lie in another component are compared with these,
+    which does for groups of up to three; and in a larger one that is not one component
+    every set outside the first leader's component is compared with all sets of other
+    components that sizes and bitmaps allow. Between sets of one component nothing can
+    be gained.
     """
     rows = shown.where("sig IS NOT NULL").select("sig", "sid", "upper")
     marks = [F.first(c).alias(c) for c in ("bits", "wide")]
     bits = written(shown.where("sig IS NULL").groupBy("sid", "n").agg(*marks), "jaccard-bits")
-    leaders = rows.groupBy("sig").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    grouped = rows.hint("merge").join(leaders.where("low != high"), "sig")
-    grouped = written(grouped, "jaccard-groups")
-    led = F.explode(F.array_distinct(F.array("low", "high"))).alias("a")
+    few, crowds = _groups(rows)
+    grouped = few.unionByName(crowds)
+    led = F.explode(F.array("lead", "other")).alias("a")
     star = grouped.select(led, F.col("sid").alias("b")).where("a != b").distinct()
     star = written(star, "jaccard-pairs")
     likely = written(_near(_likely(star, bits, percent), bits, percent), "jaccard-star")
-    lowest = likely.groupBy("b", "b_n").agg(F.min(F.struct("a", "a_n")).alias("to"))
-    lowest = written(lowest.select("to.a", "to.a_n", "b", "b_n"), "jaccard-lowest")
-    first = _compared(docs, ids, width, lowest, percent, "jaccard-first")
+    weights = crowds.select(F.col("lead").alias("a"), "weight").distinct()
+    best = F.max(F.struct(F.coalesce("weight", F.lit(0)), "a", "a_n")).alias("to")
+    nearest = likely.join(weights, "a", "left").groupBy("b", "b_n").agg(best)
+    nearest = written(nearest.select("to.a", "to.a_n", "b", "b_n"), "jaccard-nearest")
+    first = _compared(docs, ids, width, nearest, percent, "jaccard-first")
     roots = components(first, "jaccard-roots")
 
     def rooted(df: DataFrame, sid: str, name: str) -> DataFrame:
@@ -530,23 +559,24 @@ def _links(
     def across(pairs: DataFrame) -> DataFrame:
         return rooted(rooted(pairs, "a", "a_root"), "b", "b_root").where("a_root != b_root")
 
-    apart = across(star).select(F.col("a").alias("low"), F.col("b").alias("sid"))
+    apart = across(star).select(F.col("a").alias("lead"), F.col("b").alias("sid"))
     apart = written(apart, "jaccard-apart")
     discard(star)
-    outside = sieve.semi_join(grouped.select("sig", "sid", "low"), apart, ["low", "sid"])
+    larger = grouped.where("m > 3").select("sig", "sid", "upper", "lead")
+    outside = sieve.semi_join(larger.select("sig", "sid", "lead"), apart, ["lead", "sid"])
     opened = written(outside.select("sig").distinct(), "jaccard-opened")
-    members = sieve.semi_join(grouped.select("sig", "sid", "upper", "low"), opened, ["sig"])
-    members = rooted(rooted(members.distinct(), "sid", "root"), "low", "main")
+    members = sieve.semi_join(larger, opened, ["sig"])
+    members = rooted(rooted(members.distinct(), "sid", "root"), "lead", "main")
     members = members.hint("merge").join(bits.select("sid", "n", "bits"), "sid")
     members = written(_in_blocks(members), "jaccard-members")
-    discard(grouped, apart, opened)
+    discard(few, crowds, apart, opened)
 
     rest = written(_pairs_apart(members, percent).distinct(), "jaccard-strays")
     discard(members)
     rest = _near(rest, bits, percent).unionByName(across(likely).select("a", "a_n", "b", "b_n"))
-    rest = rest.distinct().hint("merge").join(lowest, ["a", "a_n", "b", "b_n"], "left_anti")
+    rest = rest.distinct().hint("merge").join(nearest, ["a", "a_n", "b", "b_n"], "left_anti")
     rest = written(rest, "jaccard-rest")
-    discard(likely, lowest, bits)
+    discard(likely, nearest, bits)
     second = _compared(docs, ids, width, rest, percent, "jaccard-second")
     discard(rest)
     return components(first.unionByName(second), "jaccard-components")

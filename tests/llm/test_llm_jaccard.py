@@ -188,3 +188,16 @@ def test_a_pair_is_made_once_a_block(spark):
     # Upper sets meet each other in their own band; all other pairs are made.
     assert set(found) == {(1, 2), (3, 2), (9, 2), (10, 2), (1, 3), (1, 9), (3, 9), (1, 10), (3, 10)}
     assert len(found) <= jaccard.BLOCKS * len(set(found))
+
+
+def test_a_crowd_is_led_from_its_middle(spark):
+    """Copies share three signatures of a text with it, and each few with other copies."""
+    rows = [(sig, 500, False) for sig in range(30)]
+    rows += [((k + j) % 30, k, False) for k in range(200) for j in (0, 7, 18)]
+    rows += [(1000, 5, False), (1000, 9, False), (2000, 5, False)]
+    few, crowds = jaccard._groups(spark.createDataFrame(rows, "sig long, sid long, upper boolean"))
+    assert {(r.sig, r.lead, r.other) for r in few.collect()} == {(1000, 5, 9)}
+    assert {(r.sig, r.lead) for r in crowds.collect()} == {(sig, 500) for sig in range(30)}
+    assert all(r.other != 500 for r in crowds.select("other").collect())
+    shown = few.unionByName(crowds).select("sig", "sid", "upper")
+    assert tuples(shown) == sorted(r for r in rows if r[0] != 2000)
